@@ -52,14 +52,13 @@ def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str] | dict,
     joined = left.join(r, _cond(left, r, rp, null_safe), how)
     if how in ("left_semi", "left_anti", "semi", "anti", "leftsemi", "leftanti"):
         return joined
-    shared = [a for a, b in pairs if a == b]
+    # like dplyr: the key columns come from the left side (right keys are dropped); for
+    # right / full joins the key value is taken from whichever side has the row.
     if how in ("right", "right_outer", "rightouter"):
-        joined = joined.withColumns({a: F.col(tmp[a]) for a in shared})
+        joined = joined.withColumns({a: F.col(tmp[b]) for a, b in pairs})
     elif how in ("full", "outer", "full_outer", "fullouter"):
-        joined = joined.withColumns({a: F.coalesce(left[a], F.col(tmp[a])) for a in shared})
-    drop = [tmp[b] for a, b in pairs if a == b]
-    keep_renamed = {tmp[b]: b for a, b in pairs if a != b}
-    return joined.drop(*drop).withColumnsRenamed(keep_renamed)
+        joined = joined.withColumns({a: F.coalesce(left[a], F.col(tmp[b])) for a, b in pairs})
+    return joined.drop(*[tmp[b] for _, b in pairs])
 
 
 def anti_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str] | dict) -> DataFrame:

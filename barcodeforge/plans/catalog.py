@@ -7,111 +7,6 @@ Column names and types are aligned on both sides: counts BIGINT, rounded values
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from barcodeforge.functions import columns as C
-from barcodeforge.operators import conflicts as G
-from barcodeforge.plans.fixtures import duckdb_sql, fixture, fixtures
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(name: str, oracle: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if oracle is not None:
-            ORACLES[name] = oracle
-        return fn
-    return deco
-
-
-# ---------------------------------------------------------------------------------------
-# conflicts (G1-G4): the sequence table with a genus column
-# ---------------------------------------------------------------------------------------
-
-def sequence_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seqs = fixture(spark, sf_dir, "fx_sequences")
-    return seqs.withColumn("genus", C.genus_of("species"))
-
-
-_DB_CTE = ("db", "SELECT *, split_part(species, ' ', 1) AS genus FROM fx_sequences")
-
-_DEDUP_SQL = """
-dups AS (
-  SELECT *, count(*) OVER (PARTITION BY sequence, species) AS dupe_count FROM db
-), dups2 AS (SELECT * FROM dups WHERE dupe_count > 1),
-keep AS (
-  SELECT accession FROM (
-    SELECT accession, row_number() OVER (PARTITION BY {group}
-        ORDER BY dupe_count DESC, species ASC NULLS LAST, accession ASC NULLS LAST) AS rn
-    FROM dups2) WHERE rn = 1
-), remove AS (
-  SELECT DISTINCT accession FROM dups2 d
-  WHERE NOT EXISTS (SELECT 1 FROM keep k WHERE k.accession IS NOT DISTINCT FROM d.accession)
-), dedup AS (
-  SELECT * FROM db d
-  WHERE NOT EXISTS (SELECT 1 FROM remove r WHERE r.accession IS NOT DISTINCT FROM d.accession)
-)"""
-
-_CONFLICT_SQL = """
-conf AS (
-  SELECT sequence, count(*) AS conflict_count,
-         count(DISTINCT species) AS sc, count(DISTINCT genus) AS gc, count(DISTINCT family) AS fc,
-         coalesce(string_agg(DISTINCT CASE WHEN species <> '' THEN species END, ', ' ORDER BY CASE WHEN species <> '' THEN species END), '') AS sp,
-         coalesce(string_agg(DISTINCT CASE WHEN genus <> '' THEN genus END, ', ' ORDER BY CASE WHEN genus <> '' THEN genus END), '') AS ge,
-         coalesce(string_agg(DISTINCT CASE WHEN family <> '' THEN family END, ', ' ORDER BY CASE WHEN family <> '' THEN family END), '') AS fa
-  FROM {src} GROUP BY sequence HAVING count(*) > 1
-), conf2 AS (
-  SELECT sequence, conflict_count,
-         CASE WHEN fc > 1 THEN 'family' WHEN gc > 1 THEN 'genus' WHEN sc > 1 THEN 'species' END AS conflict_level,
-         CASE WHEN fc > 1 THEN fa WHEN gc > 1 THEN ge WHEN sc > 1 THEN sp END AS conflict_taxa
-  FROM conf
-)"""
-
-
-def _dedup_oracle(group: str, final: str) -> str:
-    body = ", " + _DEDUP_SQL.format(group=group).strip() + ",\n" + _CONFLICT_SQL.format(src="dedup").strip()
-    return duckdb_sql(["fx_sequences"], body + "\n" + final, ctes=[_DB_CTE])
-
-
-_FLAGGED_SELECT = """
-SELECT d.*, c.conflict_count, c.conflict_level, c.conflict_taxa
-FROM dedup d LEFT JOIN conf2 c ON d.sequence IS NOT DISTINCT FROM c.sequence
-"""
-
-
-def entry_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flagship: dedup + conflict flags over the whole sequence table."""
-    return G.sequence_database(sequence_table(spark, sf_dir))
-
-
-query("sequence_database", _dedup_oracle("sequence", _FLAGGED_SELECT))(entry_query)
-
-
-@query("dedup_taxa", _dedup_oracle("sequence", "SELECT * FROM dedup"))
-def q_dedup_taxa(spark, sf_dir):
-    return G.dedup_taxa(sequence_table(spark, sf_dir))
-
-
-@query("dedup_taxa_per_species", _dedup_oracle("sequence, species", "SELECT * FROM dedup"))
-def q_dedup_taxa_per_species(spark, sf_dir):
-    return G.dedup_taxa(sequence_table(spark, sf_dir), scope="sequence_species")
-
-
-@query("duplicate_groups", duckdb_sql(["fx_sequences"], """
-SELECT * FROM (
-  SELECT *, count(*) OVER (PARTITION BY sequence, species) AS dupe_count FROM db
-) WHERE dupe_count > 1""", ctes=[_DB_CTE]))
-def q_duplicate_groups(spark, sf_dir):
-    from barcodeforge.operators.rowpick import duplicates
-    return duplicates(sequence_table(spark, sf_dir), ["sequence", "species"])
-
-
-@query("sequence_conflicts", duckdb_sql(["fx_sequences"], ",\n" + _CONFLICT_SQL.format(src="db").strip() + """
-SELECT * FROM conf2""", ctes=[_DB_CTE]))
-def q_sequence_conflicts(spark, sf_dir):
-    return G.conflict_table(sequence_table(spark, sf_dir))
+from barcodeforge.plans import q_checklist, q_conflicts, q_sources  # noqa: F401  (registration)
+from barcodeforge.plans.q_conflicts import entry_query  # noqa: F401
+from barcodeforge.plans.registry import ORACLES, QUERIES  # noqa: F401

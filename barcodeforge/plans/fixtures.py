@@ -203,5 +203,7 @@ def duckdb_sql(fixture_names, body: str, ctes: list[tuple[str, str]] | None = No
         parts.append(f"{n} AS (\n{text}\n)")
     for n, text in ctes or []:
         parts.append(f"{n} AS (\n{text.strip()}\n)")
+    if not parts:
+        return body.strip()
     head = "WITH RECURSIVE " if recursive else "WITH "
     return head + ",\n".join(parts) + "\n" + body.strip()
