@@ -15,15 +15,15 @@ from barcodeforge.functions.nulls import anti_null_safe, join_null_safe
 from barcodeforge.operators.rowpick import asc, desc, duplicates, keep_first
 
 
-def pick_representatives(dups: DataFrame, group_keys=("sequence",)) -> DataFrame:
+def pick_representatives(dups: DataFrame, group_keys=("sequence",), by=()) -> DataFrame:
     """First accession of each duplicate group (order: dupe_count desc, species, accession)."""
     cols = list(dict.fromkeys([*group_keys, "dupe_count", "species", "accession"]))
     first = keep_first(dups.select(*cols), list(group_keys),
                        [desc("dupe_count"), asc("species"), asc("accession")])
-    return first.select("accession")
+    return first.select(*by, "accession")
 
 
-def dedup_taxa(df: DataFrame, scope: str = "sequence") -> DataFrame:
+def dedup_taxa(df: DataFrame, scope: str = "sequence", by: tuple[str, ...] = ()) -> DataFrame:
     """Remove repeated (sequence, species) rows.
 
     ``scope='sequence'`` reproduces the original rule: among rows whose (sequence, species)
@@ -33,20 +33,21 @@ def dedup_taxa(df: DataFrame, scope: str = "sequence") -> DataFrame:
     """
     if scope not in ("sequence", "sequence_species"):
         raise ValueError("scope must be 'sequence' or 'sequence_species'")
-    dups = duplicates(df, ["sequence", "species"])
-    group = ("sequence",) if scope == "sequence" else ("sequence", "species")
-    keep = pick_representatives(dups, group)
-    remove = anti_null_safe(dups.select("accession"), keep, ["accession"]).distinct()
-    return anti_null_safe(df, remove, ["accession"])
+    by = list(by)
+    dups = duplicates(df, [*by, "sequence", "species"])
+    group = (*by, "sequence") if scope == "sequence" else (*by, "sequence", "species")
+    keep = pick_representatives(dups, group, by)
+    remove = anti_null_safe(dups.select(*by, "accession"), keep, [*by, "accession"]).distinct()
+    return anti_null_safe(df, remove, [*by, "accession"])
 
 
-def conflict_table(df: DataFrame) -> DataFrame:
+def conflict_table(df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Per shared sequence: row count, level of the highest taxonomic conflict, names.
 
     One aggregation pass: the distinct-name sets are partial aggregates (collect_set), their
     sizes give the NULL-ignoring distinct counts.
     """
-    agg = (df.groupBy("sequence")
+    agg = (df.groupBy(*by, "sequence")
            .agg(F.count(F.lit(1)).alias("conflict_count"),
                 F.collect_set("species").alias("_sp"),
                 F.collect_set("genus").alias("_ge"),
@@ -62,19 +63,19 @@ def conflict_table(df: DataFrame) -> DataFrame:
     taxa = (F.when(level == "species", names("_sp"))
             .when(level == "genus", names("_ge"))
             .when(level == "family", names("_fa")))
-    return agg.select("sequence", "conflict_count", level.alias("conflict_level"), taxa.alias("conflict_taxa"))
+    return agg.select(*by, "sequence", "conflict_count", level.alias("conflict_level"), taxa.alias("conflict_taxa"))
 
 
-def flag_conflicts(df: DataFrame) -> DataFrame:
+def flag_conflicts(df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Every row of ``df`` plus ``conflict_count, conflict_level, conflict_taxa``.
 
     Rows whose sequence occurs once get NULLs. A count without a level means the rows share
     the sequence but differ in no taxon.
     """
-    conflicts = conflict_table(df)
-    return join_null_safe(df, conflicts, ["sequence"], how="left")
+    conflicts = conflict_table(df, by)
+    return join_null_safe(df, conflicts, [*by, "sequence"], how="left")
 
 
-def sequence_database(df: DataFrame, scope: str = "sequence") -> DataFrame:
+def sequence_database(df: DataFrame, scope: str = "sequence", by: tuple[str, ...] = ()) -> DataFrame:
     """``dedup_taxa`` then ``flag_conflicts``."""
-    return flag_conflicts(dedup_taxa(df, scope))
+    return flag_conflicts(dedup_taxa(df, scope, by), by)
