@@ -94,10 +94,10 @@ def primer_dictionary(primers: DataFrame, limit: int = MAX_DICTIONARY) -> DataFr
     fwd = info.select("primer_name", F.lit("forward").alias("direction"), F.col("forward_sequence").alias("primer"))
     rev = info.select("primer_name", F.lit("reverse").alias("direction"), F.col("reverse_rc").alias("primer"))
     both = fwd.unionByName(rev)
-    guarded = F.when(expansion_size("primer") > limit,
-                     F.raise_error(F.concat(F.lit("IUPAC expansion too large for primer "), F.col("primer"))))
-    return (both.withColumn("_guard", guarded)
-            .select("primer_name", "direction", "primer", F.explode(expand_iupac("primer")).alias("disambiguated")))
+    expanded = F.when(expansion_size("primer") > limit,
+                      F.raise_error(F.concat(F.lit("IUPAC expansion too large for primer "), F.col("primer")))
+                      ).otherwise(expand_iupac("primer"))
+    return both.select("primer_name", "direction", "primer", F.explode(expanded).alias("disambiguated"))
 
 
 def dictionary_arrays(primers: DataFrame, limit: int = MAX_DICTIONARY) -> DataFrame:
