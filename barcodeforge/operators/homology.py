@@ -4,7 +4,8 @@ H1 is a Spark-native seed-and-extend search, not a wrapper around an aligner bin
 
 1. **Words.** Both sides are reduced to their *minimizers*: for every window of ``w``
    consecutive ``k``-mers the one with the smallest hash (leftmost on ties), k-mers with
-   ambiguity codes never chosen (an Arrow UDF picks the positions; numpy, one pass). Two sequences sharing an exact run of ``k + w - 1`` bases
+   ambiguity codes never chosen (``mapInPandas``: one vectorised numpy pass per Arrow
+   batch; the word is 2-bit packed into a long, the join key). Two sequences sharing an exact run of ``k + w - 1`` bases
    share at least one minimizer, so the candidate set is exact for that word length
    (default k=20, w=9: 28 bases, the usual nucleotide word size). Query words come from
    the seed and its reverse complement (minus strand); subject words from the forward
@@ -36,6 +37,7 @@ from pyspark.sql import types as T
 
 from barcodeforge.functions import columns as C
 from barcodeforge.functions.iupac import revcomp
+from barcodeforge.operators.partitioning import spread
 from barcodeforge.operators.rowpick import desc, keep_first
 
 # --- fixed values: ungapped Karlin-Altschul parameters for reward 1 / penalty -2 ---------
@@ -84,21 +86,67 @@ def minimizer_positions(seq: str | None, k: int, w: int) -> list[int]:
     return (idx + 1).tolist()
 
 
-def _minimizer_udf(k: int, w: int):
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def positions(seqs: pd.Series) -> pd.Series:
-        return pd.Series([minimizer_positions(s, k, w) for s in seqs], index=seqs.index)
-    return positions
+def minimizer_batch(seqs: list, k: int, w: int):
+    """Minimizers of many sequences at once (one vectorised pass over their concatenation).
 
-
-def minimizers(df: DataFrame, seq_col: str, k: int, w: int) -> DataFrame:
-    """Rows of ``df`` exploded to (pos, kmer): the minimizer k-mers of ``seq_col`` (1-based pos).
-
-    Minimizer choice is an Arrow-batched numpy helper (one pass per sequence); the explode and
-    the k-mer text stay in the JVM.
+    Returns (row index, 1-based position, packed k-mer) arrays. The packed k-mer (2 bits per
+    base) is exact for k <= 31 and is the join key. Same choice as
+    :func:`minimizer_positions`.
     """
-    out = df.withColumn("pos", F.explode(_minimizer_udf(k, w)(F.col(seq_col))))
-    return out.withColumn("kmer", F.substring(F.col(seq_col), F.col("pos"), k))
+    lens = np.array([len(s) if s is not None else 0 for s in seqs], dtype=np.int64)
+    empty = (np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64))
+    if lens.sum() < k:
+        return empty
+    ends = np.cumsum(lens)
+    starts = ends - lens
+    codes = _CODE2[np.frombuffer("".join(s or "" for s in seqs).encode("ascii", "replace"), dtype=np.uint8)]
+    m = codes.shape[0] - k + 1                       # k-mer start positions over the concatenation
+    val = np.zeros(m, dtype=np.uint64)
+    for j in range(k):
+        val = (val << np.uint64(2)) | (codes[j:j + m] & 3).astype(np.uint64)
+    bad = np.concatenate(([0], np.cumsum(codes > 3)))
+    owner = np.repeat(np.arange(len(seqs)), lens)[:m]
+    ok = (bad[k:k + m] - bad[:m] == 0) & (np.arange(m) + k <= ends[owner])
+    with np.errstate(over="ignore"):
+        h = _mix(val)
+    h[~ok] = _NO_WORD_U
+    nk = np.maximum(lens - k + 1, 0)                 # k-mers per sequence
+    picks = []
+    if m >= w:
+        arg = np.lib.stride_tricks.sliding_window_view(h, w).argmin(axis=1)
+        jw = np.arange(m - w + 1)
+        own = owner[jw]
+        full = jw + w - 1 < starts[own] + nk[own]    # window lies inside one sequence
+        picks.append((jw + arg)[full])
+    for r in np.nonzero((nk > 0) & (nk < w))[0]:     # fewer than w k-mers: one window
+        a = starts[r]
+        picks.append(np.array([a + int(np.argmin(h[a:a + nk[r]]))]))
+    if not picks:
+        return empty
+    pos = np.unique(np.concatenate(picks))
+    pos = pos[h[pos] != _NO_WORD_U]
+    row = owner[pos]
+    return row, (pos - starts[row] + 1).astype(np.int32), val[pos].astype(np.int64)
+
+
+def minimizers(df: DataFrame, seq_col: str, keys: list[str], k: int, w: int) -> DataFrame:
+    """(keys..., pos, kmer) for every minimizer of ``seq_col``: one vectorised Arrow pass per
+    batch; ``kmer`` is the 2-bit packed word (long)."""
+    if not 1 <= k <= 31:
+        raise ValueError("k must be between 1 and 31")
+    src = df.select(*keys, seq_col)
+    schema = T.StructType([src.schema[c] for c in keys]
+                          + [T.StructField("pos", T.IntegerType()), T.StructField("kmer", T.LongType())])
+
+    def run(batches):
+        for pdf in batches:
+            row, pos, kmer = minimizer_batch(pdf[seq_col].tolist(), k, w)
+            out = pdf[keys].iloc[row].reset_index(drop=True)
+            out["pos"] = pos
+            out["kmer"] = kmer
+            yield out
+
+    return src.mapInPandas(run, schema)
 
 
 def best_segment(q: str, s: str, diags, reward: int, penalty: int):
@@ -155,8 +203,8 @@ def homology_search(seeds: DataFrame, database: DataFrame, k: int = 20, w: int =
          .unionByName(q.select("primer_name", "qseqid", F.lit("-").alias("strand"), revcomp("qseq").alias("qseq"))))
     db = database.select("sseqid", F.upper(F.col("sequence")).alias("sseq"))
 
-    qw = minimizers(q, "qseq", k, w).select("primer_name", "qseqid", "strand", F.col("pos").alias("qpos"), "kmer")
-    sw = minimizers(db, "sseq", k, w).select("sseqid", F.col("pos").alias("spos"), "kmer")
+    qw = minimizers(spread(q), "qseq", ["primer_name", "qseqid", "strand"], k, w).withColumnRenamed("pos", "qpos")
+    sw = minimizers(spread(db), "sseq", ["sseqid"], k, w).withColumnRenamed("pos", "spos")
     cands = (qw.join(sw, on="kmer")
              .groupBy("primer_name", "qseqid", "strand", "sseqid")
              .agg(F.collect_set(F.col("spos") - F.col("qpos")).alias("diags")))

@@ -42,7 +42,8 @@ from pyspark.sql import types as T
 from barcodeforge.functions import columns as C
 from barcodeforge.functions.iupac import (IUPAC_CODES, code_mask, expand_iupac, expansion_size, mask_table,
                                           revcomp, revcomp_str)
-from barcodeforge.functions.nulls import n_distinct_na, na_propagate
+from barcodeforge.functions.nulls import join_null_safe, n_distinct_na, na_propagate
+from barcodeforge.operators.partitioning import spread
 from barcodeforge.operators.rowpick import asc, keep_first
 
 MAX_PRIMERS = 100_000          # size check before the primer table is collected
@@ -200,7 +201,7 @@ def crop_by_primers(seqs: DataFrame, primers: DataFrame, max_error: float = MAX_
             schema = T.StructType([T.StructField("primer_name", T.StringType())]
                                   + [src.schema[c] for c in keep]
                                   + [T.StructField("sequence", T.StringType())])
-            parts.append(src.mapInPandas(_scan_fn(chunk, max_error, keep), schema))
+            parts.append(spread(src).mapInPandas(_scan_fn(chunk, max_error, keep), schema))
     if not parts:
         return seqs.sparkSession.createDataFrame([], "primer_name string, " + ", ".join(
             f"{c} {seqs.schema[c].dataType.simpleString()}" for c in keep) + ", sequence string")
@@ -300,37 +301,51 @@ def set_distance(match: Column, pattern: Column, metric: str = "osa") -> Column:
     raise ValueError(metric)
 
 
+def checked_broadcast(df: DataFrame, max_rows: int = MAX_PRIMERS) -> DataFrame:
+    """Broadcast hint only after counting the rows; beyond ``max_rows`` the planner's own
+    (shuffle) join is used instead."""
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 def score_primer_errors(matches: DataFrame, primers: DataFrame, metric: str = "osa",
                         keep_best: bool = True) -> DataFrame:
     """forward_primer_errors / reverse_primer_errors = distance to the closest
     disambiguation of the primer, NULL when even that is farther than the primer length.
 
-    With ``keep_best``, one row per (primer_name, accession) survives each step (fewest
-    errors first), as in the original arrange + distinct.
+    Distances are computed once per distinct (primer, matched text) and joined back: primer
+    sites repeat across sequences, so the distinct set is far smaller than the rows (it is
+    pre-aggregated map-side, and AQE broadcasts it when it is small).
+
+    With ``keep_best``, one row per (primer_name, accession) survives the forward step
+    (fewest errors first), as in the original arrange + distinct.
     """
     info = primer_info(primers).select("primer_name", "forward_sequence", "reverse_rc", "flen", "rlen")
     if metric == "levenshtein":
-        dicts = dictionary_arrays(primers)
-        info = info.join(dicts, on="primer_name", how="left")
+        info = info.join(dictionary_arrays(primers), on="primer_name", how="left")
 
         def dist(match: str, which: str) -> Column:
             arr = F.col("fdict" if which == "f" else "rdict")
-            return F.array_min(F.transform(arr, lambda d: F.levenshtein(F.upper(F.col(match)), d)))
+            return F.array_min(F.transform(arr, lambda d: F.levenshtein(F.col(match), d)))
     else:
         def dist(match: str, which: str) -> Column:
             return set_distance(F.col(match), F.col("forward_sequence" if which == "f" else "reverse_rc"), metric)
+    info = checked_broadcast(info)
 
-    cols = [c for c in matches.columns if c not in ("flen", "rlen")]
-    df = matches.select(*cols).join(F.broadcast(info), on="primer_name", how="left")
-
-    def within(d: Column, limit: str) -> Column:
-        return F.when(d <= F.col(limit), d).cast("double")
+    def scored(df: DataFrame, match: str, which: str, limit: str, out: str) -> DataFrame:
+        u = (df.select("primer_name", F.upper(F.col(match)).alias("_m")).distinct()
+             .join(info, on="primer_name", how="left")
+             .withColumn("_d", dist("_m", which)))
+        u = u.select("primer_name", "_m", F.when(F.col("_d") <= F.col(limit), F.col("_d")).cast("double").alias(out))
+        keyed = df.withColumn("_m", F.upper(F.col(match)))
+        return join_null_safe(keyed, u, ["primer_name", "_m"], how="left").drop("_m")
 
-    df = df.withColumn("forward_primer_errors", within(dist("forward_primer_match", "f"), "flen"))
+    lens = checked_broadcast(primer_info(primers).select("primer_name", "flen", "rlen"))
+    cols = [c for c in matches.columns if c not in ("flen", "rlen")]
+    df = matches.select(*cols).join(lens, on="primer_name", how="left")
+    df = scored(df, "forward_primer_match", "f", "flen", "forward_primer_errors")
     if keep_best:
         df = keep_first(df, ["primer_name", "accession"], [asc("forward_primer_errors")])
-    df = df.withColumn("reverse_primer_errors", within(dist("reverse_primer_match", "r"), "rlen"))
-    return df.drop("forward_sequence", "reverse_rc", "fdict", "rdict")
+    return scored(df, "reverse_primer_match", "r", "rlen", "reverse_primer_errors")
 
 
 # ------------------------------------------------------------------------------------------

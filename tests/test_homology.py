@@ -20,6 +20,23 @@ def test_shared_run_shares_a_minimizer():
         assert ka & kb
 
 
+def test_batch_minimizers_equal_per_sequence():
+    rng = random.Random(13)
+    seqs = ["".join(rng.choice("ACGTN" if i % 4 == 0 else "ACGT") for _ in range(rng.randint(0, 70)))
+            for i in range(150)] + [None, "ACG"]
+    for k, w in ((5, 3), (12, 6), (20, 9)):
+        row, pos, kmer = H.minimizer_batch(seqs, k, w)
+        for r, s in enumerate(seqs):
+            got = sorted(int(p) for p, rr in zip(pos, row) if rr == r)
+            assert got == H.minimizer_positions(s, k, w), (k, w, r)
+        for r, p, km in zip(row, pos, kmer):
+            word = seqs[r][p - 1:p - 1 + k]
+            packed = 0
+            for ch in word:
+                packed = packed * 4 + "ACGT".index(ch)
+            assert packed == km
+
+
 def test_minimizers_skip_ambiguous_words():
     s = "ACGTN" * 10
     assert H.minimizer_positions(s, 5, 3) == []
