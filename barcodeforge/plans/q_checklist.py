@@ -219,3 +219,46 @@ def q_lineage_wide(spark, sf_dir):
     names, nodes = taxonomy_tables(spark, sf_dir)
     acc, = fixtures(spark, sf_dir, "fx_accessions")
     return T.lineage(acc, nodes, names)
+
+
+# ---------------------------------------------------------------------------------------
+# Checklist joined to taxon ids (right join), to subspecies (many-to-many left
+# join) and to every name (full join); rows missing both ids dropped
+# ---------------------------------------------------------------------------------------
+
+@query("checklist_taxa", duckdb_sql(CHECKLIST_FIXTURES + ["fx_taxa"], """
+SELECT * FROM full_j WHERE NOT (taxid IS NULL AND taxid_TSN IS NULL)""", ctes=CHECKLIST_CTES + [
+    ("tn", "SELECT DISTINCT name, taxid FROM fx_taxa"),
+    ("nm", """
+SELECT DISTINCT name FROM (SELECT species_final AS name FROM checklist UNION ALL SELECT species_synonym FROM checklist)
+WHERE name IS NOT NULL"""),
+    ("nm_ids", "SELECT n.name AS species_final, t.taxid FROM nm n LEFT JOIN tn t ON n.name = t.name"),
+    ("right_j", """
+SELECT i.taxid, c.* FROM nm_ids i RIGHT JOIN checklist c ON i.species_final IS NOT DISTINCT FROM c.species_final"""),
+    ("subs", """
+SELECT t.name AS subspecies, t.taxid AS subspecies_taxid,
+       coalesce(string_split(t.name, ' ')[1], 'NA') || ' ' || coalesce(string_split(t.name, ' ')[2], 'NA') AS species_final
+FROM fx_taxa t WHERE t.rank = 'subspecies'"""),
+    ("m2m", """
+SELECT r.*, s.subspecies, s.subspecies_taxid FROM right_j r
+LEFT JOIN subs s ON r.species_final IS NOT DISTINCT FROM s.species_final"""),
+    ("full_j", """
+SELECT coalesce(m.species_final, n.name) AS species_final, m.* EXCLUDE (species_final)
+FROM m2m m FULL JOIN nm n ON m.species_final IS NOT DISTINCT FROM n.name"""),
+]))
+def q_checklist_taxa(spark, sf_dir):
+    from barcodeforge.functions.columns import parent_binomial
+    from barcodeforge.functions.nulls import join_null_safe
+
+    checklist = checklist_with_ids(spark, sf_dir)
+    names, nodes = taxonomy_tables(spark, sf_dir)
+    nm = T.all_names(checklist)
+    ids = T.names_to_taxids(nm, names).withColumnRenamed("name", "species_final")
+    right_j = join_null_safe(ids, checklist, ["species_final"], how="right")                 # J8
+    taxa, = fixtures(spark, sf_dir, "fx_taxa")
+    subs = taxa.filter(F.col("rank") == "subspecies").select(
+        F.col("name").alias("subspecies"), F.col("taxid").alias("subspecies_taxid"),
+        parent_binomial("name").alias("species_final"))
+    m2m = join_null_safe(right_j, subs, ["species_final"], how="left")                     # J10
+    full_j = join_null_safe(m2m, nm.withColumnRenamed("name", "species_final"), ["species_final"], how="full")  # J9
+    return full_j.dropna(how="all", subset=["taxid", "taxid_TSN"])                          # F12

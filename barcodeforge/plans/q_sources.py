@@ -118,3 +118,18 @@ def q_header_pattern(spark, sf_dir):
     """records whose header matches ``gene=COX1`` (case-insensitive), over document text."""
     docs, = fixtures(spark, sf_dir, "documents")
     return docs.filter(C.header_matches("text", "gene=COX1")).select("doc_id", "source")
+
+
+@query("fasta_roundtrip")
+def q_fasta_roundtrip(spark, sf_dir):
+    """K4 then S5 over the whole database: write FASTA (wrapped at 60) into the session's
+    checkpoint folder (shared storage on a cluster), read it back as (header, sequence)."""
+    import uuid
+
+    from barcodeforge.session import ensure_checkpoint_dir
+    from barcodeforge.sources import io
+
+    db, = fixtures(spark, sf_dir, "fx_database")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fasta-{uuid.uuid4().hex}"
+    io.write_fasta(db, path, width=60)
+    return io.read_fasta(spark, path)
