@@ -20,8 +20,19 @@ def usable_sequence(col: str = "sequence", min_length: int = MIN_SEQUENCE_LENGTH
 
 def _attach_to_checklist(checklist: DataFrame, seqs: DataFrame, min_length: int) -> DataFrame:
     """Checklist rows joined to sequences on synonym == species (NULL-safe, many-to-many),
-    rows without a usable sequence dropped, one row per (beeid, sequence)."""
-    joined = join_null_safe(checklist, seqs, {"species_synonym": "species"}, how="left")
+    rows without a usable sequence dropped, one row per (beeid, sequence).
+
+    The survivor of each (beeid, sequence) is the smallest accession, then the smallest
+    checklist columns, then subspecies. Both sides are first reduced to the only rows that
+    can win (exact, and done with partial top-1 before the join's shuffle): one checklist row
+    per (beeid, synonym) and one sequence row per (species, sequence). A species with many
+    identical sequences no longer multiplies the join.
+    """
+    rest = [c for c in checklist.columns if c not in ("beeid", "species_synonym")]
+    cl = keep_first(checklist, ["beeid", "species_synonym"], rest)
+    sq = keep_first(seqs.filter(usable_sequence("sequence", min_length)),
+                    ["species", "sequence"], ["accession", "subspecies"])
+    joined = join_null_safe(cl, sq, {"species_synonym": "species"}, how="left")
     joined = joined.filter(usable_sequence("sequence", min_length))
     return keep_first(joined, ["beeid", "sequence"], ["accession"])
 

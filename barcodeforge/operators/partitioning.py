@@ -4,15 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+SMALL_INPUT_BYTES = 1 << 30
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give Python-heavy stages enough tasks.
 
-    A small input (one Parquet file, one row group) arrives as one partition, which would put
-    all Arrow-UDF work in one task. Only then is it round-robin repartitioned (deterministic
-    on retry: Spark sorts before a round-robin repartition). Large inputs already have many
-    splits and are left as they are: no extra shuffle at scale.
+def estimated_bytes(df: DataFrame) -> int:
+    """Optimizer size estimate of ``df`` (file sizes propagated through the plan); no job runs."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+
+
+def spread(df: DataFrame, min_partitions: int | None = None, max_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
+    """Give a Python-heavy stage enough tasks when its input is small.
+
+    A small input (one Parquet file, or a shuffle output AQE coalesced into one partition)
+    would put all Arrow-UDF work in one task. When the estimated size is at most
+    ``max_bytes`` the frame is round-robin repartitioned to the default parallelism (cheap at
+    that size; deterministic on retry, since Spark sorts before a round-robin repartition).
+    Larger inputs already arrive in many splits and are left alone, so there is no extra
+    shuffle at scale.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    n = df.rdd.getNumPartitions()
-    return df.repartition(target) if n < target else df
+    if estimated_bytes(df) > max_bytes:
+        return df
+    return df.repartition(min_partitions or df.sparkSession.sparkContext.defaultParallelism)
