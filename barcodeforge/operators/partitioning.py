@@ -9,7 +9,8 @@ SMALL_INPUT_BYTES = 1 << 30
 
 def estimated_bytes(df: DataFrame) -> int:
     """Optimizer size estimate of ``df`` (file sizes propagated through the plan); no job runs."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size if isinstance(size, int) else size.toString())
 
 
 def spread(df: DataFrame, min_partitions: int | None = None, max_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
@@ -25,3 +26,18 @@ def spread(df: DataFrame, min_partitions: int | None = None, max_bytes: int = SM
     if estimated_bytes(df) > max_bytes:
         return df
     return df.repartition(min_partitions or df.sparkSession.sparkContext.defaultParallelism)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Stage boundary: write ``df`` once to the session's reliable checkpoint folder and read
+    it from there.
+
+    Used where an expensive frame feeds several branches of the next stage (seeds feed the
+    statistics and the median pass; search hits feed dedup counts, join-backs and conflict
+    sets), so the expensive work runs once and a lost executor recomputes from the last
+    boundary only.
+    """
+    from barcodeforge.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -10,6 +10,7 @@ from barcodeforge.functions.iupac import COMPLEMENT_FROM, COMPLEMENT_TO
 from barcodeforge.operators import conflicts as G
 from barcodeforge.operators import homology as H
 from barcodeforge.operators import primers as P
+from barcodeforge.operators.partitioning import materialize
 from barcodeforge.plans.fixtures import duckdb_sql, fixtures
 from barcodeforge.plans.q_conflicts import conflict_sql, dedup_sql, flagged_select
 from barcodeforge.plans.registry import query
@@ -110,7 +111,8 @@ def search_inputs(spark: SparkSession, sf_dir: str):
     """Deduplicated exact seeds of every primer, and the whole database as subjects."""
     db, pr = fixtures(spark, sf_dir, "fx_database", "fx_primers")
     seeds = P.dedup_seeds(P.seed_sequences(P.prepare_sequences(db), pr, max_error=0, metric="levenshtein"))
-    return seeds.withColumnRenamed("accession", "qseqid"), db.select(F.col("header").alias("sseqid"), "sequence"), db, pr
+    seeds = materialize(seeds.withColumnRenamed("accession", "qseqid"))     # stage boundary: seed table
+    return seeds, db.select(F.col("header").alias("sseqid"), "sequence"), db, pr
 
 
 @query("homology_search")
@@ -123,4 +125,5 @@ def q_homology_search(spark, sf_dir):
 def q_homology_pipeline(spark, sf_dir) -> DataFrame:
     seeds, subjects, db, pr = search_inputs(spark, sf_dir)
     hits = H.homology_search(seeds, subjects)
-    return G.sequence_database(H.hits_to_database(hits, db, pr), by=("primer_name",))
+    final = materialize(H.hits_to_database(hits, db, pr))                   # stage boundary: filtered hits
+    return G.sequence_database(final, by=("primer_name",))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from barcodeforge.functions.iupac import IUPAC_CODES
 from barcodeforge.operators import primers as P
+from barcodeforge.operators.partitioning import materialize
 from barcodeforge.plans.fixtures import duckdb_sql, fixtures
 from barcodeforge.plans.registry import query
 
@@ -227,7 +228,7 @@ FROM stats s LEFT JOIN nmed n USING (primer_name)"""
 def q_primer_summary(spark, sf_dir):
     db, pr, seqs = sequences(spark, sf_dir)
     seeds = P.seed_sequences(seqs, pr, max_error=0, metric="levenshtein")
-    return P.primer_summary(P.seed_context(seeds, pr, db))
+    return P.primer_summary(materialize(P.seed_context(seeds, pr, db)))    # read twice: stage boundary
 
 
 # --- default (fuzzy, OSA) path: no SQL oracle --------------------------------------------
@@ -258,4 +259,4 @@ def q_seed_sequences(spark, sf_dir):
 def q_primer_summary_fuzzy(spark, sf_dir):
     db, pr, _ = sequences(spark, sf_dir)
     seqs, _ = mutated_sequences(spark, sf_dir)
-    return P.primer_summary(P.seed_context(P.seed_sequences(seqs, pr), pr, db))
+    return P.primer_summary(materialize(P.seed_context(P.seed_sequences(seqs, pr), pr, db)))
