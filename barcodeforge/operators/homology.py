@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from barcodeforge.functions import columns as C
 from barcodeforge.functions.iupac import revcomp
-from barcodeforge.operators.partitioning import spread
+from barcodeforge.operators.partitioning import checked_broadcast, spread
 from barcodeforge.operators.rowpick import desc, keep_first
 
 # --- fixed values: ungapped Karlin-Altschul parameters for reward 1 / penalty -2 ---------
@@ -187,7 +187,9 @@ def _segment_udf(reward: int, penalty: int):
             r = None if qq is None or ss is None or dd is None else best_segment(qq, ss, dd, reward, penalty)
             rows.append(r if r is not None else (None, None, None, None))
         return pd.DataFrame(rows, columns=["score", "diag", "qs", "qe"], index=q.index).astype("Int32")
-    return segment
+    # pure, but marked non-deterministic so the optimizer never duplicates the call into a
+    # pushed-down filter (which would score every pair twice)
+    return segment.asNondeterministic()
 
 
 def homology_search(seeds: DataFrame, database: DataFrame, k: int = 20, w: int = 9,
@@ -263,7 +265,7 @@ def crop_by_position(df: DataFrame) -> DataFrame:
 def filter_length(df: DataFrame, primers: DataFrame, cox1: float = 0.05, other: float = 0.15) -> DataFrame:
     """H5: keep rows whose alignment length lies strictly within the primer's expected length
     ± 5 % (COX1) or ± 15 % (other genes); adds ``gene``."""
-    meta = F.broadcast(primers.select(F.col("primer").alias("primer_name"), "gene",
+    meta = checked_broadcast(primers.select(F.col("primer").alias("primer_name"), "gene",
                                       F.col("length").alias("_expected")))
     j = df.join(meta, on="primer_name", how="left")
     lo, hi = C.length_bounds("_expected", C.gene_tolerance("gene", cox1, other))

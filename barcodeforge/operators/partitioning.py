@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 SMALL_INPUT_BYTES = 1 << 30
 
@@ -41,3 +42,9 @@ def materialize(df: DataFrame) -> DataFrame:
 
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Broadcast hint only after counting the rows (for small reference tables such as the
+    primer table); beyond ``max_rows`` the planner's own shuffle join is used instead."""
+    return F.broadcast(df) if df.count() <= max_rows else df

@@ -43,7 +43,7 @@ from barcodeforge.functions import columns as C
 from barcodeforge.functions.iupac import (IUPAC_CODES, code_mask, expand_iupac, expansion_size, mask_table,
                                           revcomp, revcomp_str)
 from barcodeforge.functions.nulls import join_null_safe, n_distinct_na, na_propagate
-from barcodeforge.operators.partitioning import spread
+from barcodeforge.operators.partitioning import checked_broadcast, spread
 from barcodeforge.operators.rowpick import asc, keep_first
 
 MAX_PRIMERS = 100_000          # size check before the primer table is collected
@@ -223,7 +223,7 @@ def primer_matches(crops: DataFrame, primers: DataFrame, exact_bounds: bool = Fa
     ``length - rlen`` and so holds rlen + 1 characters. The primer table is tiny (one row
     per primer) and broadcast.
     """
-    info = F.broadcast(primer_info(primers).select("primer_name", "flen", "rlen"))
+    info = checked_broadcast(primer_info(primers).select("primer_name", "flen", "rlen"))
     df = crops.join(info, on="primer_name", how="left")
     L = F.length("sequence")
     start = L - F.col("rlen") + (1 if exact_bounds else 0)
@@ -282,7 +282,8 @@ def _distance_udf(transpositions: bool):
                 vals = _set_distance(grp["m"].tolist(), p, transpositions)
             out.loc[grp.index] = vals
         return out
-    return dist
+    # pure; non-deterministic only to keep the optimizer from evaluating it twice
+    return dist.asNondeterministic()
 
 
 _OSA = None
@@ -301,12 +302,6 @@ def set_distance(match: Column, pattern: Column, metric: str = "osa") -> Column:
     raise ValueError(metric)
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = MAX_PRIMERS) -> DataFrame:
-    """Broadcast hint only after counting the rows; beyond ``max_rows`` the planner's own
-    (shuffle) join is used instead."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 def score_primer_errors(matches: DataFrame, primers: DataFrame, metric: str = "osa",
                         keep_best: bool = True) -> DataFrame:
     """forward_primer_errors / reverse_primer_errors = distance to the closest
@@ -363,11 +358,13 @@ def seed_sequences(seqs: DataFrame, primers: DataFrame, max_error: float = MAX_E
     """
     crops = crop_by_primers(seqs, primers, max_error, keep=("accession", "beeid"))
     scored = score_primer_errors(primer_matches(crops, primers, exact_bounds), primers, metric)
-    info = F.broadcast(primer_info(primers).select("primer_name", "expected_length"))
+    info = checked_broadcast(primer_info(primers).select("primer_name", "expected_length"))
     lo, hi = C.length_bounds("expected_length", tolerance)
+    # score_primer_errors already leaves one row per (primer_name, accession) and the reverse
+    # distance is a per-row minimum, so the original second "best reverse match" pick is
+    # implied: the length filter only removes rows.
     kept = (scored.join(info, on="primer_name", how="left")
             .filter((F.col("length_without_primers") > lo) & (F.col("length_without_primers") < hi)))
-    kept = keep_first(kept, ["primer_name", "accession"], [asc("reverse_primer_errors")])
     start = F.col("flen") + 1
     end = F.col("sequence_length") - F.col("rlen")
     return kept.select(
@@ -393,7 +390,7 @@ def seed_context(seeds: DataFrame, primers: DataFrame, database: DataFrame) -> D
     """Seeds with their primer's gene / expected length and the source record's taxonomy
     (family, species, genus), one row per (primer_name, accession, sequence)."""
     from barcodeforge.operators.cleaning import split_headers
-    meta = F.broadcast(primers.select(F.col("primer").alias("primer_name"), "gene",
+    meta = checked_broadcast(primers.select(F.col("primer").alias("primer_name"), "gene",
                                       F.col("length").alias("expected_length")))
     recs = split_headers(database.select("header", F.col("sequence").alias("original_sequence")),
                          underscores_to_spaces=True)
@@ -438,12 +435,13 @@ def primer_summary(seeds_in_context: DataFrame) -> DataFrame:
         F.bround(nap(F.median, "reverse_primer_errors"), 0).alias("median_reverse_errors"),
         F.bround(na_propagate(F.avg(both), both), 1).alias("mean_primer_errors"),
     )
-    # second pass: rows whose length equals the group median (one row per primer -> broadcast)
-    med = F.broadcast(stats.select("primer_name", F.col("median_length").alias("_med")))
+    # second pass: rows whose length equals the group median. The per-primer tables are tiny;
+    # AQE sees their real size at runtime and broadcasts them (no hint, no extra count job).
+    med = stats.select("primer_name", F.col("median_length").alias("_med"))
     n_med = (df.join(med, on="primer_name", how="left")
              .groupBy("primer_name")
              .agg(F.sum(F.when(F.col("length") == F.col("_med"), 1).otherwise(0)).cast("long").alias("n_median")))
-    out = stats.join(F.broadcast(n_med), on="primer_name", how="left")
+    out = stats.join(n_med, on="primer_name", how="left")
     return out.select(
         "primer_name", "gene", "expected_length", "n_accession", "n_seqs", "n_families", "n_genera", "n_species",
         "min_length", "max_length", (F.col("max_length") - F.col("min_length")).alias("length_diff"),
