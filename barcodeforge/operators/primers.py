@@ -149,7 +149,49 @@ def _best_site(s: np.ndarray, p: np.ndarray, k: int, start: int) -> int:
     return start + i if mism[i] <= k else -1
 
 
-def _scan_fn(chunk: list[dict], max_error: float, keep: list[str]):
+def _edit_row_min(prev: np.ndarray, cost: np.ndarray, j: int, free_start: bool) -> np.ndarray:
+    """One pattern row of the edit-distance recurrence, vectorised over the text.
+
+    prev: row j-1 (length n+1); cost[i-1]: substitution cost at text position i. The
+    in-row insertion chain C[i] = min(T[i], C[i-1] + 1) is a running minimum of T[k] - k.
+    """
+    n = cost.shape[0]
+    t = np.empty(n + 1, dtype=np.int32)
+    t[0] = j
+    t[1:] = np.minimum(prev[:-1] + cost, prev[1:] + 1)
+    idx = np.arange(n + 1, dtype=np.int32)
+    return np.minimum.accumulate(t - idx) + idx
+
+
+def _sellers(s: np.ndarray, p: np.ndarray, free_start: bool = True) -> np.ndarray:
+    """Edit distance of pattern ``p`` to the text ending at each position (semi-global when
+    ``free_start``, else to each text prefix). Masks: a match is a non-empty intersection."""
+    n = s.shape[0]
+    row = np.zeros(n + 1, dtype=np.int32) if free_start else np.arange(n + 1, dtype=np.int32)
+    for j in range(1, p.shape[0] + 1):
+        cost = ((s & p[j - 1]) == 0).astype(np.int32)
+        row = _edit_row_min(row, cost, j, free_start)
+    return row
+
+
+def _best_site_indels(s: np.ndarray, p: np.ndarray, k: int, start: int) -> tuple[int, int]:
+    """Leftmost best site of ``p`` in ``s[start:]`` by edit distance <= k: (begin, end) as
+    0-based half-open text offsets, or (-1, -1). Among starts of equal cost the leftmost."""
+    if s.shape[0] - start < max(1, p.shape[0] - k):
+        return -1, -1
+    ends = _sellers(s[start:], p)
+    e = int(np.argmin(ends[1:])) + 1
+    if ends[e] > k:
+        return -1, -1
+    seg = s[start:start + e][::-1]
+    back = _sellers(seg, p[::-1], free_start=False)
+    best = ends[e]
+    lengths = np.nonzero(back == best)[0]
+    b = e - int(lengths.max())
+    return start + b, start + e
+
+
+def _scan_fn(chunk: list[dict], max_error: float, keep: list[str], indels: bool = False):
     table = mask_table()
     prim = []
     for p in chunk:
@@ -172,6 +214,15 @@ def _scan_fn(chunk: list[dict], max_error: float, keep: list[str]):
                     continue
                 s = table[np.frombuffer(seq.encode("ascii", "replace"), dtype=np.uint8)]
                 for name, fm, rm, kf, kr in prim:
+                    if indels:
+                        i, fe = _best_site_indels(s, fm, kf, 0)
+                        if i < 0:
+                            continue
+                        _, re = _best_site_indels(s, rm, kr, fe)
+                        if re < 0:
+                            continue
+                        rows.append((name, *[k[idx] for k in kept], seq[i:re]))
+                        continue
                     i = _best_site(s, fm, kf, 0)
                     if i < 0:
                         continue
@@ -185,23 +236,25 @@ def _scan_fn(chunk: list[dict], max_error: float, keep: list[str]):
 
 
 def crop_by_primers(seqs: DataFrame, primers: DataFrame, max_error: float = MAX_ERROR,
-                    keep: tuple[str, ...] = ("accession",)) -> DataFrame:
+                    keep: tuple[str, ...] = ("accession",), indels: bool = False) -> DataFrame:
     """Amplicon (primer sites included) of every sequence for every primer pair.
 
     Output: primer_name, *keep, sequence. Sequences without both sites are dropped.
+    ``indels=True`` counts insertions and deletions as errors too (semi-global edit distance,
+    Sellers' recurrence vectorised over the sequence); the default counts mismatches only.
     """
     plist = collect_primers(primers)
     keep = list(keep)
     src = seqs.select(*keep, "sequence")
     parts = []
     for chunk in _chunks(plist, PRIMERS_PER_PASS):
-        if max_error <= 0:
+        if max_error <= 0 and not indels:
             parts.append(_exact_crops(src, chunk, keep))
         else:
             schema = T.StructType([T.StructField("primer_name", T.StringType())]
                                   + [src.schema[c] for c in keep]
                                   + [T.StructField("sequence", T.StringType())])
-            parts.append(spread(src).mapInPandas(_scan_fn(chunk, max_error, keep), schema))
+            parts.append(spread(src).mapInPandas(_scan_fn(chunk, max_error, keep, indels), schema))
     if not parts:
         return seqs.sparkSession.createDataFrame([], "primer_name string, " + ", ".join(
             f"{c} {seqs.schema[c].dataType.simpleString()}" for c in keep) + ", sequence string")

@@ -161,3 +161,52 @@ def test_seed_sequences_cut_primers(spark):
     # outside expected ± 20 % -> dropped
     primers2 = primers.withColumn("length", F.lit(200))
     assert P.seed_sequences(seqs, primers2).count() == 0
+
+
+def semi_global(text, pat):
+    """Brute force: min edit distance of pat to any substring of text, with (start, end)."""
+    best = None
+    for a in range(len(text) + 1):
+        for b in range(a, len(text) + 1):
+            d = [[0] * (b - a + 1) for _ in range(len(pat) + 1)]
+            for i in range(len(pat) + 1):
+                d[i][0] = i
+            for j in range(b - a + 1):
+                d[0][j] = j
+            for i in range(1, len(pat) + 1):
+                for j in range(1, b - a + 1):
+                    c = 0 if code_mask(pat[i - 1]) & code_mask(text[a + j - 1]) else 1
+                    d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + c)
+            cand = (d[len(pat)][b - a], b, a)
+            if best is None or cand < best:
+                best = cand
+    return best
+
+
+def test_sellers_site_matches_brute_force():
+    import numpy as np
+    from barcodeforge.functions.iupac import mask_table
+    rng = random.Random(17)
+    table = mask_table()
+    for _ in range(60):
+        pat = "".join(rng.choice("ACGTRN") for _ in range(rng.randint(3, 6)))
+        text = "".join(rng.choice("ACGT") for _ in range(rng.randint(4, 12)))
+        s = table[np.frombuffer(text.encode(), dtype=np.uint8)]
+        p = np.array([code_mask(c) for c in pat], dtype=np.uint8)
+        cost, end, _ = semi_global(text, pat)
+        b, e = P._best_site_indels(s, p, len(pat), 0)
+        assert e == end                       # leftmost end with the lowest cost
+        sub = text[b:e]
+        assert semi_global(sub, pat)[0] == cost and len(sub) >= 0
+
+
+def test_indel_scan_finds_site_with_deletion(spark):
+    fwd, rev = "GGTCAACAAATCATAAAGATATTGG", "TAAACTTCAGGGTGACCAAAAAATCA"
+    site = fwd[:10] + fwd[12:]                  # two bases deleted from the forward site
+    body = "C" * 60
+    seq = "TT" + site + body + revcomp_str(rev) + "AA"
+    seqs = spark.createDataFrame([("a1", seq)], "accession string, sequence string")
+    primers = spark.createDataFrame([("PX", "COX1", fwd, rev, 60)],
+                                    "primer string, gene string, forward_sequence string, reverse_sequence string, length int")
+    with_indels = P.crop_by_primers(seqs, primers, 0.2, indels=True).collect()
+    assert [r["sequence"] for r in with_indels] == [site + body + revcomp_str(rev)]
