@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barcodeforge.functions import columns as C
-from barcodeforge.functions.iupac import revcomp
+from barcodeforge.functions.iupac import revcomp, revcomp_str
 from barcodeforge.operators.partitioning import checked_broadcast, spread
 from barcodeforge.operators.rowpick import desc, keep_first
 
@@ -192,28 +192,12 @@ def _segment_udf(reward: int, penalty: int):
     return segment.asNondeterministic()
 
 
-def homology_search(seeds: DataFrame, database: DataFrame, k: int = 20, w: int = 9,
-                    reward: int = 1, penalty: int = 2, min_score: int = 0) -> DataFrame:
-    """H1: hits of every seed against every database sequence (both strands).
+MAX_BROADCAST_SEED_BASES = 50_000_000   # seed bases (both strands indexed) for the map-side strategy
 
-    seeds: (primer_name, qseqid, sequence); database: (sseqid, sequence).
-    Output: primer_name, qseqid, sseqid, sstart, send, length, qcovs, bitscore (one hit per
-    query / subject / strand: the best ungapped segment).
-    """
-    q = seeds.select("primer_name", "qseqid", F.upper(F.col("sequence")).alias("qseq"))
-    q = (q.select("primer_name", "qseqid", F.lit("+").alias("strand"), "qseq")
-         .unionByName(q.select("primer_name", "qseqid", F.lit("-").alias("strand"), revcomp("qseq").alias("qseq"))))
-    db = database.select("sseqid", F.upper(F.col("sequence")).alias("sseq"))
 
-    qw = minimizers(spread(q), "qseq", ["primer_name", "qseqid", "strand"], k, w).withColumnRenamed("pos", "qpos")
-    sw = minimizers(spread(db), "sseq", ["sseqid"], k, w).withColumnRenamed("pos", "spos")
-    cands = (qw.join(sw, on="kmer")
-             .groupBy("primer_name", "qseqid", "strand", "sseqid")
-             .agg(F.collect_set(F.col("spos") - F.col("qpos")).alias("diags")))
-    pairs = cands.join(q, on=["primer_name", "qseqid", "strand"]).join(db, on="sseqid")
-    best = _segment_udf(reward, penalty)(F.col("qseq"), F.col("sseq"), F.col("diags"))
-    hits = pairs.select("primer_name", "qseqid", "sseqid", "strand", F.length("qseq").alias("qlen"),
-                        best.alias("b")).filter(F.col("b.score") >= F.lit(min_score))
+def _hit_columns(hits: DataFrame, min_score: int) -> DataFrame:
+    """(primer_name, qseqid, sseqid, strand, qlen, b=struct(score, diag, qs, qe)) -> hit table."""
+    hits = hits.filter(F.col("b.score") >= F.lit(min_score))
     diag = F.col("b.diag")
     s_lo, s_hi = F.col("b.qs") + diag, F.col("b.qe") + diag
     plus = F.col("strand") == "+"
@@ -228,6 +212,105 @@ def homology_search(seeds: DataFrame, database: DataFrame, k: int = 20, w: int =
         F.bround(bits, 1).alias("bitscore"))
 
 
+def _search_join(seeds: DataFrame, database: DataFrame, k: int, w: int, reward: int, penalty: int) -> DataFrame:
+    """Shuffle strategy: k-mer equi-join, diagonals per pair, both sequences joined to pairs."""
+    q = seeds.select("primer_name", "qseqid", F.upper(F.col("sequence")).alias("qseq"))
+    q = (q.select("primer_name", "qseqid", F.lit("+").alias("strand"), "qseq")
+         .unionByName(q.select("primer_name", "qseqid", F.lit("-").alias("strand"), revcomp("qseq").alias("qseq"))))
+    db = database.select("sseqid", F.upper(F.col("sequence")).alias("sseq"))
+
+    qw = minimizers(spread(q), "qseq", ["primer_name", "qseqid", "strand"], k, w).withColumnRenamed("pos", "qpos")
+    sw = minimizers(spread(db), "sseq", ["sseqid"], k, w).withColumnRenamed("pos", "spos")
+    cands = (qw.join(sw, on="kmer")
+             .groupBy("primer_name", "qseqid", "strand", "sseqid")
+             .agg(F.collect_set(F.col("spos") - F.col("qpos")).alias("diags")))
+    pairs = cands.join(q, on=["primer_name", "qseqid", "strand"]).join(db, on="sseqid")
+    best = _segment_udf(reward, penalty)(F.col("qseq"), F.col("sseq"), F.col("diags"))
+    return pairs.select("primer_name", "qseqid", "sseqid", "strand", F.length("qseq").alias("qlen"), best.alias("b"))
+
+
+def seed_index(seed_rows: list, k: int, w: int) -> dict:
+    """Sorted minimizer index of the seeds, both strands: kmer -> (entry, qpos)."""
+    names, qids, strands, qseqs = [], [], [], []
+    for primer_name, qseqid, seq in seed_rows:
+        fwd = (seq or "").upper()
+        for strand, text in (("+", fwd), ("-", revcomp_str(fwd))):
+            names.append(primer_name)
+            qids.append(qseqid)
+            strands.append(strand)
+            qseqs.append(text)
+    row, pos, kmer = minimizer_batch(qseqs, k, w)
+    order = np.argsort(kmer, kind="stable")
+    return {"kmer": kmer[order], "entry": row[order].astype(np.int32), "qpos": pos[order],
+            "primer_name": names, "qseqid": qids, "strand": strands, "qseq": qseqs}
+
+
+def _search_map_side(seeds: DataFrame, database: DataFrame, k: int, w: int, reward: int, penalty: int) -> DataFrame:
+    """Broadcast strategy: the (size-checked) seed index is shipped to every task; each
+    database partition finds its candidates and extends them locally. The database is
+    scanned once and never shuffled; a k-mer shared by many sequences creates no hot key."""
+    spark = seeds.sparkSession
+    rows = [(r["primer_name"], r["qseqid"], r["sequence"]) for r in
+            seeds.select("primer_name", "qseqid", "sequence").collect()]
+    index = spark.sparkContext.broadcast(seed_index(rows, k, w))
+    db = spread(database.select("sseqid", F.upper(F.col("sequence")).alias("sseq")))
+    schema = ("primer_name string, qseqid string, sseqid string, strand string, qlen int, "
+              "b struct<score:int, diag:int, qs:int, qe:int>")
+
+    def run(batches):
+        ix = index.value
+        K, E, QP = ix["kmer"], ix["entry"], ix["qpos"]
+        for pdf in batches:
+            sseqs = pdf["sseq"].tolist()
+            srow, spos, skmer = minimizer_batch(sseqs, k, w)
+            lo = np.searchsorted(K, skmer, "left")
+            hi = np.searchsorted(K, skmer, "right")
+            cnt = hi - lo
+            out = []
+            if cnt.sum() > 0:
+                rep = np.repeat(np.arange(skmer.shape[0]), cnt)
+                first = np.repeat(np.cumsum(cnt) - cnt, cnt)
+                idx = lo[rep] + (np.arange(rep.shape[0]) - first)
+                trip = np.unique(np.stack([srow[rep], E[idx], spos[rep] - QP[idx]], axis=1), axis=0)
+                keys = trip[:, :2]
+                cuts = np.nonzero(np.any(keys[1:] != keys[:-1], axis=1))[0] + 1
+                for grp in np.split(trip, cuts):
+                    r, e = int(grp[0, 0]), int(grp[0, 1])
+                    seg = best_segment(ix["qseq"][e], sseqs[r], grp[:, 2].tolist(), reward, penalty)
+                    if seg is None:
+                        continue
+                    out.append((ix["primer_name"][e], ix["qseqid"][e], pdf["sseqid"].iat[r], ix["strand"][e],
+                                len(ix["qseq"][e]), {"score": seg[0], "diag": seg[1], "qs": seg[2], "qe": seg[3]}))
+            yield pd.DataFrame(out, columns=["primer_name", "qseqid", "sseqid", "strand", "qlen", "b"])
+
+    return db.mapInPandas(run, schema)
+
+
+def homology_search(seeds: DataFrame, database: DataFrame, k: int = 20, w: int = 9,
+                    reward: int = 1, penalty: int = 2, min_score: int = 0, strategy: str = "auto") -> DataFrame:
+    """H1: hits of every seed against every database sequence (both strands).
+
+    seeds: (primer_name, qseqid, sequence); database: (sseqid, sequence).
+    Output: primer_name, qseqid, sseqid, sstart, send, length, qcovs, bitscore (one hit per
+    query / subject / strand: the best ungapped segment).
+
+    ``strategy='auto'`` measures the seed set first (one aggregate): up to
+    ``MAX_BROADCAST_SEED_BASES`` bases it uses the map-side strategy (seed index broadcast,
+    database never shuffled), beyond that the shuffle strategy (k-mer equi-join with AQE skew
+    handling). Both give the same hits.
+    """
+    if strategy == "auto":
+        bases = seeds.agg(F.sum(F.length("sequence"))).first()[0] or 0
+        strategy = "broadcast" if 2 * bases <= MAX_BROADCAST_SEED_BASES else "join"
+    if strategy == "broadcast":
+        raw = _search_map_side(seeds, database, k, w, reward, penalty)
+    elif strategy == "join":
+        raw = _search_join(seeds, database, k, w, reward, penalty)
+    else:
+        raise ValueError("strategy must be 'auto', 'broadcast' or 'join'")
+    return _hit_columns(raw, min_score)
+
+
 # ------------------------------------------------------------------------------------------
 # H2-H6
 # ------------------------------------------------------------------------------------------

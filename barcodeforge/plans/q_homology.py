@@ -127,3 +127,10 @@ def q_homology_pipeline(spark, sf_dir) -> DataFrame:
     hits = H.homology_search(seeds, subjects)
     final = materialize(H.hits_to_database(hits, db, pr))                   # stage boundary: filtered hits
     return G.sequence_database(final, by=("primer_name",))
+
+
+@query("homology_search_join")
+def q_homology_search_join(spark, sf_dir):
+    """H1 with the shuffle strategy forced (the one used when the seed set is too large to ship)."""
+    seeds, subjects, _, _ = search_inputs(spark, sf_dir)
+    return H.homology_search(seeds, subjects, strategy="join")

@@ -118,3 +118,30 @@ def test_hit_post_processing(spark):
     assert out["a1"]["species"] == "Apis mellifera" and out["a1"]["genus"] == "Apis"
     assert out["a2"]["reversed"] and out["a2"]["sequence"] == revcomp_str("ACCCCCGGGG")
     assert out["a2"]["subspecies"] == "Bombus x y" and out["a2"]["gene"] == "16S"
+
+
+def test_search_strategies_agree(spark):
+    rng = random.Random(31)
+    seeds, subjects = [], []
+    base = ["".join(rng.choice("ACGT") for _ in range(90)) for _ in range(6)]
+    for n in range(6):
+        seeds.append(("P1" if n % 2 else "P2", f"q{n}", base[n]))
+    for m in range(40):
+        parts = []
+        for _ in range(rng.randint(1, 3)):
+            src = base[rng.randrange(6)]
+            a = rng.randrange(0, 40)
+            piece = list(src[a:a + rng.randint(35, 50)])
+            for _ in range(rng.randint(0, 2)):
+                piece[rng.randrange(len(piece))] = rng.choice("ACGT")
+            piece = "".join(piece)
+            parts.append(piece if rng.random() < 0.6 else revcomp_str(piece))
+            parts.append("".join(rng.choice("ACGTN") for _ in range(rng.randint(0, 20))))
+        subjects.append((f"s{m}", "".join(parts)))
+    sdf = spark.createDataFrame(seeds, "primer_name string, qseqid string, sequence string")
+    ddf = spark.createDataFrame(subjects, "sseqid string, sequence string")
+    a = sorted(map(tuple, H.homology_search(sdf, ddf, k=12, w=5, strategy="join").collect()))
+    b = sorted(map(tuple, H.homology_search(sdf, ddf, k=12, w=5, strategy="broadcast").collect()))
+    assert a == b and len(a) > 20
+    empty = spark.createDataFrame([("s", "ACGT")], "sseqid string, sequence string")
+    assert H.homology_search(sdf, empty, strategy="broadcast").count() == 0
