@@ -46,7 +46,7 @@ PRIMER_CTES = [
     ("pr", """
 SELECT primer AS primer_name, gene, length AS expected_length, upper(forward_sequence) AS f,
        reverse(translate(upper(reverse_sequence), 'ACGTRYSWKMBDHVN', 'TGCAYRSWMKVHDBN')) AS r,
-       length(forward_sequence) AS flen, length(reverse_sequence) AS rlen
+       CAST(length(forward_sequence) AS INTEGER) AS flen, CAST(length(reverse_sequence) AS INTEGER) AS rlen
 FROM fx_primers"""),
     ("fpos", "SELECT primer_name, f, unnest(range(1, length(f) + 1)) AS i FROM pr"),
     ("rpos", "SELECT primer_name, r, unnest(range(1, length(r) + 1)) AS i FROM pr"),
@@ -95,10 +95,10 @@ SELECT * FROM (
 WHERE sequence <> ''"""),
     ("m", """
 SELECT c.primer_name, c.accession, c.beeid, c.sequence, pr.flen, pr.rlen,
-       length(c.sequence) AS sequence_length,
+       CAST(length(c.sequence) AS INTEGER) AS sequence_length,
        substring(c.sequence, 1, pr.flen) AS forward_primer_match,
        substring(c.sequence, length(c.sequence) - pr.rlen, pr.rlen + 1) AS reverse_primer_match,
-       length(c.sequence) - (pr.flen + pr.rlen) AS length_without_primers
+       CAST(length(c.sequence) - (pr.flen + pr.rlen) AS INTEGER) AS length_without_primers
 FROM crops c LEFT JOIN pr USING (primer_name)"""),
     ("fe0", """
 SELECT m.*, CAST(CASE WHEN d <= flen THEN d END AS DOUBLE) AS forward_primer_errors FROM (
@@ -213,7 +213,7 @@ _SUMMARY = f"""
                     THEN avg(forward_primer_errors + reverse_primer_errors) END, 1) AS mean_primer_errors
   FROM ctx GROUP BY primer_name, gene, expected_length
 ), nmed AS (
-  SELECT c.primer_name, sum(CASE WHEN c.length = s.median_length THEN 1 ELSE 0 END) AS n_median
+  SELECT c.primer_name, CAST(sum(CASE WHEN c.length = s.median_length THEN 1 ELSE 0 END) AS BIGINT) AS n_median
   FROM ctx c LEFT JOIN stats s USING (primer_name) GROUP BY c.primer_name
 )
 SELECT s.primer_name, gene, expected_length, n_accession, n_seqs, n_families, n_genera, n_species,
