@@ -329,11 +329,13 @@ def _distance_udf(transpositions: bool):
         for (p, _), grp in frame.groupby(["p", "n"], sort=False):
             if len(grp) == 0:
                 continue
-            if grp["m"].iloc[0] == "":
-                vals = np.full(len(grp), len(p), dtype=np.int32)
+            # primer sites repeat: compute each distinct text once per batch
+            uniq, inv = np.unique(grp["m"].to_numpy(dtype=object), return_inverse=True)
+            if uniq[0] == "":
+                vals = np.full(len(uniq), len(p), dtype=np.int32)
             else:
-                vals = _set_distance(grp["m"].tolist(), p, transpositions)
-            out.loc[grp.index] = vals
+                vals = _set_distance(list(uniq), p, transpositions)
+            out.loc[grp.index] = vals[inv]
         return out
     # pure; non-deterministic only to keep the optimizer from evaluating it twice
     return dist.asNondeterministic()
@@ -360,9 +362,12 @@ def score_primer_errors(matches: DataFrame, primers: DataFrame, metric: str = "o
     """forward_primer_errors / reverse_primer_errors = distance to the closest
     disambiguation of the primer, NULL when even that is farther than the primer length.
 
-    Distances are computed once per distinct (primer, matched text) and joined back: primer
-    sites repeat across sequences, so the distinct set is far smaller than the rows (it is
-    pre-aggregated map-side, and AQE broadcasts it when it is small).
+    Primer sites repeat across sequences, so each distinct text is scored once. For the
+    native ``levenshtein`` path (an interpreted higher-order function per dictionary entry)
+    the distinct (primer, text) set is aggregated map-side, scored, and joined back (AQE
+    broadcasts it when small); its input, the regex crop, is cheap to read twice. The Arrow
+    ``osa`` path scores row by row, de-duplicating inside each Arrow batch, so an expensive
+    upstream (the fuzzy scan) is evaluated once and no self-join is needed.
 
     With ``keep_best``, one row per (primer_name, accession) survives the forward step
     (fewest errors first), as in the original arrange + distinct.
@@ -380,6 +385,11 @@ def score_primer_errors(matches: DataFrame, primers: DataFrame, metric: str = "o
     info = checked_broadcast(info)
 
     def scored(df: DataFrame, match: str, which: str, limit: str, out: str) -> DataFrame:
+        if metric != "levenshtein":
+            d = (df.join(info.select("primer_name", "forward_sequence", "reverse_rc"), on="primer_name", how="left")
+                 .withColumn("_d", dist(match, which)))
+            return (d.withColumn(out, F.when(F.col("_d") <= F.col(limit), F.col("_d")).cast("double"))
+                    .drop("_d", "forward_sequence", "reverse_rc"))
         u = (df.select("primer_name", F.upper(F.col(match)).alias("_m")).distinct()
              .join(info, on="primer_name", how="left")
              .withColumn("_d", dist("_m", which)))
