@@ -176,28 +176,33 @@ def best_segment(q: str, s: str, diags, reward: int, penalty: int):
     return best
 
 
-def _segment_udf(reward: int, penalty: int):
-    schema = T.StructType([T.StructField("score", T.IntegerType()), T.StructField("diag", T.IntegerType()),
-                           T.StructField("qs", T.IntegerType()), T.StructField("qe", T.IntegerType())])
-
-    @F.pandas_udf(schema)
-    def segment(q: pd.Series, s: pd.Series, diags: pd.Series) -> pd.DataFrame:
-        rows = []
-        for qq, ss, dd in zip(q, s, diags):
-            r = None if qq is None or ss is None or dd is None else best_segment(qq, ss, dd, reward, penalty)
-            rows.append(r if r is not None else (None, None, None, None))
-        return pd.DataFrame(rows, columns=["score", "diag", "qs", "qe"], index=q.index).astype("Int32")
-    # pure, but marked non-deterministic so the optimizer never duplicates the call into a
-    # pushed-down filter (which would score every pair twice)
-    return segment.asNondeterministic()
+def _score_pairs(pairs: DataFrame, reward: int, penalty: int, min_score: int) -> DataFrame:
+    """Pair rows (primer_name, qseqid, strand, sseqid, diags, qseq, sseq) -> best segment per
+    pair, as an Arrow ``mapInPandas`` that emits only segments scoring at least ``min_score``
+    (a row-producing stage: evaluated once, deterministic)."""
+    schema = ("primer_name string, qseqid string, sseqid string, strand string, qlen int, "
+              "b struct<score:int, diag:int, qs:int, qe:int>")
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for r in pdf.itertuples(index=False):
+                seg = best_segment(r.qseq, r.sseq, r.diags, reward, penalty)
+                if seg is None or seg[0] < min_score:
+                    continue
+                out.append((r.primer_name, r.qseqid, r.sseqid, r.strand, len(r.qseq),
+                            {"score": seg[0], "diag": seg[1], "qs": seg[2], "qe": seg[3]}))
+            yield pd.DataFrame(out, columns=["primer_name", "qseqid", "sseqid", "strand", "qlen", "b"])
+
+    cols = pairs.select("primer_name", "qseqid", "strand", "sseqid", "diags", "qseq", "sseq")
+    return cols.mapInPandas(run, schema)
 
 
 MAX_BROADCAST_SEED_BASES = 50_000_000   # seed bases (both strands indexed) for the map-side strategy
 
 
-def _hit_columns(hits: DataFrame, min_score: int) -> DataFrame:
+def _hit_columns(hits: DataFrame) -> DataFrame:
     """(primer_name, qseqid, sseqid, strand, qlen, b=struct(score, diag, qs, qe)) -> hit table."""
-    hits = hits.filter(F.col("b.score") >= F.lit(min_score))
     diag = F.col("b.diag")
     s_lo, s_hi = F.col("b.qs") + diag, F.col("b.qe") + diag
     plus = F.col("strand") == "+"
@@ -212,7 +217,8 @@ def _hit_columns(hits: DataFrame, min_score: int) -> DataFrame:
         F.bround(bits, 1).alias("bitscore"))
 
 
-def _search_join(seeds: DataFrame, database: DataFrame, k: int, w: int, reward: int, penalty: int) -> DataFrame:
+def _search_join(seeds: DataFrame, database: DataFrame, k: int, w: int, reward: int, penalty: int,
+                 min_score: int) -> DataFrame:
     """Shuffle strategy: k-mer equi-join, diagonals per pair, both sequences joined to pairs."""
     q = seeds.select("primer_name", "qseqid", F.upper(F.col("sequence")).alias("qseq"))
     q = (q.select("primer_name", "qseqid", F.lit("+").alias("strand"), "qseq")
@@ -225,8 +231,7 @@ def _search_join(seeds: DataFrame, database: DataFrame, k: int, w: int, reward:
              .groupBy("primer_name", "qseqid", "strand", "sseqid")
              .agg(F.collect_set(F.col("spos") - F.col("qpos")).alias("diags")))
     pairs = cands.join(q, on=["primer_name", "qseqid", "strand"]).join(db, on="sseqid")
-    best = _segment_udf(reward, penalty)(F.col("qseq"), F.col("sseq"), F.col("diags"))
-    return pairs.select("primer_name", "qseqid", "sseqid", "strand", F.length("qseq").alias("qlen"), best.alias("b"))
+    return _score_pairs(pairs, reward, penalty, min_score)
 
 
 def seed_index(seed_rows: list, k: int, w: int) -> dict:
@@ -245,7 +250,8 @@ def seed_index(seed_rows: list, k: int, w: int) -> dict:
             "primer_name": names, "qseqid": qids, "strand": strands, "qseq": qseqs}
 
 
-def _search_map_side(seeds: DataFrame, database: DataFrame, k: int, w: int, reward: int, penalty: int) -> DataFrame:
+def _search_map_side(seeds: DataFrame, database: DataFrame, k: int, w: int, reward: int, penalty: int,
+                     min_score: int) -> DataFrame:
     """Broadcast strategy: the (size-checked) seed index is shipped to every task; each
     database partition finds its candidates and extends them locally. The database is
     scanned once and never shuffled; a k-mer shared by many sequences creates no hot key."""
@@ -277,7 +283,7 @@ def _search_map_side(seeds: DataFrame, database: DataFrame, k: int, w: int, rewa
                 for grp in np.split(trip, cuts):
                     r, e = int(grp[0, 0]), int(grp[0, 1])
                     seg = best_segment(ix["qseq"][e], sseqs[r], grp[:, 2].tolist(), reward, penalty)
-                    if seg is None:
+                    if seg is None or seg[0] < min_score:
                         continue
                     out.append((ix["primer_name"][e], ix["qseqid"][e], pdf["sseqid"].iat[r], ix["strand"][e],
                                 len(ix["qseq"][e]), {"score": seg[0], "diag": seg[1], "qs": seg[2], "qe": seg[3]}))
@@ -303,12 +309,12 @@ def homology_search(seeds: DataFrame, database: DataFrame, k: int = 20, w: int =
         bases = seeds.agg(F.sum(F.length("sequence"))).first()[0] or 0
         strategy = "broadcast" if 2 * bases <= MAX_BROADCAST_SEED_BASES else "join"
     if strategy == "broadcast":
-        raw = _search_map_side(seeds, database, k, w, reward, penalty)
+        raw = _search_map_side(seeds, database, k, w, reward, penalty, min_score)
     elif strategy == "join":
-        raw = _search_join(seeds, database, k, w, reward, penalty)
+        raw = _search_join(seeds, database, k, w, reward, penalty, min_score)
     else:
         raise ValueError("strategy must be 'auto', 'broadcast' or 'join'")
-    return _hit_columns(raw, min_score)
+    return _hit_columns(raw)
 
 
 # ------------------------------------------------------------------------------------------

@@ -321,7 +321,8 @@ def _set_distance(a_list: list[str], pattern: str, transpositions: bool) -> np.n
 
 def _distance_udf(transpositions: bool):
     @F.pandas_udf(T.IntegerType())
-    def dist(match: pd.Series, pattern: pd.Series) -> pd.Series:
+    def dist(match: pd.Series, pattern: pd.Series, limit: pd.Series) -> pd.Series:
+        """Distance, or NULL when it exceeds ``limit`` (applied here so the result is used once)."""
         out = pd.Series(pd.array([None] * len(match), dtype="Int32"), index=match.index)
         ok = match.notna() & pattern.notna()
         frame = pd.DataFrame({"m": match[ok], "p": pattern[ok]})
@@ -336,24 +337,28 @@ def _distance_udf(transpositions: bool):
             else:
                 vals = _set_distance(list(uniq), p, transpositions)
             out.loc[grp.index] = vals[inv]
+        lim = pd.Series(pd.array(limit, dtype="Int32"), index=match.index)
+        over = (out > lim).fillna(False).astype(bool)
+        out[over] = pd.NA
         return out
-    # pure; non-deterministic only to keep the optimizer from evaluating it twice
-    return dist.asNondeterministic()
+    return dist
 
 
 _OSA = None
 _LEV = None
 
 
-def set_distance(match: Column, pattern: Column, metric: str = "osa") -> Column:
-    """Distance between a literal string and a degenerate (IUPAC) pattern, case-insensitive."""
+def set_distance(match: Column, pattern: Column, metric: str = "osa", limit: Column | None = None) -> Column:
+    """Distance between a literal string and a degenerate (IUPAC) pattern, case-insensitive;
+    NULL beyond ``limit``."""
     global _OSA, _LEV
+    lim = limit if limit is not None else F.lit(None).cast("int")
     if metric == "osa":
         _OSA = _OSA or _distance_udf(True)
-        return _OSA(F.upper(match), pattern)
+        return _OSA(F.upper(match), pattern, lim)
     if metric == "levenshtein_udf":
         _LEV = _LEV or _distance_udf(False)
-        return _LEV(F.upper(match), pattern)
+        return _LEV(F.upper(match), pattern, lim)
     raise ValueError(metric)
 
 
@@ -386,10 +391,10 @@ def score_primer_errors(matches: DataFrame, primers: DataFrame, metric: str = "o
 
     def scored(df: DataFrame, match: str, which: str, limit: str, out: str) -> DataFrame:
         if metric != "levenshtein":
-            d = (df.join(info.select("primer_name", "forward_sequence", "reverse_rc"), on="primer_name", how="left")
-                 .withColumn("_d", dist(match, which)))
-            return (d.withColumn(out, F.when(F.col("_d") <= F.col(limit), F.col("_d")).cast("double"))
-                    .drop("_d", "forward_sequence", "reverse_rc"))
+            pattern = F.col("forward_sequence" if which == "f" else "reverse_rc")
+            d = df.join(info.select("primer_name", "forward_sequence", "reverse_rc"), on="primer_name", how="left")
+            return (d.withColumn(out, set_distance(F.col(match), pattern, metric, F.col(limit)).cast("double"))
+                    .drop("forward_sequence", "reverse_rc"))
         u = (df.select("primer_name", F.upper(F.col(match)).alias("_m")).distinct()
              .join(info, on="primer_name", how="left")
              .withColumn("_d", dist("_m", which)))
