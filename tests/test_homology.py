@@ -145,3 +145,12 @@ def test_search_strategies_agree(spark):
     assert a == b and len(a) > 20
     empty = spark.createDataFrame([("s", "ACGT")], "sseqid string, sequence string")
     assert H.homology_search(sdf, empty, strategy="broadcast").count() == 0
+
+
+def test_broadcast_strategy_never_shuffles_the_database(spark):
+    seeds = spark.createDataFrame([("P", "q1", "ACGT" * 30)], "primer_name string, qseqid string, sequence string")
+    db = spark.createDataFrame([("s1", "TT" + "ACGT" * 30)], "sseqid string, sequence string")
+    plan = H.homology_search(seeds, db, strategy="broadcast")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    join_plan = H.homology_search(seeds, db, strategy="join")._jdf.queryExecution().executedPlan().toString()
+    assert "kmer" in join_plan
