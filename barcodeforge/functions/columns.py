@@ -111,3 +111,12 @@ def gene_tolerance(gene: Column | str, cox1: float = 0.05, other: float = 0.15)
 def header_matches(header: Column | str, pattern: str) -> Column:
     """Case-insensitive regex search over a FASTA header (``grep -nri -p``)."""
     return _c(header).rlike("(?i)" + pattern)
+
+
+def columns_between(df: DataFrame, first: str, last: str) -> list[str]:
+    """The column names from ``first`` to ``last`` inclusive, by position (``a:b``)."""
+    cols = df.columns
+    i, j = cols.index(first), cols.index(last)
+    if j < i:
+        raise ValueError(f"{last!r} comes before {first!r}")
+    return cols[i:j + 1]

@@ -2,8 +2,6 @@
 
 import random
 
-import numpy as np
-
 from barcodeforge.functions.iupac import revcomp_str
 from barcodeforge.operators import homology as H
 

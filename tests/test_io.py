@@ -2,8 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
-
 from barcodeforge.sources import io
 
 
@@ -83,3 +81,28 @@ def test_streaming_fasta_ingest(spark, scratch):
     q.awaitTermination(120)
     rows = {r["accession"]: r["sequence"] for r in spark.read.parquet(os.path.join(scratch, "table")).collect()}
     assert rows == {"a1": "ACGTNNAC", "a2": "GGGG"}
+
+
+def test_partitioned_read_taxonomy_and_authority(spark, scratch):
+    from barcodeforge.functions.columns import columns_between
+
+    a = spark.createDataFrame([("x", 1)], "k string, v int")
+    io.write_tsv(a, os.path.join(scratch, "in", "01_p1.tsv"))
+    io.write_tsv(a, os.path.join(scratch, "in", "01_p2.tsv"))
+    io.write_tsv(a, os.path.join(scratch, "in", "02_other.tsv"))
+    df = io.read_partitioned(spark, os.path.join(scratch, "in", "01_*"), id_col="file", sep="\t",
+                             schema=a.schema)
+    files = sorted({r["file"].split("/")[-2] for r in df.collect()})
+    assert files == ["01_p1.tsv", "01_p2.tsv"]
+    root = os.path.join(scratch, "tax")
+    for name, data, schema in (("names", [(1, "Apis", "scientific name")], "taxid long, name string, name_class string"),
+                               ("nodes", [(1, None, "genus")], "taxid long, parent_taxid long, rank string"),
+                               ("accession_taxa", [("AB1.1", 1)], "accession string, taxid long")):
+        io.write_table(spark.createDataFrame(data, schema), os.path.join(root, name))
+    names, nodes, acc = io.read_taxonomy(spark, root)
+    assert names.count() == nodes.count() == acc.count() == 1
+    auth = spark.createDataFrame([("Apis", 3, "Exact", "1", "A", "A", "Accepted"), ("Apis", 4, "Exact", "2", "A", "A", "Accepted")],
+                                 io.AUTHORITY_SCHEMA)
+    io.write_table(auth, os.path.join(scratch, "auth"))
+    assert io.read_name_authority(spark, os.path.join(scratch, "auth"), data_source=3).count() == 1
+    assert columns_between(auth, "match_type", "current_name") == ["match_type", "current_record_id", "current_name"]

@@ -1,13 +1,12 @@
 """Primer scan and error scoring against brute force."""
 
-import itertools
 import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from barcodeforge.functions.iupac import IUPAC_CODES, code_mask, expand_iupac_str, revcomp_str
+from barcodeforge.functions.iupac import code_mask, expand_iupac_str, revcomp_str
 from barcodeforge.operators import primers as P
 
 
