@@ -19,6 +19,8 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # stage-boundary checkpoints are removed once their DataFrames are gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
