@@ -121,8 +121,8 @@ def q_homology_search(spark, sf_dir):
     return H.homology_search(seeds, subjects)
 
 
-@query("homology_pipeline")
-def q_homology_pipeline(spark, sf_dir) -> DataFrame:
+@query("homology_sequence_database")
+def q_homology_sequence_database(spark, sf_dir) -> DataFrame:
     seeds, subjects, db, pr = search_inputs(spark, sf_dir)
     hits = H.homology_search(seeds, subjects)
     final = materialize(H.hits_to_database(hits, db, pr))                   # stage boundary: filtered hits

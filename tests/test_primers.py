@@ -209,3 +209,15 @@ def test_indel_scan_finds_site_with_deletion(spark):
                                     "primer string, gene string, forward_sequence string, reverse_sequence string, length int")
     with_indels = P.crop_by_primers(seqs, primers, 0.2, indels=True).collect()
     assert [r["sequence"] for r in with_indels] == [site + body + revcomp_str(rev)]
+
+
+def test_every_crop_is_a_substring_of_its_source(spark):
+    from conftest import SF_SMALL
+    from barcodeforge.plans import q_primers as QP
+
+    seqs, pr = QP.mutated_sequences(spark, SF_SMALL)
+    for indels in (False, True):
+        crops = P.crop_by_primers(seqs, pr, 0.2, keep=("accession", "beeid"), indels=indels)
+        j = crops.alias("c").join(seqs.alias("s"), ["accession", "beeid"])
+        bad = j.filter(F.instr(F.col("s.sequence"), F.col("c.sequence")) == 0).count()
+        assert crops.count() > 0 and bad == 0
