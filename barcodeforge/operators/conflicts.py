@@ -29,7 +29,8 @@ def dedup_taxa(df: DataFrame, scope: str = "sequence", by: tuple[str, ...] = ())
     ``scope='sequence'`` reproduces the original rule: among rows whose (sequence, species)
     pair is duplicated, one accession is kept *per sequence*, every other accession of those
     rows is removed everywhere (by accession). ``scope='sequence_species'`` keeps one per
-    (sequence, species) pair instead.
+    (sequence, species) pair instead. ``by`` adds grouping columns (e.g. ``primer_name``) to
+    every key, so independent databases are processed in one pass.
     """
     if scope not in ("sequence", "sequence_species"):
         raise ValueError("scope must be 'sequence' or 'sequence_species'")
