@@ -454,16 +454,20 @@ def prepare_sequences(database: DataFrame) -> DataFrame:
 # Summary and dedup
 # ------------------------------------------------------------------------------------------
 
-def seed_context(seeds: DataFrame, primers: DataFrame, database: DataFrame) -> DataFrame:
+def seed_context(seeds: DataFrame, primers: DataFrame, sequences: DataFrame) -> DataFrame:
     """Seeds with their primer's gene / expected length and the source record's taxonomy
-    (family, species, genus), one row per (primer_name, accession, sequence)."""
-    from barcodeforge.operators.cleaning import split_headers
+    (family, species, genus), one row per (primer_name, accession, sequence).
+
+    ``sequences`` is the table the seeds were cropped from (:func:`prepare_sequences`: header
+    fields unpacked, one row per (sequence, beeid)), so the database is de-duplicated once
+    for both uses (Spark reuses the identical exchange within one plan).
+    """
     meta = checked_broadcast(primers.select(F.col("primer").alias("primer_name"), "gene",
                                       F.col("length").alias("expected_length")))
-    recs = split_headers(database.select("header", F.col("sequence").alias("original_sequence")),
-                         underscores_to_spaces=True)
-    recs = recs.withColumn("genus", C.genus_of("species"))
-    recs = keep_first(recs, ["original_sequence", "beeid"], ["accession"])
+    recs = sequences.select("accession", "family", "species", "subspecies", "beeid",
+                            F.col("sequence").alias("original_sequence"))
+    recs = (recs.withColumns({c: F.translate(F.col(c), "_", " ") for c in ("species", "subspecies")})
+            .withColumn("genus", C.genus_of("species")))
     s = seeds.withColumn("source", C.source_tag("accession")).join(meta, on="primer_name", how="left")
     from barcodeforge.functions.nulls import join_null_safe
     s = join_null_safe(s, recs, ["accession"], how="left")

@@ -167,17 +167,10 @@ def q_seed_dedup(spark, sf_dir):
 
 
 _CONTEXT_CTES = [
-    ("recs0", """
-SELECT string_split(header, ';')[1] AS accession, string_split(header, ';')[2] AS family,
-       replace(string_split(header, ';')[3], '_', ' ') AS species,
-       replace(string_split(header, ';')[4], '_', ' ') AS subspecies,
-       string_split(header, ';')[5] AS beeid, sequence AS original_sequence
-FROM fx_database"""),
     ("recs", """
-SELECT * EXCLUDE (rn) FROM (
-  SELECT *, split_part(species, ' ', 1) AS genus,
-         row_number() OVER (PARTITION BY original_sequence, beeid ORDER BY accession, family, species, subspecies) AS rn
-  FROM recs0) WHERE rn = 1"""),
+SELECT accession, family, replace(species, '_', ' ') AS species, replace(subspecies, '_', ' ') AS subspecies,
+       beeid, sequence AS original_sequence, split_part(replace(species, '_', ' '), ' ', 1) AS genus
+FROM seqs"""),
     ("ctx", """
 SELECT * EXCLUDE (rn) FROM (
   SELECT s.*, CASE WHEN contains(s.accession, '-') THEN 'BOLD' ELSE 'NCBI' END AS source,
@@ -228,7 +221,7 @@ FROM stats s LEFT JOIN nmed n USING (primer_name)"""
 def q_primer_summary(spark, sf_dir):
     db, pr, seqs = sequences(spark, sf_dir)
     seeds = P.seed_sequences(seqs, pr, max_error=0, metric="levenshtein")
-    return P.primer_summary(materialize(P.seed_context(seeds, pr, db)))    # read twice: stage boundary
+    return P.primer_summary(materialize(P.seed_context(seeds, pr, seqs)))  # read twice: stage boundary
 
 
 # --- default (fuzzy, OSA) path: no SQL oracle --------------------------------------------
@@ -257,6 +250,5 @@ def q_seed_sequences(spark, sf_dir):
 
 @query("primer_summary_fuzzy")
 def q_primer_summary_fuzzy(spark, sf_dir):
-    db, pr, _ = sequences(spark, sf_dir)
-    seqs, _ = mutated_sequences(spark, sf_dir)
-    return P.primer_summary(materialize(P.seed_context(P.seed_sequences(seqs, pr), pr, db)))
+    seqs, pr = mutated_sequences(spark, sf_dir)
+    return P.primer_summary(materialize(P.seed_context(P.seed_sequences(seqs, pr), pr, seqs)))
