@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from barcodeforge.llm import simhash_hamming
+from barcodeforge.llm import dictionary_quality, histogram_packing, simhash_hamming, warc_store
 
 QUERIES = {
+    "op1_dictionary_quality": dictionary_quality.op1,
+    "op3_warc_store": warc_store.op3,
     "op7_simhash_hamming": simhash_hamming.op7,
+    "op10_histogram_packing": histogram_packing.op10,
 }
 
 ORACLES: dict[str, str] = {}
