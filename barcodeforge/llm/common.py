@@ -156,3 +156,37 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     ends = np.cumsum(counts)
     return np.arange(total, dtype=np.int64) - np.repeat(ends - counts - starts, counts)
+
+
+#: bytes of a word: ASCII letters and digits, and everything outside ASCII
+IS_WORD = np.zeros(256, dtype=bool)
+IS_WORD[48:58] = IS_WORD[65:91] = IS_WORD[97:123] = IS_WORD[128:] = True
+
+
+def folded(data: np.ndarray) -> np.ndarray:
+    """Lower case for A-Z and for the letters U+00C0..U+00DE, in UTF-8 bytes."""
+    out = LOWER[data]
+    if len(out) > 1:
+        second = (out[:-1] == 0xC3) & (out[1:] >= 0x80) & (out[1:] <= 0x9E) & (out[1:] != 0x97)
+        out[1:][second] += 0x20
+    return out
+
+
+def bitmap(df: DataFrame, cell: str, cells: int) -> np.ndarray:
+    """The set of the values ``0 .. cells - 1`` in column ``cell``, as ``cells / 8`` bytes.
+
+    Built by Spark in parts of 4 KB, so what reaches the driver is ``cells / 8`` bytes at most,
+    however many rows there are.
+    """
+    value = F.col(cell) + 1
+    parts = (df.select(F.bitmap_bucket_number(value).alias("part"), F.bitmap_bit_position(value).alias("bit"))
+             .groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits")).toArrow())
+    out = np.zeros(cells // 8, dtype=np.uint8)
+    for part, bits in zip(parts.column("part").to_pylist(), parts.column("bits").to_pylist(), strict=True):
+        out[(part - 1) * 4096:(part - 1) * 4096 + len(bits)] = np.frombuffer(bits, dtype=np.uint8)
+    return out
+
+
+def in_bitmap(bits: np.ndarray, cell: np.ndarray) -> np.ndarray:
+    cell = cell.astype(np.int64)
+    return (bits[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 != 0

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from barcodeforge.llm import dictionary_quality, histogram_packing, simhash_hamming, warc_store
+from barcodeforge.llm import dictionary_quality, histogram_packing, simhash_hamming, string_tiling, warc_store
 
 QUERIES = {
     "op1_dictionary_quality": dictionary_quality.op1,
+    "op2_string_tiling": string_tiling.op2,
     "op3_warc_store": warc_store.op3,
     "op7_simhash_hamming": simhash_hamming.op7,
     "op10_histogram_packing": histogram_packing.op10,
