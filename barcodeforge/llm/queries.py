@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
-from barcodeforge.llm import dictionary_quality, histogram_packing, simhash_hamming, string_tiling, warc_store
+from barcodeforge.llm import (
+    dictionary_quality,
+    histogram_packing,
+    perspectives,
+    signed_fingerprints,
+    simhash_hamming,
+    string_tiling,
+    warc_store,
+)
 
 QUERIES = {
     "op1_dictionary_quality": dictionary_quality.op1,
     "op2_string_tiling": string_tiling.op2,
     "op3_warc_store": warc_store.op3,
     "op7_simhash_hamming": simhash_hamming.op7,
+    "op8_perspectives": perspectives.op8,
+    "op9_signed_fingerprints": signed_fingerprints.op9,
     "op10_histogram_packing": histogram_packing.op10,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_perspectives": perspectives.ORACLE,
+}
