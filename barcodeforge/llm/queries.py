@@ -5,6 +5,7 @@ from __future__ import annotations
 from barcodeforge.llm import (
     dictionary_quality,
     histogram_packing,
+    lyndon_suffixes,
     partial_matching,
     perspectives,
     signed_fingerprints,
@@ -18,6 +19,7 @@ QUERIES = {
     "op2_string_tiling": string_tiling.op2,
     "op3_warc_store": warc_store.op3,
     "op4_partial_matching": partial_matching.op4,
+    "op6_lyndon_suffixes": lyndon_suffixes.op6,
     "op7_simhash_hamming": simhash_hamming.op7,
     "op8_perspectives": perspectives.op8,
     "op9_signed_fingerprints": signed_fingerprints.op9,
