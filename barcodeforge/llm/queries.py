@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from barcodeforge.llm import (
+    block_labeller,
     dictionary_quality,
     histogram_packing,
     lyndon_suffixes,
@@ -19,6 +20,7 @@ QUERIES = {
     "op2_string_tiling": string_tiling.op2,
     "op3_warc_store": warc_store.op3,
     "op4_partial_matching": partial_matching.op4,
+    "op5_block_labeller": block_labeller.op5,
     "op6_lyndon_suffixes": lyndon_suffixes.op6,
     "op7_simhash_hamming": simhash_hamming.op7,
     "op8_perspectives": perspectives.op8,
