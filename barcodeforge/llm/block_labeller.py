@@ -22,9 +22,10 @@ HIDDEN = 24
 NUMBERS = 8
 #: pages whose words fill the training pages, and how many of those are made
 SAMPLE_PAGES = 200
-TRAINING_PAGES = 900
+TRAINING_PAGES = 1000
 EPOCHS = 14
 BATCH_PAGES = 32
+WORD_DECAY = 4.0
 #: block rows (padding included) that one pass through the network holds
 PASS_ROWS = 20_000
 
@@ -279,6 +280,8 @@ class Labeller:
                     first[k] = 0.9 * first[k] + 0.1 * g
                     second[k] = 0.999 * second[k] + 0.001 * g * g
                     self.weights[k] -= rate * (first[k] / (1 - 0.9 ** step)) / (np.sqrt(second[k] / (1 - 0.999 ** step)) + 1e-8)
+                # a word alone must not decide what its few training blocks happened to be
+                self.weights["word"] *= 1 - WORD_DECAY * rate
 
     def label(self, pages: list) -> list[np.ndarray]:
         """Whether each block of each page is main text; pages of like length run together."""
@@ -353,7 +356,7 @@ class _Maker:
         for _ in range(int(self.rng.integers(1, 14))):
             kind = self.rng.random()
             if kind < 0.72:
-                inner = self.paragraph() if self.chance(0.85) else self.sentence(1, 4)
+                inner = self.paragraph() if self.chance(0.7) else self.sentence(1, 4)
                 if self.chance(0.15):
                     inner = f"<b>{inner}" + ("" if broken else "</b>")
                 if self.chance(0.15):
@@ -423,17 +426,36 @@ class _Maker:
         return f"<html><body>{inner}" + ("</body></html>" if self.chance(0.8) else "")
 
 
+def _own_labels(blocks: list[Block]) -> np.ndarray | None:
+    """Labels of a page that marks up its parts: main text stands in article or main, and in no
+    element that is or is named like another part. None if the page has neither element."""
+    other = {n for _, names in PARTS.values() for n in names} | {"nav", "aside", "footer", "header", "form"}
+    out = []
+    for b in blocks:
+        inside = False
+        for element in b.path:
+            tag, *words = element.split(" ")
+            if tag in ("article", "main"):
+                inside = True
+            elif inside and ({tag, *words} & other):
+                inside = False
+                break
+        out.append(inside)
+    return np.array(out, dtype=float) if any(out) else None
+
+
 def train_labeller(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", seed: int = 5,
                    sample_pages: int = SAMPLE_PAGES, training_pages: int = TRAINING_PAGES, epochs: int = EPOCHS) -> Labeller:
-    """Train on pages made for it, whose words come from at most ``sample_pages`` real pages
-    (in hash order of the id; none above 50,000 code points)."""
+    """Train on at most ``sample_pages`` real pages (in hash order of the id; none above 50,000
+    code points), as far as they mark up their parts, and on pages made of their words."""
     rows = (pages.select(F.col(id_col).alias("i"), F.col(html_col).cast("string").alias("h"))
             .where(F.col("h").isNotNull() & (F.length("h") <= 50_000)).orderBy(F.xxhash64("i"), "i", "h").limit(sample_pages).collect())
     parser, features, rng = _Parser(), _Features(), np.random.default_rng(seed)
-    words = sorted({w for r in rows for b in parser.blocks(r["h"]) for w in b.text.split()})
-    maker = _Maker(words, rng)
-    inputs, labels = [], []
-    while len(inputs) < training_pages:
+    real = [parser.blocks(r["h"]) for r in rows]
+    maker = _Maker(sorted({w for blocks in real for b in blocks for w in b.text.split()}), rng)
+    known = [(features.page(b), own) for b in real if (own := _own_labels(b)) is not None]
+    inputs, labels = [x for x, _ in known], [y for _, y in known]
+    while len(inputs) < len(known) + training_pages:
         blocks = parser.blocks(maker.page())
         if not blocks:
             continue
