@@ -18,6 +18,8 @@ ORDER = 5
 SHARD_ENTRIES = 4_000_000
 #: tokens whose counts every task holds; all others are counted through a join
 FREQUENT = 1 << 20
+#: text bytes of one numpy pass
+PASS = 1 << 20
 #: distinct keys that a counting task gathers before it hands them on
 GATHER = 1_500_000
 END = 0x0A  # ends a document, and stands for what was before it; no word holds it
@@ -102,7 +104,7 @@ def corpus_counts(docs: DataFrame, text_col: str = "text", order: int = ORDER) -
                     [pa.array(np.full(len(k), kind, np.int32)), pa.array(k.view(np.int64)),
                      pa.array(counts[a:a + 100_000].astype(np.int64))], ["kind", "key", "n"])
 
-        for part in C.passes(batches, "text"):
+        for part in C.passes(batches, "text", PASS):
             stream, first, coded, words, _ = _stream(part.column("text"), order)
             tallies[0].add(_grams(stream, first, coded, order))
             tallies[1].add(np.concatenate([words, np.full(len(first), END_TOKEN, _U)]))
@@ -115,39 +117,34 @@ def corpus_counts(docs: DataFrame, text_col: str = "text", order: int = ORDER) -
     return rows.mapInArrow(run, "kind int, key bigint, n bigint").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
-def context_trie(grams: DataFrame, order: int = ORDER) -> tuple[DataFrame, DataFrame]:
-    """The trie of all orders from counts ``key, n`` of the highest.
+def context_trie(grams: DataFrame, order: int = ORDER) -> tuple[list[DataFrame], list[DataFrame]]:
+    """The trie from counts ``key, n`` of its highest order, one table for each context length.
 
-    entries ``depth, key, count``: a context of ``depth`` bytes with a symbol seen behind it.
-    Below the highest order a symbol counts once for each longer context it was new in (update
-    exclusion). contexts ``depth, key, total, kinds, low_total, low_kinds``: what a context has
-    seen, and what its suffix has seen besides (symbol exclusion), which is what an escape from
-    it chooses from.
+    entries ``key, count``: a context with a symbol seen behind it. Below the highest order a
+    symbol counts once for each longer context it was new in (update exclusion). contexts
+    ``key, total, kinds, low_total, low_kinds``: what a context has seen, and what its suffix
+    has seen besides (symbol exclusion), which is what an escape from it chooses from.
     """
-    levels = [grams.select("key", F.col("n").cast("double").alias("count"))]
+    entries = [grams.select("key", F.col("n").cast("double").alias("count"))]
     for depth in range(order - 1, -1, -1):
-        short = levels[0].select(F.col("key").bitwiseAND(F.lit((1 << 8 * (depth + 1)) - 1)).alias("key"))
-        levels.insert(0, C.stage_table(short.groupBy("key").agg(F.count("*").cast("double").alias("count"))))
-    entries = contexts = below = None
-    for depth, level in enumerate(levels):
+        short = entries[0].select(F.col("key").bitwiseAND(F.lit((1 << 8 * (depth + 1)) - 1)).alias("key"))
+        entries.insert(0, C.stage_table(short.groupBy("key").agg(F.count("*").cast("double").alias("count"))))
+    contexts: list[DataFrame] = []
+    for depth, level in enumerate(entries):
         own = level.groupBy(F.shiftright("key", 8).alias("key")).agg(F.sum("count").alias("total"), F.count("*").alias("kinds"))
         if depth:
             mask = F.lit((1 << 8 * depth) - 1)
-            lower = levels[depth - 1].select(F.col("key").alias("low"), F.col("count").alias("low_count"))
+            lower = entries[depth - 1].select(F.col("key").alias("low"), F.col("count").alias("low_count"))
             taken = (level.select(F.shiftright("key", 8).alias("key"), F.col("key").bitwiseAND(mask).alias("low"))
                      .join(lower, "low").groupBy("key").agg(F.sum("low_count").alias("taken")))
-            suffix = below.select(F.col("key").alias("low"), F.col("total").alias("st"), F.col("kinds").alias("sk"))
+            suffix = contexts[-1].select(F.col("key").alias("low"), F.col("total").alias("st"), F.col("kinds").alias("sk"))
             own = (own.join(taken, "key")
                    .withColumn("low", F.col("key").bitwiseAND(F.lit((1 << 8 * (depth - 1)) - 1))).join(suffix, "low")
                    .select("key", "total", "kinds", (F.col("st") - F.col("taken")).alias("low_total"),
                            (F.col("sk") - F.col("kinds")).alias("low_kinds")))
         else:
             own = own.select("*", F.lit(0.0).alias("low_total"), F.lit(0).cast("bigint").alias("low_kinds"))
-        below = C.stage_table(own)
-        one = level.select(F.lit(depth).alias("depth"), "key", "count")
-        ctx = below.select(F.lit(depth).alias("depth"), "*")
-        entries = one if entries is None else entries.unionByName(one)
-        contexts = ctx if contexts is None else contexts.unionByName(ctx)
+        contexts.append(C.stage_table(own))
     return entries, contexts
 
 
@@ -156,28 +153,23 @@ class Trie:
     shorter than that are in every part). A position's contexts all end alike, so exactly one
     part codes it."""
 
-    def __init__(self, entries: pa.Table, contexts: pa.Table, order: int, low: int, high: int):
+    def __init__(self, order: int, low: int, high: int):
         self.order, self.low, self.high = order, low, high
         self.entries, self.contexts = [], []
-        depth = entries.column("depth").to_numpy()
-        key, count = entries.column("key").to_numpy().view(_U), entries.column("count").to_numpy()
-        c_depth, c_key = contexts.column("depth").to_numpy(), contexts.column("key").to_numpy().view(_U)
-        values = {c: contexts.column(c).to_numpy().astype(float) for c in ("total", "kinds", "low_total", "low_kinds")}
         self.unseen = 256.0
-        for d in range(order + 1):
-            pick = np.flatnonzero(depth == d)
-            pick = pick[np.argsort(key[pick], kind="stable")]
-            self.entries.append((key[pick], np.log10(count[pick] - 0.5).astype(np.float32)))
-            pick = np.flatnonzero(c_depth == d)
-            pick = pick[np.argsort(c_key[pick], kind="stable")]
-            total, kinds, low_total, low_kinds = (values[c][pick] for c in ("total", "kinds", "low_total", "low_kinds"))
-            norm = np.log10(np.maximum(low_total, 0.5))
-            # a suffix that has nothing besides is passed with certainty
-            below = np.where(low_kinds > 0, np.log10(np.maximum(low_kinds, 1) / 2) - norm, 0.0)
-            self.contexts.append((c_key[pick], *(x.astype(np.float32) for x in (
-                np.log10(total), np.log10(kinds / 2 / total), norm, below))))
-            if d == 0 and len(pick):
-                self.unseen = max(1.0, 256.0 - kinds[0])
+
+    def add(self, entries: DataFrame, contexts: DataFrame) -> None:
+        """The next longer contexts; each length comes to the driver on its own."""
+        key, count = _columns(entries.select("key", F.log10(F.col("count") - 0.5).cast("float")))
+        self.entries.append((key, count))
+        norm = F.log10(F.greatest(F.col("low_total"), F.lit(0.5)))
+        # a suffix that has nothing besides is passed with certainty
+        below = F.when(F.col("low_kinds") > 0, F.log10(F.col("low_kinds") / 2) - norm).otherwise(0.0)
+        values = [F.log10("total"), F.log10(F.col("kinds") / 2 / F.col("total")), norm, below, F.col("kinds")]
+        *kept, kinds = _columns(contexts.select("key", *(v.cast("float").alias(f"v{k}") for k, v in enumerate(values))))
+        self.contexts.append(tuple(kept))
+        if len(self.contexts) == 1 and len(kinds):
+            self.unseen = max(1.0, 256.0 - float(kinds[0]))
 
     def log10(self, grams: np.ndarray) -> np.ndarray:
         """log10 probability of the symbol of each gram, 0 for those of other parts.
@@ -228,10 +220,21 @@ def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, table[at] == keys
 
 
-def load_tries(entries: DataFrame, contexts: DataFrame, order: int = ORDER, limit: int = SHARD_ENTRIES):
+def _columns(df: DataFrame) -> list[np.ndarray]:
+    """The columns of a table in order of its first one, a key."""
+    found = df.toArrow()
+    key = found.column(0).to_numpy().view(_U)
+    order = np.argsort(key, kind="stable")
+    return [key[order], *(found.column(k).to_numpy()[order] for k in range(1, found.num_columns))]
+
+
+def load_tries(entries: list[DataFrame], contexts: list[DataFrame], order: int = ORDER, limit: int = SHARD_ENTRIES):
     """The trie as parts of at most ``limit`` entries (one two-byte ending at least), one by one."""
-    tail = lambda key, shift: F.shiftright(key, shift).bitwiseAND(F.lit(0xFFFF))
-    sizes = dict(entries.where("depth >= 2").groupBy(tail("key", 8).alias("tail")).count().collect())
+    tail = lambda shift: F.shiftright("key", shift).bitwiseAND(F.lit(0xFFFF))
+    sizes: dict[int, int] = {}
+    for level in entries[2:]:
+        for t, n in level.groupBy(tail(8)).count().collect():
+            sizes[t] = sizes.get(t, 0) + n
     bounds, held = [0], 0
     for t in sorted(sizes):
         if held and held + sizes[t] > limit:
@@ -240,9 +243,11 @@ def load_tries(entries: DataFrame, contexts: DataFrame, order: int = ORDER, limi
         held += sizes[t]
     bounds.append(1 << 16)
     for low, high in zip(bounds[:-1], bounds[1:], strict=True):
-        short = F.col("depth") < 2
-        yield Trie(entries.where(short | tail("key", 8).between(low, high - 1)).toArrow(),
-                   contexts.where(short | tail("key", 0).between(low, high - 1)).toArrow(), order, low, high)
+        trie = Trie(order, low, high)
+        for depth, (e, c) in enumerate(zip(entries, contexts, strict=True)):
+            whole = depth < 2 or len(bounds) == 2
+            trie.add(e if whole else e.where(tail(8).between(low, high - 1)), c if whole else c.where(tail(0).between(low, high - 1)))
+        yield trie
 
 
 def _frequent(counts: DataFrame, limit: int) -> tuple[float, np.ndarray, np.ndarray]:
@@ -287,9 +292,13 @@ def score_documents(docs: DataFrame, training: DataFrame, id_col: str = "doc_id"
     entries, contexts = context_trie(counts.where("kind = 0").select("key", "n"), order)
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.lit(0.0).alias("score"))
-    for trie in load_tries(entries, contexts, order, shard_entries):
-        rows = _coded(rows, spark.sparkContext.broadcast(vars(trie)), order)
-    part = C.stage_table(_tokens(rows, known).withColumn("row", F.monotonically_increasing_id()))
+    trie = None
+    for following in load_tries(entries, contexts, order, shard_entries):
+        if trie is not None:
+            rows = _coded(rows, trie, order)
+        trie = spark.sparkContext.broadcast(vars(following))
+        del following
+    part = C.stage_table(_tokens(rows, known, trie, order).withColumn("row", F.monotonically_increasing_id()))
     rare = part.select("row", F.explode(F.arrays_zip("rare", "times")).alias("t")).select(
         "row", F.col("t.rare").alias("key"), F.col("t.times").alias("times"))
     found = (rare.join(tokens.where(F.col("n") < least) if least != float("inf") else tokens, "key").groupBy("row")
@@ -302,15 +311,24 @@ def score_documents(docs: DataFrame, training: DataFrame, id_col: str = "doc_id"
                        F.lit(n_train).cast("bigint").alias("train_tokens"), base.alias("base_score"), "score")
 
 
+def _trie(shared) -> Trie:
+    trie = Trie(0, 0, 0)
+    vars(trie).update(shared.value)
+    return trie
+
+
+def _code_lengths(trie: Trie, stream, first, coded, order: int) -> np.ndarray:
+    """Sum over each row of its positions' log10 probabilities."""
+    values = trie.log10(_grams(stream, first, coded, order))
+    return np.add.reduceat(values, np.cumsum(coded) - coded) if len(coded) else np.zeros(0)
+
+
 def _coded(rows: DataFrame, shared, order: int) -> DataFrame:
     """``rows`` with the code length under one part of the trie added to ``score``."""
     def run(batches):
-        trie = Trie.__new__(Trie)
-        vars(trie).update(shared.value)
-        for part in C.passes(batches, "text"):
-            stream, first, coded, _, _ = _stream(part.column("text"), order)
-            values = trie.log10(_grams(stream, first, coded, order))
-            sums = np.add.reduceat(values, np.cumsum(coded) - coded) if len(coded) else np.zeros(0)
+        trie = _trie(shared)
+        for part in C.passes(batches, "text", PASS):
+            sums = _code_lengths(trie, *_stream(part.column("text"), order)[:3], order)
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("text"), pa.array(part.column("score").to_numpy() + sums)],
                 ["doc_id", "text", "score"])
@@ -318,16 +336,18 @@ def _coded(rows: DataFrame, shared, order: int) -> DataFrame:
     return rows.mapInArrow(run, rows.schema)
 
 
-def _tokens(rows: DataFrame, shared) -> DataFrame:
-    """``doc_id, score, n_tokens, n_known, gained, rare, times``: sums over the tokens that the
-    shared counts hold, and each document's other tokens with how often it has them."""
+def _tokens(rows: DataFrame, shared, last, order: int) -> DataFrame:
+    """``doc_id, score, n_tokens, n_known, gained, rare, times``: the score with the last part of
+    the trie, sums over the tokens that the shared counts hold, and each document's other
+    tokens with how often it has them."""
     kind = rows.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "score", "n_tokens", "n_known", "gained", "rare", "times"]
 
     def run(batches):
-        keys, gain = shared.value
-        for part in C.passes(batches, "text"):
-            _, _, _, words, n_words = _stream(part.column("text"), 0)
+        (keys, gain), trie = shared.value, _trie(last)
+        for part in C.passes(batches, "text", PASS):
+            stream, first, coded, words, n_words = _stream(part.column("text"), order)
+            score = part.column("score").to_numpy() + _code_lengths(trie, stream, first, coded, order)
             n = len(n_words)
             row = np.repeat(np.arange(n), n_words)
             unique, inverse = np.unique(np.append(words, _U(END_TOKEN)), return_inverse=True)
@@ -342,7 +362,7 @@ def _tokens(rows: DataFrame, shared) -> DataFrame:
             pairs, times = np.unique(rows_ * len(unique) + ids, return_counts=True)
             cuts = np.searchsorted(pairs // len(unique), np.arange(n + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("score"), pa.array(n_words.astype(np.int64) + 1),
+                [part.column("doc_id"), pa.array(score), pa.array(n_words.astype(np.int64) + 1),
                  pa.array(n_known.astype(np.int64)), pa.array(gained),
                  pa.ListArray.from_arrays(pa.array(cuts), pa.array(unique[pairs % len(unique)].view(np.int64))),
                  pa.ListArray.from_arrays(pa.array(cuts), pa.array(times.astype(np.int32)))], names)
