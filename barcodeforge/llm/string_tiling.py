@@ -74,7 +74,7 @@ def document_seeds(docs: DataFrame, bits: np.ndarray, widths: list[int], id_col:
         bits = shared.value
         for part in C.passes(batches, "text"):
             words, offsets = _words(part.column("text"))
-            found, under = [], np.zeros(len(words) + 1, dtype=np.int64)
+            found, under = [np.zeros((2, 0), np.int64)], np.zeros(len(words) + 1, dtype=np.int64)
             for width in widths:
                 seeds = _seeds(words, offsets, width)
                 hit = np.flatnonzero((seeds != 0) & C.in_bitmap(bits, seeds % np.uint64(FILTER_CELLS)))
