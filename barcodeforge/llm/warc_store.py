@@ -60,7 +60,7 @@ def archive_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "u
     first = (rows.where((F.col("payload_bytes") >= min_payload) & F.col("page_id").isNotNull()).groupBy(*key)
              .agg(F.min("page_id").alias("first_id"), F.count("*").alias("copies")).where("copies > 1").drop("copies"))
     rows = rows.join(first, key, "left")
-    revisit = F.col("first_id").isNotNull() & (F.col("page_id") > F.col("first_id"))
+    revisit = F.coalesce(F.col("page_id") > F.col("first_id"), F.lit(False))
     kind = F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))
     rows = rows.withColumns({"record_type": kind, "refers_to": F.when(revisit, F.col("first_id"))})
     return rows.withColumn("digest", base32_sha1(F.col("sha1"))).withColumn("head", _head()).select(
