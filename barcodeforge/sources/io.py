@@ -30,34 +30,53 @@ AUTHORITY_SCHEMA = T.StructType([
     T.StructField("taxonomic_status", T.StringType())])
 
 
-def _csv(spark: SparkSession, sep: str, schema: T.StructType | None, quote: str | None = None):
-    r = spark.read.option("header", True).option("sep", sep).option("nullValue", NA).option("mode", "PERMISSIVE")
-    if quote is not None:
-        r = r.option("quote", quote)
-    return r.schema(schema) if schema is not None else r.option("inferSchema", False)
+def _read_delimited(spark: SparkSession, path: str | Sequence[str], sep: str, schema: T.StructType | None,
+                    quote: str | None = None, glob: str | None = None, file_col: str | None = None) -> DataFrame:
+    """Delimited text with a header. Columns are found by the header's names, in any order; with
+    a ``schema`` its columns are taken and cast, others are left out, and a missing one is an
+    error. All files of one read must have the same header."""
+    def reader():
+        r = spark.read.option("header", True).option("sep", sep).option("nullValue", NA).option("mode", "PERMISSIVE")
+        if quote is not None:
+            r = r.option("quote", quote)
+        return r.option("pathGlobFilter", glob) if glob else r
+
+    paths = path if isinstance(path, str) else list(path)
+    names = reader().csv(paths).columns
+    texts = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    # enforceSchema off: a file whose header differs fails instead of being read by position
+    df = reader().schema(texts).option("enforceSchema", False).csv(paths)
+    if file_col:
+        df = df.withColumn(file_col, F.col("_metadata.file_path"))
+    if schema is None:
+        return df
+    missing = [f.name for f in schema if f.name not in names]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)} in the header ({', '.join(names)})")
+    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema], *([file_col] if file_col else []))
 
 
 # --- sources -------------------------------------------------------------------------------
 
 def read_checklist(spark: SparkSession, path: str, schema: T.StructType = CHECKLIST_SCHEMA) -> DataFrame:
     """Species checklist, tab separated with a header."""
-    return _csv(spark, "\t", schema).csv(path)
+    return _read_delimited(spark, path, "\t", schema)
 
 
 def read_table_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, sep: str = ",") -> DataFrame:
     """CSV with a header, ``NA`` read as missing."""
-    return _csv(spark, sep, schema).csv(path)
+    return _read_delimited(spark, path, sep, schema)
 
 
 def read_bold(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """S3: second-source export: TSV, quoting off (a ``"`` stays text), short rows padded with
     NULLs. Without a schema every column is a string."""
-    return _csv(spark, "\t", schema, quote="").csv(path)
+    return _read_delimited(spark, path, "\t", schema, quote="")
 
 
 def read_primers(spark: SparkSession, path: str) -> DataFrame:
     """Primer metadata (primer, gene, forward_sequence, reverse_sequence, length)."""
-    return _csv(spark, "\t", PRIMER_SCHEMA).csv(path)
+    return _read_delimited(spark, path, "\t", PRIMER_SCHEMA)
 
 
 def read_fasta(spark: SparkSession, path: str | Sequence[str], glob: str | None = None) -> DataFrame:
@@ -67,23 +86,27 @@ def read_fasta(spark: SparkSession, path: str | Sequence[str], glob: str | None
     r = spark.read.option("lineSep", "\n>")
     if glob:
         r = r.option("pathGlobFilter", glob)
-    raw = r.text(path if isinstance(path, str) else list(path))
+    return fasta_records(r.text(path if isinstance(path, str) else list(path)))
+
+
+def fasta_records(raw: DataFrame, *more: str) -> DataFrame:
+    """(header, sequence, *more) from text rows ``value`` that were split on ``\\n>``."""
     v = F.regexp_replace(F.col("value"), r"^\s*>", "")
     parts = F.split(v, "\n", 2)
     header = F.regexp_replace(F.element_at(parts, 1), r"\r$", "")
     body = F.coalesce(F.try_element_at(parts, F.lit(2)), F.lit(""))
-    return (raw.select(header.alias("header"), F.regexp_replace(body, r"\s+", "").alias("sequence"))
+    return (raw.select(header.alias("header"), F.regexp_replace(body, r"\s+", "").alias("sequence"), *more)
             .filter(F.col("header") != ""))
 
 
 def read_partitioned(spark: SparkSession, path: str | Sequence[str], id_col: str = "path",
-                     sep: str = ",", schema: T.StructType | None = None, glob: str | None = None) -> DataFrame:
-    """Many CSV files read as one table with the source file in ``id_col``."""
-    r = _csv(spark, sep, schema)
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    df = r.csv(path if isinstance(path, str) else list(path))
-    return df.withColumn(id_col, F.col("_metadata.file_path"))
+                     sep: str = ",", schema: T.StructType | None = None, glob: str | None = None,
+                     name_col: str | None = None, name_pattern: str = r"([^/]+?)(?:\.[^./]*)?$") -> DataFrame:
+    """Many CSV files read as one table with the source file in ``id_col`` and, if
+    ``name_col`` is given, the part of its path that the first group of ``name_pattern`` takes
+    (the file name without its last extension), such as a primer's name."""
+    df = _read_delimited(spark, path, sep, schema, glob=glob, file_col=id_col)
+    return df.withColumn(name_col, F.regexp_extract(id_col, name_pattern, 1)) if name_col else df
 
 
 def read_taxonomy(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -96,7 +119,7 @@ def read_taxonomy(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame,
 def read_name_authority(spark: SparkSession, path: str, data_source: int | None = None,
                         fmt: str = "parquet") -> DataFrame:
     """Name-verification snapshot, optionally one data source (3, 4 or 11)."""
-    df = spark.read.parquet(path) if fmt == "parquet" else _csv(spark, ",", AUTHORITY_SCHEMA).csv(path)
+    df = spark.read.parquet(path) if fmt == "parquet" else _read_delimited(spark, path, ",", AUTHORITY_SCHEMA)
     return df if data_source is None else df.filter(F.col("data_source") == data_source)
 
 

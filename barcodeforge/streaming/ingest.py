@@ -13,18 +13,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from barcodeforge.operators.cleaning import fasta_accession, normalise_sequence
+from barcodeforge.sources.io import fasta_records
 
 
 def fasta_stream(spark: SparkSession, directory: str, glob: str = "*.fa*", max_files_per_trigger: int = 1000) -> DataFrame:
     """Streaming (header, accession, sequence, file) records from FASTA files added to ``directory``."""
     raw = (spark.readStream.format("text").option("lineSep", "\n>").option("pathGlobFilter", glob)
            .option("maxFilesPerTrigger", max_files_per_trigger).load(directory))
-    v = F.regexp_replace(F.col("value"), r"^\s*>", "")
-    parts = F.split(v, "\n", 2)
-    header = F.regexp_replace(F.element_at(parts, 1), r"\r$", "")
-    body = F.regexp_replace(F.coalesce(F.try_element_at(parts, F.lit(2)), F.lit("")), r"\s+", "")
-    recs = raw.select(header.alias("header"), body.alias("sequence"), F.col("_metadata.file_path").alias("file"))
-    return recs.filter(F.col("header") != "").withColumn("accession", fasta_accession("header"))
+    recs = fasta_records(raw.withColumn("file", F.col("_metadata.file_path")), "file")
+    return recs.withColumn("accession", fasta_accession("header")).select("header", "sequence", "file", "accession")
 
 
 def ingest_fasta(spark: SparkSession, directory: str, table_path: str, checkpoint: str,

@@ -2,9 +2,38 @@
 
 import os
 
+import pytest
+
 from barcodeforge.sources import io
 
 
+def test_columns_are_found_by_name(spark, scratch):
+    p = os.path.join(scratch, "primers.tsv")
+    with open(p, "w") as f:
+        f.write("gene\tlength\tnote\treverse_sequence\tprimer\tforward_sequence\nCOX1\t658\tx\tTTT\tLCO\tAAA\n")
+    r = io.read_primers(spark, p).first()
+    assert (r["primer"], r["gene"], r["forward_sequence"], r["reverse_sequence"], r["length"]) == ("LCO", "COX1", "AAA", "TTT", 658)
+    assert io.read_primers(spark, p).columns == ["primer", "gene", "forward_sequence", "reverse_sequence", "length"]
+    short = os.path.join(scratch, "short.tsv")
+    with open(short, "w") as f:
+        f.write("primer\tgene\nLCO\tCOX1\n")
+    with pytest.raises(ValueError, match="forward_sequence"):
+        io.read_primers(spark, short)
+
+
+def test_many_files_carry_their_name_and_must_agree(spark, scratch):
+    for name, head in (("seeds_P1.csv", "accession,length\na,1\n"), ("seeds_P2.csv", "accession,length\nb,2\n")):
+        with open(os.path.join(scratch, name), "w") as f:
+            f.write(head)
+    rows = io.read_partitioned(spark, scratch, glob="seeds_*.csv", name_col="primer_name",
+                               name_pattern=r"seeds_([^/]+)\.csv$").collect()
+    assert {(r["accession"], r["length"], r["primer_name"]) for r in rows} == {("a", "1", "P1"), ("b", "2", "P2")}
+    with open(os.path.join(scratch, "seeds_P3.csv"), "w") as f:
+        f.write("length,accession\n3,c\n")
+    with pytest.raises(Exception):
+        io.read_partitioned(spark, scratch, glob="seeds_*.csv").collect()
+
+
 def test_fasta_edge_cases(spark, scratch):
     p = os.path.join(scratch, "a.fa")
     with open(p, "w", newline="") as f:
