@@ -23,8 +23,9 @@ def java_quote(sep: str) -> str:
 
 
 def squish(c: Column | str) -> Column:
-    """Collapse internal white-space runs to one space and trim both ends."""
-    return F.trim(F.regexp_replace(_c(c), r"\s+", " "))
+    """Collapse internal white-space runs (no-break and other Unicode spaces too) to one space
+    and trim both ends."""
+    return F.trim(F.regexp_replace(_c(c), r"(?U)\s+", " "))
 
 
 def remove_all(c: Column | str, pattern: str) -> Column:

@@ -11,6 +11,7 @@ IUPAC_CODES = {
     "A": "A", "C": "C", "G": "G", "T": "T", "U": "T",
     "R": "AG", "Y": "CT", "S": "CG", "W": "AT", "K": "GT", "M": "AC",
     "B": "CGT", "D": "AGT", "H": "ACT", "V": "ACG", "N": "ACGT",
+    "I": "ACGT",  # inosine, in primers: pairs with every base
 }
 # complement pairs, in the order used by translate()
 COMPLEMENT_FROM = "ACGTRYSWKMBDHVNacgtryswkmbdhvn"
@@ -51,37 +52,45 @@ def revcomp_str(s: str) -> str:
     return s.translate(table)[::-1]
 
 
-def expand_iupac_str(s: str, limit: int = 4096) -> list[str]:
+def checked_iupac(s: str) -> str:
+    """``s`` in upper case; a letter that is no nucleotide code is an error that names it."""
+    bad = sorted({c for c in s.upper() if c not in IUPAC_CODES})
+    if bad:
+        raise ValueError(f"not an IUPAC nucleotide code in {s!r}: {', '.join(map(repr, bad))}")
+    return s.upper()
+
+
+def expand_iupac_str(s: str) -> list[str]:
     """All plain-ACGT strings an IUPAC string stands for (driver-side helper for small inputs)."""
     out = [""]
-    for ch in s.upper():
-        bases = IUPAC_CODES.get(ch)
-        if bases is None:
-            raise ValueError(f"not an IUPAC nucleotide code: {ch!r}")
-        out = [p + b for p in out for b in bases]
-        if len(out) > limit:
-            raise ValueError(f"IUPAC expansion of {s!r} exceeds {limit} strings")
+    for ch in checked_iupac(s):
+        out = [p + b for p in out for b in IUPAC_CODES[ch]]
     return out
 
 
-def expand_iupac(c: Column | str) -> Column:
-    """Column expression: array of every ACGT string an IUPAC string stands for.
+def _code_map():
+    return F.create_map(*[x for k, v in IUPAC_CODES.items() for x in (F.lit(k), F.lit(v))])
+
 
-    Runs as a native higher-order ``aggregate`` over the characters, so it stays in the
-    JVM. Guard the size with :func:`expansion_size` before exploding it.
-    """
+def iupac_member(c: Column | str, index: Column | str) -> Column:
+    """The ``index``-th (from 0) of the strings an IUPAC string stands for, in the order in which
+    the first code varies fastest. One string at a time: nothing grows with how many there are."""
     c = F.col(c) if isinstance(c, str) else c
-    codes = F.create_map(*[x for k, v in IUPAC_CODES.items()
-                           for x in (F.lit(k), F.array(*[F.lit(b) for b in v]))])
-    chars = F.split(F.upper(c), "")
-    return F.aggregate(
-        chars, F.array(F.lit("")),
-        lambda acc, ch: F.flatten(F.transform(acc, lambda p: F.transform(
-            F.coalesce(F.element_at(codes, ch), F.array(ch)), lambda b: F.concat(p, b)))))
+    index = F.col(index) if isinstance(index, str) else index
+    codes = _code_map()
+    start = F.struct(index.cast("bigint").alias("rest"), F.lit("").alias("s"))
+
+    def step(acc, ch):
+        bases = F.coalesce(F.element_at(codes, ch), ch)
+        n = F.length(bases)
+        return F.struct(F.floor(acc["rest"] / n).cast("bigint").alias("rest"),
+                        F.concat(acc["s"], F.substring(bases, (acc["rest"] % n + 1).cast("int"), F.lit(1))).alias("s"))
+
+    return F.aggregate(F.split(F.upper(c), ""), start, step, lambda acc: acc["s"])
 
 
 def expansion_size(c: Column | str) -> Column:
-    """Number of strings :func:`expand_iupac` would return (product of code sizes), as double."""
+    """Number of strings an IUPAC string stands for (product of its codes' sizes), as double."""
     c = F.col(c) if isinstance(c, str) else c
     sizes = F.create_map(*[x for k, v in IUPAC_CODES.items() for x in (F.lit(k), F.lit(float(len(v))))])
     return F.aggregate(F.split(F.upper(c), ""), F.lit(1.0),

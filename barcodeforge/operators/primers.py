@@ -20,12 +20,9 @@ Scans
 
 Error scoring
 -------------
-The distance of a primer match to a degenerate primer is the minimum over the primer's
-disambiguated dictionary. ``metric='levenshtein'`` evaluates that minimum natively over
-the dictionary array (``levenshtein`` inside ``transform``). ``metric='osa'`` (optimal
-string alignment, the default) uses an Arrow UDF that runs the OSA recurrence with
-"base belongs to the code's set" as the match test, which equals the minimum over every
-disambiguation without materialising the dictionary.
+The distance of a primer match to a degenerate primer is the minimum over the strings the
+primer stands for. Both metrics run their recurrence with "base belongs to the code's set" as
+the match test, which equals that minimum without making the strings.
 """
 
 from __future__ import annotations
@@ -40,15 +37,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barcodeforge.functions import columns as C
-from barcodeforge.functions.iupac import (IUPAC_CODES, code_mask, expand_iupac, expansion_size, mask_table,
-                                          revcomp, revcomp_str)
+from barcodeforge.functions.iupac import (IUPAC_CODES, checked_iupac, code_mask, expansion_size, iupac_member,
+                                          mask_table, revcomp, revcomp_str)
 from barcodeforge.functions.nulls import join_null_safe, n_distinct_na, na_propagate
 from barcodeforge.operators.partitioning import checked_broadcast, spread
 from barcodeforge.operators.rowpick import asc, keep_first
 
-MAX_PRIMERS = 100_000          # size check before the primer table is collected
 PRIMERS_PER_PASS = 64          # primers handled by one scan pass
-MAX_DICTIONARY = 4096          # cap on a disambiguated primer dictionary
 CROP_TOLERANCE = 0.2           # fixed value: amplicon length tolerance (±20 %)
 MAX_ERROR = 0.2                # fixed value: primer error rate allowed
 
@@ -60,12 +55,13 @@ PRIMER_COLUMNS = ("primer", "gene", "forward_sequence", "reverse_sequence", "len
 # ------------------------------------------------------------------------------------------
 
 def collect_primers(primers: DataFrame) -> list[dict]:
-    """The primer table on the driver, after a size check (it is metadata, not data)."""
-    n = primers.count()
-    if n > MAX_PRIMERS:
-        raise ValueError(f"primer table has {n} rows (> {MAX_PRIMERS}); split it into several runs")
-    rows = primers.select(*PRIMER_COLUMNS).orderBy("primer").collect()
-    return [r.asDict() for r in rows]
+    """The primer table, read through the driver in order of its names a few rows at a time (it
+    is a curated table, one row per primer). A letter that is no nucleotide code is an error."""
+    rows = [r.asDict() for r in primers.select(*PRIMER_COLUMNS).orderBy("primer").toLocalIterator()]
+    for r in rows:
+        checked_iupac(r["forward_sequence"])
+        checked_iupac(r["reverse_sequence"])
+    return rows
 
 
 def _chunks(items: list, size: int):
@@ -84,29 +80,19 @@ def primer_info(primers: DataFrame) -> DataFrame:
         F.length("reverse_sequence").alias("rlen"))
 
 
-def primer_dictionary(primers: DataFrame, limit: int = MAX_DICTIONARY) -> DataFrame:
+def primer_dictionary(primers: DataFrame) -> DataFrame:
     """Every disambiguated forward primer and reverse-complemented reverse primer.
 
-    Rows: primer_name, direction ('forward' | 'reverse'), primer (IUPAC), disambiguated.
-    Expansion is native (higher-order functions); a primer whose expansion would exceed
-    ``limit`` strings fails the query instead of exploding.
+    Rows: primer_name, direction ('forward' | 'reverse'), primer (IUPAC), disambiguated. Each
+    string is made from its number, row by row, so a very degenerate primer gives many rows
+    but no large value. Scoring (D4) does not read this table.
     """
     info = primer_info(primers)
     fwd = info.select("primer_name", F.lit("forward").alias("direction"), F.col("forward_sequence").alias("primer"))
     rev = info.select("primer_name", F.lit("reverse").alias("direction"), F.col("reverse_rc").alias("primer"))
-    both = fwd.unionByName(rev)
-    expanded = F.when(expansion_size("primer") > limit,
-                      F.raise_error(F.concat(F.lit("IUPAC expansion too large for primer "), F.col("primer")))
-                      ).otherwise(expand_iupac("primer"))
-    return both.select("primer_name", "direction", "primer", F.explode(expanded).alias("disambiguated"))
-
-
-def dictionary_arrays(primers: DataFrame, limit: int = MAX_DICTIONARY) -> DataFrame:
-    """primer_name -> (fdict, rdict) arrays, for native distance evaluation."""
-    d = primer_dictionary(primers, limit)
-    return (d.groupBy("primer_name")
-            .agg(F.array_sort(F.collect_list(F.when(F.col("direction") == "forward", F.col("disambiguated")))).alias("fdict"),
-                 F.array_sort(F.collect_list(F.when(F.col("direction") == "reverse", F.col("disambiguated")))).alias("rdict")))
+    both = fwd.unionByName(rev).withColumn("_last", expansion_size("primer").cast("bigint") - 1)
+    numbered = both.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_last"))))
+    return numbered.select("primer_name", "direction", "primer", iupac_member("primer", "_i").alias("disambiguated"))
 
 
 # ------------------------------------------------------------------------------------------
@@ -356,7 +342,7 @@ def set_distance(match: Column, pattern: Column, metric: str = "osa", limit: Col
     if metric == "osa":
         _OSA = _OSA or _distance_udf(True)
         return _OSA(F.upper(match), pattern, lim)
-    if metric == "levenshtein_udf":
+    if metric == "levenshtein":
         _LEV = _LEV or _distance_udf(False)
         return _LEV(F.upper(match), pattern, lim)
     raise ValueError(metric)
@@ -367,48 +353,26 @@ def score_primer_errors(matches: DataFrame, primers: DataFrame, metric: str = "o
     """forward_primer_errors / reverse_primer_errors = distance to the closest
     disambiguation of the primer, NULL when even that is farther than the primer length.
 
-    Primer sites repeat across sequences, so each distinct text is scored once. For the
-    native ``levenshtein`` path (an interpreted higher-order function per dictionary entry)
-    the distinct (primer, text) set is aggregated map-side, scored, and joined back (AQE
-    broadcasts it when small); its input, the regex crop, is cheap to read twice. The Arrow
-    ``osa`` path scores row by row, de-duplicating inside each Arrow batch, so an expensive
-    upstream (the fuzzy scan) is evaluated once and no self-join is needed.
+    The minimum over the disambiguations is computed by letting a base match a code that
+    stands for it, so no dictionary is made and a primer may be as degenerate as it likes.
+    ``metric`` is ``osa`` (optimal string alignment) or ``levenshtein`` (no transpositions).
+    Primer sites repeat across sequences: each distinct text is scored once per Arrow batch.
 
     With ``keep_best``, one row per (primer_name, accession) survives the forward step
     (fewest errors first), as in the original arrange + distinct.
     """
-    info = primer_info(primers).select("primer_name", "forward_sequence", "reverse_rc", "flen", "rlen")
-    if metric == "levenshtein":
-        info = info.join(dictionary_arrays(primers), on="primer_name", how="left")
-
-        def dist(match: str, which: str) -> Column:
-            arr = F.col("fdict" if which == "f" else "rdict")
-            return F.array_min(F.transform(arr, lambda d: F.levenshtein(F.col(match), d)))
-    else:
-        def dist(match: str, which: str) -> Column:
-            return set_distance(F.col(match), F.col("forward_sequence" if which == "f" else "reverse_rc"), metric)
-    info = checked_broadcast(info)
-
-    def scored(df: DataFrame, match: str, which: str, limit: str, out: str) -> DataFrame:
-        if metric != "levenshtein":
-            pattern = F.col("forward_sequence" if which == "f" else "reverse_rc")
-            d = df.join(info.select("primer_name", "forward_sequence", "reverse_rc"), on="primer_name", how="left")
-            return (d.withColumn(out, set_distance(F.col(match), pattern, metric, F.col(limit)).cast("double"))
-                    .drop("forward_sequence", "reverse_rc"))
-        u = (df.select("primer_name", F.upper(F.col(match)).alias("_m")).distinct()
-             .join(info, on="primer_name", how="left")
-             .withColumn("_d", dist("_m", which)))
-        u = u.select("primer_name", "_m", F.when(F.col("_d") <= F.col(limit), F.col("_d")).cast("double").alias(out))
-        keyed = df.withColumn("_m", F.upper(F.col(match)))
-        return join_null_safe(keyed, u, ["primer_name", "_m"], how="left").drop("_m")
-
-    lens = checked_broadcast(primer_info(primers).select("primer_name", "flen", "rlen"))
+    info = checked_broadcast(primer_info(primers).select("primer_name", "forward_sequence", "reverse_rc", "flen", "rlen"))
     cols = [c for c in matches.columns if c not in ("flen", "rlen")]
-    df = matches.select(*cols).join(lens, on="primer_name", how="left")
-    df = scored(df, "forward_primer_match", "f", "flen", "forward_primer_errors")
+    df = matches.select(*cols).join(info, on="primer_name", how="left")
+
+    def errors(match: str, pattern: str, limit: str) -> Column:
+        return set_distance(F.col(match), F.col(pattern), metric, F.col(limit)).cast("double")
+
+    df = df.withColumn("forward_primer_errors", errors("forward_primer_match", "forward_sequence", "flen"))
     if keep_best:
         df = keep_first(df, ["primer_name", "accession"], [asc("forward_primer_errors")])
-    return scored(df, "reverse_primer_match", "r", "rlen", "reverse_primer_errors")
+    df = df.withColumn("reverse_primer_errors", errors("reverse_primer_match", "reverse_rc", "rlen"))
+    return df.drop("forward_sequence", "reverse_rc")
 
 
 # ------------------------------------------------------------------------------------------

@@ -152,56 +152,54 @@ def _partitioned(nodes: DataFrame, key: str) -> DataFrame:
     return nodes.repartition(n, key).checkpoint(eager=True)
 
 
-def descendants(nodes: DataFrame, start: DataFrame, rank: str | None = None,
-                max_depth: int = 256) -> DataFrame:
+def descendants(nodes: DataFrame, start: DataFrame, rank: str | None = None) -> DataFrame:
     """Every descendant of the ``start`` taxids (column ``taxid``), with its rank and
-    the start taxid it descends from (``ancestor_taxid``); optionally only one rank."""
-    by_parent = _partitioned(nodes.select("taxid", "parent_taxid", "rank"), "parent_taxid")
+    the start taxid it descends from (``ancestor_taxid``); optionally only one rank.
+
+    A node is met once per start: what was found before does not step again, so a root that
+    is its own parent, or a longer loop, ends the walk instead of the query.
+    """
+    edges = nodes.select("taxid", "parent_taxid", "rank").where("taxid <> parent_taxid")
+    by_parent = _partitioned(edges, "parent_taxid")
     frontier = start.select(F.col("taxid").alias("ancestor_taxid"), F.col("taxid").alias("node")) \
         .filter(F.col("node").isNotNull()).distinct()
-    found = []
-    for _ in range(max_depth):
+    known, found = frontier, None
+    while True:
         step = (frontier.join(by_parent, frontier["node"] == by_parent["parent_taxid"])
-                .select("ancestor_taxid", F.col("taxid").alias("node"), "rank")).checkpoint(eager=True)
+                .select("ancestor_taxid", F.col("taxid").alias("node"), "rank"))
+        step = step.join(known, ["ancestor_taxid", "node"], "left_anti").dropDuplicates(["ancestor_taxid", "node"])
+        step = step.checkpoint(eager=True)
         if step.isEmpty():
             break
-        found.append(step)
+        found = step if found is None else found.unionByName(step)
         frontier = step.select("ancestor_taxid", "node")
-    else:
-        raise RuntimeError(f"taxonomy deeper than {max_depth} levels (cycle?)")
-    if not found:
+        known = known.unionByName(frontier)
+    if found is None:
         return start.sparkSession.createDataFrame([], "ancestor_taxid long, taxid long, rank string")
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    out = out.withColumnRenamed("node", "taxid")
-    if rank is not None:
-        out = out.filter(F.col("rank") == rank)
-    return out
+    out = found.withColumnRenamed("node", "taxid")
+    return out if rank is None else out.filter(F.col("rank") == rank)
 
 
-def ancestors(nodes: DataFrame, start: DataFrame, max_depth: int = 256) -> DataFrame:
-    """Every ancestor (and the node itself) of the ``start`` taxids: (taxid, ancestor, rank)."""
+def ancestors(nodes: DataFrame, start: DataFrame) -> DataFrame:
+    """Every ancestor (and the node itself) of the ``start`` taxids: (taxid, ancestor, rank).
+    As in :func:`descendants`, a loop among the nodes ends the walk."""
     by_id = _partitioned(nodes.select("taxid", "parent_taxid", "rank"), "taxid")
     frontier = start.select(F.col("taxid").alias("start"), F.col("taxid").alias("node")) \
         .filter(F.col("node").isNotNull()).distinct()
-    found = []
-    for _ in range(max_depth):
+    known, found = frontier, None
+    while True:
         step = (frontier.join(by_id, frontier["node"] == by_id["taxid"])
                 .select("start", "node", "rank", "parent_taxid")).checkpoint(eager=True)
         if step.isEmpty():
             break
-        found.append(step.select("start", "node", "rank"))
-        frontier = step.filter(F.col("parent_taxid").isNotNull() & (F.col("parent_taxid") != F.col("node"))) \
-            .select("start", F.col("parent_taxid").alias("node"))
-    else:
-        raise RuntimeError(f"taxonomy deeper than {max_depth} levels (cycle?)")
-    if not found:
+        here = step.select("start", "node", "rank")
+        found = here if found is None else found.unionByName(here)
+        frontier = step.filter(F.col("parent_taxid").isNotNull()).select("start", F.col("parent_taxid").alias("node")) \
+            .distinct().join(known, ["start", "node"], "left_anti")
+        known = known.unionByName(frontier)
+    if found is None:
         return start.sparkSession.createDataFrame([], "taxid long, ancestor long, rank string")
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out.select(F.col("start").alias("taxid"), F.col("node").alias("ancestor"), "rank")
+    return found.select(F.col("start").alias("taxid"), F.col("node").alias("ancestor"), "rank")
 
 
 def lineage(accession_taxa: DataFrame, nodes: DataFrame, taxa_names: DataFrame,

@@ -127,10 +127,31 @@ def test_dictionary_and_guard(spark):
     rev = sorted(r["disambiguated"] for r in d if r["direction"] == "reverse")
     assert fwd == sorted(expand_iupac_str("ARN")) and len(fwd) == 8
     assert rev == sorted(expand_iupac_str(revcomp_str("YA")))
-    huge = spark.createDataFrame([("PH", "G", "N" * 7, "A", 10)],
+    wide = spark.createDataFrame([("PH", "G", "N" * 7, "A", 10)],
                                  "primer string, gene string, forward_sequence string, reverse_sequence string, length int")
-    with pytest.raises(Exception):
-        P.primer_dictionary(huge, limit=4096).collect()
+    strings = [r["disambiguated"] for r in P.primer_dictionary(wide).filter("direction = 'forward'").collect()]
+    assert len(strings) == len(set(strings)) == 4 ** 7
+
+
+def test_very_degenerate_primers_are_scored(spark):
+    crops = spark.createDataFrame([("PH", "a1", "ACGTACGTTTTTCCCCT")], "primer_name string, accession string, sequence string")
+    primers = spark.createDataFrame([("PH", "G", "NNNNNNNA", "NNNNNNNN", 3)],
+                                    "primer string, gene string, forward_sequence string, reverse_sequence string, length int")
+    for metric in ("osa", "levenshtein"):
+        r = P.score_primer_errors(P.primer_matches(crops, primers), primers, metric).first()
+        assert (r["forward_primer_errors"], r["reverse_primer_errors"]) == (1.0, 1.0)
+
+
+def test_inosine_pairs_with_every_base_and_other_letters_are_named(spark):
+    seqs = spark.createDataFrame([("a", "AAGCTAGGGGTTCAA"), ("b", "AAGCAGGGGTTCAA")], "accession string, sequence string")
+    schema = "primer string, gene string, forward_sequence string, reverse_sequence string, length int"
+    primers = spark.createDataFrame([("PI", "G", "GCIA", "TGIA", 4)], schema)
+    for max_error in (0, 0.2):
+        got = {r["accession"]: r["sequence"] for r in P.crop_by_primers(seqs, primers, max_error).collect()}
+        assert got == {"a": "GCTAGGGGTTCA"}
+    bad = spark.createDataFrame([("PB", "G", "GC1A", "TGNA", 4)], schema)
+    with pytest.raises(ValueError, match="'1'"):
+        P.crop_by_primers(seqs, bad, 0)
 
 
 def test_osa_and_levenshtein_paths_agree_without_transpositions(spark):

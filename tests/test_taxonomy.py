@@ -34,8 +34,17 @@ def test_lineage_wide(spark):
     assert all(rows["A3.1"][r] is None for r in T.LINEAGE_RANKS)
 
 
-def test_cycle_is_reported(spark):
-    nodes = spark.createDataFrame([(1, 2, "a"), (2, 1, "b")], "taxid long, parent_taxid long, rank string")
-    start = spark.createDataFrame([(1,)], "taxid long")
-    with pytest.raises(RuntimeError):
-        T.descendants(nodes, start, max_depth=5)
+def test_cycles_and_self_parented_roots_end(spark):
+    nodes = spark.createDataFrame([(1, 1, "root"), (2, 1, "a"), (3, 2, "b"), (8, 9, "c"), (9, 8, "d")],
+                                  "taxid long, parent_taxid long, rank string")
+    start = spark.createDataFrame([(1,), (8,)], "taxid long")
+    down = {(r["ancestor_taxid"], r["taxid"]) for r in T.descendants(nodes, start).collect()}
+    assert down == {(1, 2), (1, 3), (8, 9)}
+    up = sorted((r["taxid"], r["ancestor"]) for r in T.ancestors(nodes, spark.createDataFrame([(3,), (9,)], "taxid long")).collect())
+    assert up == [(3, 1), (3, 2), (3, 3), (9, 8), (9, 9)]
+
+
+def test_deep_chain(spark):
+    nodes = spark.createDataFrame([(k, k - 1, "x") for k in range(1, 12)], "taxid long, parent_taxid long, rank string")
+    start = spark.createDataFrame([(0,)], "taxid long")
+    assert T.descendants(nodes, start).count() == 11
