@@ -2,25 +2,25 @@
 
 H1 is a Spark-native seed-and-extend search, not a wrapper around an aligner binary:
 
-1. **Words.** Both sides are reduced to their *minimizers*: for every window of ``w``
-   consecutive ``k``-mers the one with the smallest hash (leftmost on ties), k-mers with
-   ambiguity codes never chosen (``mapInPandas``: one vectorised numpy pass per Arrow
-   batch; the word is 2-bit packed into a long, the join key). Two sequences sharing an exact run of ``k + w - 1`` bases
-   share at least one minimizer, so the candidate set is exact for that word length
-   (default k=20, w=9: 28 bases, the usual nucleotide word size). Query words come from
-   the seed and its reverse complement (minus strand); subject words from the forward
-   strand only.
-2. **Candidates.** An equi-join on the k-mer gives (query, strand, subject, diagonal);
-   diagonals are collected per pair with a partial aggregation. No partner or candidate
-   is capped; a k-mer shared by many sequences is split across tasks by AQE's skew-join
-   handling.
-3. **Extension.** Each pair row gets both sequences (two equi-joins) and every candidate
-   diagonal is scored in an Arrow UDF: +reward / -penalty per aligned base, the
-   maximal-scoring ungapped segment by prefix sums (numpy). The pair's hit is its best
-   segment.
+1. **Blocks of seeds.** The seeds are dealt by hash into blocks of a bounded number of bases,
+   however many seeds there are; each block is one pass over the database, which is scanned
+   and never shuffled.
+2. **Words.** Within a task both sides are reduced to their *minimizers* (k=20, w=9; one
+   vectorised pass per batch; words with ambiguity codes never chosen). Two sequences that
+   share an exact run of 28 bases share one at the same distance, so they only propose
+   diagonals: a diagonal counts if it really has an exact run of ``run`` bases, whichever words
+   were chosen. Seeds are searched on both strands. No candidate is capped.
+3. **Extension.** All proposed diagonals of a batch are scored together: +reward / -penalty per
+   aligned base (an ambiguous base never earns the reward), the maximal-scoring ungapped
+   segment of each by running sums. Segments of one pair are then chained: a later segment on
+   another diagonal continues a chain at the cost of a gap, columns that both cover count once,
+   and skipped columns count as mismatches. So an insertion or deletion does not end a hit.
 4. **Scores.** bitscore = (lambda * S - ln K) / ln 2 with the Karlin-Altschul parameters
-   for the reward/penalty pair (published values; parameters). qcovs = aligned query
-   length / query length * 100. Reverse-strand hits have ``sstart > send``.
+   for the reward/penalty pair (published values; parameters). length = the longer of the two
+   aligned spans. qcovs = aligned query span / query length * 100. Reverse-strand hits have
+   ``sstart > send``.
+5. **Output.** The best hit of every primer and subject, chosen within the task: at most
+   primers x subjects rows, however alike the seeds of a primer are.
 
 Scores follow these definitions and are not those of any particular aligner.
 """
@@ -33,11 +33,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from barcodeforge.functions import columns as C
 from barcodeforge.functions.iupac import revcomp, revcomp_str
-from barcodeforge.operators.partitioning import checked_broadcast, spread
+from barcodeforge.operators.partitioning import checked_broadcast, materialize, spread
 from barcodeforge.operators.rowpick import desc, keep_first
 
 # --- fixed values: ungapped Karlin-Altschul parameters for reward 1 / penalty -2 ---------
@@ -129,192 +128,189 @@ def minimizer_batch(seqs: list, k: int, w: int):
     return row, (pos - starts[row] + 1).astype(np.int32), val[pos].astype(np.int64)
 
 
-def minimizers(df: DataFrame, seq_col: str, keys: list[str], k: int, w: int) -> DataFrame:
-    """(keys..., pos, kmer) for every minimizer of ``seq_col``: one vectorised Arrow pass per
-    batch; ``kmer`` is the 2-bit packed word (long)."""
-    if not 1 <= k <= 31:
-        raise ValueError("k must be between 1 and 31")
-    src = df.select(*keys, seq_col)
-    schema = T.StructType([src.schema[c] for c in keys]
-                          + [T.StructField("pos", T.IntegerType()), T.StructField("kmer", T.LongType())])
+SEED_BLOCK_BASES = 4_000_000  # seed bases of one block: what a pass ships to every task
+CELL_BLOCK = 2_000_000        # aligned columns scored together
+RUN = 28
+GAP_OPEN, GAP_EXTEND = 3, 1
 
-    def run(batches):
-        for pdf in batches:
-            row, pos, kmer = minimizer_batch(pdf[seq_col].tolist(), k, w)
-            out = pdf[keys].iloc[row].reset_index(drop=True)
-            out["pos"] = pos
-            out["kmer"] = kmer
-            yield out
 
-    return src.mapInPandas(run, schema)
+def _codes(text: str) -> np.ndarray:
+    return _CODE2[np.frombuffer(text.encode("ascii", "replace"), dtype=np.uint8)]
 
 
-def best_segment(q: str, s: str, diags, reward: int, penalty: int):
-    """Maximal-scoring ungapped segment of ``q`` on ``s`` over the candidate diagonals
-    (diag = subject pos - query pos). Returns (score, diag, qs, qe), 1-based inclusive, or
-    None. Ties: higher score, then smaller diagonal, then leftmost segment.
+def score_diagonals(query: np.ndarray, q_start: np.ndarray, q_len: np.ndarray, subject: np.ndarray, s_start: np.ndarray,
+                    s_len: np.ndarray, diag: np.ndarray, reward: int, penalty: int):
+    """Best ungapped segment of every candidate (rows of the arrays; ``query`` and ``subject``
+    hold base codes of all sequences, ``diag`` = subject position - query position).
 
-    Max-subarray by prefix sums: best = max_j (P[j] - min_{i<j} P[i]).
+    Returns (score, first query position, last, longest exact run), positions from 0. Ties: the
+    segment that ends first, then the longest.
     """
-    qa = np.frombuffer(q.encode("ascii", "replace"), dtype=np.uint8)
-    sa = np.frombuffer(s.encode("ascii", "replace"), dtype=np.uint8)
-    best = None
-    for d in sorted(int(x) for x in diags):
-        lo, hi = max(1, 1 - d), min(len(qa), len(sa) - d)
-        if hi < lo:
-            continue
-        sc = np.where(qa[lo - 1:hi] == sa[lo - 1 + d:hi + d], reward, -penalty).astype(np.int64)
-        pre = np.concatenate(([0], np.cumsum(sc)))
-        run_min = np.minimum.accumulate(pre[:-1])
-        gain = pre[1:] - run_min
-        j = int(np.argmax(gain))
-        score = int(gain[j])
-        i = int(np.argmax(pre[:j + 1] == run_min[j]))   # leftmost start reaching that minimum
-        cand = (score, d, lo + i, lo + j)
-        if best is None or score > best[0]:
-            best = cand
-    return best
-
-
-def _score_pairs(pairs: DataFrame, reward: int, penalty: int, min_score: int) -> DataFrame:
-    """Pair rows (primer_name, qseqid, strand, sseqid, diags, qseq, sseq) -> best segment per
-    pair, as an Arrow ``mapInPandas`` that emits only segments scoring at least ``min_score``
-    (a row-producing stage: evaluated once, deterministic)."""
-    schema = ("primer_name string, qseqid string, sseqid string, strand string, qlen int, "
-              "b struct<score:int, diag:int, qs:int, qe:int>")
-
-    def run(batches):
-        for pdf in batches:
-            out = []
-            for r in pdf.itertuples(index=False):
-                seg = best_segment(r.qseq, r.sseq, r.diags, reward, penalty)
-                if seg is None or seg[0] < min_score:
-                    continue
-                out.append((r.primer_name, r.qseqid, r.sseqid, r.strand, len(r.qseq),
-                            {"score": seg[0], "diag": seg[1], "qs": seg[2], "qe": seg[3]}))
-            yield pd.DataFrame(out, columns=["primer_name", "qseqid", "sseqid", "strand", "qlen", "b"])
-
-    cols = pairs.select("primer_name", "qseqid", "strand", "sseqid", "diags", "qseq", "sseq")
-    return cols.mapInPandas(run, schema)
-
-
-MAX_BROADCAST_SEED_BASES = 50_000_000   # seed bases (both strands indexed) for the map-side strategy
-
-
-def _hit_columns(hits: DataFrame) -> DataFrame:
-    """(primer_name, qseqid, sseqid, strand, qlen, b=struct(score, diag, qs, qe)) -> hit table."""
-    diag = F.col("b.diag")
-    s_lo, s_hi = F.col("b.qs") + diag, F.col("b.qe") + diag
-    plus = F.col("strand") == "+"
-    length = F.col("b.qe") - F.col("b.qs") + 1
-    bits = (F.lit(KA_LAMBDA) * F.col("b.score") - F.lit(math.log(KA_K))) / F.lit(math.log(2.0))
-    return hits.select(
-        "primer_name", "qseqid", "sseqid",
-        F.when(plus, s_lo).otherwise(s_hi).cast("int").alias("sstart"),
-        F.when(plus, s_hi).otherwise(s_lo).cast("int").alias("send"),
-        length.cast("int").alias("length"),
-        F.bround(length / F.col("qlen") * 100, 0).alias("qcovs"),
-        F.bround(bits, 1).alias("bitscore"))
-
-
-def _search_join(seeds: DataFrame, database: DataFrame, k: int, w: int, reward: int, penalty: int,
-                 min_score: int) -> DataFrame:
-    """Shuffle strategy: k-mer equi-join, diagonals per pair, both sequences joined to pairs."""
-    q = seeds.select("primer_name", "qseqid", F.upper(F.col("sequence")).alias("qseq"))
-    q = (q.select("primer_name", "qseqid", F.lit("+").alias("strand"), "qseq")
-         .unionByName(q.select("primer_name", "qseqid", F.lit("-").alias("strand"), revcomp("qseq").alias("qseq"))))
-    db = database.select("sseqid", F.upper(F.col("sequence")).alias("sseq"))
-
-    qw = minimizers(spread(q), "qseq", ["primer_name", "qseqid", "strand"], k, w).withColumnRenamed("pos", "qpos")
-    sw = minimizers(spread(db), "sseq", ["sseqid"], k, w).withColumnRenamed("pos", "spos")
-    cands = (qw.join(sw, on="kmer")
-             .groupBy("primer_name", "qseqid", "strand", "sseqid")
-             .agg(F.collect_set(F.col("spos") - F.col("qpos")).alias("diags")))
-    pairs = cands.join(q, on=["primer_name", "qseqid", "strand"]).join(db, on="sseqid")
-    return _score_pairs(pairs, reward, penalty, min_score)
+    low = np.maximum(0, -diag)
+    size = np.minimum(q_len, s_len - diag) - low
+    edge = np.cumsum(size) - size
+    owner = np.repeat(np.arange(len(diag)), size)
+    step = np.arange(int(size.sum())) - edge[owner]
+    q_at = low[owner] + step
+    q = query[q_start[owner] + q_at]
+    same = (q == subject[s_start[owner] + q_at + diag[owner]]) & (q < 4)
+    value = np.where(same, reward, -penalty).astype(np.int64)
+    after = np.cumsum(value)
+    before = after - value
+    place = np.arange(len(value))
+    # running minimum within each candidate: every candidate lies far below the one before it
+    far = (int(np.abs(before).max()) + int(np.abs(after).max()) + 1) if len(before) else 1
+    sunk = before - owner * (2 * far)
+    least = np.minimum.accumulate(sunk)
+    drop = np.ones(len(sunk), dtype=bool)
+    drop[1:] = least[1:] < least[:-1]
+    first = np.maximum.accumulate(np.where(drop, place, 0))
+    gain = after - (least + owner * (2 * far))
+    best = np.maximum.reduceat(gain, edge)
+    ends = np.flatnonzero(gain == best[owner])
+    ends = ends[np.concatenate([[True], owner[ends[1:]] != owner[ends[:-1]]])]
+    miss = np.maximum.accumulate(np.where(same, edge[owner] - 1, place))
+    run = np.maximum.reduceat(place - np.maximum(miss, edge[owner] - 1), edge)
+    return best, q_at[first[ends]], q_at[ends], run
+
+
+def chain_segments(segments: list[tuple[int, int, int, int]], reward: int, penalty: int, gap_open: int,
+                   gap_extend: int) -> list[tuple[int, int, int, int, int]]:
+    """Best chain that ends in each segment ``(score, diag, first, last)`` of one pair, as
+    ``(score, q_first, s_first, q_last, s_last)``. Of equal chains the one that starts first."""
+    segments = sorted(segments, key=lambda x: (x[2], x[3], x[1]))
+    out: list[tuple[int, int, int, int, int]] = []
+    for n, (score, d, q0, q1) in enumerate(segments):
+        best = (score, -q0, -(q0 + d))
+        for m in range(n):
+            _, e, p0, p1 = segments[m]
+            if not (q0 > p0 and q1 > p1 and q0 + d > p0 + e and q1 + d > p1 + e) or d == e:
+                continue
+            q_gap, s_gap = q0 - p1 - 1, q0 + d - (p1 + e) - 1
+            over = max(0, -q_gap, -s_gap)
+            if over >= min(q1 - q0 + 1, p1 - p0 + 1):
+                continue
+            cost = gap_open + gap_extend * abs(d - e) + over * reward + max(0, min(q_gap, s_gap)) * penalty
+            chained = (out[m][0] + score - cost, -out[m][1], -out[m][2])
+            best = max(best, chained)
+        out.append((best[0], -best[1], -best[2], q1, q1 + d))
+    return out
 
 
 def seed_index(seed_rows: list, k: int, w: int) -> dict:
-    """Sorted minimizer index of the seeds, both strands: kmer -> (entry, qpos)."""
-    names, qids, strands, qseqs = [], [], [], []
+    """Minimizers of the seeds of a block, both strands, in order; built by each task."""
+    names, qids, strands, texts = [], [], [], []
     for primer_name, qseqid, seq in seed_rows:
         fwd = (seq or "").upper()
         for strand, text in (("+", fwd), ("-", revcomp_str(fwd))):
             names.append(primer_name)
             qids.append(qseqid)
             strands.append(strand)
-            qseqs.append(text)
-    row, pos, kmer = minimizer_batch(qseqs, k, w)
+            texts.append(text)
+    row, pos, kmer = minimizer_batch(texts, k, w)
     order = np.argsort(kmer, kind="stable")
-    return {"kmer": kmer[order], "entry": row[order].astype(np.int32), "qpos": pos[order],
-            "primer_name": names, "qseqid": qids, "strand": strands, "qseq": qseqs}
-
-
-def _search_map_side(seeds: DataFrame, database: DataFrame, k: int, w: int, reward: int, penalty: int,
-                     min_score: int) -> DataFrame:
-    """Broadcast strategy: the (size-checked) seed index is shipped to every task; each
-    database partition finds its candidates and extends them locally. The database is
-    scanned once and never shuffled; a k-mer shared by many sequences creates no hot key."""
-    spark = seeds.sparkSession
-    rows = [(r["primer_name"], r["qseqid"], r["sequence"]) for r in
-            seeds.select("primer_name", "qseqid", "sequence").collect()]
-    index = spark.sparkContext.broadcast(seed_index(rows, k, w))
-    db = spread(database.select("sseqid", F.upper(F.col("sequence")).alias("sseq")))
-    schema = ("primer_name string, qseqid string, sseqid string, strand string, qlen int, "
-              "b struct<score:int, diag:int, qs:int, qe:int>")
-
-    def run(batches):
-        ix = index.value
-        K, E, QP = ix["kmer"], ix["entry"], ix["qpos"]
-        for pdf in batches:
-            sseqs = pdf["sseq"].tolist()
-            srow, spos, skmer = minimizer_batch(sseqs, k, w)
-            lo = np.searchsorted(K, skmer, "left")
-            hi = np.searchsorted(K, skmer, "right")
-            cnt = hi - lo
-            out = []
-            if cnt.sum() > 0:
-                rep = np.repeat(np.arange(skmer.shape[0]), cnt)
-                first = np.repeat(np.cumsum(cnt) - cnt, cnt)
-                idx = lo[rep] + (np.arange(rep.shape[0]) - first)
-                trip = np.unique(np.stack([srow[rep], E[idx], spos[rep] - QP[idx]], axis=1), axis=0)
-                keys = trip[:, :2]
-                cuts = np.nonzero(np.any(keys[1:] != keys[:-1], axis=1))[0] + 1
-                for grp in np.split(trip, cuts):
-                    r, e = int(grp[0, 0]), int(grp[0, 1])
-                    seg = best_segment(ix["qseq"][e], sseqs[r], grp[:, 2].tolist(), reward, penalty)
-                    if seg is None or seg[0] < min_score:
-                        continue
-                    out.append((ix["primer_name"][e], ix["qseqid"][e], pdf["sseqid"].iat[r], ix["strand"][e],
-                                len(ix["qseq"][e]), {"score": seg[0], "diag": seg[1], "qs": seg[2], "qe": seg[3]}))
-            yield pd.DataFrame(out, columns=["primer_name", "qseqid", "sseqid", "strand", "qlen", "b"])
-
-    return db.mapInPandas(run, schema)
-
-
-def homology_search(seeds: DataFrame, database: DataFrame, k: int = 20, w: int = 9,
-                    reward: int = 1, penalty: int = 2, min_score: int = 0, strategy: str = "auto") -> DataFrame:
-    """H1: hits of every seed against every database sequence (both strands).
+    length = np.array([len(t) for t in texts], dtype=np.int64)
+    return {"kmer": kmer[order], "entry": row[order].astype(np.int64), "pos": pos[order].astype(np.int64),
+            "primer_name": names, "qseqid": qids, "strand": strands, "length": length,
+            "start": np.cumsum(length) - length, "codes": _codes("".join(texts))}
+
+
+def search_batch(index: dict, subjects: list, k: int, w: int, run: int, scoring: tuple[int, int, int, int],
+                 min_score: int) -> list[tuple]:
+    """Best hit of each (primer, subject) of a batch: ``(primer_name, row, entry, score, q_first,
+    s_first, q_last, s_last)``, positions from 0."""
+    reward, penalty, gap_open, gap_extend = scoring
+    length = np.array([len(x) if x is not None else 0 for x in subjects], dtype=np.int64)
+    start = np.cumsum(length) - length
+    codes = _codes("".join(x or "" for x in subjects))
+    row, pos, kmer = minimizer_batch(subjects, k, w)
+    low = np.searchsorted(index["kmer"], kmer, "left")
+    count = np.searchsorted(index["kmer"], kmer, "right") - low
+    pair = np.repeat(np.arange(len(kmer)), count)
+    at = low[pair] + np.arange(len(pair)) - np.repeat(np.cumsum(count) - count, count)
+    found = np.unique(np.stack([row[pair], index["entry"][at], pos[pair] - index["pos"][at]], axis=1).astype(np.int64), axis=0)
+    best: dict[tuple[str, int], tuple] = {}
+    a = 0
+    while a < len(found):
+        entry, subject, diag = found[a:, 1], found[a:, 0], found[a:, 2]
+        cells = np.cumsum(np.minimum(index["length"][entry], length[subject]))
+        b = a + max(1, int(np.searchsorted(cells, CELL_BLOCK)))
+        while b < len(found) and (found[b, :2] == found[b - 1, :2]).all():
+            b += 1  # a pair's diagonals are chained together
+        subject, entry, diag = found[a:b].T
+        score, first, last, exact = score_diagonals(
+            index["codes"], index["start"][entry], index["length"][entry], codes, start[subject], length[subject], diag,
+            reward, penalty)
+        good = np.flatnonzero(exact >= run)
+        pairs = np.stack([subject[good], entry[good]], axis=1)
+        cut = np.flatnonzero(np.any(pairs[1:] != pairs[:-1], axis=1)) + 1
+        for group in np.split(good, cut) if len(good) else []:
+            s, e = int(subject[group[0]]), int(entry[group[0]])
+            segments = [(int(score[g]), int(diag[g]), int(first[g]), int(last[g])) for g in group]
+            for chain in chain_segments(segments, reward, penalty, gap_open, gap_extend):
+                if chain[0] < min_score:
+                    continue
+                spans = max(chain[3] - chain[1], chain[4] - chain[2])
+                ends = (chain[2], chain[4]) if index["strand"][e] == "+" else (chain[4], chain[2])
+                cover = (chain[3] - chain[1] + 1) / int(index["length"][e])
+                rank = (-chain[0], -spans, *ends, -cover, index["qseqid"][e], index["strand"][e])
+                key = (index["primer_name"][e], s)
+                if key not in best or rank < best[key][0]:
+                    best[key] = (rank, (key[0], s, e, *chain))
+        a = b
+    return [v for _, v in best.values()]
+
+
+def homology_search(seeds: DataFrame, database: DataFrame, k: int = 20, w: int = 9, reward: int = 1, penalty: int = 2,
+                    min_score: int = 0, run: int | None = None, gap_open: int = GAP_OPEN, gap_extend: int = GAP_EXTEND,
+                    block_bases: int = SEED_BLOCK_BASES) -> DataFrame:
+    """H1: the best hit of every primer's seeds on every database sequence (both strands).
 
     seeds: (primer_name, qseqid, sequence); database: (sseqid, sequence).
-    Output: primer_name, qseqid, sseqid, sstart, send, length, qcovs, bitscore (one hit per
-    query / subject / strand: the best ungapped segment).
-
-    ``strategy='auto'`` measures the seed set first (one aggregate): up to
-    ``MAX_BROADCAST_SEED_BASES`` bases it uses the map-side strategy (seed index broadcast,
-    database never shuffled), beyond that the shuffle strategy (k-mer equi-join with AQE skew
-    handling). Both give the same hits.
+    Output: primer_name, qseqid, sseqid, sstart, send, length, qcovs, bitscore; one row per
+    primer and subject that share an exact run of ``run`` bases (default and at least
+    ``k + w - 1``). Ties: longer, then smaller sstart, send, higher coverage, smaller qseqid.
     """
-    if strategy == "auto":
-        bases = seeds.agg(F.sum(F.length("sequence"))).first()[0] or 0
-        strategy = "broadcast" if 2 * bases <= MAX_BROADCAST_SEED_BASES else "join"
-    if strategy == "broadcast":
-        raw = _search_map_side(seeds, database, k, w, reward, penalty, min_score)
-    elif strategy == "join":
-        raw = _search_join(seeds, database, k, w, reward, penalty, min_score)
-    else:
-        raise ValueError("strategy must be 'auto', 'broadcast' or 'join'")
-    return _hit_columns(raw)
+    run = max(run or 0, k + w - 1)
+    spark = seeds.sparkSession
+    seeds = materialize(seeds.select("primer_name", "qseqid", "sequence").filter(F.col("sequence").isNotNull()))
+    bases = seeds.agg(F.sum(F.length("sequence"))).first()[0] or 0
+    blocks = max(1, -(-bases // block_bases))
+    block = F.pmod(F.xxhash64("primer_name", "qseqid", "sequence"), F.lit(blocks))
+    db = spread(database.select("sseqid", F.upper(F.col("sequence")).alias("sequence")))
+    schema = ("primer_name string, qseqid string, sseqid string, strand string, qlen int, "
+              "score int, q_first int, s_first int, q_last int, s_last int")
+    scoring = (reward, penalty, gap_open, gap_extend)
+
+    def search(shared):
+        def run_block(batches):
+            index = seed_index(shared.value, k, w)
+            for pdf in batches:
+                ids, texts, out = pdf["sseqid"].tolist(), pdf["sequence"].tolist(), []
+                for a in range(0, len(texts), 64):
+                    for name, s, e, *chain in search_batch(index, texts[a:a + 64], k, w, run, scoring, min_score):
+                        out.append((name, index["qseqid"][e], ids[a + s], index["strand"][e], int(index["length"][e]), *chain))
+                yield pd.DataFrame(out, columns=[c.split(" ")[0] for c in schema.split(", ")])
+
+        return db.mapInPandas(run_block, schema)
+
+    hits = None
+    for n in range(blocks):
+        rows = [tuple(r) for r in seeds.filter(block == n).collect()]
+        part = search(spark.sparkContext.broadcast(rows))
+        hits = part if hits is None else hits.unionByName(part)
+    plus = F.col("strand") == "+"
+    bits = (F.lit(KA_LAMBDA) * F.col("score") - F.lit(math.log(KA_K))) / F.lit(math.log(2.0))
+    hits = hits.select(
+        "primer_name", "qseqid", "sseqid",
+        F.when(plus, F.col("s_first")).otherwise(F.col("s_last")).alias("sstart"),
+        F.when(plus, F.col("s_last")).otherwise(F.col("s_first")).alias("send"),
+        F.greatest(F.col("q_last") - F.col("q_first"), F.col("s_last") - F.col("s_first")).alias("length"),
+        F.bround((F.col("q_last") - F.col("q_first") + 1) / F.col("qlen") * 100, 0).alias("qcovs"),
+        F.bround(bits, 1).alias("bitscore"))
+    hits = hits.withColumns({c: (F.col(c) + 1).cast("int") for c in ("sstart", "send", "length")})
+    # a primer's seeds may lie in several blocks, and a subject may be in several rows
+    return keep_first(hits, ["primer_name", "sseqid"], [desc("bitscore"), desc("length"), "sstart", "send", desc("qcovs"), "qseqid"])
 
 
 # ------------------------------------------------------------------------------------------
@@ -331,7 +327,8 @@ def best_hit_per_subject(hits: DataFrame, by: tuple[str, ...] = ("primer_name",)
 def attach_taxonomy(hits: DataFrame, database: DataFrame) -> DataFrame:
     """H3: subject sequence and header fields; genus; blank / 'NA' subspecies to NULL;
     start <= end and the strand flag."""
-    db = database.select(F.col("header").alias("sseqid"), "sequence")
+    # the original takes the first row of each header; here that is the smallest sequence
+    db = keep_first(database.select(F.col("header").alias("sseqid"), "sequence"), ["sseqid"], ["sequence"])
     df = hits.join(db, on="sseqid", how="left")
     df = C.split_into(df, "sseqid", ";", ("accession", "family", "species", "subspecies", "beeid"), drop=True)
     df = (df.withColumn("species", F.translate("species", "_", " "))
@@ -367,13 +364,24 @@ def orient(df: DataFrame) -> DataFrame:
 
 
 def hits_to_database(hits: DataFrame, database: DataFrame, primers: DataFrame) -> DataFrame:
-    """H2 -> H6: best hits, taxonomy, crop, length filter, orientation."""
-    best = best_hit_per_subject(hits)
-    return orient(filter_length(crop_by_position(attach_taxonomy(best, database)), primers))
-
-
-def stage_counts(best: DataFrame, filtered: DataFrame) -> DataFrame:
-    """Rows per primer at the candidate and filtered stages."""
-    a = best.groupBy("primer_name").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("stage", F.lit("candidates"))
-    b = filtered.groupBy("primer_name").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("stage", F.lit("filtered"))
-    return a.unionByName(b).select("primer_name", "stage", "n_rows")
+    """H2 -> H6: best hits, length filter, taxonomy, crop, orientation. The filter reads only the
+    hit's own length, so it comes before any sequence is joined."""
+    best = filter_length(best_hit_per_subject(hits), primers)
+    return orient(crop_by_position(attach_taxonomy(best, database)))
+
+
+def stage_counts(best: DataFrame, filtered: DataFrame, seeds: DataFrame | None = None,
+                 primers: DataFrame | None = None) -> DataFrame:
+    """Rows per primer at the seed, candidate and filtered stages. With ``primers`` every
+    primer has a row for each stage, 0 where it has no sequences."""
+    stages = [("candidates", best), ("filtered", filtered)]
+    if seeds is not None:
+        stages.insert(0, ("seeds", seeds))
+    parts = None
+    for name, rows in stages:
+        one = rows.groupBy("primer_name").agg(F.count(F.lit(1)).alias("n_rows"))
+        if primers is not None:
+            one = primers.select(F.col("primer").alias("primer_name")).join(one, "primer_name", "left").na.fill(0, ["n_rows"])
+        one = one.select("primer_name", F.lit(name).alias("stage"), "n_rows")
+        parts = one if parts is None else parts.unionByName(one)
+    return parts

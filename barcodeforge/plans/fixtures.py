@@ -133,6 +133,44 @@ SELECT replace(accession || ';' || family || ';' || species || ';' || coalesce(s
 FROM {fx_sequences}
 """
 
+# relatives: about 13 variants of each of 150 base sequences (a base changed in all, one removed
+# or two inserted in some, some on the other strand, some with unknown bases), between random ends
+FIXTURES["fx_relatives"] = """
+WITH b AS (
+  SELECT *, CAST(p_partkey AS INT) AS n, CAST(p_partkey % 150 AS STRING) AS f FROM {part}
+), v AS (
+  SELECT *, translate(md5('r' || f || ':1') || md5('r' || f || ':2') || md5('r' || f || ':3') || md5('r' || f || ':4')
+                      || CASE WHEN n % 2 = 1 THEN md5('r' || f || ':5') || md5('r' || f || ':6') ELSE '' END,
+                      '0123456789abcdef', 'ACGTACGTACGTACGT') AS base
+  FROM b
+), m AS (
+  SELECT *, substring(base, 1, n % 120) || CASE n % 4 WHEN 0 THEN 'A' WHEN 1 THEN 'C' WHEN 2 THEN 'G' ELSE 'T' END
+            || substring(base, n % 120 + 2, 200) AS changed
+  FROM v
+), d AS (
+  SELECT *, CASE WHEN n % 5 = 0 THEN substring(changed, 1, 49 + n % 30) || substring(changed, 51 + n % 30, 200)
+                 WHEN n % 7 = 0 THEN substring(changed, 1, 60 + n % 20) || 'GT' || substring(changed, 61 + n % 20, 200)
+                 WHEN n % 13 = 0 THEN substring(changed, 1, 100) || 'NNN' || substring(changed, 104, 200)
+                 ELSE changed END AS core
+  FROM m
+), e AS (
+  SELECT *, translate(md5('e' || CAST(n AS STRING)), '0123456789abcdef', 'ACGTACGTACGTACGT') || core
+            || translate(md5('z' || CAST(n AS STRING)), '0123456789abcdef', 'ACGTACGTACGTACGT') AS whole
+  FROM d
+)
+SELECT 'REL' || lpad(CAST(p_partkey AS STRING), 7, '0') AS accession,
+       replace('REL' || lpad(CAST(p_partkey AS STRING), 7, '0') || ';' || p_type || ';' || p_name || ';NA;B'
+               || lpad(CAST(p_size AS STRING), 5, '0'), ' ', '_') AS header,
+       CASE WHEN n % 2 = 0 THEN 'P1' ELSE 'P3' END AS primer_name, p_size, core,
+       CASE WHEN n % 11 = 0 THEN reverse(translate(whole, 'ACGT', 'TGCA')) ELSE whole END AS sequence
+FROM e
+"""
+
+# the relatives that a primer pair found: seeds of the search
+FIXTURES["fx_relative_seeds"] = """
+SELECT primer_name, accession AS qseqid, core AS sequence FROM {fx_relatives} WHERE p_size % 5 = 0
+"""
+
 # search hits against that database; subject id is the packed header
 FIXTURES["fx_hits"] = """
 SELECT 'Q' || CAST(l.l_orderkey AS STRING) AS qseqid,

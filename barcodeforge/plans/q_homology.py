@@ -13,6 +13,7 @@ from barcodeforge.operators import primers as P
 from barcodeforge.operators.partitioning import materialize
 from barcodeforge.plans.fixtures import duckdb_sql, fixtures
 from barcodeforge.plans.q_conflicts import conflict_sql, dedup_sql, flagged_select
+from barcodeforge.plans.q_primers import PRIMER_CTES
 from barcodeforge.plans.registry import query
 
 
@@ -40,7 +41,7 @@ SELECT * EXCLUDE (rn) FROM (
     ("tax0", """
 SELECT b.*, d.sequence, replace(string_split(b.sseqid, ';')[3], '_', ' ') AS sp,
        replace(string_split(b.sseqid, ';')[4], '_', ' ') AS ssp
-FROM best b LEFT JOIN (SELECT header, sequence FROM fx_database) d ON b.sseqid = d.header"""),
+FROM best b LEFT JOIN (SELECT header, min(sequence) AS sequence FROM fx_database GROUP BY header) d ON b.sseqid = d.header"""),
     ("tax", """
 SELECT primer_name, sstart, send, length, qcovs, bitscore, sequence,
        string_split(sseqid, ';')[1] AS accession, string_split(sseqid, ';')[2] AS family,
@@ -105,32 +106,115 @@ def q_hit_sequence_database(spark, sf_dir):
     return G.sequence_database(final, by=("primer_name",))
 
 
-# --- H1: no SQL oracle (checked against brute force in the tests) ------------------------
+# --- H1: the search itself -------------------------------------------------------------------
+
+def search_ctes(seeds: str, subjects: str) -> list[tuple[str, str]]:
+    """CTEs up to ``h1`` (the hit table) for seeds (primer_name, qseqid, sequence) and subjects
+    (sseqid, sequence): every pair that shares a run of 28 bases, every diagonal's best
+    segment, every chain of segments, and the best chain per primer and subject."""
+    return [
+        ("h_q", f"""
+SELECT primer_name, qseqid, '+' AS strand, upper(sequence) AS q FROM {seeds}
+UNION ALL
+SELECT primer_name, qseqid, '-', reverse(translate(upper(sequence), '{COMPLEMENT_FROM}', '{COMPLEMENT_TO}')) FROM {seeds}"""),
+        ("h_s", f"SELECT sseqid, upper(sequence) AS s FROM {subjects}"),
+        ("h_qk", """
+SELECT DISTINCT * FROM (SELECT primer_name, qseqid, strand, p, substring(q, p, 28) AS word
+  FROM (SELECT *, unnest(range(1, length(q) - 26)) AS p FROM h_q)) WHERE regexp_full_match(word, '[ACGT]{28}')"""),
+        ("h_sk", """
+SELECT * FROM (SELECT sseqid, s, p, substring(s, p, 28) AS word
+  FROM (SELECT *, unnest(range(1, length(s) - 26)) AS p FROM h_s)) WHERE regexp_full_match(word, '[ACGT]{28}')"""),
+        ("h_d", """
+SELECT DISTINCT a.primer_name, a.qseqid, a.strand, b.sseqid, b.s, b.p - a.p AS d FROM h_qk a JOIN h_sk b USING (word)"""),
+        ("h_c", """
+SELECT *, CASE WHEN substring(q, i, 1) = substring(s, i + d, 1) AND substring(q, i, 1) IN ('A', 'C', 'G', 'T') THEN 1 ELSE -2 END AS v
+FROM (SELECT h_d.*, h_q.q, unnest(range(greatest(1, 1 - d), least(length(h_q.q), length(h_d.s) - d) + 1)) AS i
+      FROM h_d JOIN h_q USING (primer_name, qseqid, strand))"""),
+        ("h_p", """
+SELECT primer_name, qseqid, strand, sseqid, s, d, i, v,
+       sum(v) OVER (PARTITION BY primer_name, qseqid, strand, sseqid, s, d ORDER BY i) AS upto FROM h_c"""),
+        ("h_g", """
+SELECT *, upto - least AS gain FROM (
+  SELECT *, min(upto - v) OVER (PARTITION BY primer_name, qseqid, strand, sseqid, s, d ORDER BY i) AS least FROM h_p)"""),
+        ("h_e", """
+SELECT * FROM h_g QUALIFY row_number() OVER (PARTITION BY primer_name, qseqid, strand, sseqid, s, d ORDER BY gain DESC, i) = 1"""),
+        ("h_seg", """
+SELECT e.primer_name, e.qseqid, e.strand, e.sseqid, e.s, e.d, CAST(e.gain AS INT) AS score, min(p.i) AS q0, e.i AS q1
+FROM h_e e JOIN h_p p ON p.primer_name = e.primer_name AND p.qseqid = e.qseqid AND p.strand = e.strand
+  AND p.sseqid = e.sseqid AND p.s = e.s AND p.d = e.d AND p.i <= e.i AND p.upto - p.v = e.least
+GROUP BY ALL"""),
+        ("h_chain", """
+SELECT primer_name, qseqid, strand, sseqid, s, q0 AS first_q, q0 + d AS first_s, d, q0, q1, score FROM h_seg
+UNION ALL
+SELECT c.primer_name, c.qseqid, c.strand, c.sseqid, c.s, c.first_q, c.first_s, g.d, g.q0, g.q1, CAST(c.score + g.score
+       - (3 + abs(g.d - c.d) + greatest(0, c.q1 - g.q0 + 1, c.q1 + c.d - g.q0 - g.d + 1)
+          + 2 * greatest(0, least(g.q0 - c.q1 - 1, g.q0 + g.d - c.q1 - c.d - 1))) AS INT)
+FROM h_chain c JOIN h_seg g ON g.primer_name = c.primer_name AND g.qseqid = c.qseqid AND g.strand = c.strand
+  AND g.sseqid = c.sseqid AND g.s = c.s
+WHERE g.d <> c.d AND g.q0 > c.q0 AND g.q1 > c.q1 AND g.q0 + g.d > c.q0 + c.d AND g.q1 + g.d > c.q1 + c.d
+  AND greatest(0, c.q1 - g.q0 + 1, c.q1 + c.d - g.q0 - g.d + 1) < least(g.q1 - g.q0 + 1, c.q1 - c.q0 + 1)"""),
+        ("h1", """
+SELECT primer_name, qseqid, sseqid, sstart, send, length, qcovs, bitscore FROM (
+  SELECT c.primer_name, c.qseqid, c.sseqid,
+         CAST(CASE WHEN c.strand = '+' THEN first_s ELSE q1 + d END AS INT) AS sstart,
+         CAST(CASE WHEN c.strand = '+' THEN q1 + d ELSE first_s END AS INT) AS send,
+         CAST(greatest(q1 - first_q, q1 + d - first_s) + 1 AS INT) AS length,
+         round_even((q1 - first_q + 1) / length(h_q.q) * 100, 0) AS qcovs,
+         round_even((1.28 * score - ln(0.46)) / ln(2.0), 1) AS bitscore
+  FROM h_chain c JOIN h_q USING (primer_name, qseqid, strand) WHERE score >= 0)
+QUALIFY row_number() OVER (PARTITION BY primer_name, sseqid
+    ORDER BY bitscore DESC, length DESC, sstart, send, qcovs DESC, qseqid) = 1"""),
+    ]
+
+
+_RELATIVES = ["fx_relatives", "fx_relative_seeds"]
+_SEARCH_ORACLE = duckdb_sql(_RELATIVES, "SELECT * FROM h1", ctes=[
+    ("rel", "SELECT header AS sseqid, sequence FROM fx_relatives"), *search_ctes("fx_relative_seeds", "rel")], recursive=True)
+
+
+def relatives(spark: SparkSession, sf_dir: str):
+    subjects, seeds = fixtures(spark, sf_dir, *_RELATIVES)
+    return seeds, subjects.select(F.col("header").alias("sseqid"), "sequence")
+
+
+@query("homology_search", _SEARCH_ORACLE)
+def q_homology_search(spark, sf_dir):
+    return H.homology_search(*relatives(spark, sf_dir))
+
+
+@query("homology_search_join", _SEARCH_ORACLE)
+def q_homology_search_join(spark, sf_dir):
+    """H1 with the seeds in many small blocks, as a large seed set has them."""
+    return H.homology_search(*relatives(spark, sf_dir), block_bases=20_000)
+
 
 def search_inputs(spark: SparkSession, sf_dir: str):
     """Deduplicated exact seeds of every primer, and the whole database as subjects."""
     db, pr = fixtures(spark, sf_dir, "fx_database", "fx_primers")
     seeds = P.dedup_seeds(P.seed_sequences(P.prepare_sequences(db), pr, max_error=0, metric="levenshtein"))
-    seeds = materialize(seeds.withColumnRenamed("accession", "qseqid"))     # stage boundary: seed table
-    return seeds, db.select(F.col("header").alias("sseqid"), "sequence"), db, pr
+    return seeds.withColumnRenamed("accession", "qseqid"), db.select(F.col("header").alias("sseqid"), "sequence"), db, pr
 
 
-@query("homology_search")
-def q_homology_search(spark, sf_dir):
-    seeds, subjects, _, _ = search_inputs(spark, sf_dir)
-    return H.homology_search(seeds, subjects)
+def _found(name: str) -> tuple[str, str]:
+    """A hit CTE that reads the search's hits in place of the given ones."""
+    text = dict(HIT_CTES)[name]
+    return name, text.replace("fx_hits", "h1")
+
+
+_BUILD_ORACLE = duckdb_sql(
+    ["fx_primers", "fx_database"],
+    ", " + dedup_sql("oriented", "primer_name, ").strip() + ",\n" + conflict_sql("dedup", "primer_name, ").strip()
+    + "\n" + flagged_select("primer_name, "),
+    ctes=[*PRIMER_CTES, ("chosen", """
+SELECT primer_name, accession AS qseqid, sequence FROM seeds
+QUALIFY row_number() OVER (PARTITION BY primer_name, sequence ORDER BY accession) = 1"""),
+          ("subjects", "SELECT header AS sseqid, sequence FROM fx_database"),
+          *search_ctes("chosen", "subjects"), *[_found(n) for n, _ in HIT_CTES]], recursive=True)
 
 
-@query("homology_sequence_database")
+@query("homology_sequence_database", _BUILD_ORACLE)
 def q_homology_sequence_database(spark, sf_dir) -> DataFrame:
     seeds, subjects, db, pr = search_inputs(spark, sf_dir)
     hits = H.homology_search(seeds, subjects)
     final = materialize(H.hits_to_database(hits, db, pr))                   # stage boundary: filtered hits
     return G.sequence_database(final, by=("primer_name",))
-
-
-@query("homology_search_join")
-def q_homology_search_join(spark, sf_dir):
-    """H1 with the shuffle strategy forced (the one used when the seed set is too large to ship)."""
-    seeds, subjects, _, _ = search_inputs(spark, sf_dir)
-    return H.homology_search(seeds, subjects, strategy="join")

@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 from barcodeforge.functions.iupac import revcomp_str
 from barcodeforge.operators import homology as H
 
@@ -41,32 +43,72 @@ def test_minimizers_skip_ambiguous_words():
     assert H.minimizer_positions("ACG", 5, 3) == []
 
 
-def brute_best(q, s, reward=1, penalty=2):
+def brute_best(q, s, d, reward=1, penalty=2):
+    """(score, first, last, longest exact run) of one diagonal: ends first, then longest."""
+    lo, hi = max(0, -d), min(len(q), len(s) - d)
+    value = [reward if q[i] == s[i + d] and q[i] in "ACGT" else -penalty for i in range(lo, hi)]
     best = None
-    for d in range(-len(q) + 1, len(s)):
-        lo, hi = max(1, 1 - d), min(len(q), len(s) - d)
-        for i in range(lo, hi + 1):
-            sc = 0
-            for j in range(i, hi + 1):
-                sc += reward if q[j - 1] == s[j - 1 + d] else -penalty
-                cand = (sc, -d, -i, j)
-                if best is None or cand > best:
-                    best = cand
-    return best
-
-
-def test_best_segment_matches_brute_force():
+    for j in range(len(value)):
+        for i in range(j + 1):
+            cand = (sum(value[i:j + 1]), -j, -i)
+            if best is None or cand > best:
+                best = cand
+    run = max(len(x) for x in "".join("1" if v > 0 else "0" for v in value).split("0"))
+    return best[0], lo - best[2], lo - best[1], run
+
+
+def test_diagonals_match_brute_force():
     rng = random.Random(9)
-    for _ in range(80):
-        q = "".join(rng.choice("ACGT") for _ in range(rng.randint(5, 14)))
-        s = "".join(rng.choice("ACGT") for _ in range(rng.randint(5, 14)))
-        diags = list(range(-len(q) + 1, len(s)))
-        got = H.best_segment(q, s, diags, 1, 2)
-        want = brute_best(q, s)
-        assert got[0] == want[0]
-        # the reported segment really scores that much
-        sc = sum(1 if q[i - 1] == s[i - 1 + got[1]] else -2 for i in range(got[2], got[3] + 1))
-        assert sc == got[0]
+    q = ["".join(rng.choice("ACGTN") for _ in range(rng.randint(3, 14))) for _ in range(30)]
+    s = ["".join(rng.choice("ACGTN") for _ in range(rng.randint(3, 14))) for _ in range(30)]
+    cand = [(a, b, d) for a in range(30) for b in rng.sample(range(30), 6)
+            for d in rng.sample(range(-len(q[a]) + 1, len(s[b])), 3)]
+    ql, sl = np.array([len(x) for x in q]), np.array([len(x) for x in s])
+    qs, ss = np.cumsum(ql) - ql, np.cumsum(sl) - sl
+    a, b, d = np.array(cand).T
+    got = H.score_diagonals(H._codes("".join(q)), qs[a], ql[a], H._codes("".join(s)), ss[b], sl[b], d, 1, 2)
+    for k, (x, y, z) in enumerate(cand):
+        assert tuple(int(g[k]) for g in got) == brute_best(q[x], s[y], z), (q[x], s[y], z)
+
+
+def search(spark, seeds, subjects, **more):
+    sdf = spark.createDataFrame(seeds, "primer_name string, qseqid string, sequence string")
+    ddf = spark.createDataFrame(subjects, "sseqid string, sequence string")
+    return {(r["primer_name"], r["sseqid"]): r for r in H.homology_search(sdf, ddf, **more).collect()}
+
+
+def test_a_gap_does_not_end_a_hit_and_unknown_bases_earn_nothing(spark):
+    rng = random.Random(3)
+    seed = "".join(rng.choice("ACGT") for _ in range(200))
+    subjects = [("whole", seed), ("less", seed[:100] + seed[101:]), ("more", seed[:120] + "GATTACA" + seed[120:]),
+                ("minus", revcomp_str(seed[:70] + seed[73:])), ("n", seed[:60] + "N" * 8), ("none", "ACGT" * 30)]
+    hits = search(spark, [("P", "q", seed)], subjects)
+    assert (hits["P", "less"]["sstart"], hits["P", "less"]["send"], hits["P", "less"]["length"], hits["P", "less"]["qcovs"]) == (1, 199, 200, 100.0)
+    assert hits["P", "more"]["length"] == 207 and hits["P", "more"]["qcovs"] == 100.0
+    assert (hits["P", "minus"]["sstart"], hits["P", "minus"]["send"]) == (197, 1)
+    assert hits["P", "whole"]["bitscore"] > hits["P", "less"]["bitscore"] > hits["P", "more"]["bitscore"]
+    assert hits["P", "n"]["length"] == 60 and ("P", "none") not in hits
+    ns = search(spark, [("P", "q", seed[:40] + "N" * 60)], [("s", seed[:40] + "N" * 60)])
+    assert ns["P", "s"]["length"] == 40
+
+
+def test_output_is_linear_in_related_sequences(spark):
+    rng = random.Random(8)
+    base = "".join(rng.choice("ACGT") for _ in range(150))
+
+    def variant():
+        x = list(base)
+        for _ in range(6):
+            x[rng.randrange(len(x))] = rng.choice("ACGT")
+        return "".join(x)
+
+    seeds = [(f"P{k % 2}", f"q{k:02d}", variant()) for k in range(30)]
+    subjects = [(f"s{k}", variant()) for k in range(40)]
+    hits = search(spark, seeds, subjects)
+    assert len(hits) == 80
+    one = {k: tuple(v) for k, v in hits.items()}
+    assert one == {k: tuple(v) for k, v in search(spark, seeds, subjects, block_bases=700).items()}
+    assert one == {k: tuple(v) for k, v in search(spark, seeds, subjects * 2).items()}
 
 
 def test_planted_hits_on_both_strands(spark):
@@ -118,37 +160,27 @@ def test_hit_post_processing(spark):
     assert out["a2"]["subspecies"] == "Bombus x y" and out["a2"]["gene"] == "16S"
 
 
-def test_search_strategies_agree(spark):
-    rng = random.Random(31)
-    seeds, subjects = [], []
-    base = ["".join(rng.choice("ACGT") for _ in range(90)) for _ in range(6)]
-    for n in range(6):
-        seeds.append(("P1" if n % 2 else "P2", f"q{n}", base[n]))
-    for m in range(40):
-        parts = []
-        for _ in range(rng.randint(1, 3)):
-            src = base[rng.randrange(6)]
-            a = rng.randrange(0, 40)
-            piece = list(src[a:a + rng.randint(35, 50)])
-            for _ in range(rng.randint(0, 2)):
-                piece[rng.randrange(len(piece))] = rng.choice("ACGT")
-            piece = "".join(piece)
-            parts.append(piece if rng.random() < 0.6 else revcomp_str(piece))
-            parts.append("".join(rng.choice("ACGTN") for _ in range(rng.randint(0, 20))))
-        subjects.append((f"s{m}", "".join(parts)))
-    sdf = spark.createDataFrame(seeds, "primer_name string, qseqid string, sequence string")
-    ddf = spark.createDataFrame(subjects, "sseqid string, sequence string")
-    a = sorted(map(tuple, H.homology_search(sdf, ddf, k=12, w=5, strategy="join").collect()))
-    b = sorted(map(tuple, H.homology_search(sdf, ddf, k=12, w=5, strategy="broadcast").collect()))
-    assert a == b and len(a) > 20
-    empty = spark.createDataFrame([("s", "ACGT")], "sseqid string, sequence string")
-    assert H.homology_search(sdf, empty, strategy="broadcast").count() == 0
+def test_repeated_headers_do_not_multiply_hits(spark):
+    hits = spark.createDataFrame([("PX", "q1", "a1;Fam;Apis_mellifera;NA;B1", 1, 4, 4, 100.0, 50.0)],
+                                 "primer_name string, qseqid string, sseqid string, sstart int, send int, length int, qcovs double, bitscore double")
+    db = spark.createDataFrame([("a1;Fam;Apis_mellifera;NA;B1", "a1", "CCCC"), ("a1;Fam;Apis_mellifera;NA;B1", "a1", "AAAA")],
+                               "header string, accession string, sequence string")
+    rows = H.attach_taxonomy(hits, db).collect()
+    assert [r["sequence"] for r in rows] == ["AAAA"]
+
+
+def test_stage_counts_name_every_primer(spark):
+    one = spark.createDataFrame([("PX",), ("PX",)], "primer_name string")
+    none = spark.createDataFrame([], "primer_name string")
+    primers = spark.createDataFrame([("PX",), ("PY",)], "primer string")
+    rows = {(r["primer_name"], r["stage"]): r["n_rows"] for r in H.stage_counts(one, none, one, primers).collect()}
+    assert rows == {("PX", "seeds"): 2, ("PY", "seeds"): 0, ("PX", "candidates"): 2, ("PY", "candidates"): 0,
+                    ("PX", "filtered"): 0, ("PY", "filtered"): 0}
 
 
-def test_broadcast_strategy_never_shuffles_the_database(spark):
+def test_the_database_is_not_shuffled(spark):
     seeds = spark.createDataFrame([("P", "q1", "ACGT" * 30)], "primer_name string, qseqid string, sequence string")
     db = spark.createDataFrame([("s1", "TT" + "ACGT" * 30)], "sseqid string, sequence string")
-    plan = H.homology_search(seeds, db, strategy="broadcast")._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
-    join_plan = H.homology_search(seeds, db, strategy="join")._jdf.queryExecution().executedPlan().toString()
-    assert "kmer" in join_plan
+    plan = H.homology_search(seeds, db)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("MapInPandas") == 1
+    assert H.homology_search(seeds.limit(0), db).count() == 0
