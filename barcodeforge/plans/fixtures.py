@@ -30,13 +30,16 @@ SELECT * FROM (VALUES
 
 FIXTURES["fx_sequences"] = """
 WITH k AS (
-  SELECT *, CAST(p_partkey % 700 AS STRING) AS g FROM {part}
+  SELECT *, CAST(p_partkey % 300 AS INT) AS n, CAST(p_partkey % 300 AS STRING) AS g,
+         CASE WHEN p_partkey % 300 < 40 THEN split_part(p_name, ' ', 1) || CASE WHEN floor(p_partkey / 300) % 2 = 0 THEN ' one' ELSE ' two' END
+              ELSE p_name END AS named
+  FROM {part}
 ), s AS (
   SELECT *,
     translate(md5(g || ':1') || md5(g || ':2'), '0123456789abcdef', 'ACGTACGTACGTACGT')
     || 'GGTCAACAAATCATAAAGATATTGG'
-    || translate(md5(g || ':3') || md5(g || ':4') || md5(g || ':5') || md5(g || ':6'),
-                 '0123456789abcdef', 'ACGTACGTACGTACGT')
+    || substring(translate(md5(g || ':3') || md5(g || ':4') || md5(g || ':5') || md5(g || ':6') || md5(g || ':8'),
+                           '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 112 + n % 37)
     || reverse(translate('TAAACTTCAGGGTGACCAAAAAATCA', 'ACGT', 'TGCA'))
     || translate(md5(g || ':7'), '0123456789abcdef', 'ACGTACGTACGTACGT') AS fwd
   FROM k
@@ -44,8 +47,9 @@ WITH k AS (
 SELECT 'ACC' || lpad(CAST(p_partkey AS STRING), 7, '0')
          || CASE WHEN p_partkey % 4 = 0 THEN '-25' ELSE '' END AS accession,
        p_type AS family,
-       p_name AS species,
-       CASE WHEN p_size % 3 = 0 THEN p_name || ' sub' ELSE CAST(NULL AS STRING) END AS subspecies,
+       CASE WHEN n < 40 THEN CASE WHEN n % 3 = 0 THEN 'small ' WHEN n % 3 = 1 THEN 'red ' ELSE split_part(named, ' ', 1) || ' ' END
+                             || split_part(named, ' ', 2) ELSE named END AS species,
+       CASE WHEN p_size % 3 = 0 THEN named || ' sub' ELSE CAST(NULL AS STRING) END AS subspecies,
        'B' || lpad(CAST(p_size AS STRING), 5, '0') AS beeid,
        CASE WHEN p_partkey % 11 = 0 THEN reverse(translate(fwd, 'ACGT', 'TGCA')) ELSE fwd END AS sequence
 FROM s
@@ -78,7 +82,9 @@ SELECT '  ' || p_name || '  ' AS species_final,
             ELSE split_part(p_name, ' ', 1) || '   syn' || CAST(p_partkey % 5 AS STRING) END AS species_synonym,
        p_type AS family,
        'src' || CAST(p_partkey % 4 AS STRING) AS source,
-       CASE p_partkey % 3 WHEN 0 THEN 'US' WHEN 1 THEN 'Canada' ELSE CAST(NULL AS STRING) END AS country
+       CASE length(p_name) % 4 WHEN 0 THEN 'US' WHEN 1 THEN 'Canada'
+            WHEN 2 THEN CASE p_partkey % 3 WHEN 0 THEN 'US' WHEN 1 THEN 'Canada' ELSE CAST(NULL AS STRING) END
+            ELSE CAST(NULL AS STRING) END AS country
 FROM {part}
 """
 
@@ -92,13 +98,26 @@ SELECT DISTINCT p_name AS submitted_name, 3 AS data_source,
 FROM {part}
 """
 
-# taxonomy tree: order (region) > family (nation) > species (customer) > subspecies (orders)
+# taxonomy tree: phylum > class and order (region) > family (nation) > genus > species (customer,
+# and each part name) > subspecies (orders, and up to four of each part name). The phylum is its
+# own parent, as the root of a taxonomy dump is.
 FIXTURES["fx_taxa"] = """
-SELECT CAST(1000000 + r_regionkey AS BIGINT) AS taxid, CAST(NULL AS BIGINT) AS parent_taxid, 'order' AS rank, r_name AS name FROM {region}
+SELECT DISTINCT CAST(100000 + r_regionkey % 2 AS BIGINT) AS taxid, CAST(100000 + r_regionkey % 2 AS BIGINT) AS parent_taxid,
+       'phylum' AS rank, 'Phylum ' || CAST(r_regionkey % 2 AS STRING) AS name FROM {region}
+UNION ALL SELECT CAST(500000 + r_regionkey AS BIGINT), CAST(100000 + r_regionkey % 2 AS BIGINT), 'class', 'Class ' || r_name FROM {region}
+UNION ALL SELECT CAST(1000000 + r_regionkey AS BIGINT), CAST(500000 + r_regionkey AS BIGINT), 'order', r_name FROM {region}
 UNION ALL SELECT CAST(2000000 + n_nationkey AS BIGINT), CAST(1000000 + n_regionkey AS BIGINT), 'family', n_name FROM {nation}
-UNION ALL SELECT CAST(3000000 + c_custkey AS BIGINT), CAST(2000000 + c_nationkey AS BIGINT), 'species', c_name FROM {customer}
+UNION ALL SELECT DISTINCT CAST(2500000 + c_custkey % 500 AS BIGINT), CAST(2000000 + (c_custkey % 500) % 25 AS BIGINT), 'genus',
+                          'Genus ' || CAST(c_custkey % 500 AS STRING) FROM {customer}
+UNION ALL SELECT CAST(3000000 + c_custkey AS BIGINT), CAST(2500000 + c_custkey % 500 AS BIGINT), 'species', c_name FROM {customer}
 UNION ALL SELECT CAST(4000000 + o_orderkey AS BIGINT), CAST(3000000 + o_custkey AS BIGINT), 'subspecies',
                  'Customer sub' || CAST(o_orderkey AS STRING) FROM {orders}
+UNION ALL SELECT CAST(60000000 + min(p_partkey) AS BIGINT), CAST(2500000 + min(p_partkey) % 500 AS BIGINT), 'species', p_name
+          FROM {part} WHERE length(p_name) % 5 <> 0 GROUP BY p_name
+UNION ALL SELECT CAST(70000000 + min(p_partkey) AS BIGINT),
+                 CAST(60000000 + min(min(p_partkey)) OVER (PARTITION BY p_name) AS BIGINT), 'subspecies',
+                 p_name || ' sub' || CAST(p_size % 4 AS STRING)
+          FROM {part} WHERE length(p_name) % 5 <> 0 GROUP BY p_name, p_size % 4
 """
 
 FIXTURES["fx_accessions"] = """
@@ -125,12 +144,18 @@ SELECT accession,
 FROM {fx_sequences}
 """
 
-# search database: FASTA header packed "accession;family;species;subspecies;beeid", spaces as _
+# search database: FASTA header packed "accession;family;species;subspecies;beeid", spaces as _;
+# some headers come twice, with another sequence
 FIXTURES["fx_database"] = """
 SELECT replace(accession || ';' || family || ';' || species || ';' || coalesce(subspecies, 'NA') || ';' || beeid,
                ' ', '_') AS header,
        accession, sequence
 FROM {fx_sequences}
+UNION ALL
+SELECT replace(accession || ';' || family || ';' || species || ';' || coalesce(subspecies, 'NA') || ';' || beeid,
+               ' ', '_') AS header,
+       accession, 'TT' || substring(sequence, 3, 400) AS sequence
+FROM {fx_sequences} WHERE accession LIKE '%7'
 """
 
 # relatives: about 13 variants of each of 150 base sequences (a base changed in all, one removed
@@ -175,9 +200,11 @@ SELECT primer_name, accession AS qseqid, core AS sequence FROM {fx_relatives} WH
 FIXTURES["fx_hits"] = """
 SELECT 'Q' || CAST(l.l_orderkey AS STRING) AS qseqid,
        d.header AS sseqid,
-       CASE WHEN l.l_linenumber % 2 = 0 THEN 20 + l.l_linenumber ELSE 140 + CAST(l.l_quantity AS INT) END AS sstart,
-       CASE WHEN l.l_linenumber % 2 = 0 THEN 140 + CAST(l.l_quantity AS INT) ELSE 20 + l.l_linenumber END AS send,
-       121 + CAST(l.l_quantity AS INT) - l.l_linenumber AS length,
+       CASE WHEN l.l_linenumber % 2 = 0 THEN 20 + l.l_linenumber
+            ELSE 140 + CAST(l.l_quantity AS INT) + CASE WHEN l.l_orderkey % 2 = 0 THEN 0 ELSE 50 END END AS sstart,
+       CASE WHEN l.l_linenumber % 2 = 0 THEN 140 + CAST(l.l_quantity AS INT) + CASE WHEN l.l_orderkey % 2 = 0 THEN 0 ELSE 50 END
+            ELSE 20 + l.l_linenumber END AS send,
+       121 + CAST(l.l_quantity AS INT) - l.l_linenumber + CASE WHEN l.l_orderkey % 2 = 0 THEN 0 ELSE 50 END AS length,
        l.l_discount * 100 AS qcovs,
        l.l_extendedprice AS bitscore,
        CASE WHEN l.l_orderkey % 2 = 0 THEN 'P1' ELSE 'P3' END AS primer_name

@@ -111,15 +111,18 @@ def q_split_headers(spark, sf_dir):
     return S.split_headers(db.withColumnRenamed("accession", "acc_column"))
 
 
-@query("header_pattern", duckdb_sql([], """
-SELECT doc_id, source FROM documents WHERE regexp_matches(text, 'gene=COX1', 'i')"""))
+_PATTERN = "^acc[0-9]*[37](-25)? .*OXIDASE subunit i gene"
+
+
+@query("header_pattern", duckdb_sql(["fx_ncbi_fasta"], f"""
+SELECT header FROM fx_ncbi_fasta WHERE regexp_matches(header, '{_PATTERN}', 'i')"""))
 def q_header_pattern(spark, sf_dir):
-    """records whose header matches ``gene=COX1`` (case-insensitive), over document text."""
-    docs, = fixtures(spark, sf_dir, "documents")
-    return docs.filter(C.header_matches("text", "gene=COX1")).select("doc_id", "source")
+    """records whose header matches a pattern (case-insensitive)."""
+    fasta, = fixtures(spark, sf_dir, "fx_ncbi_fasta")
+    return fasta.filter(C.header_matches("header", _PATTERN)).select("header")
 
 
-@query("fasta_roundtrip")
+@query("fasta_roundtrip", duckdb_sql(["fx_database"], "SELECT header, sequence FROM fx_database"))
 def q_fasta_roundtrip(spark, sf_dir):
     """K4 then S5 over the whole database: write FASTA (wrapped at 60) into the session's
     checkpoint folder (shared storage on a cluster), read it back as (header, sequence)."""
