@@ -29,5 +29,7 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_warc_store": warc_store.ORACLE,
+    "op6_lyndon_suffixes": lyndon_suffixes.ORACLE,
     "op8_perspectives": perspectives.ORACLE,
 }

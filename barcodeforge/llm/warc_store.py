@@ -179,3 +179,16 @@ def op3(spark, sf_dir: str) -> DataFrame:
         F.col("record_id").cast(kind).alias("page_id"), F.octet_length("payload").cast("bigint").alias("payload_bytes"),
         base32_sha1(F.sha1("payload")).alias("payload_digest"), "record_type",
         F.col("refers_to").cast(kind).alias("refers_to"))
+
+
+ORACLE = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, octet_length(encode(html)) AS n, sha1(html) AS h, min(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           CAST(((CAST('0x' || substr(h, CAST((k // 8) * 10 + 1 AS BIGINT), 10) AS BIGINT) >> CAST(35 - 5 * (k % 8) AS BIGINT)) & 31) + 1 AS BIGINT), 1)), '')
+           AS payload_digest,
+       CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > first THEN first END AS refers_to
+FROM d
+"""
