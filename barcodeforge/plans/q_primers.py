@@ -224,31 +224,109 @@ def q_primer_summary(spark, sf_dir):
     return P.primer_summary(materialize(P.seed_context(seeds, pr, seqs)))  # read twice: stage boundary
 
 
-# --- default (fuzzy, OSA) path: no SQL oracle --------------------------------------------
+# --- default (fuzzy, OSA) path ------------------------------------------------------------
+
+_SITES = (("GGTCAACAAATCATAAAGATATTGG", "GGTCTACAAATGATAAAGATTTTGG"),
+          ("TGATTTTTTGGTCACCCTGAAGTTTA", "TGATTTTTAGGTCACCGTGAAGTTTA"))
+
 
 def mutated_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every record plus a twin whose primer sites carry substitutions (planted errors)."""
     _, pr, seqs = sequences(spark, sf_dir)
-    twin = seqs.withColumn("accession", F.concat("accession", F.lit("-m"))) \
-        .withColumn("sequence", F.regexp_replace(F.regexp_replace(
-            "sequence", "GGTCAACAAATCATAAAGATATTGG", "GGTCTACAAATGATAAAGATTTTGG"),
-            "TGATTTTTTGGTCACCCTGAAGTTTA", "TGATTTTTAGGTCACCGTGAAGTTTA"))
+    twin = seqs.withColumn("accession", F.concat("accession", F.lit("-m")))
+    for site, changed in _SITES:
+        twin = twin.withColumn("sequence", F.regexp_replace("sequence", site, changed))
     return seqs.unionByName(twin), pr
 
 
-@query("primer_fuzzy_crop")
+_BASES = _values((k, v) for k, v in IUPAC_CODES.items() if k != "U")
+
+
+def _sites(name: str, codes: str, length: str, after: str) -> list[tuple[str, str]]:
+    """CTE ``name``: the best site of a primer in each distinct sequence (fewest mismatches, then
+    leftmost; at most a fifth of the primer), ``pos`` counted from 0; ``after`` bounds it."""
+    return [(f"{name}_all", f"""
+SELECT sequence, primer_name, flen, rlen, {after}pos,
+       list_sum(list_transform(range(1, {length} + 1),
+                lambda k: CASE WHEN contains({codes}[k], substr(sequence, CAST(pos + k AS BIGINT), 1)) THEN 0 ELSE 1 END)) AS errors
+FROM {name}_at"""),
+            (name, f"""
+SELECT * FROM {name}_all WHERE errors <= floor(0.2 * {length} + 1e-9)
+QUALIFY row_number() OVER (PARTITION BY sequence, primer_name ORDER BY errors, pos) = 1""")]
+
+
+def _osa(name: str, texts: str, pattern: str) -> list[tuple[str, str]]:
+    """CTE ``name``: optimal string alignment distance of each (primer_name, a) of ``texts`` to the
+    primer's ``pattern`` (list of base sets), one row of the recurrence per step. The insertions
+    within a row are a running minimum of t[k] - k."""
+    match = lambda i, j: f"contains({pattern}[{j}], substr(a, CAST({i} AS BIGINT), 1))"
+    return [(f"{name}_t", f"""
+SELECT t.primer_name, t.a, p.{pattern}, 0 AS i, CAST([] AS BIGINT[]) AS before, range(0, len(p.{pattern}) + 1) AS row
+FROM (SELECT DISTINCT primer_name, upper({texts}) AS a FROM {"m" if name == "fo" else "fe"}) t JOIN bases_of p USING (primer_name)
+UNION ALL
+SELECT primer_name, a, {pattern}, i + 1, row,
+       list_transform(range(0, len({pattern}) + 1), lambda j: list_min(list_transform(t[1:j + 1], lambda x, k: x + j - k + 1)))
+FROM (
+  SELECT *, list_transform(range(0, len({pattern}) + 1), lambda j: CASE WHEN j = 0 THEN i + 1 ELSE least(
+      row[j + 1] + 1, row[j] + CASE WHEN {match("i + 1", "j")} THEN 0 ELSE 1 END,
+      CASE WHEN i > 0 AND j > 1 AND {match("i + 1", "j - 1")} AND {match("i", "j")} THEN before[j - 1] + 1 ELSE 999 END) END) AS t
+  FROM {name}_t WHERE i < length(a))"""),
+            (name, f"SELECT primer_name, a, row[len(row)] AS d FROM {name}_t WHERE i = length(a)")]
+
+
+def _fuzzy_ctes() -> list[tuple[str, str]]:
+    given = dict(PRIMER_CTES)
+    twin = "sequence"
+    for site, changed in _SITES:
+        twin = f"replace({twin}, '{site}', '{changed}')"
+    out = [(n, given[n]) for n in ("classes", "pr", "fpos", "rpos", "hdr")]
+    out += [("seqs0", given["seqs"]), ("seqs", f"""
+SELECT * FROM seqs0 UNION ALL SELECT * REPLACE (accession || '-m' AS accession, {twin} AS sequence) FROM seqs0""")]
+    out += [("scan", """
+SELECT s.sequence, pr.*, fa, ra FROM (SELECT DISTINCT sequence FROM seqs) s CROSS JOIN pr
+JOIN (SELECT primer_name, list(cls ORDER BY i) AS fa FROM fpos JOIN classes ON code = substring(f, i, 1) GROUP BY ALL) USING (primer_name)
+JOIN (SELECT primer_name, list(cls ORDER BY i) AS ra FROM rpos JOIN classes ON code = substring(r, i, 1) GROUP BY ALL) USING (primer_name)"""),
+            ("fs_at", "SELECT *, unnest(range(0, length(sequence) - flen + 1)) AS pos FROM scan")]
+    out += _sites("fs", "fa", "flen", "")
+    out += [("rs_at", """
+SELECT scan.*, fs.pos AS f_at, unnest(range(fs.pos + scan.flen, length(scan.sequence) - scan.rlen + 1)) AS pos
+FROM scan JOIN fs USING (sequence, primer_name)""")]
+    out += _sites("rs", "ra", "rlen", "f_at, ")
+    out += [("crops", """
+SELECT rs.primer_name, s.accession, s.beeid, substr(s.sequence, CAST(f_at + 1 AS BIGINT), CAST(pos + rlen - f_at AS BIGINT)) AS sequence
+FROM seqs s JOIN rs USING (sequence)"""), ("m", given["m"])]
+    out += [("bases", f"SELECT * FROM (VALUES {_BASES}) AS t(code, bases)"), ("bases_of", """
+SELECT pr.primer_name, fb, rb FROM pr
+JOIN (SELECT primer_name, list(bases ORDER BY i) AS fb FROM fpos JOIN bases ON code = substring(f, i, 1) GROUP BY ALL) USING (primer_name)
+JOIN (SELECT primer_name, list(bases ORDER BY i) AS rb FROM rpos JOIN bases ON code = substring(r, i, 1) GROUP BY ALL) USING (primer_name)""")]
+    out += _osa("fo", "forward_primer_match", "fb")
+    out += [("fe0", """
+SELECT m.*, fo.d, CAST(CASE WHEN fo.d <= flen THEN fo.d END AS DOUBLE) AS forward_primer_errors
+FROM m LEFT JOIN fo ON fo.primer_name = m.primer_name AND fo.a = upper(m.forward_primer_match)"""), ("fe", given["fe"])]
+    out += _osa("ro", "reverse_primer_match", "rb")
+    out += [("re", """
+SELECT fe.*, CAST(CASE WHEN ro.d <= rlen THEN ro.d END AS DOUBLE) AS reverse_primer_errors
+FROM fe LEFT JOIN ro ON ro.primer_name = fe.primer_name AND ro.a = upper(fe.reverse_primer_match)""")]
+    return out + [(n, given[n]) for n in ("kept", "seeds")]
+
+
+def _fuzzy_oracle(body: str, extra=()) -> str:
+    return duckdb_sql(_FIX, body, ctes=_fuzzy_ctes() + list(extra), recursive=True)
+
+
+@query("primer_fuzzy_crop", _fuzzy_oracle("SELECT * FROM crops"))
 def q_primer_fuzzy_crop(spark, sf_dir):
     seqs, pr = mutated_sequences(spark, sf_dir)
     return P.crop_by_primers(seqs, pr, 0.2, keep=("accession", "beeid"))
 
 
-@query("seed_sequences")
+@query("seed_sequences", _fuzzy_oracle("SELECT * FROM seeds"))
 def q_seed_sequences(spark, sf_dir):
     seqs, pr = mutated_sequences(spark, sf_dir)
     return P.seed_sequences(seqs, pr)
 
 
-@query("primer_summary_fuzzy")
+@query("primer_summary_fuzzy", _fuzzy_oracle(_SUMMARY, _CONTEXT_CTES))
 def q_primer_summary_fuzzy(spark, sf_dir):
     seqs, pr = mutated_sequences(spark, sf_dir)
     return P.primer_summary(materialize(P.seed_context(P.seed_sequences(seqs, pr), pr, seqs)))
