@@ -7,6 +7,6 @@ Column names and types are aligned on both sides: counts BIGINT, rounded values
 
 from __future__ import annotations
 
-from barcodeforge.plans import q_checklist, q_conflicts, q_homology, q_primers, q_sources  # noqa: F401  (registration)
+from barcodeforge.plans import q_build, q_checklist, q_conflicts, q_homology, q_primers, q_sources  # noqa: F401  (registration)
 from barcodeforge.plans.q_conflicts import entry_query  # noqa: F401
 from barcodeforge.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -175,7 +175,7 @@ FROM seqs"""),
 SELECT * EXCLUDE (rn) FROM (
   SELECT s.*, CASE WHEN contains(s.accession, '-') THEN 'BOLD' ELSE 'NCBI' END AS source,
          pr.gene, pr.expected_length, r.family, r.species, r.subspecies, r.beeid, r.original_sequence, r.genus,
-         row_number() OVER (PARTITION BY s.primer_name, s.accession, s.sequence ORDER BY r.beeid) AS rn
+         row_number() OVER (PARTITION BY s.primer_name, s.accession, s.sequence ORDER BY r.beeid, r.family, r.species, r.subspecies, r.original_sequence) AS rn
   FROM seeds s LEFT JOIN pr USING (primer_name)
   LEFT JOIN recs r ON s.accession IS NOT DISTINCT FROM r.accession) WHERE rn = 1"""),
 ]

@@ -136,7 +136,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", sep: str =
               partition_by: Sequence[str] | None = None) -> None:
     """K1 / K2: delimited text with a header, NULL written as ``NA``."""
     (_writer(df, mode, partition_by).option("header", True).option("sep", sep).option("nullValue", NA)
-     .csv(path))
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists", partition_by: Sequence[str] | None = None) -> None:
