@@ -124,15 +124,59 @@ def _exact_crops(seqs: DataFrame, chunk: list[dict], keep: list[str]) -> DataFra
     return out.select(F.col("_h.primer_name").alias("primer_name"), *keep, F.col("_h.crop").alias("sequence"))
 
 
-def _best_site(s: np.ndarray, p: np.ndarray, k: int, start: int) -> int:
-    """Leftmost start (>= start) of the window with the fewest mismatches, if <= k, else -1."""
-    m = p.shape[0]
-    if s.shape[0] - start < m:
-        return -1
-    win = np.lib.stride_tricks.sliding_window_view(s[start:], m)
-    mism = np.count_nonzero((win & p) == 0, axis=1)
-    i = int(np.argmin(mism))
-    return start + i if mism[i] <= k else -1
+_NO_SITE = 255
+
+
+def _mismatches(codes: np.ndarray, primer: np.ndarray) -> np.ndarray:
+    """Mismatches of the primer at every start, over all sequences of a batch at once (a start
+    too close to the end of the array has none)."""
+    n = codes.shape[0] - primer.shape[0] + 1
+    out = np.zeros(max(0, n), dtype=np.uint8 if primer.shape[0] < _NO_SITE else np.uint16)
+    for k, mask in enumerate(primer):
+        out += (codes[k:k + n] & mask) == 0
+    return out
+
+
+def _best_sites(mism: np.ndarray, low: np.ndarray, high: np.ndarray, k: int) -> np.ndarray:
+    """For each range of starts ``[low, high)``: the leftmost one with the fewest mismatches, if
+    those are at most ``k``, else -1. Ranges are ascending and do not overlap."""
+    out = np.full(low.shape[0], -1, dtype=np.int64)
+    live = np.flatnonzero(high > low)
+    if not live.shape[0]:
+        return out
+    edges = np.stack([low[live], high[live]], axis=1).ravel()
+    padded = np.append(mism, np.array([np.iinfo(mism.dtype).max], dtype=mism.dtype))  # an end may be the array's
+    least = np.minimum.reduceat(padded, edges)[::2]
+    good = least <= k
+    live, least = live[good], least[good]
+    size = high[live] - low[live]
+    first = np.cumsum(size) - size
+    owner = np.repeat(np.arange(live.shape[0]), size)
+    at = np.arange(int(size.sum())) - first[owner] + low[live][owner]
+    hit = np.flatnonzero(mism[at] == least[owner])
+    own = owner[hit]
+    hit = hit[np.concatenate([[True], own[1:] != own[:-1]])] if hit.shape[0] else hit
+    out[live] = at[hit]
+    return out
+
+
+def scan_batch(seqs: list, primers: list[tuple], table: np.ndarray) -> list[tuple[str, int, int, int]]:
+    """``(primer, row, start, end)`` of the amplicon of every sequence and primer pair: one pass of
+    mismatch counts per primer position over the whole batch, then a leftmost minimum in each
+    sequence, and for the reverse site in what follows the forward one."""
+    lens = np.array([len(x) if x is not None else 0 for x in seqs], dtype=np.int64)
+    start = np.cumsum(lens) - lens
+    codes = table[np.frombuffer("".join(x or "" for x in seqs).encode("ascii", "replace"), dtype=np.uint8)]
+    out = []
+    for name, fm, rm, kf, kr in primers:
+        f = _best_sites(_mismatches(codes, fm), start, start + lens - fm.shape[0] + 1, kf)
+        rows = np.flatnonzero(f >= 0)
+        if not rows.shape[0]:
+            continue
+        r = _best_sites(_mismatches(codes, rm), f[rows] + fm.shape[0], start[rows] + lens[rows] - rm.shape[0] + 1, kr)
+        for row, a, b in zip(rows[r >= 0].tolist(), f[rows][r >= 0].tolist(), r[r >= 0].tolist()):
+            out.append((name, row, a - int(start[row]), b - int(start[row]) + rm.shape[0]))
+    return out
 
 
 def _edit_row_min(prev: np.ndarray, cost: np.ndarray, j: int, free_start: bool) -> np.ndarray:
@@ -195,27 +239,27 @@ def _scan_fn(chunk: list[dict], max_error: float, keep: list[str], indels: bool
             rows = []
             seq_col = pdf["sequence"].tolist()
             kept = [pdf[c].tolist() for c in keep]
+            if not indels:
+                # sites repeat: each distinct sequence of the batch is scanned once
+                texts = list(dict.fromkeys(x for x in seq_col if x is not None))
+                found: dict[str, list] = {}
+                for name, n, a, b in scan_batch(texts, prim, table):
+                    found.setdefault(texts[n], []).append((name, texts[n][a:b]))
+                for idx, seq in enumerate(seq_col):
+                    rows += [(name, *[k[idx] for k in kept], crop) for name, crop in found.get(seq, ())]
+                yield pd.DataFrame(rows, columns=out_cols)
+                continue
             for idx, seq in enumerate(seq_col):
                 if seq is None:
                     continue
                 s = table[np.frombuffer(seq.encode("ascii", "replace"), dtype=np.uint8)]
                 for name, fm, rm, kf, kr in prim:
-                    if indels:
-                        i, fe = _best_site_indels(s, fm, kf, 0)
-                        if i < 0:
-                            continue
-                        _, re = _best_site_indels(s, rm, kr, fe)
-                        if re < 0:
-                            continue
-                        rows.append((name, *[k[idx] for k in kept], seq[i:re]))
-                        continue
-                    i = _best_site(s, fm, kf, 0)
+                    i, fe = _best_site_indels(s, fm, kf, 0)
                     if i < 0:
                         continue
-                    j = _best_site(s, rm, kr, i + fm.shape[0])
-                    if j < 0:
-                        continue
-                    rows.append((name, *[k[idx] for k in kept], seq[i:j + rm.shape[0]]))
+                    _, re = _best_site_indels(s, rm, kr, fe)
+                    if re >= 0:
+                        rows.append((name, *[k[idx] for k in kept], seq[i:re]))
             yield pd.DataFrame(rows, columns=out_cols)
 
     return scan
