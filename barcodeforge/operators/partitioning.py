@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SMALL_INPUT_BYTES = 1 << 30
+BROADCAST_BYTES = 16 << 20
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -44,7 +45,8 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast hint only after counting the rows (for small reference tables such as the
-    primer table); beyond ``max_rows`` the planner's own shuffle join is used instead."""
-    return F.broadcast(df) if df.count() <= max_rows else df
+def checked_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint for a small reference table (such as the primer table) whose estimated size
+    in bytes is at most ``max_bytes``; no job runs to find out. A larger table is joined as the
+    planner sees fit."""
+    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df

@@ -12,8 +12,8 @@ def test_checked_broadcast_falls_back_beyond_limit(spark):
     small = spark.range(10).withColumnRenamed("id", "k")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        hinted = big.join(checked_broadcast(small, max_rows=100), "k")
-        plain = big.join(checked_broadcast(small, max_rows=5), "k")
+        hinted = big.join(checked_broadcast(small, max_bytes=100), "k")
+        plain = big.join(checked_broadcast(small, max_bytes=5), "k")
         assert "BroadcastHashJoin" in _plan(hinted)
         assert "BroadcastHashJoin" not in _plan(plain)
     finally:
