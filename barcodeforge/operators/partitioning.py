@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barcodeforge.session import ensure_checkpoint_dir
+
 SMALL_INPUT_BYTES = 1 << 30
 BROADCAST_BYTES = 16 << 20
 
@@ -31,18 +35,20 @@ def spread(df: DataFrame, min_partitions: int | None = None, max_bytes: int = SM
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Stage boundary: write ``df`` once to the session's reliable checkpoint folder and read
-    it from there.
+    """Stage boundary: write ``df`` once as Parquet to the session's shared folder
+    (``spark.checkpoint.dir``) and read it from there.
 
     Used where an expensive frame feeds several branches of the next stage (seeds feed the
     statistics and the median pass; search hits feed dedup counts, join-backs and conflict
     sets), so the expensive work runs once and a lost executor recomputes from the last
-    boundary only.
+    boundary only. The folder is removed when the driver ends, in any session.
     """
-    from barcodeforge.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def checked_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from barcodeforge.functions import columns as C
 from barcodeforge.functions.nulls import join_null_safe, n_distinct_na
+from barcodeforge.operators.partitioning import materialize
 from barcodeforge.session import ensure_checkpoint_dir
 
 # --- fixed values -----------------------------------------------------------------------
@@ -80,9 +81,8 @@ def dense_ids(df: DataFrame, key: str, id_col: str, prefix: str = "B", width: in
     checkpointed so both uses see the same numbering, and per-partition counts (one row per
     partition) give the offsets. No single task ever holds all keys.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     keys = df.select(key).distinct().orderBy(F.col(key).asc_nulls_last())
-    indexed = keys.withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    indexed = materialize(keys.withColumn("_mid", F.monotonically_increasing_id()))
     pid = F.shiftright(F.col("_mid"), 33)
     counts = indexed.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n")).orderBy("_pid").collect()
     offsets, running = [], 0
@@ -156,47 +156,62 @@ def descendants(nodes: DataFrame, start: DataFrame, rank: str | None = None) ->
     """Every descendant of the ``start`` taxids (column ``taxid``), with its rank and
     the start taxid it descends from (``ancestor_taxid``); optionally only one rank.
 
-    A node is met once per start: what was found before does not step again, so a root that
-    is its own parent, or a longer loop, ends the walk instead of the query.
+    A root that is its own parent is no child. A longer loop among the nodes ends the walk, not
+    the query: from level ``LOOP_LEVEL`` on, what was found before does not step again.
     """
     edges = nodes.select("taxid", "parent_taxid", "rank").where("taxid <> parent_taxid")
     by_parent = _partitioned(edges, "parent_taxid")
     frontier = start.select(F.col("taxid").alias("ancestor_taxid"), F.col("taxid").alias("node")) \
         .filter(F.col("node").isNotNull()).distinct()
-    known, found = frontier, None
-    while True:
-        step = (frontier.join(by_parent, frontier["node"] == by_parent["parent_taxid"])
+
+    def step(frontier: DataFrame) -> DataFrame:
+        return (frontier.join(by_parent, frontier["node"] == by_parent["parent_taxid"])
                 .select("ancestor_taxid", F.col("taxid").alias("node"), "rank"))
-        step = step.join(known, ["ancestor_taxid", "node"], "left_anti").dropDuplicates(["ancestor_taxid", "node"])
-        step = step.checkpoint(eager=True)
-        if step.isEmpty():
-            break
-        found = step if found is None else found.unionByName(step)
-        frontier = step.select("ancestor_taxid", "node")
-        known = known.unionByName(frontier)
+
+    found = _walk(frontier, step, lambda s: s.select("ancestor_taxid", "node"), ["ancestor_taxid", "node"])
     if found is None:
         return start.sparkSession.createDataFrame([], "ancestor_taxid long, taxid long, rank string")
-    out = found.withColumnRenamed("node", "taxid")
+    out = found.filter("node <> ancestor_taxid").withColumnRenamed("node", "taxid")
     return out if rank is None else out.filter(F.col("rank") == rank)
 
 
+LOOP_LEVEL = 40  # taxonomies are less deep; only a loop gets here
+
+
+def _walk(frontier: DataFrame, step, following, key: list[str]) -> DataFrame | None:
+    """All rows of repeated steps from ``frontier``, each level written once; None if none."""
+    known, found, level = frontier, None, 0
+    while True:
+        rows = step(frontier)
+        if level >= LOOP_LEVEL:
+            rows = rows.join(known, key, "left_anti").dropDuplicates(key)
+        rows = materialize(rows)
+        if rows.isEmpty():
+            break
+        found = rows if found is None else found.unionByName(rows)
+        known = known.unionByName(rows.select(*key))
+        frontier = following(rows)
+        level += 1
+    return found.dropDuplicates(key) if found is not None and level >= LOOP_LEVEL else found
+
+
 def ancestors(nodes: DataFrame, start: DataFrame) -> DataFrame:
     """Every ancestor (and the node itself) of the ``start`` taxids: (taxid, ancestor, rank).
     As in :func:`descendants`, a loop among the nodes ends the walk."""
     by_id = _partitioned(nodes.select("taxid", "parent_taxid", "rank"), "taxid")
     frontier = start.select(F.col("taxid").alias("start"), F.col("taxid").alias("node")) \
         .filter(F.col("node").isNotNull()).distinct()
-    known, found = frontier, None
-    while True:
-        step = (frontier.join(by_id, frontier["node"] == by_id["taxid"])
-                .select("start", "node", "rank", "parent_taxid")).checkpoint(eager=True)
-        if step.isEmpty():
-            break
-        here = step.select("start", "node", "rank")
-        found = here if found is None else found.unionByName(here)
-        frontier = step.filter(F.col("parent_taxid").isNotNull()).select("start", F.col("parent_taxid").alias("node")) \
-            .distinct().join(known, ["start", "node"], "left_anti")
-        known = known.unionByName(frontier)
+
+    def step(frontier: DataFrame) -> DataFrame:
+        return (frontier.join(by_id, frontier["node"] == by_id["taxid"])
+                .select("start", "node", "rank", "parent_taxid"))
+
+    def following(rows: DataFrame) -> DataFrame:
+        return rows.filter(F.col("parent_taxid").isNotNull() & (F.col("parent_taxid") != F.col("node"))) \
+            .select("start", F.col("parent_taxid").alias("node"))
+
+    # the start itself is the first step's row, so it is not known before that
+    found = _walk(frontier, step, following, ["start", "node"])
     if found is None:
         return start.sparkSession.createDataFrame([], "taxid long, ancestor long, rank string")
     return found.select(F.col("start").alias("taxid"), F.col("node").alias("ancestor"), "rank")

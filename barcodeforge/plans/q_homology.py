@@ -88,13 +88,18 @@ def q_hit_crop_oriented(spark, sf_dir):
     return oriented(spark, sf_dir)[0]
 
 
-@query("stage_counts", _hit_oracle("""
-SELECT primer_name, 'candidates' AS stage, count(*) AS n_rows FROM best GROUP BY primer_name
-UNION ALL
-SELECT primer_name, 'filtered' AS stage, count(*) AS n_rows FROM oriented GROUP BY primer_name"""))
+_STAGES = [("seeds", "seeds"), ("candidates", "best"), ("filtered", "oriented")]
+
+
+@query("stage_counts", duckdb_sql(["fx_primers", "fx_database", "fx_hits"], " UNION ALL ".join(f"""
+SELECT p.primer AS primer_name, '{name}' AS stage, count(r.primer_name) AS n_rows
+FROM fx_primers p LEFT JOIN {rows} r ON r.primer_name = p.primer GROUP BY p.primer""" for name, rows in _STAGES),
+    ctes=PRIMER_CTES + HIT_CTES, recursive=True))
 def q_stage_counts(spark, sf_dir):
     final, best = oriented(spark, sf_dir)
-    return H.stage_counts(best, final)
+    db, pr = fixtures(spark, sf_dir, "fx_database", "fx_primers")
+    seeds = P.seed_sequences(P.prepare_sequences(db), pr, max_error=0, metric="levenshtein")
+    return H.stage_counts(materialize(best.select("primer_name")), final, seeds, pr)
 
 
 @query("hit_sequence_database", duckdb_sql(

@@ -221,7 +221,7 @@ FROM stats s LEFT JOIN nmed n USING (primer_name)"""
 def q_primer_summary(spark, sf_dir):
     db, pr, seqs = sequences(spark, sf_dir)
     seeds = P.seed_sequences(seqs, pr, max_error=0, metric="levenshtein")
-    return P.primer_summary(materialize(P.seed_context(seeds, pr, seqs)))  # read twice: stage boundary
+    return P.primer_summary(materialize(P.seed_context(seeds, pr, seqs, with_original=False)))  # read twice: stage boundary
 
 
 # --- default (fuzzy, OSA) path ------------------------------------------------------------
@@ -329,4 +329,4 @@ def q_seed_sequences(spark, sf_dir):
 @query("primer_summary_fuzzy", _fuzzy_oracle(_SUMMARY, _CONTEXT_CTES))
 def q_primer_summary_fuzzy(spark, sf_dir):
     seqs, pr = mutated_sequences(spark, sf_dir)
-    return P.primer_summary(materialize(P.seed_context(P.seed_sequences(seqs, pr), pr, seqs)))
+    return P.primer_summary(materialize(P.seed_context(P.seed_sequences(seqs, pr), pr, seqs, with_original=False)))
