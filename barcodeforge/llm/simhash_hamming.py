@@ -109,9 +109,11 @@ def hamming_components(distinct: DataFrame) -> DataFrame:
     construction and are linked to the smallest of them, not pairwise; pairs from the table
     are then only kept when they join two groups that the first step left apart.
     """
-    # every fingerprint grows to 66 rows: the small table is dealt to all tasks before that
+    # every fingerprint grows to 66 rows: the small table is dealt to all tasks before that, by an
+    # expression of its own, since a partitioning that is there already would be kept and merged
     parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    balls = _balls(distinct.repartition(parts, "fp"))
+    deal = lambda df: df.repartition(parts, F.xxhash64("fp"))
+    balls = _balls(deal(distinct))
     # hubs: a whole fingerprint at most one flip away; each is shared by at most 65 others
     near = balls.where("flips = 1 or seg = 0").select("near", "fp")
     shared = near.groupBy("near").agg(F.min("fp").alias("least"), F.max("fp").alias("most")).where("least <> most")
@@ -119,7 +121,7 @@ def hamming_components(distinct: DataFrame) -> DataFrame:
     close = C.stage_table(connected_components(stars))
     known = C.stage_table(distinct.join(close, distinct["fp"] == close["node"], "left")
                           .select("fp", F.coalesce("component", "fp").alias("grp")))
-    probes = (_balls(known.select("fp").repartition(parts, "fp")).select("fp", _segment(F.col("near"), F.col("seg")).alias("key")))
+    probes = (_balls(deal(known.select("fp"))).select("fp", _segment(F.col("near"), F.col("seg")).alias("key")))
     entries = known.select("fp", "grp", F.explode(F.array(F.lit(0), F.lit(1))).alias("seg")).select(
         F.col("fp").alias("other"), F.col("grp").alias("other_grp"), _segment(F.col("fp"), F.col("seg")).alias("key"))
     # a probe that only meets its own entry leads nowhere; most end here, before any pair is made
