@@ -108,7 +108,7 @@ def q_stage_counts(spark, sf_dir):
     + "\n" + flagged_select("primer_name, "), ctes=HIT_CTES))
 def q_hit_sequence_database(spark, sf_dir):
     final, _ = oriented(spark, sf_dir)
-    return G.sequence_database(final, by=("primer_name",))
+    return G.sequence_database(materialize(final), by=("primer_name",))      # stage boundary: filtered hits
 
 
 # --- H1: the search itself -------------------------------------------------------------------

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from barcodeforge.functions import columns as C
 from barcodeforge.operators import cleaning as S
+from barcodeforge.operators.partitioning import materialize
 from barcodeforge.plans.fixtures import duckdb_sql, fixtures
 from barcodeforge.plans.q_checklist import CHECKLIST_CTES, CHECKLIST_FIXTURES, checklist_with_ids
 from barcodeforge.plans.registry import query
@@ -24,7 +25,7 @@ def bold_clean(spark: SparkSession, sf_dir: str, checklist: DataFrame | None = N
 
 
 def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checklist = checklist_with_ids(spark, sf_dir)
+    checklist = materialize(checklist_with_ids(spark, sf_dir))               # both sources join it
     return S.merge_sources(ncbi_clean(spark, sf_dir, checklist), bold_clean(spark, sf_dir, checklist))
 
 
