@@ -3,7 +3,6 @@ written stage tables in the shared folder, and the cross-validation fold of a do
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barcodeforge.session import ensure_checkpoint_dir
+from barcodeforge.operators.partitioning import materialize
 
 #: text bytes that one numpy pass works on; a longer single text is one pass of its own
 PASS_BYTES = 2 << 20
@@ -30,12 +29,9 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 def stage_table(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet into the session's shared folder (``spark.checkpoint.dir``) and
-    read it back: the plan behind it is cut and a lost executor costs no earlier stage."""
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """``df`` written once as Parquet to the session's shared folder (``spark.checkpoint.dir``) and
+    read back: the plan behind it is cut and a lost executor costs no earlier stage."""
+    return materialize(df)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
