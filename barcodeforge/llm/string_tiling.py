@@ -18,11 +18,22 @@ FILTER_CELLS = 1 << 24
 _MASK = (1 << 61) - 1
 
 
+def _letters(data: np.ndarray) -> np.ndarray:
+    """Bytes of words: letters and digits, and all beyond ASCII but the punctuation in
+    U+0080..U+00BF and U+2000..U+206F."""
+    out = C.IS_WORD[data]
+    if len(data) > 2:
+        latin = np.flatnonzero((data[:-1] == 0xC2) & ~np.isin(data[1:], (0xAA, 0xB5, 0xBA)))
+        general = np.flatnonzero((data[:-2] == 0xE2) & ((data[1:-1] == 0x80) | ((data[1:-1] == 0x81) & (data[2:] < 0xB0))))
+        out[latin] = out[latin + 1] = out[general] = out[general + 1] = out[general + 2] = False
+    return out
+
+
 def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hash of every word and the n+1 word offsets of the rows."""
     data, offsets = C.text_bytes(column)
     data = C.folded(data)
-    starts, ends, rows = C.spans(C.IS_WORD[data], offsets)
+    starts, ends, rows = C.spans(_letters(data), offsets)
     hashes = C.SpanHasher(data)(starts, ends)
     return hashes, np.searchsorted(rows, np.arange(len(offsets)))
 

@@ -77,6 +77,14 @@ def test_documents_against_brute_force(table):
     assert kept.columns == table(docs).columns
 
 
+def test_words_do_not_depend_on_punctuation_or_case(table):
+    item = [(1, "Élan vital, the “driving force” of life\u2014as he said\u00a0then: «yes» it is")]
+    docs = [(5, "x élan vital the driving force of life as he said then yes it is y"), (6, "ÉLAN VITAL THE DRIVING FORCE OF LIFE"),
+            (7, "élan vital the driving force; as he said then yes it is; of life")]
+    got = T.benchmark_overlaps(table(docs), table(item, "item_id bigint, text string")).collect()
+    assert {(r.doc_id, r.coverage) for r in got} == {(5, 1.0), (7, 12 / 14)}
+
+
 def test_empty_tables(table):
     items = [(1, "one two three four five six")]
     assert T.benchmark_overlaps(table([]), table(items, "item_id bigint, text string")).count() == 0
