@@ -1,6 +1,5 @@
 """Taxonomy walks on a small hand-made tree."""
 
-import pytest
 
 from barcodeforge.operators import taxonomy as T
 
