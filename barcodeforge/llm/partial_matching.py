@@ -19,9 +19,9 @@ SHARD_ENTRIES = 4_000_000
 #: tokens whose counts every task holds; all others are counted through a join
 FREQUENT = 1 << 20
 #: text bytes of one numpy pass
-PASS = 1 << 20
+PASS = 1 << 17
 #: distinct keys that a counting task gathers before it hands them on
-GATHER = 1_500_000
+GATHER = 700_000
 END = 0x0A  # ends a document, and stands for what was before it; no word holds it
 END_TOKEN = 0x5EED0FE17D
 _U = np.uint64
