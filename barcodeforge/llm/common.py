@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from barcodeforge.operators.partitioning import materialize
 
 #: text bytes that one numpy pass works on; a longer single text is one pass of its own
-PASS_BYTES = 2 << 20
+PASS_BYTES = 1 << 20
 
 #: white space of the word pattern ``[^\x20\x09-\x0D]+``
 IS_SPACE = np.zeros(256, dtype=bool)

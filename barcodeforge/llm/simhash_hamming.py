@@ -68,7 +68,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        for part in C.passes(batches, "text", 1 << 20):
+        for part in C.passes(batches, "text", 1 << 18):
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(_fingerprints(part.column("text"), shingle))], ["doc_id", "fp"])
 
