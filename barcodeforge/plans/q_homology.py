@@ -190,7 +190,7 @@ def q_homology_search(spark, sf_dir):
 @query("homology_search_join", _SEARCH_ORACLE)
 def q_homology_search_join(spark, sf_dir):
     """H1 with the seeds in many small blocks, as a large seed set has them."""
-    return H.homology_search(*relatives(spark, sf_dir), block_bases=20_000)
+    return H.homology_search(*relatives(spark, sf_dir), block_bases=50_000)
 
 
 def search_inputs(spark: SparkSession, sf_dir: str):
