@@ -449,7 +449,9 @@ def train_labeller(pages: DataFrame, id_col: str = "page_id", html_col: str = "h
     """Train on at most ``sample_pages`` real pages (in hash order of the id; none above 50,000
     code points), as far as they mark up their parts, and on pages made of their words."""
     rows = (pages.select(F.col(id_col).alias("i"), F.col(html_col).cast("string").alias("h"))
-            .where(F.col("h").isNotNull() & (F.length("h") <= 50_000)).orderBy(F.xxhash64("i"), "i", "h").limit(sample_pages).collect())
+            .where(C.sampled(F.xxhash64("i"), sample_pages, pages.count()))
+            .where(F.col("h").isNotNull() & (F.length("h") <= 50_000))
+            .orderBy(F.pmod(F.xxhash64("i"), F.lit(1 << 30)), "i", "h").limit(sample_pages).collect())
     parser, features, rng = _Parser(), _Features(), np.random.default_rng(seed)
     real = [parser.blocks(r["h"]) for r in rows]
     maker = _Maker(sorted({w for blocks in real for b in blocks for w in b.text.split()}), rng)

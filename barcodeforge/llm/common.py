@@ -44,6 +44,13 @@ def fold(doc_id: Column | str) -> Column:
     return (F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")) % 5).cast("int")
 
 
+def sampled(hash_: Column, wanted: int, rows: int) -> Column:
+    """Whether a row's hash is among the smallest that hold ``wanted`` of ``rows`` rows, five times
+    over: what a sample in hash order is taken from, so that no task offers its own first rows."""
+    share = min(1.0, 5 * max(wanted, 20) / max(1, rows))
+    return F.lit(True) if share >= 1 else F.pmod(hash_, F.lit(1 << 30)) < int(share * (1 << 30))
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column (uint8) and the n+1 offsets of its rows; nulls are empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -106,8 +106,9 @@ def train_quality_model(docs: DataFrame, labels: DataFrame, sample_per_class: in
              .where(C.fold("doc_id") != 0))
     counts = {int(r[0]): int(r[1]) for r in known.groupBy("quality").count().collect()}
     prior = counts.get(1, 0) / sum(counts.values()) if counts else 0.5
-    chosen = [known.where(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_per_class)
-              for q in (0, 1)]
+    order = F.xxhash64("doc_id")
+    chosen = [known.where(F.col("quality") == q).where(C.sampled(order, sample_per_class, counts.get(q, 0)))
+              .orderBy(F.pmod(order, F.lit(1 << 30)), "doc_id").limit(sample_per_class) for q in (0, 1)]
     sample = F.broadcast(chosen[0].union(chosen[1]))
     rows = (docs.select("doc_id", F.col("text").cast("string").alias("text"))
             .where(F.col("text").isNotNull() & (F.length("text") <= sample_chars)).join(sample, "doc_id")
