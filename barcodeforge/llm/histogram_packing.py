@@ -20,12 +20,28 @@ TOKENIZER = "byte_bpe_50k"
 RANK_ROWS = 100_000
 #: lead bytes from here on start code points above U+024F
 ABOVE_LATIN = 0xCA
+#: bytes of a white-space run from which on a text takes the tokenizer file; the faster library
+#: fails on runs of about a million
+LONG_BLANK = 100_000
+#: bytes that white space below U+0250 is made of
+_BLANK = np.zeros(256, dtype=bool)
+_BLANK[[*range(9, 14), 0x20, 0xC2, 0x85, 0xA0]] = True
+
+
+def _long_blank(text: str) -> bool:
+    """Whether a text of Latin letters may have a white-space run of LONG_BLANK bytes."""
+    if 2 * len(text) < LONG_BLANK:
+        return False
+    raw = np.frombuffer(text.encode(), np.uint8)
+    ink = np.flatnonzero(~_BLANK[raw])
+    return int(np.diff(np.concatenate([[-1], ink, [len(raw)]])).max()) > LONG_BLANK
 
 
 class _Encoder:
     """Ids of whole texts. Texts of Latin letters take a faster library with the same
     vocabulary and the same splitting pattern (equality is tested for every code point below
-    U+0250); all others, and those that spell a special token, take the tokenizer file itself."""
+    U+0250); all others, those that spell a special token and those with a very long run of
+    white space take the tokenizer file itself."""
 
     def __init__(self, tokenizer: str):
         import base64
@@ -44,7 +60,7 @@ class _Encoder:
                                       special_tokens={})
 
     def __call__(self, text: str, latin: bool) -> list[int]:
-        if latin and not any(s in text for s in self.special):
+        if latin and not any(s in text for s in self.special) and not _long_blank(text):
             return self.fast.encode_ordinary(text)
         return self.exact.encode(text, add_special_tokens=False).ids
 

@@ -59,6 +59,11 @@ def test_documents(table, odd_documents):
     assert all(zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 for r in rows)
 
 
+def test_a_very_long_run_of_white_space(table):
+    docs = [(1, "a" + " " * 2_000_000 + "word"), (2, "\u00a0\n" * 600_000 + "word"), (3, "one two")]
+    check(docs, H.pack_documents(table(docs)).collect(), 2048)
+
+
 def test_a_frequent_length_is_ranked_in_parts(table, odd_documents, monkeypatch):
     monkeypatch.setattr(H, "RANK_ROWS", 3)
     check(odd_documents, H.pack_documents(table(odd_documents), max_tokens=64).collect(), 64)
