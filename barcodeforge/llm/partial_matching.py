@@ -4,18 +4,24 @@ corpus, escape estimation, symbol exclusion, and the code length of every whole
 from __future__ import annotations
 
 import math
+import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
+import pyarrow.parquet
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barcodeforge.llm import common as C
+from barcodeforge.session import ensure_checkpoint_dir
 
 #: bytes of context; a context with its symbol must fit into 63 bits
 ORDER = 5
-#: trie entries that one scoring pass holds (12 bytes each, and less for the contexts)
+#: trie entries that a scoring task holds at a time (12 bytes each, and less for the contexts)
 SHARD_ENTRIES = 4_000_000
+#: coded positions that wait in a scoring task (8 bytes each) while it reads the parts one by one
+WAITING = 1 << 24
 #: tokens whose counts every task holds; all others are counted through a join
 FREQUENT = 1 << 20
 #: text bytes of one numpy pass
@@ -158,15 +164,10 @@ class Trie:
         self.entries, self.contexts = [], []
         self.unseen = 256.0
 
-    def add(self, entries: DataFrame, contexts: DataFrame) -> None:
-        """The next longer contexts; each length comes to the driver on its own."""
-        key, count = _columns(entries.select("key", F.log10(F.col("count") - 0.5).cast("float")))
-        self.entries.append((key, count))
-        norm = F.log10(F.greatest(F.col("low_total"), F.lit(0.5)))
-        # a suffix that has nothing besides is passed with certainty
-        below = F.when(F.col("low_kinds") > 0, F.log10(F.col("low_kinds") / 2) - norm).otherwise(0.0)
-        values = [F.log10("total"), F.log10(F.col("kinds") / 2 / F.col("total")), norm, below, F.col("kinds")]
-        *kept, kinds = _columns(contexts.select("key", *(v.cast("float").alias(f"v{k}") for k, v in enumerate(values))))
+    def add(self, entry: list[np.ndarray], context: list[np.ndarray]) -> None:
+        """The next longer contexts: columns of ``_entry_values`` and ``_context_values``."""
+        self.entries.append(tuple(entry))
+        *kept, kinds = context
         self.contexts.append(tuple(kept))
         if len(self.contexts) == 1 and len(kinds):
             self.unseen = max(1.0, 256.0 - float(kinds[0]))
@@ -228,8 +229,62 @@ def _columns(df: DataFrame) -> list[np.ndarray]:
     return [key[order], *(found.column(k).to_numpy()[order] for k in range(1, found.num_columns))]
 
 
-def load_tries(entries: list[DataFrame], contexts: list[DataFrame], order: int = ORDER, limit: int = SHARD_ENTRIES):
-    """The trie as parts of at most ``limit`` entries (one two-byte ending at least), one by one."""
+def _entry_values(entries: DataFrame) -> DataFrame:
+    return entries.select("key", F.log10(F.col("count") - 0.5).cast("float").alias("v0"))
+
+
+def _context_values(contexts: DataFrame) -> DataFrame:
+    norm = F.log10(F.greatest(F.col("low_total"), F.lit(0.5)))
+    # a suffix that has nothing besides is passed with certainty
+    below = F.when(F.col("low_kinds") > 0, F.log10(F.col("low_kinds") / 2) - norm).otherwise(0.0)
+    values = [F.log10("total"), F.log10(F.col("kinds") / 2 / F.col("total")), norm, below, F.col("kinds")]
+    return contexts.select("key", *(v.cast("float").alias(f"v{k}") for k, v in enumerate(values)))
+
+
+class StoredTries:
+    """The parts of a trie in the shared folder, read one at a time where they are used. Contexts
+    shorter than two bytes (65,792 entries at most) are held here."""
+
+    def __init__(self, path: str, order: int, bounds: list[int], short: list[tuple]):
+        self.path, self.order, self.bounds, self.short = path, order, bounds, short
+
+    def __len__(self) -> int:
+        return len(self.bounds) - 1
+
+    def __iter__(self):
+        return (self.load(k) for k in range(len(self)))
+
+    def load(self, k: int) -> Trie:
+        trie = Trie(self.order, self.bounds[k], self.bounds[k + 1])
+        for entry, context in self.short:
+            trie.add(entry, context)
+        for depth in range(2, self.order + 1):
+            trie.add(self._read("entries", k, depth, 1), self._read("contexts", k, depth, 5))
+        return trie
+
+    def _read(self, kind: str, k: int, depth: int, n_values: int) -> list[np.ndarray]:
+        store, root = pa.fs.FileSystem.from_uri(self.path)
+        folder = pa.fs.FileSelector(f"{root}/{kind}/part={k}/depth={depth}", allow_not_found=True)
+        files = sorted(f.path for f in store.get_file_info(folder) if f.path.endswith(".parquet"))
+        names = ["key", *(f"v{j}" for j in range(n_values))]
+        tables = [pa.parquet.ParquetFile(store.open_input_file(f)).read(names, use_threads=False) for f in files]
+        if not tables:
+            return [np.zeros(0, _U), *[np.zeros(0, np.float32)] * n_values]
+        found = pa.concat_tables(tables)
+        key, *values = (found.column(name).to_numpy() for name in names)
+        key = key.view(_U)
+        if (key[1:] < key[:-1]).any():
+            order = np.argsort(key, kind="stable")
+            key, values = key[order], [v[order] for v in values]
+        return [key, *values]
+
+
+def load_tries(entries: list[DataFrame], contexts: list[DataFrame], order: int = ORDER,
+               limit: int = SHARD_ENTRIES) -> StoredTries:
+    """The trie as parts of at most ``limit`` entries (one two-byte ending at least), which Spark
+    writes to the shared folder. Only the sizes of the endings and the contexts shorter than
+    two bytes pass the driver."""
+    spark = entries[0].sparkSession
     tail = lambda shift: F.shiftright("key", shift).bitwiseAND(F.lit(0xFFFF))
     sizes: dict[int, int] = {}
     for level in entries[2:]:
@@ -242,12 +297,26 @@ def load_tries(entries: list[DataFrame], contexts: list[DataFrame], order: int =
             held = 0
         held += sizes[t]
     bounds.append(1 << 16)
-    for low, high in zip(bounds[:-1], bounds[1:], strict=True):
-        trie = Trie(order, low, high)
-        for depth, (e, c) in enumerate(zip(entries, contexts, strict=True)):
-            whole = depth < 2 or len(bounds) == 2
-            trie.add(e if whole else e.where(tail(8).between(low, high - 1)), c if whole else c.where(tail(0).between(low, high - 1)))
-        yield trie
+    short = [(_columns(_entry_values(e)), _columns(_context_values(c))) for e, c in zip(entries[:2], contexts[:2], strict=True)]
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/trie-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.deleteOnExit(target)
+    if sizes:
+        ends = np.array(sorted(sizes), dtype=np.int64)
+        part_of = F.broadcast(spark.createDataFrame(pa.table(
+            {"tail": ends, "part": (np.searchsorted(bounds, ends, side="right") - 1).astype(np.int32)})))
+        for kind, levels, values, shift in (("entries", entries, _entry_values, 8), ("contexts", contexts, _context_values, 0)):
+            rows = None
+            for depth in range(2, order + 1):
+                level = values(levels[depth]).withColumns({"depth": F.lit(depth), "tail": tail(shift)})
+                rows = level if rows is None else rows.unionByName(level)
+            by = ["part", "depth", "key"]
+            (rows.join(part_of, "tail").drop("tail").repartitionByRange(*by).sortWithinPartitions(*by)
+             .write.partitionBy("part", "depth").parquet(f"{path}/{kind}"))
+    where = store.makeQualified(target).toString()
+    return StoredTries(where.replace("file:/", "file:///", 1) if where.startswith("file:/") and not where.startswith("file://")
+                       else where, order, bounds, short)
 
 
 def _frequent(counts: DataFrame, limit: int) -> tuple[float, np.ndarray, np.ndarray]:
@@ -275,9 +344,10 @@ def score_documents(docs: DataFrame, training: DataFrame, id_col: str = "doc_id"
     over them; ``score`` is the log10 probability of the same token sequence spelt in bytes
     (words joined by one space, then the end) under the context trie.
 
-    The corpus is counted in parallel and merged by a shuffle of distinct keys. The trie goes
-    to the tasks in parts of bounded size, each one pass over the texts; counts of at most
-    ``frequent`` tokens go with it, the rarer tokens of each document are joined to theirs.
+    The corpus is counted in parallel and merged by a shuffle of distinct keys. The trie is
+    written to the shared folder in parts of bounded size, which a task reads one at a time;
+    counts of at most ``frequent`` tokens are broadcast, the rarer tokens of each document are
+    joined to theirs.
     Null and empty texts have the end token alone. Repeated rows and null ids stay; with no
     training rows every byte has probability 1/256 and every token the same base; other
     columns are ignored.
@@ -291,14 +361,9 @@ def score_documents(docs: DataFrame, training: DataFrame, id_col: str = "doc_id"
     known = spark.sparkContext.broadcast((keys, np.log10(n + 0.5).astype(np.float64)))
     entries, contexts = context_trie(counts.where("kind = 0").select("key", "n"), order)
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.lit(0.0).alias("score"))
-    trie = None
-    for following in load_tries(entries, contexts, order, shard_entries):
-        if trie is not None:
-            rows = _coded(rows, trie, order)
-        trie = spark.sparkContext.broadcast(vars(following))
-        del following
-    part = C.stage_table(_tokens(rows, known, trie, order).withColumn("row", F.monotonically_increasing_id()))
+    tries = spark.sparkContext.broadcast(load_tries(entries, contexts, order, shard_entries))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    part = C.stage_table(_scored(rows, known, tries, order).withColumn("row", F.monotonically_increasing_id()))
     rare = part.select("row", F.explode(F.arrays_zip("rare", "times")).alias("t")).select(
         "row", F.col("t.rare").alias("key"), F.col("t.times").alias("times"))
     found = (rare.join(tokens.where(F.col("n") < least) if least != float("inf") else tokens, "key").groupBy("row")
@@ -311,43 +376,37 @@ def score_documents(docs: DataFrame, training: DataFrame, id_col: str = "doc_id"
                        F.lit(n_train).cast("bigint").alias("train_tokens"), base.alias("base_score"), "score")
 
 
-def _trie(shared) -> Trie:
-    trie = Trie(0, 0, 0)
-    vars(trie).update(shared.value)
-    return trie
-
-
-def _code_lengths(trie: Trie, stream, first, coded, order: int) -> np.ndarray:
+def _code_lengths(trie: Trie, grams: np.ndarray, coded: np.ndarray) -> np.ndarray:
     """Sum over each row of its positions' log10 probabilities."""
-    values = trie.log10(_grams(stream, first, coded, order))
-    return np.add.reduceat(values, np.cumsum(coded) - coded) if len(coded) else np.zeros(0)
-
-
-def _coded(rows: DataFrame, shared, order: int) -> DataFrame:
-    """``rows`` with the code length under one part of the trie added to ``score``."""
-    def run(batches):
-        trie = _trie(shared)
-        for part in C.passes(batches, "text", PASS):
-            sums = _code_lengths(trie, *_stream(part.column("text"), order)[:3], order)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("text"), pa.array(part.column("score").to_numpy() + sums)],
-                ["doc_id", "text", "score"])
-
-    return rows.mapInArrow(run, rows.schema)
+    return np.add.reduceat(trie.log10(grams), np.cumsum(coded) - coded) if len(coded) else np.zeros(0)
 
 
-def _tokens(rows: DataFrame, shared, last, order: int) -> DataFrame:
-    """``doc_id, score, n_tokens, n_known, gained, rare, times``: the score with the last part of
-    the trie, sums over the tokens that the shared counts hold, and each document's other
-    tokens with how often it has them."""
+def _scored(rows: DataFrame, shared, stored, order: int) -> DataFrame:
+    """``doc_id, score, n_tokens, n_known, gained, rare, times``: the code length, sums over the
+    tokens that the shared counts hold, and each document's other tokens with how often it has
+    them. A task's positions wait until all parts of the trie, of which it holds one at a time,
+    have coded theirs."""
     kind = rows.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "score", "n_tokens", "n_known", "gained", "rare", "times"]
 
     def run(batches):
-        (keys, gain), trie = shared.value, _trie(last)
+        (keys, gain), tries = shared.value, stored.value
+        only = tries.load(0) if len(tries) == 1 else None
+        waiting: list[tuple] = []
+
+        def drain():
+            scores = [np.zeros(len(coded)) for _, _, coded in waiting]
+            for k in range(len(tries)):
+                trie = only or tries.load(k)
+                for score, (_, grams, coded) in zip(scores, waiting, strict=True):
+                    score += _code_lengths(trie, grams, coded)
+                del trie
+            for score, (columns, *_) in zip(scores, waiting, strict=True):
+                yield pa.RecordBatch.from_arrays([columns[0], pa.array(score), *columns[1:]], names)
+
+        size = 0
         for part in C.passes(batches, "text", PASS):
             stream, first, coded, words, n_words = _stream(part.column("text"), order)
-            score = part.column("score").to_numpy() + _code_lengths(trie, stream, first, coded, order)
             n = len(n_words)
             row = np.repeat(np.arange(n), n_words)
             unique, inverse = np.unique(np.append(words, _U(END_TOKEN)), return_inverse=True)
@@ -361,11 +420,18 @@ def _tokens(rows: DataFrame, shared, last, order: int) -> DataFrame:
             rows_ = np.concatenate([row[other], np.arange(n)[~held[[end] * n]]]).astype(np.int64)
             pairs, times = np.unique(rows_ * len(unique) + ids, return_counts=True)
             cuts = np.searchsorted(pairs // len(unique), np.arange(n + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(score), pa.array(n_words.astype(np.int64) + 1),
-                 pa.array(n_known.astype(np.int64)), pa.array(gained),
-                 pa.ListArray.from_arrays(pa.array(cuts), pa.array(unique[pairs % len(unique)].view(np.int64))),
-                 pa.ListArray.from_arrays(pa.array(cuts), pa.array(times.astype(np.int32)))], names)
+            grams = _grams(stream, first, coded, order)
+            waiting.append(([part.column("doc_id"), pa.array(n_words.astype(np.int64) + 1),
+                             pa.array(n_known.astype(np.int64)), pa.array(gained),
+                             pa.ListArray.from_arrays(pa.array(cuts), pa.array(unique[pairs % len(unique)].view(np.int64))),
+                             pa.ListArray.from_arrays(pa.array(cuts), pa.array(times.astype(np.int32)))], grams, coded))
+            size += len(grams)
+            if size >= (PASS if only else WAITING):
+                yield from drain()
+                waiting.clear()
+                size = 0
+        if waiting:
+            yield from drain()
 
     return rows.mapInArrow(run, f"doc_id {kind}, score double, n_tokens bigint, n_known bigint, gained double, "
                                 "rare array<bigint>, times array<int>")

@@ -80,6 +80,27 @@ def test_documents_against_a_trie_of_dictionaries(table, odd_documents):
     check(parts, odd_documents, train, 3)
 
 
+def test_parts_share_one_scoring_node_and_stay_off_the_driver(table, odd_documents, monkeypatch):
+    nodes, collected, stage, columns = [], [], P.C.stage_table, P._columns
+
+    def staged(df):
+        nodes.append(df._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow"))
+        return stage(df)
+
+    def fetched(df):
+        found = columns(df)
+        collected.append(len(found[0]))
+        return found
+
+    monkeypatch.setattr(P.C, "stage_table", staged)
+    monkeypatch.setattr(P, "_columns", fetched)
+    monkeypatch.setattr(P, "WAITING", 50, raising=False)
+    docs = table(odd_documents)
+    rows = P.score_documents(docs, docs, order=3, shard_entries=20).collect()
+    check(rows, odd_documents, [t for _, t in odd_documents], 3)
+    assert max(nodes) == 1 and len(collected) == 4  # the two shortest lengths, entries and contexts
+
+
 def test_probabilities_of_all_symbols_add_up(table):
     rng = random.Random(1)
     docs = [(k, " ".join(rng.choice(["ab", "ba", "abc", "cab"]) for _ in range(9))) for k in range(8)]
