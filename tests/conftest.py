@@ -1,14 +1,5 @@
-import os
-import sys
-
 import pytest
-
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-if ROOT not in sys.path:
-    sys.path.insert(0, ROOT)
-
-SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = os.environ.get("BF_TEST_SF", "/root/testdata/sf0.01")
+from bf_testdata import SF_ORACLE
 
 
 @pytest.fixture(scope="session")

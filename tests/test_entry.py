@@ -1,7 +1,7 @@
 """Driver contract: entry(), queries(), oracle_sql()."""
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from bf_testdata import SF_SMALL
 
 
 def test_entry_runs(spark):

@@ -233,7 +233,7 @@ def test_indel_scan_finds_site_with_deletion(spark):
 
 
 def test_every_crop_is_a_substring_of_its_source(spark):
-    from conftest import SF_SMALL
+    from bf_testdata import SF_SMALL
     from barcodeforge.plans import q_primers as QP
 
     seqs, pr = QP.mutated_sequences(spark, SF_SMALL)
