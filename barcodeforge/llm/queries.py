@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from barcodeforge.llm import (
+    basic_factors,
     block_labeller,
     dictionary_quality,
     histogram_packing,
@@ -26,10 +27,12 @@ QUERIES = {
     "op8_perspectives": perspectives.op8,
     "op9_signed_fingerprints": signed_fingerprints.op9,
     "op10_histogram_packing": histogram_packing.op10,
+    "op11_basic_factors": basic_factors.op11,
 }
 
 ORACLES: dict[str, str] = {
     "op3_warc_store": warc_store.ORACLE,
     "op6_lyndon_suffixes": lyndon_suffixes.ORACLE,
     "op8_perspectives": perspectives.ORACLE,
+    "op11_basic_factors": basic_factors.ORACLE,
 }
