@@ -7,6 +7,7 @@ from barcodeforge.llm import (
     block_labeller,
     dictionary_quality,
     histogram_packing,
+    line_cleaning,
     lyndon_suffixes,
     partial_matching,
     perspectives,
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_signed_fingerprints": signed_fingerprints.op9,
     "op10_histogram_packing": histogram_packing.op10,
     "op11_basic_factors": basic_factors.op11,
+    "op12_line_cleaning": line_cleaning.op12,
 }
 
 ORACLES: dict[str, str] = {
@@ -35,4 +37,5 @@ ORACLES: dict[str, str] = {
     "op6_lyndon_suffixes": lyndon_suffixes.ORACLE,
     "op8_perspectives": perspectives.ORACLE,
     "op11_basic_factors": basic_factors.ORACLE,
+    "op12_line_cleaning": line_cleaning.ORACLE,
 }
