@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from string import ascii_lowercase, ascii_uppercase
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barcodeforge.llm import common as C
 
 WORD_GAP = r"[\x20\x09-\x0D]+"
-BLANKS = " \t\n\x0b\x0c\r"
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 
 #: words a document has at least, and the percentage of its words that repeated triples may hold
 MIN_WORDS = 50
@@ -25,7 +22,7 @@ MAX_SYMBOLS = 100
 #: percentage of a line's words that may end in two or more marks, as in ``BUY!! NOW!!``
 MAX_SHOUTED = 20
 #: separators that stand alone between the items of a menu, and the percentage of words they may be
-SEPARATORS = r"(?:\||>|<|\x{BB}|\x{AB}|\x{B7}|\x{2022}|/|-|::)"
+SEPARATORS = ("|", ">", "<", "»", "«", "·", "•", "/", "-", "::")
 MAX_SEPARATORS = 15
 #: words of a line that may be a menu item, if all of them are menu words
 MENU_WORDS = 8
@@ -55,16 +52,12 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, WORD_GAP), lambda w: w != "")
 
 
-def _visible(text: Column) -> Column:
-    return F.translate(text, BLANKS, "")
-
-
-def _count(text: Column, chars: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, chars, ""))
+def _count(text: Column, pattern: str) -> Column:
+    return F.regexp_count(text, F.lit(pattern))
 
 
-def line_fault(line: Column) -> Column:
-    """Name of the first rule that a line with a word fails, or null.
+def line_fault(line: Column, words: Column, symbols: Column | None = None) -> Column:
+    """Name of the first rule that a line with these words fails, or null.
 
     * ``symbols``: more than MAX_SYMBOLS per mille of its visible characters are symbols;
     * ``shouting``: more than MAX_SHOUTED per cent of its words end in doubled ``!`` or ``?``;
@@ -72,19 +65,23 @@ def line_fault(line: Column) -> Column:
       up to MENU_WORDS words long and all are menu words;
     * ``boilerplate``: up to NOTICE_WORDS words with a phrase of a notice;
     * ``punctuation``: no sentence ends at its end or anywhere in it.
+
+    ``symbols`` may tell whether the whole document has a symbol at all. Costly tests stand
+    behind cheap ones that they imply.
     """
-    seen = _visible(line)
-    spaced = F.concat(F.lit(" "), F.regexp_replace(line, WORD_GAP, "  "), F.lit(" "))
-    n = F.size(words_of(line))
-    low = F.translate(line, ascii_uppercase, ascii_lowercase)
-    shouted = F.regexp_count(spaced, F.lit(r"[!?]{2,} "))
-    separators = F.regexp_count(spaced, F.lit(f" {SEPARATORS} "))
-    menu = F.forall(F.split(F.trim(F.regexp_replace(low, "[^a-z]+", " ")), " "), lambda w: w.isin(*MENU))
+    n = F.size(words)
+    seen = F.length(F.array_join(words, ""))
+    doubled = line.contains("!!") | line.contains("??") | line.contains("!?") | line.contains("?!")
+    shouted = F.size(F.filter(words, lambda w: w.rlike(r"[!?]{2}\z")))
+    separators = F.size(F.filter(words, lambda w: w.isin(*SEPARATORS)))
+    menu = F.forall(words, lambda w: F.lower(F.regexp_replace(w, "[^A-Za-z]+", "")).isin(*MENU))
+    low = F.lower(line)
     notice = F.lit(False)
     for phrase in BOILERPLATE:
         notice = notice | low.contains(phrase)
-    return (F.when(1000 * _count(line, SYMBOLS) > MAX_SYMBOLS * F.length(seen), "symbols")
-            .when(100 * shouted > MAX_SHOUTED * n, "shouting")
+    many = 1000 * _count(line, SYMBOLS) > MAX_SYMBOLS * seen
+    return (F.when(many if symbols is None else symbols & many, "symbols")
+            .when(doubled & (100 * shouted > MAX_SHOUTED * n), "shouting")
             .when((100 * separators > MAX_SEPARATORS * n) | ((n <= MENU_WORDS) & menu), "navigation")
             .when((n <= NOTICE_WORDS) & notice, "boilerplate")
             .when(~line.rlike(rf"{SENTENCE_END}(?:{WORD_GAP}|\z)"), "punctuation"))
@@ -139,23 +136,26 @@ def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ignored.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    has_word = lambda line: _visible(line) != ""
-    judged = F.transform(F.split("text", "\n"), lambda line: F.struct(
-        line.alias("line"), has_word(line).alias("worded"), F.when(has_word(line), line_fault(line)).alias("fault")))
-    rows = rows.select("doc_id", "text", words_of(F.col("text")).alias("words"), judged.alias("lines"))
-    worded = F.transform(F.filter("lines", lambda x: x["worded"]), lambda x: x["line"])
-    failed = F.filter("lines", lambda x: x["fault"].isNotNull())
     rows = rows.select(
-        "doc_id", F.size("words").cast("bigint").alias("n_words"), _visible(F.col("text")).alias("seen"),
-        _count(F.col("text"), SYMBOLS).cast("bigint").alias("n_symbols"), worded.alias("worded"),
-        repeated_words(F.col("words")).cast("bigint").alias("n_repeat_words"), failed.alias("failed"),
+        "doc_id", words_of(F.col("text")).alias("words"), _count(F.col("text"), SYMBOLS).cast("bigint").alias("n_symbols"),
+        F.transform(F.split("text", "\n"), lambda line: F.struct(line.alias("line"), words_of(line).alias("words"))).alias("lines"))
+    judged = F.transform("lines", lambda x: F.struct(
+        x["line"].alias("line"), F.size(x["words"]).alias("n"), F.length(F.array_join(x["words"], "")).alias("seen"),
+        F.when(F.size(x["words"]) > 0, line_fault(x["line"], x["words"], F.col("n_symbols") > 0)).alias("fault")))
+    rows = rows.select("doc_id", F.size("words").cast("bigint").alias("n_words"), "n_symbols",
+                       F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
+                       repeated_words(F.col("words")).cast("bigint").alias("n_repeat_words"), judged.alias("lines"))
+    rows = rows.select(
+        "*", F.transform(F.filter("lines", lambda x: x["n"] > 0), lambda x: x["line"]).alias("worded"),
+        F.filter("lines", lambda x: x["fault"].isNotNull()).alias("failed"),
         F.array_join(F.transform(F.filter("lines", lambda x: x["fault"].isNull()), lambda x: x["line"]), "\n").alias("clean_text"))
-    lost = F.aggregate("failed", F.lit(0), lambda n, x: n + F.length(_visible(x["line"])))
+    lost = F.aggregate("failed", F.lit(0), lambda n, x: n + x["seen"])
     rules = ("symbols", "shouting", "navigation", "boilerplate", "punctuation")
-    faults = F.struct(*[F.size(F.filter("failed", lambda x, r=r: x["fault"] == r)).cast("bigint").alias(r) for r in rules])
+    failed_by = lambda rule: F.size(F.filter("failed", lambda x: x["fault"] == rule))
+    faults = F.struct(*[failed_by(rule).cast("bigint").alias(rule) for rule in rules])
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     rows = rows.select(
-        "doc_id", "n_words", F.length("seen").cast("bigint").alias("word_chars"), "n_symbols",
+        "doc_id", "n_words", "word_chars", "n_symbols",
         (F.size("worded") - F.size(F.array_distinct("worded"))).cast("bigint").alias("n_dup_lines"), "n_repeat_words",
         base_failed.alias("base_failed"), F.size("worded").cast("bigint").alias("n_lines"),
         F.size("failed").cast("bigint").alias("n_failed_lines"), lost.cast("bigint").alias("lost_chars"), faults.alias("faults"),
@@ -172,8 +172,7 @@ def op12(spark, sf_dir: str) -> DataFrame:
 
 def _oracle() -> str:
     gap = "[\\x20\\x09-\\x0D]"
-    symbols = "[#*$%&|<>]"
-    menu = ", ".join(f"'{w}'" for w in MENU)
+    menu, separators = (", ".join(f"'{w}'" for w in words) for words in (MENU, SEPARATORS))
     notice = " OR ".join(f"contains(low, '{p}')" for p in BOILERPLATE)
     end = SENTENCE_END.replace("'", "''")
     return f"""
@@ -183,16 +182,15 @@ WITH docs AS (
 ), split_lines AS (
   SELECT r, i, l[i] AS line FROM (SELECT r, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT r, string_split(text, chr(10)) AS l FROM docs))
 ), looked AS (
-  SELECT *, regexp_replace(line, '{gap}', '', 'g') AS seen, translate(line, '{ascii_uppercase}', '{ascii_lowercase}') AS low,
-         len(list_filter(regexp_split_to_array(line, '{gap}+'), lambda x: x <> '')) AS n,
-         ' ' || regexp_replace(line, '{gap}+', '  ', 'g') || ' ' AS spaced FROM split_lines
+  SELECT *, regexp_replace(line, '{gap}', '', 'g') AS seen, lower(line) AS low,
+         list_filter(regexp_split_to_array(line, '{gap}+'), lambda x: x <> '') AS w FROM split_lines
 ), judged AS (
   SELECT *, CASE WHEN seen = '' THEN NULL
-    WHEN 1000 * len(regexp_extract_all(line, '{symbols}')) > {MAX_SYMBOLS} * length(seen) THEN 'symbols'
-    WHEN 100 * len(regexp_extract_all(spaced, '[!?]{{2,}} ')) > {MAX_SHOUTED} * n THEN 'shouting'
-    WHEN 100 * len(regexp_extract_all(spaced, ' {SEPARATORS} ')) > {MAX_SEPARATORS} * n THEN 'navigation'
-    WHEN n <= {MENU_WORDS} AND len(list_filter(string_split(trim(regexp_replace(low, '[^a-z]+', ' ', 'g')), ' '), lambda x: x NOT IN ({menu}))) = 0 THEN 'navigation'
-    WHEN n <= {NOTICE_WORDS} AND ({notice}) THEN 'boilerplate'
+    WHEN 1000 * len(regexp_extract_all(line, '{SYMBOLS}')) > {MAX_SYMBOLS} * length(seen) THEN 'symbols'
+    WHEN 100 * len(list_filter(w, lambda x: regexp_matches(x, '[!?]{{2}}\\z'))) > {MAX_SHOUTED} * len(w) THEN 'shouting'
+    WHEN 100 * len(list_filter(w, lambda x: x IN ({separators}))) > {MAX_SEPARATORS} * len(w) THEN 'navigation'
+    WHEN len(w) <= {MENU_WORDS} AND len(list_filter(w, lambda x: lower(regexp_replace(x, '[^A-Za-z]+', '', 'g')) NOT IN ({menu}))) = 0 THEN 'navigation'
+    WHEN len(w) <= {NOTICE_WORDS} AND ({notice}) THEN 'boilerplate'
     WHEN NOT regexp_matches(line, '{end}(?:{gap}+|\\z)') THEN 'punctuation' END AS fault FROM looked
 ), by_line AS (
   SELECT r, count(*) FILTER (seen <> '') AS n_lines, count(*) FILTER (seen <> '') - count(DISTINCT line) FILTER (seen <> '') AS n_dup_lines,
@@ -207,7 +205,7 @@ WITH docs AS (
   ) GROUP BY r
 ), base AS (
   SELECT d.r, doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(text, '{gap}', '', 'g'))::BIGINT AS word_chars,
-         len(regexp_extract_all(text, '{symbols}'))::BIGINT AS n_symbols, coalesce(t.n, 0)::BIGINT AS n_repeat_words
+         len(regexp_extract_all(text, '{SYMBOLS}'))::BIGINT AS n_symbols, coalesce(t.n, 0)::BIGINT AS n_repeat_words
   FROM docs d LEFT JOIN twice t ON d.r = t.r
 ), flagged AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED} * n_words AS base_failed FROM base)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words, base_failed,
