@@ -14,6 +14,7 @@ from barcodeforge.llm import (
     signed_fingerprints,
     simhash_hamming,
     string_tiling,
+    token_alignment,
     warc_store,
 )
 
@@ -30,6 +31,7 @@ QUERIES = {
     "op10_histogram_packing": histogram_packing.op10,
     "op11_basic_factors": basic_factors.op11,
     "op12_line_cleaning": line_cleaning.op12,
+    "op13_token_alignment": token_alignment.op13,
 }
 
 ORACLES: dict[str, str] = {
