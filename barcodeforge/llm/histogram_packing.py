@@ -12,78 +12,38 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barcodeforge.llm import common as C
+from barcodeforge.llm.distinct_chunks import ChunkEncoder, byte_bpe
 
 MAX_TOKENS = 2048
 END_ID = 1
 TOKENIZER = "byte_bpe_50k"
 #: rows of one length that are ranked together; a more frequent length is ranked in several parts
 RANK_ROWS = 100_000
-#: lead bytes from here on start code points above U+024F
-ABOVE_LATIN = 0xCA
-#: bytes of a white-space run from which on a text takes the tokenizer file; the faster library
-#: fails on runs of about a million
-LONG_BLANK = 100_000
-#: bytes that white space below U+0250 is made of
-_BLANK = np.zeros(256, dtype=bool)
-_BLANK[[*range(9, 14), 0x20, 0xC2, 0x85, 0xA0]] = True
-
-
-def _long_blank(text: str) -> bool:
-    """Whether a text of Latin letters may have a white-space run of LONG_BLANK bytes."""
-    if 2 * len(text) < LONG_BLANK:
-        return False
-    raw = np.frombuffer(text.encode(), np.uint8)
-    ink = np.flatnonzero(~_BLANK[raw])
-    return int(np.diff(np.concatenate([[-1], ink, [len(raw)]])).max()) > LONG_BLANK
-
-
-class _Encoder:
-    """Ids of whole texts. Texts of Latin letters take a faster library with the same
-    vocabulary and the same splitting pattern (equality is tested for every code point below
-    U+0250); all others, those that spell a special token and those with a very long run of
-    white space take the tokenizer file itself."""
-
-    def __init__(self, tokenizer: str):
-        import base64
-        import os
-
-        import public_tokenizers
-        import tiktoken
-        from tokenizers import Tokenizer
-
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.exact = Tokenizer.from_file(public_tokenizers.path(f"{tokenizer}.json"))
-        self.special = [t.content for t in self.exact.get_added_tokens_decoder().values()]
-        with open(public_tokenizers.path(f"{tokenizer}.tiktoken"), "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.fast = tiktoken.Encoding(tokenizer, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
-                                      special_tokens={})
-
-    def __call__(self, text: str, latin: bool) -> list[int]:
-        if latin and not any(s in text for s in self.special) and not _long_blank(text):
-            return self.fast.encode_ordinary(text)
-        return self.exact.encode(text, add_special_tokens=False).ids
 
 
 def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER,
                  max_tokens: int = MAX_TOKENS, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens[, ids]``: every document's ids, ended by
-    ``end_id`` and cut every ``max_tokens`` ids. A null or empty text has the end id alone."""
+    ``end_id`` and cut every ``max_tokens`` ids. A null or empty text has the end id alone.
+
+    All ids are those of the ``tokenizers`` file; equal chunks of a task's texts are encoded once
+    (see :mod:`distinct_chunks`), and a very long text is many chunks.
+    """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids
     schema = f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
     def run(batches):
-        encode = _Encoder(tokenizer)
+        import public_tokenizers
+
+        whole = byte_bpe(public_tokenizers.path(f"{tokenizer}.json"))
+        encode = ChunkEncoder(lambda chunks: [e.ids for e in whole.encode_batch(chunks, add_special_tokens=False)])
         for part in C.passes(batches, "text"):
-            data, offsets = C.text_bytes(part.column("text"))
-            high = np.concatenate([[0], np.cumsum(data >= ABOVE_LATIN)])[offsets]
+            ids, cuts, _ = encode(*C.text_bytes(part.column("text")))
             row, out, kept = [], [], []
-            for k, text in enumerate(part.column("text").to_pylist()):
-                ids = encode(text, high[k] == high[k + 1]) if text else []
-                ids.append(end_id)
-                raw = np.array(ids, dtype="<u4")
+            for k in range(part.num_rows):
+                raw = np.append(ids[cuts[k]:cuts[k + 1]], end_id).astype("<u4")
                 for start in range(0, len(raw), max_tokens):
                     piece = raw[start:start + max_tokens]
                     row.append(k)
