@@ -14,8 +14,8 @@ from barcodeforge.llm import common as C
 REMEMBERED = 300_000
 #: bytes beyond which a chunk is not remembered
 LONG_CHUNK = 256
-#: chunks handed to a tokenizer at once
-CALL_CHUNKS = 20_000
+#: bytes of chunks handed to a tokenizer at once
+CALL_BYTES = 1 << 16
 
 #: bytes that surely are not white space next to a cut: printable ASCII; the lead bytes of
 #: U+00C0..U+07FF, none of which is white space
@@ -46,69 +46,147 @@ def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+class Vocabulary:
+    """The bytes of every id, as one array."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.size = np.array([len(t) for t in tokens], dtype=np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.data = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+
+    def spell(self, ids: np.ndarray) -> np.ndarray:
+        return self.data[C.ranges(self.start[ids], self.size[ids])]
+
+
+class _Side:
+    """What one tokenizer made of the chunks learnt so far: their ids, one after another."""
+
+    def __init__(self, encode: Callable[[str], list[int]], vocabulary: Vocabulary):
+        self.encode, self.vocabulary = encode, vocabulary
+        self.forget()
+
+    def forget(self) -> None:
+        self.ids = np.zeros(0, np.int32)
+        self.first, self.count, self.sound = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, dtype=bool)
+
+    def _one(self, chunk: bytes) -> tuple[np.ndarray, bool]:
+        ids = np.array(self.encode(chunk.decode("utf-8", "replace")), dtype=np.int32)
+        return ids, self.vocabulary.spell(ids).tobytes() == chunk
+
+    def _together(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids and their number for each of chunks that may follow one another, from one call."""
+        raw = b"".join(chunks)
+        try:
+            ids = np.array(self.encode(raw.decode()), dtype=np.int32)
+        except UnicodeDecodeError:
+            return None
+        if self.vocabulary.spell(ids).tobytes() != raw:
+            return None
+        ends = np.cumsum(self.vocabulary.size[ids])
+        wanted = np.cumsum([len(c) for c in chunks])
+        at = np.searchsorted(ends, wanted)
+        if (ends[at] != wanted).any():
+            return None
+        return ids, np.diff(np.concatenate([[-1], at]))
+
+    def learn(self, chunks: list[bytes], calm: list[bool]) -> None:
+        found, count, sound = [self.ids], np.zeros(len(chunks), np.int64), np.ones(len(chunks), dtype=bool)
+        order, alone = [k for k, c in enumerate(calm) if c], [k for k, c in enumerate(calm) if not c]
+        places, at, size = [], 0, 0
+        while at < len(order):
+            end, size = at, 0
+            while end < len(order) and (size < CALL_BYTES or end == at):
+                size += len(chunks[order[end]])
+                end += 1
+            got = self._together([chunks[k] for k in order[at:end]])
+            if got is None:
+                alone += order[at:end]
+            else:
+                places += order[at:end]
+                found.append(got[0])
+                count[order[at:end]] = got[1]
+            at = end
+        for k in alone:
+            ids, sound[k] = self._one(chunks[k])
+            places.append(k)
+            found.append(ids)
+            count[k] = len(ids)
+        first = np.zeros(len(chunks), np.int64)
+        in_order = count[places] if places else np.zeros(0, np.int64)
+        first[places] = len(self.ids) + np.cumsum(in_order) - in_order
+        self.ids = np.concatenate(found)
+        self.first, self.count = np.concatenate([self.first, first]), np.concatenate([self.count, count])
+        self.sound = np.concatenate([self.sound, sound])
+
+
+def _calm(chunk: bytes) -> bool:
+    """Whether a chunk may be encoded right before and after others: there would be a cut."""
+    if len(chunk) < 3 or chunk[0] != 0x20 or not (_INK[chunk[1]] or _TWO[chunk[1]]):
+        return False
+    return bool(_INK[chunk[-1]] or (chunk[-1] >= 0x80 and _TWO[chunk[-2]]))
+
+
 class ChunkEncoder:
-    """Ids of whole rows by ``encode(list of chunks) -> list of id lists``.
+    """Ids of whole rows by one or more tokenizers, each ``(encode(text) -> ids, vocabulary)``.
 
-    ``check(chunk, ids)``, if given, says whether a chunk's ids spell it; a row is sound if all
-    its chunks are. Chunks are compared as bytes, so the ids are those of the tokenizer.
+    Chunks are compared as bytes. New ones are encoded many at a time, as one text whose ids
+    are parted again by the bytes that they spell; where that does not work out, and for
+    chunks at the ends of rows, one by one. A row is sound if the ids of every tokenizer spell it.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]],
-                 check: Callable[[bytes, list[int]], bool] | None = None, remembered: int = REMEMBERED):
-        self.encode, self.check, self.remembered = encode, check, remembered
-        self._forget()
-
-    def _forget(self) -> None:
+    def __init__(self, *sides: tuple[Callable[[str], list[int]], Vocabulary], remembered: int = REMEMBERED):
+        self.sides = [_Side(*side) for side in sides]
+        self.remembered = remembered
         self.place: dict[bytes, int] = {}
-        self.ids = np.zeros(1 << 16, np.int32)
-        self.used = 0
-        self.first: list[int] = []
-        self.count: list[int] = []
-        self.sound: list[bool] = []
-
-    def _learn(self, chunks: list[bytes]) -> None:
-        for k in range(0, len(chunks), CALL_CHUNKS):
-            some = chunks[k:k + CALL_CHUNKS]
-            for chunk, ids in zip(some, self.encode([c.decode("utf-8", "replace") for c in some]), strict=True):
-                n = len(ids)
-                while self.used + n > len(self.ids):
-                    self.ids = np.concatenate([self.ids, np.zeros(len(self.ids), np.int32)])
-                self.ids[self.used:self.used + n] = ids
-                self.place[chunk] = len(self.first)
-                self.first.append(self.used)
-                self.count.append(n)
-                self.sound.append(self.check is None or self.check(chunk, ids))
-                self.used += n
-
-    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """All ids, the n + 1 offsets of the rows' ids, and whether each row is sound."""
+
+    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+        """For each tokenizer all ids and the n + 1 offsets of the rows' ids; whether each row is sound."""
         rows = len(offsets) - 1
         starts = chunk_starts(data, offsets)
         if not len(starts):
-            return np.zeros(0, np.int32), np.zeros(rows + 1, np.int64), np.ones(rows, dtype=bool)
+            return [(np.zeros(0, np.int32), np.zeros(rows + 1, np.int64))] * len(self.sides), np.ones(rows, dtype=bool)
         cuts = np.append(starts, len(data)).astype(np.int64)
         column = pa.Array.from_buffers(
             pa.large_binary(), len(starts), [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(data))])
         coded = column.dictionary_encode()
         chunks = coded.dictionary.to_pylist()
         if len(self.place) > self.remembered:
-            self._forget()
-        self._learn([c for c in chunks if c not in self.place])
-        place = np.array([self.place[c] for c in chunks], dtype=np.int64)[coded.indices.to_numpy()]
-        first, count = np.array(self.first, np.int64)[place], np.array(self.count, np.int64)[place]
-        sound = np.array(self.sound, dtype=bool)[place]
-        ids = self.ids[C.ranges(first, count)]
-        ends = np.concatenate([[0], np.cumsum(count)])
+            self.place = {}
+            for side in self.sides:
+                side.forget()
+        get = self.place.get
+        place = np.fromiter((get(c, -1) for c in chunks), np.int64, len(chunks))
+        missing = np.flatnonzero(place < 0)
+        if len(missing):
+            new = [chunks[k] for k in missing.tolist()]
+            known = len(self.sides[0].first)
+            place[missing] = known + np.arange(len(new))
+            # a long chunk's ids stay until all are forgotten; only its name is not remembered
+            self.place.update((c, known + k) for k, c in enumerate(new) if len(c) <= LONG_CHUNK)
+            calm = [_calm(c) for c in new]
+            for side in self.sides:
+                side.learn(new, calm)
+        place = place[coded.indices.to_numpy()]
         at = np.searchsorted(starts, offsets)  # the first chunk of every row
+        sound, out = np.ones(len(place), dtype=bool), []
+        for side in self.sides:
+            count = side.count[place]
+            sound &= side.sound[place]
+            out.append((side.ids[C.ranges(side.first[place], count)], np.concatenate([[0], np.cumsum(count)])[at]))
         bad = np.concatenate([[0], np.cumsum(~sound)])
-        for c in chunks:  # the ids stay where they are; only the name is forgotten
-            if len(c) > LONG_CHUNK:
-                del self.place[c]
-        return ids, ends[at], bad[at[1:]] == bad[at[:-1]]
+        return out, bad[at[1:]] == bad[at[:-1]]
+
+
+#: characters that byte-level vocabularies write bytes as: printable Latin-1 stands for itself,
+#: every other byte for the next character from U+0100 on
+def byte_level_alphabet() -> dict[str, int]:
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    return {chr(b): b for b in printable} | {chr(0x100 + k): b for k, b in enumerate(others)}
 
 
-def byte_bpe(path: str, plain: bool = False):
-    """The tokenizer file at ``path``; ``plain``: strings of special tokens are ordinary text."""
+def byte_bpe(path: str, plain: bool = False) -> tuple[Callable[[str], list[int]], Vocabulary]:
+    """The byte-level tokenizer file at ``path``; ``plain``: strings of special tokens are ordinary text."""
     import os
 
     from tokenizers import Tokenizer
@@ -116,4 +194,8 @@ def byte_bpe(path: str, plain: bool = False):
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = plain
-    return tokenizer
+    alphabet = byte_level_alphabet()
+    tokens = [b""] * tokenizer.get_vocab_size(with_added_tokens=True)
+    for token, k in tokenizer.get_vocab(with_added_tokens=True).items():
+        tokens[k] = bytes(alphabet[c] for c in token) if all(c in alphabet for c in token) else token.encode()
+    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids, Vocabulary(tokens)

@@ -37,10 +37,9 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches):
         import public_tokenizers
 
-        whole = byte_bpe(public_tokenizers.path(f"{tokenizer}.json"))
-        encode = ChunkEncoder(lambda chunks: [e.ids for e in whole.encode_batch(chunks, add_special_tokens=False)])
+        encode = ChunkEncoder(byte_bpe(public_tokenizers.path(f"{tokenizer}.json")))
         for part in C.passes(batches, "text"):
-            ids, cuts, _ = encode(*C.text_bytes(part.column("text")))
+            ((ids, cuts),), _ = encode(*C.text_bytes(part.column("text")))
             row, out, kept = [], [], []
             for k in range(part.num_rows):
                 raw = np.append(ids[cuts[k]:cuts[k + 1]], end_id).astype("<u4")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,7 +71,7 @@ def benchmark_items(benchmark: DataFrame, id_col: str = "item_id", text_col: str
     return rows.mapInArrow(run, f"item_id {kind}, item_words array<bigint>, seeds array<bigint>")
 
 
-def document_seeds(docs: DataFrame, bits: np.ndarray, widths: list[int], id_col: str, text_col: str) -> DataFrame:
+def document_seeds(docs: DataFrame, shared: Broadcast, widths: list[int], id_col: str, text_col: str) -> DataFrame:
     """Documents that share a seed: ``doc_id, text_key, n_words, seeds, at, words`` with the
     distinct seeds, and the word hashes under them with their positions. Only a match of whole
     seeds can become a tile, so no other word of a document is needed again."""
@@ -203,7 +204,9 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     at = items.select("item_id", F.size("item_words").alias("n"), F.posexplode("seeds").alias("pos", "seed"))
     widths = sorted(r[0] for r in items.select(F.least(F.size("item_words"), F.lit(MIN_TILE)).alias("w")).distinct().collect())
     bits = C.bitmap(at.select(F.pmod(_unsigned_low("seed"), F.lit(FILTER_CELLS)).alias("cell")), "cell", FILTER_CELLS)
-    hits = C.stage_table(document_seeds(docs, bits, widths, id_col, text_col))
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+    hits = C.stage_table(document_seeds(docs, shared, widths, id_col, text_col))
+    shared.destroy()
     seen = hits.select("doc_id", "text_key", F.explode("seeds").alias("seed"))
     frequency = seen.groupBy("seed").agg(F.count("*").alias("df"))
     order = Window.partitionBy("item_id").orderBy("df", "seed", "pos")

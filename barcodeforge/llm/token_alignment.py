@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barcodeforge.llm import common as C
-from barcodeforge.llm.distinct_chunks import ChunkEncoder, byte_bpe
+from barcodeforge.llm.distinct_chunks import ChunkEncoder, Vocabulary, byte_bpe
 
 BYTE_BPE = "byte_bpe_50k.json"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -23,44 +23,25 @@ PARTIAL_PAIRS = 1 << 19
 PIECE_SPACE = "▁"
 
 
-def byte_level_alphabet() -> dict[str, int]:
-    """The printable characters that byte-level vocabularies write bytes as: printable Latin-1
-    stands for itself, every other byte for the next character from U+0100 on."""
-    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in printable]
-    return {chr(b): b for b in printable} | {chr(0x100 + k): b for k, b in enumerate(others)}
-
-
 class _Pair:
     """Both tokenizers of a task, over texts that begin with the one space that the second adds."""
 
     def __init__(self, byte_path: str, piece_path: str):
         import sentencepiece
 
-        first = byte_bpe(byte_path, plain=True)
-        alphabet = byte_level_alphabet()
-        n = first.get_vocab_size(with_added_tokens=True)
-        a_bytes = [b""] * n
-        for token, k in first.get_vocab(with_added_tokens=True).items():
-            known = all(ch in alphabet for ch in token)
-            a_bytes[k] = bytes(alphabet[ch] for ch in token) if known else token.encode()
+        first, a = byte_bpe(byte_path, plain=True)
         second = sentencepiece.SentencePieceProcessor(model_file=piece_path)
-        b_bytes = []
+        tokens = []
         for k in range(second.get_piece_size()):
             piece = second.id_to_piece(k)
             if PIECE_SPACE in piece.lstrip(PIECE_SPACE):
                 raise ValueError("a piece spans a space inside a text: its texts cannot be cut at spaces")
-            b_bytes.append(bytes([int(piece[1:-1], 16)]) if second.is_byte(k) else piece.replace(PIECE_SPACE, " ").encode())
-
-        def spelt(table):
-            return lambda chunk, ids: b"".join([table[i] for i in ids]) == chunk
-
-        self.a = ChunkEncoder(lambda chunks: [e.ids for e in first.encode_batch(chunks, add_special_tokens=False)], spelt(a_bytes))
+            tokens.append(bytes([int(piece[1:-1], 16)]) if second.is_byte(k) else piece.replace(PIECE_SPACE, " ").encode())
+        b = Vocabulary(tokens)
         # every chunk starts with a space, which the second tokenizer adds itself
-        self.b = ChunkEncoder(lambda chunks: second.encode([c[1:] for c in chunks], num_threads=1), spelt(b_bytes))
-        self.a_size = pa.array([len(x) for x in a_bytes], pa.int64())
-        self.b_size = pa.array([len(x) for x in b_bytes], pa.int64())
-        self.names = pa.array([str(k) for k in range(max(len(a_bytes), len(b_bytes)))])
+        self.encode = ChunkEncoder((first, a), (lambda text: second.encode(text[1:]), b))
+        self.a_size, self.b_size = pa.array(a.size), pa.array(b.size)
+        self.names = pa.array([str(k) for k in range(max(len(a.size), len(b.size)))])
 
 
 def _ends(ids: pa.ListArray, size: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array]:
@@ -143,10 +124,9 @@ def align_tokenizers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         pair = _Pair(byte_path or public_tokenizers.path(BYTE_BPE), piece_path or public_tokenizers.path(PIECE_BPE))
         for part in C.passes(batches, "text", ALIGN_BYTES):
             data, offsets = C.text_bytes(part.column("text"))
-            sides = [encode(data, offsets) for encode in (pair.a, pair.b)]
-            sound = sides[0][2] & sides[1][2]
+            sides, sound = pair.encode(data, offsets)
             lists = []
-            for ids, cuts, _ in sides:
+            for ids, cuts in sides:
                 counts = np.where(sound, np.diff(cuts), 0)
                 lists.append(_listed(pa.array(ids[np.repeat(sound, np.diff(cuts))]), counts))
             found = _align(*lists, pair)

@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 from barcodeforge.llm import histogram_packing as H
-from barcodeforge.llm.distinct_chunks import ChunkEncoder
+from barcodeforge.llm.distinct_chunks import ChunkEncoder, byte_bpe
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -12,12 +12,12 @@ from tokenizers import Tokenizer
 
 def test_chunks_have_the_ids_of_the_whole_below_u0250():
     whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    encode = ChunkEncoder(lambda chunks: [e.ids for e in whole.encode_batch(chunks, add_special_tokens=False)])
+    encode = ChunkEncoder(byte_bpe(public_tokenizers.path("byte_bpe_50k.json")))
     texts = ["a<|endoftext|>b <|endoftext|> c"]
     for c in [*map(chr, range(0x250)), "\u1680", "\u2003", "\u2028", "\u202f", "\u205f", "\u3000", "\u0301", "日", "😀"]:
         texts += [f"a{c}b {c} {c}{c}1{c}\n{c}  {c}x", c, f"  {c}  ", f"'{c}s 9{c}9{c}{c}{c}.", f"x {c}y {c} z{c} w {c} {c}"]
     raw = [t.encode() for t in texts]
-    ids, cuts, _ = encode(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]))
+    ((ids, cuts),), _ = encode(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]))
     for k, text in enumerate(texts):
         assert ids[cuts[k]:cuts[k + 1]].tolist() == whole.encode(text, add_special_tokens=False).ids
     assert 50256 in ids

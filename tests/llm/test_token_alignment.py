@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 from barcodeforge.llm import queries
 from barcodeforge.llm import token_alignment as T
-from barcodeforge.llm.distinct_chunks import ChunkEncoder, chunk_starts
+from barcodeforge.llm.distinct_chunks import ChunkEncoder, byte_bpe, byte_level_alphabet, chunk_starts
 
 SPECIAL = [(600, "before <|endoftext|> after"), (601, "a ▁ lower block"), (602, "<s> </s> <unk> <0x41>"), (603, "  two  spaces \n\n and\ttabs "),
            (604, "x y   z 　 w"), (605, "don't we'll I'm 's x 't"), (606, "emoji 😀😀 é ́"), (607, "\x00\x01 \x7f"),
@@ -22,7 +22,7 @@ def brute(rows):
     a = Tokenizer.from_file(public_tokenizers.path(T.BYTE_BPE))
     a.encode_special_tokens = True
     b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(T.PIECE_BPE))
-    alphabet = T.byte_level_alphabet()
+    alphabet = byte_level_alphabet()
     docs, held = [], Counter()
     for doc_id, text in rows:
         tokens = [[], []]
@@ -109,9 +109,9 @@ def test_chunks_are_encoded_as_the_whole(odd_documents):
     texts = [t or "" for _, t in odd_documents + SPECIAL]
     data = np.frombuffer("".join(texts).encode(), np.uint8)
     offsets = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
-    few = ChunkEncoder(lambda c: [e.ids for e in whole.encode_batch(c, add_special_tokens=False)], remembered=3)
+    few = ChunkEncoder(byte_bpe(public_tokenizers.path(T.BYTE_BPE)), remembered=3)
     for _ in range(2):  # once learnt, once remembered or forgotten
-        ids, cuts, sound = few(data, offsets)
+        ((ids, cuts),), sound = few(data, offsets)
         assert sound.all()
         for k, text in enumerate(texts):
             assert ids[cuts[k]:cuts[k + 1]].tolist() == whole.encode(text, add_special_tokens=False).ids
