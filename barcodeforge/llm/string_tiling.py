@@ -74,9 +74,8 @@ def benchmark_items(benchmark: DataFrame, id_col: str = "item_id", text_col: str
 def document_seeds(docs: DataFrame, shared: Broadcast, widths: list[int], id_col: str, text_col: str) -> DataFrame:
     """Documents that share a seed: ``doc_id, text_key, n_words, seeds, at, words`` with the
     distinct seeds, and the word hashes under them with their positions. Only a match of whole
-    seeds can become a tile, so no other word of a document is needed again."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(bits)
+    seeds can become a tile, so no other word of a document is needed again. ``shared`` holds
+    the bitmap of all items' seeds."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_key"),
                        F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
