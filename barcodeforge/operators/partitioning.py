@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barcodeforge.session import ensure_checkpoint_dir
@@ -34,6 +34,14 @@ def spread(df: DataFrame, min_partitions: int | None = None, max_bytes: int = SM
     return df.repartition(min_partitions or df.sparkSession.sparkContext.defaultParallelism)
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the session's shared folder (``spark.checkpoint.dir``), removed when the driver ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Stage boundary: write ``df`` once as Parquet to the session's shared folder
     (``spark.checkpoint.dir``) and read it from there.
@@ -44,10 +52,8 @@ def materialize(df: DataFrame) -> DataFrame:
     boundary only. The folder is removed when the driver ends, in any session.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "stage")
     df.write.parquet(path)
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -3,8 +3,6 @@ format written and read again."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,14 +10,13 @@ from barcodeforge.operators import cleaning as S
 from barcodeforge.operators import conflicts as G
 from barcodeforge.operators import homology as H
 from barcodeforge.operators import primers as P
-from barcodeforge.operators.partitioning import materialize
+from barcodeforge.operators.partitioning import checked_broadcast, materialize, scratch_path
 from barcodeforge.plans.fixtures import duckdb_sql, fixtures
 from barcodeforge.plans.q_conflicts import conflict_sql, dedup_sql, flagged_select
 from barcodeforge.plans.q_homology import HIT_CTES, search_ctes
 from barcodeforge.plans.q_primers import _CONTEXT_CTES, PRIMER_CTES, _oracle, exact_seeds, sequences
 from barcodeforge.plans.q_sources import _SRC_CTES, _SRC_FIX, merged
 from barcodeforge.plans.registry import query
-from barcodeforge.session import ensure_checkpoint_dir
 from barcodeforge.sources import io
 
 
@@ -77,16 +74,12 @@ def q_build_database(spark: SparkSession, sf_dir: str) -> DataFrame:
 # files: written to the session's shared folder and read again
 # ---------------------------------------------------------------------------------------
 
-def _path(spark: SparkSession, name: str) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 @query("checklist_file", duckdb_sql(["fx_species_list"], """
 SELECT family, species_final, species_synonym, source, country FROM fx_species_list"""))
 def q_checklist_file(spark, sf_dir):
     """A tab-separated checklist, columns in another order than the reader's."""
     rows, = fixtures(spark, sf_dir, "fx_species_list")
-    path = _path(spark, "checklist")
+    path = scratch_path(spark, "checklist")
     io.write_tsv(rows, path)
     return io.read_checklist(spark, path)
 
@@ -95,38 +88,54 @@ def q_checklist_file(spark, sf_dir):
 def q_sequences_file(spark, sf_dir):
     """CSV with missing values as ``NA``."""
     rows, = fixtures(spark, sf_dir, "fx_sequences")
-    path = _path(spark, "sequences")
+    path = scratch_path(spark, "sequences")
     io.write_csv(rows, path)
     return io.read_table_csv(spark, path, rows.schema)
 
 
 @query("records_file", duckdb_sql(["fx_bold_raw"], "SELECT processid, species, subspecies, nuc FROM fx_bold_raw"))
 def q_records_file(spark, sf_dir):
-    """K2 and S3: the second source's export."""
+    """K2 and S3: the second source's export, unquoted; blank and missing species differ."""
     rows, = fixtures(spark, sf_dir, "fx_bold_raw")
-    path = _path(spark, "records")
-    io.write_tsv(rows.withColumn("species", F.when(F.col("species") == "", F.lit("<empty>")).otherwise(F.col("species"))), path)
-    back = io.read_bold(spark, path)
-    return back.withColumn("species", F.when(F.col("species") == "<empty>", F.lit("")).otherwise(F.col("species")))
+    path = scratch_path(spark, "records")
+    io.write_tsv(rows, path, quoted=False)
+    return io.read_bold(spark, path)
+
 
+_ODD_NAMES = """
+SELECT accession, sequence, CASE WHEN p_size % 9 = 0 THEN NULL WHEN p_size % 9 = 1 THEN 'mlCOI:F/jg R+' || primer_name
+       WHEN p_size % 9 = 2 THEN '007' WHEN p_size % 9 = 3 THEN '50% ä=' ELSE primer_name END AS primer_name FROM {fx_relatives}"""
 
-@query("primer_files", duckdb_sql(["fx_relatives"], "SELECT accession, sequence, primer_name FROM fx_relatives"))
+
+@query("primer_files", duckdb_sql(["fx_relatives"], _ODD_NAMES.format(fx_relatives="fx_relatives")))
 def q_primer_files(spark, sf_dir):
     """One folder of CSV files per primer, read as one table with the primer's
-    name from the path (P3: the columns of the file)."""
+    name from the path (P3: the columns of the file). Names hold what paths escape, or are missing."""
     rows, = fixtures(spark, sf_dir, "fx_relatives")
-    path = _path(spark, "primers")
-    io.write_per_primer(rows.select("accession", "sequence", "primer_name"), path)
+    path = scratch_path(spark, "primers")
+    io.write_per_primer(spark.sql(_ODD_NAMES, fx_relatives=rows), path)
     from barcodeforge.functions.columns import columns_between
-    back = io.read_partitioned(spark, f"{path}/*/*.csv", name_col="primer", name_pattern="primer_name=([^/]+)")
-    return back.select(*columns_between(back, "accession", "sequence"), F.col("primer").alias("primer_name"))
+    back = io.read_per_primer(spark, path)
+    return back.select(*columns_between(back, "accession", "sequence"), "primer_name")
+
+
+@query("primer_table_file", duckdb_sql(["fx_primers", "fx_relatives"], """
+SELECT r.accession, p.primer, p.gene, p.forward_sequence, p.reverse_sequence, p.length
+FROM fx_relatives r LEFT JOIN fx_primers p ON r.primer_name = p.primer"""))
+def q_primer_table_file(spark, sf_dir):
+    """The primer file, joined to what each primer found."""
+    rows, pr = fixtures(spark, sf_dir, "fx_relatives", "fx_primers")
+    path = scratch_path(spark, "primer-table")
+    io.write_tsv(pr.select("length", "primer", "reverse_sequence", "gene", "forward_sequence"), path)
+    table = io.read_primers(spark, path)
+    return rows.join(checked_broadcast(table), rows["primer_name"] == table["primer"], "left").select("accession", *table.columns)
 
 
 @query("name_lines", duckdb_sql(["fx_species_list"], "SELECT DISTINCT trim(species_final) AS name FROM fx_species_list"))
 def q_name_lines(spark, sf_dir):
     """K3: one name per line."""
     rows, = fixtures(spark, sf_dir, "fx_species_list")
-    path = _path(spark, "names")
+    path = scratch_path(spark, "names")
     io.write_lines(rows.select(F.trim("species_final").alias("name")).distinct(), "name", path)
     return spark.read.text(path).withColumnRenamed("value", "name")
 
@@ -136,7 +145,7 @@ SELECT a.accession, t.taxid, t.rank, t.name FROM fx_accessions a JOIN fx_taxa t
 def q_taxonomy_files(spark, sf_dir):
     """The taxonomy tables as files."""
     taxa, acc = fixtures(spark, sf_dir, "fx_taxa", "fx_accessions")
-    path = _path(spark, "taxonomy")
+    path = scratch_path(spark, "taxonomy")
     io.write_table(taxa.select("taxid", "name", F.lit("scientific name").alias("name_class")), f"{path}/names")
     io.write_table(taxa.select("taxid", "parent_taxid", "rank"), f"{path}/nodes")
     io.write_table(acc, f"{path}/accession_taxa")
@@ -148,6 +157,6 @@ def q_taxonomy_files(spark, sf_dir):
 def q_authority_file(spark, sf_dir):
     """The name authority as CSV."""
     rows, = fixtures(spark, sf_dir, "fx_name_authority")
-    path = _path(spark, "authority")
+    path = scratch_path(spark, "authority")
     io.write_csv(rows, path)
     return io.read_name_authority(spark, path, data_source=3, fmt="csv")

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from barcodeforge.functions import columns as C
 from barcodeforge.operators import cleaning as S
-from barcodeforge.operators.partitioning import materialize
+from barcodeforge.operators.partitioning import materialize, scratch_path
 from barcodeforge.plans.fixtures import duckdb_sql, fixtures
 from barcodeforge.plans.q_checklist import CHECKLIST_CTES, CHECKLIST_FIXTURES, checklist_with_ids
 from barcodeforge.plans.registry import query
+from barcodeforge.sources import io
 
 
 def ncbi_clean(spark: SparkSession, sf_dir: str, checklist: DataFrame | None = None) -> DataFrame:
@@ -127,12 +129,20 @@ def q_header_pattern(spark, sf_dir):
 def q_fasta_roundtrip(spark, sf_dir):
     """K4 then S5 over the whole database: write FASTA (wrapped at 60) into the session's
     checkpoint folder (shared storage on a cluster), read it back as (header, sequence)."""
-    import uuid
-
-    from barcodeforge.session import ensure_checkpoint_dir
-    from barcodeforge.sources import io
-
     db, = fixtures(spark, sf_dir, "fx_database")
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fasta-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "fasta")
     io.write_fasta(db, path, width=60)
     return io.read_fasta(spark, path)
+
+
+@query("fasta_missing", duckdb_sql(["fx_bold_raw"], """
+SELECT coalesce(species, 'NA') AS header, CASE WHEN length(nuc) < 190 THEN '' ELSE nuc END AS sequence
+FROM fx_bold_raw WHERE species IS NULL OR species <> ''"""))
+def q_fasta_missing(spark, sf_dir):
+    """K4 then S5 over the second source's records: a missing name is written as ``NA``, a missing
+    sequence as an empty body; a record with a blank header has no name to be read by."""
+    raw, = fixtures(spark, sf_dir, "fx_bold_raw")
+    rows = raw.select("species", F.when(F.length("nuc") >= 190, F.col("nuc")).alias("nuc"))
+    path = scratch_path(spark, "fasta")
+    io.write_fasta(rows, path, header="species", sequence="nuc", width=60)
+    return io.read_fasta(spark, path)

@@ -8,6 +8,7 @@ sides of every CSV/TSV edge.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,30 +31,61 @@ AUTHORITY_SCHEMA = T.StructType([
     T.StructField("taxonomic_status", T.StringType())])
 
 
+_SHORT = "_short_row"
+
+
 def _read_delimited(spark: SparkSession, path: str | Sequence[str], sep: str, schema: T.StructType | None,
-                    quote: str | None = None, glob: str | None = None, file_col: str | None = None) -> DataFrame:
+                    quote: str | None = None, glob: str | None = None, file_col: str | None = None,
+                    partition_col: str | None = None) -> DataFrame:
     """Delimited text with a header. Columns are found by the header's names, in any order; with
     a ``schema`` its columns are taken and cast, others are left out, and a missing one is an
-    error. All files of one read must have the same header."""
+    error. All files of one read must have the same header.
+
+    ``NA`` is missing, and so is what a short row lacks; a blank cell is an empty text (in a
+    column that is not text, missing). The CSV source reads blank and absent cells alike, so
+    short rows are told by the record that it keeps of them.
+    """
     def reader():
-        r = spark.read.option("header", True).option("sep", sep).option("nullValue", NA).option("mode", "PERMISSIVE")
-        if quote is not None:
-            r = r.option("quote", quote)
+        r = spark.read.option("header", True).option("sep", sep).option("mode", "PERMISSIVE").option("columnPruning", False)
+        r = r.option("escape", '"') if quote is None else r.option("quote", quote)
         return r.option("pathGlobFilter", glob) if glob else r
 
     paths = path if isinstance(path, str) else list(path)
-    names = reader().csv(paths).columns
-    texts = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    names = [c for c in reader().csv(paths).columns if c != partition_col]
+    texts = T.StructType([T.StructField(c, T.StringType()) for c in [*names, _SHORT, *filter(None, [partition_col])]])
     # enforceSchema off: a file whose header differs fails instead of being read by position
-    df = reader().schema(texts).option("enforceSchema", False).csv(paths)
-    if file_col:
-        df = df.withColumn(file_col, F.col("_metadata.file_path"))
+    df = reader().schema(texts).option("enforceSchema", False).option("columnNameOfCorruptRecord", _SHORT).csv(paths)
+    record = F.col(_SHORT) if quote == "" else F.regexp_replace(_SHORT, '"([^"]|"")*"', "")
+    cells = F.when(F.col(_SHORT).isNotNull(), F.size(F.split(record, F.lit(re.escape(sep)))))
+
+    def cell(k: int, name: str):
+        there = cells.isNull() | (cells > k)
+        text = F.when(there, F.coalesce(F.col(f"`{name}`"), F.lit("")))
+        return F.when(text != NA, text).alias(name)
+
+    more = [F.col("_metadata.file_path").alias(file_col)] if file_col else []
+    more += [F.col(f"`{partition_col}`")] if partition_col else []
+    df = df.select(*[cell(k, c) for k, c in enumerate(names)], *more)
     if schema is None:
         return df
-    missing = [f.name for f in schema if f.name not in names]
+    fields = [f for f in schema if f.name != partition_col]
+    missing = [f.name for f in fields if f.name not in names]
     if missing:
         raise ValueError(f"{path}: no column {', '.join(missing)} in the header ({', '.join(names)})")
-    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema], *([file_col] if file_col else []))
+
+    def typed(f: T.StructField):
+        text = F.col(f"`{f.name}`")
+        if not isinstance(f.dataType, T.StringType):
+            text = F.when(F.trim(text) != "", text).cast(f.dataType)
+        return text.alias(f.name)
+
+    return df.select(*[typed(f) for f in fields], *filter(None, [file_col, partition_col]))
+
+
+def _decoded(text, twice: bool = False):
+    """A path as it was before it became a URL; ``twice`` also undoes the escapes of a partition folder."""
+    plain = F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+    return _decoded(plain) if twice else plain
 
 
 # --- sources -------------------------------------------------------------------------------
@@ -64,13 +96,13 @@ def read_checklist(spark: SparkSession, path: str, schema: T.StructType = CHECKL
 
 
 def read_table_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, sep: str = ",") -> DataFrame:
-    """CSV with a header, ``NA`` read as missing."""
+    """CSV with a header, ``NA`` read as missing, a blank cell of a text column as an empty text."""
     return _read_delimited(spark, path, sep, schema)
 
 
 def read_bold(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """S3: second-source export: TSV, quoting off (a ``"`` stays text), short rows padded with
-    NULLs. Without a schema every column is a string."""
+    NULLs, a blank cell kept as an empty text. Without a schema every column is a string."""
     return _read_delimited(spark, path, "\t", schema, quote="")
 
 
@@ -104,9 +136,29 @@ def read_partitioned(spark: SparkSession, path: str | Sequence[str], id_col: str
                      name_col: str | None = None, name_pattern: str = r"([^/]+?)(?:\.[^./]*)?$") -> DataFrame:
     """Many CSV files read as one table with the source file in ``id_col`` and, if
     ``name_col`` is given, the part of its path that the first group of ``name_pattern`` takes
-    (the file name without its last extension), such as a primer's name."""
+    (the file name without its last extension), such as a primer's name. Both are as the file
+    system writes them, without the escapes of a URL."""
     df = _read_delimited(spark, path, sep, schema, glob=glob, file_col=id_col)
-    return df.withColumn(name_col, F.regexp_extract(id_col, name_pattern, 1)) if name_col else df
+    if name_col:
+        # the name is cut out before it is decoded, since a decoded name may hold a slash
+        df = df.withColumn(name_col, _decoded(F.regexp_extract(id_col, name_pattern, 1)))
+    return df.withColumn(id_col, _decoded(F.col(id_col)))
+
+
+def read_per_primer(spark: SparkSession, path: str, schema: T.StructType | None = None, key: str = "primer_name",
+                    fmt: str = "csv") -> DataFrame:
+    """What :func:`write_per_primer` wrote, as one table. The primer's name is the folder's, read by
+    Spark as a partition column, so it is the one that was written, whatever characters it has;
+    the folder of no name is NULL. CSV and Parquet have the columns of their files; FASTA has
+    ``accession`` and ``sequence``."""
+    if fmt == "csv":
+        return _read_delimited(spark, path, ",", schema, partition_col=key)
+    if fmt == "fasta":
+        texts = T.StructType([T.StructField("value", T.StringType()), T.StructField(key, T.StringType())])
+        raw = spark.read.schema(texts).option("lineSep", "\n>").text(path)
+        return fasta_records(raw, key).withColumnRenamed("header", "accession")
+    columns = [f for f in spark.read.format(fmt).load(path).schema if f.name != key]
+    return spark.read.format(fmt).schema(T.StructType([*columns, T.StructField(key, T.StringType())])).load(path)
 
 
 def read_taxonomy(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -133,14 +185,18 @@ def _writer(df: DataFrame, mode: str, partition_by: Sequence[str] | None):
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", sep: str = ",",
-              partition_by: Sequence[str] | None = None) -> None:
-    """K1 / K2: delimited text with a header, NULL written as ``NA``."""
-    (_writer(df, mode, partition_by).option("header", True).option("sep", sep).option("nullValue", NA)
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+              partition_by: Sequence[str] | None = None, quoted: bool = True) -> None:
+    """K1 / K2: delimited text with a header, NULL written as ``NA``. Without quoting, cells are
+    written as they are: none may hold the separator or a line end."""
+    w = (_writer(df, mode, partition_by).option("header", True).option("sep", sep).option("nullValue", NA)
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    w = w.option("escape", '"') if quoted else w.option("quote", "").option("emptyValue", "")
+    w.csv(path)
 
 
-def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists", partition_by: Sequence[str] | None = None) -> None:
-    write_csv(df, path, mode, "\t", partition_by)
+def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists", partition_by: Sequence[str] | None = None,
+              quoted: bool = True) -> None:
+    write_csv(df, path, mode, "\t", partition_by, quoted)
 
 
 def write_lines(df: DataFrame, col: str, path: str, mode: str = "errorifexists") -> None:
@@ -149,11 +205,12 @@ def write_lines(df: DataFrame, col: str, path: str, mode: str = "errorifexists")
 
 
 def fasta_record(header: str = "header", sequence: str = "sequence", width: int | None = None):
-    """Column ``>header\nsequence``; ``width`` wraps the body."""
-    body = F.col(sequence)
+    """Column ``>header\nsequence``; ``width`` wraps the body. A missing header is ``NA``, a missing
+    sequence an empty body, so that no record is lost."""
+    body = F.coalesce(F.col(sequence), F.lit(""))
     if width:
         body = F.regexp_replace(F.regexp_replace(body, f"(.{{{width}}})", "$1\n"), "\n$", "")
-    return F.concat(F.lit(">"), F.col(header), F.lit("\n"), body).alias("value")
+    return F.concat(F.lit(">"), F.coalesce(F.col(header), F.lit(NA)), F.lit("\n"), body).alias("value")
 
 
 def write_fasta(df: DataFrame, path: str, header: str = "header", sequence: str = "sequence",

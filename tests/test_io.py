@@ -135,3 +135,45 @@ def test_partitioned_read_taxonomy_and_authority(spark, scratch):
     io.write_table(auth, os.path.join(scratch, "auth"))
     assert io.read_name_authority(spark, os.path.join(scratch, "auth"), data_source=3).count() == 1
     assert columns_between(auth, "match_type", "current_name") == ["match_type", "current_record_id", "current_name"]
+
+
+def test_blank_cells_are_not_missing(spark, scratch):
+    p = os.path.join(scratch, "bold.tsv")
+    with open(p, "w") as f:
+        f.write('processid\tspecies\tsubspecies\tnuc\nP-1\t\tNA\tACGT\nP-2\tApis\t\t\nP-3\t\nP-4\t"\t"\tA\nP-5\ta\tb\tc\td\n')
+    rows = {r[0]: tuple(r)[1:] for r in io.read_bold(spark, p).collect()}
+    assert rows == {"P-1": ("", None, "ACGT"), "P-2": ("Apis", "", ""), "P-3": ("", None, None), "P-4": ('"', '"', "A"), "P-5": ("a", "b", "c")}
+    assert {r[0] for r in io.read_bold(spark, p).where("subspecies is null").select("processid").collect()} == {"P-1", "P-3"}
+    p = os.path.join(scratch, "t.csv")
+    with open(p, "w") as f:
+        f.write('a,b,n\nx,,1\ny,"",\n"u,v","w ""q"" ,"\nz,NA,NA\n')
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("b", T.StringType()), T.StructField("n", T.IntegerType()), T.StructField("a", T.StringType())])
+    rows = {r["a"]: (r["b"], r["n"]) for r in io.read_table_csv(spark, p, schema).collect()}
+    assert rows == {"x": ("", 1), "y": ("", None), "u,v": ('w "q" ,', None), "z": (None, None)}
+
+
+def test_fasta_keeps_records_without_name_or_sequence(spark, scratch):
+    df = spark.createDataFrame([("h", "ACGT"), (None, "GG"), ("e", None)], "header string, sequence string")
+    out = os.path.join(scratch, "out")
+    io.write_fasta(df, out, width=3)
+    assert {(r[0], r[1]) for r in io.read_fasta(spark, out).collect()} == {("h", "ACGT"), ("NA", "GG"), ("e", "")}
+
+
+@pytest.mark.parametrize("fmt", ["csv", "fasta", "parquet"])
+def test_primer_names_survive_paths(spark, scratch, fmt):
+    names = ["mlCOI:F/jg R", "a+b%2F", "007", "ä=ü#?", None, "x y"]
+    df = spark.createDataFrame([(n, f"a{k}", "ACGT") for k, n in enumerate(names)], "primer_name string, accession string, sequence string")
+    out = os.path.join(scratch, "pp")
+    io.write_per_primer(df, out, fmt=fmt)
+    back = io.read_per_primer(spark, out, fmt=fmt)
+    assert {(r["primer_name"], r["accession"], r["sequence"]) for r in back.collect()} == {(n, f"a{k}", "ACGT") for k, n in enumerate(names)}
+
+
+def test_file_names_are_decoded(spark, scratch):
+    for name in ("seeds_a b+c%41.csv", "seeds_ä.csv"):
+        with open(os.path.join(scratch, name), "w") as f:
+            f.write("k\n1\n")
+    rows = io.read_partitioned(spark, scratch, glob="seeds_*.csv", name_col="primer", name_pattern=r"seeds_([^/]+)\.csv$").collect()
+    assert {r["primer"] for r in rows} == {"a b+c%41", "ä"}
+    assert all(os.path.exists(r["path"].split("file:")[-1].replace("//", "")) for r in rows)
