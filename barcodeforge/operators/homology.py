@@ -2,25 +2,29 @@
 
 H1 is a Spark-native seed-and-extend search, not a wrapper around an aligner binary:
 
-1. **Blocks of seeds.** The seeds are dealt by hash into blocks of a bounded number of bases,
-   however many seeds there are; each block is one pass over the database, which is scanned
-   and never shuffled.
-2. **Words.** Within a task both sides are reduced to their *minimizers* (k=20, w=9; one
-   vectorised pass per batch; words with ambiguity codes never chosen). Two sequences that
-   share an exact run of 28 bases share one at the same distance, so they only propose
-   diagonals: a diagonal counts if it really has an exact run of ``run`` bases, whichever words
-   were chosen. Seeds are searched on both strands. No candidate is capped.
-3. **Extension.** All proposed diagonals of a batch are scored together: +reward / -penalty per
+1. **Index.** The distinct texts of the database are reduced to their *minimizers* (k=20, w=9; one
+   vectorised pass per batch; words with ambiguity codes never chosen) and written as an
+   inverted index: for every word the texts that hold it, and where. A word in very many texts
+   is split into parts. The index serves any number of searches (:func:`search_index`).
+2. **Candidates.** The seeds' minimizers, on both strands, join the index by word (and part). Two
+   sequences that share an exact run of 28 bases share a minimizer at the same distance, so
+   words only propose diagonals: a diagonal counts if it really has an exact run of ``run``
+   bases, whichever words were chosen. Nothing of seeds or database passes the driver.
+3. **Bound.** A window of ``k + w - 1`` bases of a seed whose minimizer the text lacks cannot lie in
+   an exact run, so any alignment over it pays for a mismatch or a gap. That bounds the score
+   of a pair from its shared words alone (:func:`score_bound`). The most promising seed of each
+   primer and text is scored first; other pairs follow only if their bound reaches its score.
+4. **Extension.** All proposed diagonals of a batch are scored together: +reward / -penalty per
    aligned base (an ambiguous base never earns the reward), the maximal-scoring ungapped
    segment of each by running sums. Segments of one pair are then chained: a later segment on
    another diagonal continues a chain at the cost of a gap, columns that both cover count once,
    and skipped columns count as mismatches. So an insertion or deletion does not end a hit.
-4. **Scores.** bitscore = (lambda * S - ln K) / ln 2 with the Karlin-Altschul parameters
+5. **Scores.** bitscore = (lambda * S - ln K) / ln 2 with the Karlin-Altschul parameters
    for the reward/penalty pair (published values; parameters). length = the longer of the two
    aligned spans. qcovs = aligned query span / query length * 100. Reverse-strand hits have
    ``sstart > send``.
-5. **Output.** The best hit of every primer and subject, chosen within the task: at most
-   primers x subjects rows, however alike the seeds of a primer are.
+6. **Output.** The best hit of every primer and subject: at most primers x subjects rows, however
+   alike the seeds of a primer are.
 
 Scores follow these definitions and are not those of any particular aligner.
 """
@@ -28,10 +32,13 @@ Scores follow these definitions and are not those of any particular aligner.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barcodeforge.functions import columns as C
@@ -128,10 +135,10 @@ def minimizer_batch(seqs: list, k: int, w: int):
     return row, (pos - starts[row] + 1).astype(np.int32), val[pos].astype(np.int64)
 
 
-SEED_BLOCK_BASES = 4_000_000  # seed bases of one block: what a pass ships to every task
 CELL_BLOCK = 2_000_000        # aligned columns scored together
 RUN = 28
 GAP_OPEN, GAP_EXTEND = 3, 1
+SPLIT_POSTINGS = 20_000        # texts of one word that are joined together; more are split into parts
 
 
 def _codes(text: str) -> np.ndarray:
@@ -197,120 +204,213 @@ def chain_segments(segments: list[tuple[int, int, int, int]], reward: int, penal
     return out
 
 
-def seed_index(seed_rows: list, k: int, w: int) -> dict:
-    """Minimizers of the seeds of a block, both strands, in order; built by each task."""
-    names, qids, strands, texts = [], [], [], []
-    for primer_name, qseqid, seq in seed_rows:
-        fwd = (seq or "").upper()
-        for strand, text in (("+", fwd), ("-", revcomp_str(fwd))):
-            names.append(primer_name)
-            qids.append(qseqid)
-            strands.append(strand)
-            texts.append(text)
-    row, pos, kmer = minimizer_batch(texts, k, w)
-    order = np.argsort(kmer, kind="stable")
-    length = np.array([len(t) for t in texts], dtype=np.int64)
-    return {"kmer": kmer[order], "entry": row[order].astype(np.int64), "pos": pos[order].astype(np.int64),
-            "primer_name": names, "qseqid": qids, "strand": strands, "length": length,
-            "start": np.cumsum(length) - length, "codes": _codes("".join(texts))}
-
-
-def search_batch(index: dict, subjects: list, k: int, w: int, run: int, scoring: tuple[int, int, int, int],
-                 min_score: int) -> list[tuple]:
-    """Best hit of each (primer, subject) of a batch: ``(primer_name, row, entry, score, q_first,
-    s_first, q_last, s_last)``, positions from 0."""
+def _postings(batches: Iterator[pa.RecordBatch], k: int, w: int, minus: bool) -> Iterator[pa.RecordBatch]:
+    """Minimizers of ``(id, text)`` rows as ``kmer, id, minus, size, at, windows``: one row for each
+    word of a text, with its places from 0 and how many of the disjoint windows of the text it
+    is the minimizer of. ``minus`` adds the reverse complement of every text."""
+    span = k + w - 1
+    for batch in batches:
+        ids = batch.column("id").to_numpy()
+        texts = batch.column("text").to_pylist()
+        for strand in (False, True)[:1 + minus]:
+            own = [revcomp_str(t) for t in texts] if strand else texts
+            row, pos, kmer = minimizer_batch(own, k, w)
+            size = np.array([len(t) for t in own], dtype=np.int64)
+            # the first smallest word of every window that starts at a multiple of its length
+            count = size // span
+            owner = np.repeat(np.arange(len(own)), count)
+            begin = (np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)) * span
+            place = row * (int(size.max(initial=0)) + span + 1) + pos - 1
+            base = owner * (int(size.max(initial=0)) + span + 1) + begin
+            low, high = np.searchsorted(place, base), np.searchsorted(place, base + w)
+            some = low < high
+            low, high = low[some], high[some]
+            windows = np.zeros(len(row), dtype=np.int32)
+            if len(low):
+                with np.errstate(over="ignore"):
+                    order = _mix(kmer.astype(np.uint64))
+                least = np.minimum.reduceat(np.append(order, _NO_WORD_U), np.stack([low, high], axis=1).ravel())[::2]
+                inside = np.arange(int((high - low).sum())) - np.repeat(np.cumsum(high - low) - (high - low) - low, high - low)
+                hit = np.flatnonzero(order[inside] == np.repeat(least, high - low))
+                window = np.repeat(np.arange(len(low)), high - low)[hit]
+                np.add.at(windows, inside[hit[np.concatenate([[True], window[1:] != window[:-1]])]], 1)
+            by = np.lexsort((pos, kmer, row))
+            row, pos, kmer, windows = row[by], pos[by], kmer[by], windows[by]
+            first = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (kmer[1:] != kmer[:-1])])) if len(row) else np.zeros(0, int)
+            cuts = np.append(first, len(row)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(kmer[first]), pa.array(ids[row[first]]), pa.array(np.full(len(first), strand)),
+                 pa.array(size[row[first]].astype(np.int32)), pa.ListArray.from_arrays(pa.array(cuts), pa.array((pos - 1).astype(np.int32))),
+                 pa.array(np.add.reduceat(windows, first).astype(np.int32) if len(first) else windows)],
+                ["kmer", "id", "minus", "size", "at", "windows"])
+
+
+_POSTINGS = "kmer bigint, id bigint, minus boolean, size int, at array<int>, windows int"
+
+
+def _written_postings(texts: DataFrame, k: int, w: int, minus: bool) -> DataFrame:
+    rows = texts.select("id", "text").filter(F.length("text") >= k)
+    return materialize(spread(rows).mapInArrow(lambda batches: _postings(batches, k, w, minus), _POSTINGS))
+
+
+@dataclass(frozen=True)
+class SearchIndex:
+    """A written inverted index of a database: its rows, distinct texts and words in parts."""
+
+    k: int
+    w: int
+    rows: DataFrame
+    texts: DataFrame
+    postings: DataFrame
+    parts: DataFrame | None
+
+
+def search_index(database: DataFrame, k: int = 20, w: int = 9, split: int = SPLIT_POSTINGS) -> SearchIndex:
+    """The index that :func:`homology_search` looks seeds up in; database: (sseqid, sequence).
+    The database is read once. A word in more than ``split`` texts is dealt to parts by text."""
+    rows = materialize(database.select("sseqid", F.upper(F.col("sequence")).alias("text"))
+                       .filter(F.col("text").isNotNull()).withColumn("digest", F.sha2("text", 256)))
+    texts = rows.groupBy("digest").agg(F.first("text").alias("text")).withColumn("id", F.monotonically_increasing_id())
+    texts = materialize(texts)
+    postings = _written_postings(texts, k, w, minus=False)
+    parts = postings.groupBy("kmer").agg(F.count("*").alias("n")).filter(F.col("n") > split)
+    parts = materialize(parts.select("kmer", F.ceil(F.col("n") / split).cast("int").alias("parts")))
+    if parts.isEmpty():
+        return SearchIndex(k, w, rows, texts, postings.withColumn("part", F.lit(0)), None)
+    dealt = postings.join(parts, "kmer", "left").withColumn("part", F.when(
+        F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))).drop("parts")
+    return SearchIndex(k, w, rows, texts, dealt, parts)
+
+
+def score_bound(query: Column, subject: Column, lacking: Column, k: int, w: int, reward: int, penalty: int, gap_open: int,
+                gap_extend: int) -> Column:
+    """Upper bound on the score of a pair with these lengths, whose subject lacks the minimizers of
+    ``lacking`` of the seed's disjoint windows of ``k + w - 1`` bases.
+
+    Such a window is in no exact run. An alignment over it has a mismatch in it (reward + penalty
+    less than all bases would earn) or a gap at it; a gap of m skipped bases meets at most
+    ``2 + (m - 2) / (k + w - 1)`` windows. At either end one window may be left by giving up a
+    single base, and each further one by giving up all its bases.
+    """
+    cost = min(reward + penalty, gap_open + gap_extend, (gap_open + gap_extend + 2 * reward) // 2, reward * (k + w - 1))
+    return F.least(reward * query - max(0, cost) * F.greatest(lacking - 2, F.lit(0)), reward * subject)
+
+
+def _extended(pairs: DataFrame, run: int, scoring: tuple[int, int, int, int], min_score: int) -> DataFrame:
+    """The best chain of every pair ``text, seed, minus, diagonals`` that has one, next to all
+    columns but these four, as ``score, q_first, s_first, q_last, s_last`` (from 0)."""
     reward, penalty, gap_open, gap_extend = scoring
-    length = np.array([len(x) if x is not None else 0 for x in subjects], dtype=np.int64)
-    start = np.cumsum(length) - length
-    codes = _codes("".join(x or "" for x in subjects))
-    row, pos, kmer = minimizer_batch(subjects, k, w)
-    low = np.searchsorted(index["kmer"], kmer, "left")
-    count = np.searchsorted(index["kmer"], kmer, "right") - low
-    pair = np.repeat(np.arange(len(kmer)), count)
-    at = low[pair] + np.arange(len(pair)) - np.repeat(np.cumsum(count) - count, count)
-    found = np.unique(np.stack([row[pair], index["entry"][at], pos[pair] - index["pos"][at]], axis=1).astype(np.int64), axis=0)
-    best: dict[tuple[str, int], tuple] = {}
-    a = 0
-    while a < len(found):
-        entry, subject, diag = found[a:, 1], found[a:, 0], found[a:, 2]
-        cells = np.cumsum(np.minimum(index["length"][entry], length[subject]))
-        b = a + max(1, int(np.searchsorted(cells, CELL_BLOCK)))
-        while b < len(found) and (found[b, :2] == found[b - 1, :2]).all():
-            b += 1  # a pair's diagonals are chained together
-        subject, entry, diag = found[a:b].T
-        score, first, last, exact = score_diagonals(
-            index["codes"], index["start"][entry], index["length"][entry], codes, start[subject], length[subject], diag,
-            reward, penalty)
-        good = np.flatnonzero(exact >= run)
-        pairs = np.stack([subject[good], entry[good]], axis=1)
-        cut = np.flatnonzero(np.any(pairs[1:] != pairs[:-1], axis=1)) + 1
-        for group in np.split(good, cut) if len(good) else []:
-            s, e = int(subject[group[0]]), int(entry[group[0]])
-            segments = [(int(score[g]), int(diag[g]), int(first[g]), int(last[g])) for g in group]
-            for chain in chain_segments(segments, reward, penalty, gap_open, gap_extend):
-                if chain[0] < min_score:
-                    continue
-                spans = max(chain[3] - chain[1], chain[4] - chain[2])
-                ends = (chain[2], chain[4]) if index["strand"][e] == "+" else (chain[4], chain[2])
-                cover = (chain[3] - chain[1] + 1) / int(index["length"][e])
-                rank = (-chain[0], -spans, *ends, -cover, index["qseqid"][e], index["strand"][e])
-                key = (index["primer_name"][e], s)
-                if key not in best or rank < best[key][0]:
-                    best[key] = (rank, (key[0], s, e, *chain))
-        a = b
-    return [v for _, v in best.values()]
-
-
-def homology_search(seeds: DataFrame, database: DataFrame, k: int = 20, w: int = 9, reward: int = 1, penalty: int = 2,
-                    min_score: int = 0, run: int | None = None, gap_open: int = GAP_OPEN, gap_extend: int = GAP_EXTEND,
-                    block_bases: int = SEED_BLOCK_BASES) -> DataFrame:
+    carried = [f for f in pairs.schema if f.name not in ("text", "seed", "diagonals")]
+    names = [f.name for f in carried] + ["score", "q_first", "s_first", "q_last", "s_last"]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried)
+
+    def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        cells = np.minimum(pc.binary_length(batch.column("text")).to_numpy(), pc.binary_length(batch.column("seed")).to_numpy())
+        upto = np.cumsum(cells.astype(np.int64) * pc.list_value_length(batch.column("diagonals")).to_numpy())
+        a = 0
+        while a < batch.num_rows:
+            b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + CELL_BLOCK)))
+            yield batch.slice(a, b - a)
+            a = b
+
+    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                lists = part.column("diagonals")
+                pair = pc.list_parent_indices(lists).to_numpy().astype(np.int64)
+                diag = pc.list_flatten(lists).to_numpy().astype(np.int64)
+                sides = []
+                for name in ("seed", "text"):
+                    texts = part.column(name).to_pylist()
+                    size = np.array([len(t) for t in texts], dtype=np.int64)
+                    sides.append((_codes("".join(texts)), (np.cumsum(size) - size)[pair], size[pair]))
+                score, first, last, exact = score_diagonals(*sides[0], *sides[1], diag, reward, penalty)
+                good = np.flatnonzero(exact >= run)
+                cut = np.flatnonzero(pair[good][1:] != pair[good][:-1]) + 1
+                minus = part.column("minus").to_pylist()
+                kept, out = [], []
+                for group in np.split(good, cut) if len(good) else []:
+                    segments = [(int(score[g]), int(diag[g]), int(first[g]), int(last[g])) for g in group]
+                    row = int(pair[group[0]])
+                    best = None
+                    for chain in chain_segments(segments, reward, penalty, gap_open, gap_extend):
+                        spans = max(chain[3] - chain[1], chain[4] - chain[2])
+                        ends = (chain[4], chain[2]) if minus[row] else (chain[2], chain[4])
+                        rank = (-chain[0], -spans, *ends, -(chain[3] - chain[1]))
+                        if chain[0] >= min_score and (best is None or rank < best[0]):
+                            best = (rank, chain)
+                    if best:
+                        kept.append(row)
+                        out.append(best[1])
+                taken = pa.array(kept, pa.int64())
+                values = np.array(out, dtype=np.int32).reshape(-1, 5)
+                yield pa.RecordBatch.from_arrays([*(part.column(f.name).take(taken) for f in carried), *map(pa.array, values.T)], names)
+
+    return pairs.mapInArrow(extend, schema + ", score int, q_first int, s_first int, q_last int, s_last int")
+
+
+def homology_search(seeds: DataFrame, database: DataFrame | SearchIndex, k: int = 20, w: int = 9, reward: int = 1, penalty: int = 2,
+                    min_score: int = 0, run: int | None = None, gap_open: int = GAP_OPEN, gap_extend: int = GAP_EXTEND) -> DataFrame:
     """H1: the best hit of every primer's seeds on every database sequence (both strands).
 
-    seeds: (primer_name, qseqid, sequence); database: (sseqid, sequence).
+    seeds: (primer_name, qseqid, sequence); database: (sseqid, sequence), or the index of one.
     Output: primer_name, qseqid, sseqid, sstart, send, length, qcovs, bitscore; one row per
     primer and subject that share an exact run of ``run`` bases (default and at least
     ``k + w - 1``). Ties: longer, then smaller sstart, send, higher coverage, smaller qseqid.
     """
+    index = database if isinstance(database, SearchIndex) else search_index(database, k, w)
+    k, w = index.k, index.w
     run = max(run or 0, k + w - 1)
-    spark = seeds.sparkSession
-    seeds = materialize(seeds.select("primer_name", "qseqid", "sequence").filter(F.col("sequence").isNotNull()))
-    bases = seeds.agg(F.sum(F.length("sequence"))).first()[0] or 0
-    blocks = max(1, -(-bases // block_bases))
-    block = F.pmod(F.xxhash64("primer_name", "qseqid", "sequence"), F.lit(blocks))
-    db = spread(database.select("sseqid", F.upper(F.col("sequence")).alias("sequence")))
-    schema = ("primer_name string, qseqid string, sseqid string, strand string, qlen int, "
-              "score int, q_first int, s_first int, q_last int, s_last int")
     scoring = (reward, penalty, gap_open, gap_extend)
-
-    def search(shared):
-        def run_block(batches):
-            index = seed_index(shared.value, k, w)
-            for pdf in batches:
-                ids, texts, out = pdf["sseqid"].tolist(), pdf["sequence"].tolist(), []
-                for a in range(0, len(texts), 64):
-                    for name, s, e, *chain in search_batch(index, texts[a:a + 64], k, w, run, scoring, min_score):
-                        out.append((name, index["qseqid"][e], ids[a + s], index["strand"][e], int(index["length"][e]), *chain))
-                yield pd.DataFrame(out, columns=[c.split(" ")[0] for c in schema.split(", ")])
-
-        return db.mapInPandas(run_block, schema)
-
-    hits = None
-    for n in range(blocks):
-        rows = [tuple(r) for r in seeds.filter(block == n).collect()]
-        part = search(spark.sparkContext.broadcast(rows))
-        hits = part if hits is None else hits.unionByName(part)
+    # of equal seeds of a primer the smallest name is the one that a hit is reported by
+    seeds = seeds.select("primer_name", "qseqid", F.upper(F.col("sequence")).alias("text")).filter(F.length("text") >= run)
+    seeds = seeds.groupBy("primer_name", "text").agg(F.min("qseqid").alias("qseqid"))
+    seeds = materialize(seeds.withColumn("id", F.monotonically_increasing_id()))
+    asked = _written_postings(seeds, k, w, minus=True)
+    asked = asked.select("kmer", F.col("id").alias("seed_id"), "minus", F.col("size").alias("qlen"), F.col("at").alias("asked_at"), "windows")
+    if index.parts is None:
+        asked = asked.withColumn("part", F.lit(0))
+    else:
+        asked = asked.join(index.parts, "kmer", "left").withColumn(
+            "part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+    met = index.postings.select("kmer", "part", F.col("id").alias("text_id"), F.col("size").alias("slen"), "at").join(asked, ["kmer", "part"])
+    diagonals = F.flatten(F.transform("at", lambda s: F.transform("asked_at", lambda q: s - q)))
+    pairs = met.groupBy("text_id", "seed_id", "minus").agg(
+        F.array_distinct(F.flatten(F.collect_list(diagonals))).alias("diagonals"), F.sum("windows").alias("shared"),
+        F.first("qlen").alias("qlen"), F.first("slen").alias("slen"))
+    lacking = F.floor(F.col("qlen") / (k + w - 1)) - F.col("shared")
+    bound = score_bound(F.col("qlen"), F.col("slen"), lacking, k, w, *scoring).cast("int")
+    names = seeds.select(F.col("id").alias("seed_id"), "primer_name", "qseqid", F.col("text").alias("seed"))
+    pairs = materialize(pairs.withColumn("bound", bound).join(names.select("seed_id", "primer_name"), "seed_id"))
+
+    def scored(some: DataFrame) -> DataFrame:
+        forward = names.select("seed_id", "qseqid", "seed")
+        whole = some.select("text_id", "seed_id", "primer_name", "minus", "diagonals", "qlen").join(forward, "seed_id").join(
+            index.texts.select(F.col("id").alias("text_id"), "text"), "text_id")
+        return _extended(whole.withColumn("seed", F.when(F.col("minus"), revcomp("seed")).otherwise(F.col("seed"))), run, scoring, min_score)
+
+    promising = F.max(F.struct("bound", "shared", "seed_id", "minus", "diagonals", "qlen")).alias("p")
+    first = materialize(scored(pairs.groupBy("text_id", "primer_name").agg(promising).select(
+        "text_id", "primer_name", "p.seed_id", "p.minus", "p.diagonals", "p.qlen")))
+    reached = first.select(F.col("text_id").alias("t"), F.col("primer_name").alias("p"), F.col("score").alias("reached"))
+    rest = pairs.join(reached, (F.col("text_id") == F.col("t")) & F.col("primer_name").eqNullSafe(F.col("p")), "left")
+    hits = scored(rest.filter(F.col("reached").isNull() | (F.col("bound") >= F.col("reached"))))
+    hits = hits.withColumn("strand", F.when(F.col("minus"), "-").otherwise("+"))
     plus = F.col("strand") == "+"
     bits = (F.lit(KA_LAMBDA) * F.col("score") - F.lit(math.log(KA_K))) / F.lit(math.log(2.0))
     hits = hits.select(
-        "primer_name", "qseqid", "sseqid",
+        "primer_name", "qseqid", "text_id",
         F.when(plus, F.col("s_first")).otherwise(F.col("s_last")).alias("sstart"),
         F.when(plus, F.col("s_last")).otherwise(F.col("s_first")).alias("send"),
         F.greatest(F.col("q_last") - F.col("q_first"), F.col("s_last") - F.col("s_first")).alias("length"),
         F.bround((F.col("q_last") - F.col("q_first") + 1) / F.col("qlen") * 100, 0).alias("qcovs"),
         F.bround(bits, 1).alias("bitscore"))
     hits = hits.withColumns({c: (F.col(c) + 1).cast("int") for c in ("sstart", "send", "length")})
-    # a primer's seeds may lie in several blocks, and a subject may be in several rows
-    return keep_first(hits, ["primer_name", "sseqid"], [desc("bitscore"), desc("length"), "sstart", "send", desc("qcovs"), "qseqid"])
+    order = [desc("bitscore"), desc("length"), "sstart", "send", desc("qcovs"), "qseqid"]
+    best = keep_first(hits, ["primer_name", "text_id"], order)
+    named = best.join(index.texts.select(F.col("id").alias("text_id"), "digest"), "text_id").join(index.rows.select("sseqid", "digest"), "digest")
+    # a subject may be in several rows
+    return keep_first(named.select("primer_name", *HIT_COLUMNS), ["primer_name", "sseqid"], order)
 
 
 # ------------------------------------------------------------------------------------------

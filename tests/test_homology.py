@@ -73,7 +73,7 @@ def test_diagonals_match_brute_force():
 
 def search(spark, seeds, subjects, **more):
     sdf = spark.createDataFrame(seeds, "primer_name string, qseqid string, sequence string")
-    ddf = spark.createDataFrame(subjects, "sseqid string, sequence string")
+    ddf = subjects if isinstance(subjects, H.SearchIndex) else spark.createDataFrame(subjects, "sseqid string, sequence string")
     return {(r["primer_name"], r["sseqid"]): r for r in H.homology_search(sdf, ddf, **more).collect()}
 
 
@@ -107,7 +107,8 @@ def test_output_is_linear_in_related_sequences(spark):
     hits = search(spark, seeds, subjects)
     assert len(hits) == 80
     one = {k: tuple(v) for k, v in hits.items()}
-    assert one == {k: tuple(v) for k, v in search(spark, seeds, subjects, block_bases=700).items()}
+    index = H.search_index(spark.createDataFrame(subjects, "sseqid string, sequence string"), split=3)
+    assert one == {k: tuple(v) for k, v in search(spark, seeds, index).items()}
     assert one == {k: tuple(v) for k, v in search(spark, seeds, subjects * 2).items()}
 
 
@@ -178,9 +179,54 @@ def test_stage_counts_name_every_primer(spark):
                     ("PX", "filtered"): 0, ("PY", "filtered"): 0}
 
 
-def test_the_database_is_not_shuffled(spark):
+def test_the_bound_holds_and_prunes_nothing_that_wins(spark):
+    """Every pair's best chain, found without pruning, is within the bound, and the search returns the best."""
+    rng = random.Random(31)
+    base = "".join(rng.choice("ACGT") for _ in range(220))
+
+    def variant(edits):
+        x = list(base[rng.randint(0, 25):len(base) - rng.randint(0, 25)])
+        for _ in range(edits):
+            at = rng.randrange(len(x))
+            x[at:at + rng.choice([0, 1, 1, 1, 2])] = rng.choice(["", "A", "CC", "G", "T", "N"])
+        return "".join(x)
+
+    seeds = [(rng.choice(["P", None]), f"q{n:02d}", variant(n % 9)) for n in range(24)]
+    subjects = [(f"s{n}", variant(n % 12) if n % 5 else revcomp_str(variant(n % 7))) for n in range(25)]
+    hits = search(spark, seeds, subjects)
+    best = {}
+    for primer, qid, seed in seeds:
+        for sid, text in subjects:
+            for minus, q in ((False, seed), (True, revcomp_str(seed))):
+                words = [{t[p - 1:p + 19] for p in H.minimizer_positions(t, 20, 9)} for t in (q, text)]
+                lacking = sum(not ({q[a + p - 1:a + p + 19] for p in H.minimizer_positions(q[a:a + 28], 20, 9)} & words[1])
+                              for a in range(0, len(q) - 27, 28))
+                runs = {p - i for i in range(len(q) - 27) for p in range(len(text) - 27)
+                        if q[i:i + 28] == text[p:p + 28] and set(q[i:i + 28]) <= set("ACGT")}
+                segments = [(x[0], d, x[1], x[2]) for d in sorted(runs) for x in [brute_best(q, text, d)]]
+                for chain in H.chain_segments(segments, 1, 2, H.GAP_OPEN, H.GAP_EXTEND):
+                    bound = min(len(q) - 3 * max(0, lacking - 2), len(text))
+                    assert chain[0] <= bound
+                    ends = (chain[4], chain[2]) if minus else (chain[2], chain[4])
+                    spans = max(chain[3] - chain[1], chain[4] - chain[2])
+                    qcovs = round((chain[3] - chain[1] + 1) / len(q) * 100)
+                    rank = (-chain[0], -spans, *ends, -qcovs, qid)
+                    if chain[0] >= 0:
+                        best[primer, sid] = min(best.get((primer, sid), rank), rank)
+    assert {k: (-v[1] + 1, v[2] + 1, v[3] + 1, v[5]) for k, v in best.items()} == {
+        k: (r["length"], r["sstart"], r["send"], r["qseqid"]) for k, r in hits.items()}
+    assert len(best) > 30
+
+
+def test_nothing_passes_the_driver_and_the_database_is_read_once(spark, monkeypatch):
+    from pyspark import SparkContext
+
     seeds = spark.createDataFrame([("P", "q1", "ACGT" * 30)], "primer_name string, qseqid string, sequence string")
-    db = spark.createDataFrame([("s1", "TT" + "ACGT" * 30)], "sseqid string, sequence string")
-    plan = H.homology_search(seeds, db)._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" not in plan and plan.count("MapInPandas") == 1
+    db = spark.createDataFrame([("s1", "TT" + "ACGT" * 30), ("s2", None)], "sseqid string, sequence string")
+    monkeypatch.setattr(SparkContext, "broadcast", lambda *a: 1 / 0)
+    monkeypatch.setattr(type(seeds), "collect", lambda *a: 1 / 0)
+    found = H.homology_search(seeds, db)
+    monkeypatch.undo()
+    assert [r["sseqid"] for r in found.collect()] == ["s1"]
     assert H.homology_search(seeds.limit(0), db).count() == 0
+    assert H.homology_search(seeds, db.limit(0)).count() == 0
