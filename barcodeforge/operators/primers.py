@@ -40,6 +40,7 @@ from barcodeforge.functions import columns as C
 from barcodeforge.functions.iupac import (IUPAC_CODES, checked_iupac, code_mask, expansion_size, iupac_member,
                                           mask_table, revcomp, revcomp_str)
 from barcodeforge.functions.nulls import join_null_safe, n_distinct_na, na_propagate
+from barcodeforge.operators.fuzzy import rolling_distances
 from barcodeforge.operators.partitioning import checked_broadcast, spread
 from barcodeforge.operators.rowpick import asc, keep_first
 
@@ -334,19 +335,7 @@ def _set_distance(a_list: list[str], pattern: str, transpositions: bool) -> np.n
     lb = len(pattern)
     A = _LETTER_BITS[np.frombuffer("".join(a_list).encode("ascii", "replace"), dtype=np.uint8)].reshape(n, la)
     B = np.array([code_mask(c) for c in pattern.upper()], dtype=np.uint8)
-    D = np.zeros((n, la + 1, lb + 1), dtype=np.int32)
-    D[:, :, 0] = np.arange(la + 1)
-    D[:, 0, :] = np.arange(lb + 1)
-    for i in range(1, la + 1):
-        ai = A[:, i - 1]
-        for j in range(1, lb + 1):
-            cost = ((ai & B[j - 1]) == 0).astype(np.int32)
-            best = np.minimum(np.minimum(D[:, i - 1, j] + 1, D[:, i, j - 1] + 1), D[:, i - 1, j - 1] + cost)
-            if transpositions and i > 1 and j > 1:
-                tr = ((ai & B[j - 2]) != 0) & ((A[:, i - 2] & B[j - 1]) != 0)
-                best = np.where(tr, np.minimum(best, D[:, i - 2, j - 2] + 1), best)
-            D[:, i, j] = best
-    return D[:, la, lb]
+    return rolling_distances(lambda i, j: (A[:, i] & B[j]) != 0, la, lb, n, transpositions)
 
 
 def _distance_udf(transpositions: bool):

@@ -87,6 +87,28 @@ SELECT '  ' || p_name || '  ' AS species_final,
 FROM {part}
 """
 
+# names as curators know them, and as others wrote them: a letter lost, doubled, changed or moved,
+# a swap of neighbours, another case, two slips, or something else altogether
+FIXTURES["fx_known_names"] = """
+SELECT p_name || ' ' || translate(substring(md5(CAST(p_partkey AS STRING)), 1, 10), '0123456789', 'ghijklmnop') AS known_name, p_type AS family
+FROM {part}
+"""
+
+FIXTURES["fx_written_names"] = """
+SELECT p_partkey AS record, CASE p_partkey % 9
+         WHEN 0 THEN known
+         WHEN 1 THEN substring(known, 1, spot - 1) || substring(known, spot + 1, 99)
+         WHEN 2 THEN substring(known, 1, spot) || substring(known, spot, 99)
+         WHEN 3 THEN substring(known, 1, spot - 1) || 'x' || substring(known, spot + 1, 99)
+         WHEN 4 THEN substring(known, 1, spot - 1) || substring(known, spot + 1, 1) || substring(known, spot, 1) || substring(known, spot + 2, 99)
+         WHEN 5 THEN upper(known)
+         WHEN 6 THEN substring(known, 2, spot - 1) || 'q' || substring(known, spot + 1, 99)
+         WHEN 7 THEN reverse(known)
+         ELSE CAST(NULL AS STRING) END AS written_name
+FROM (SELECT p_partkey, CAST(2 + p_partkey % 17 AS INT) AS spot,
+             p_name || ' ' || translate(substring(md5(CAST(p_partkey AS STRING)), 1, 10), '0123456789', 'ghijklmnop') AS known FROM {part})
+"""
+
 FIXTURES["fx_name_authority"] = """
 SELECT DISTINCT p_name AS submitted_name, 3 AS data_source,
        CASE WHEN length(p_name) % 4 = 0 THEN 'Fuzzy' ELSE 'Exact' END AS match_type,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barcodeforge.operators import taxonomy as T
+from barcodeforge.operators.fuzzy import fuzzy_join
 from barcodeforge.plans.fixtures import duckdb_sql, fixtures
 from barcodeforge.plans.registry import query
 
@@ -262,3 +263,22 @@ def q_checklist_taxa(spark, sf_dir):
     m2m = join_null_safe(right_j, subs, ["species_final"], how="left")                     # J10
     full_j = join_null_safe(m2m, nm.withColumnRenamed("name", "species_final"), ["species_final"], how="full")  # J9
     return full_j.dropna(how="all", subset=["taxid", "taxid_TSN"])                          # F12
+
+
+@query("fuzzy_names", duckdb_sql(["fx_written_names", "fx_known_names"], """
+SELECT w.record, w.written_name, k.known_name, k.family, CAST(levenshtein(lower(w.written_name), lower(k.known_name)) AS INT) AS distance
+FROM fx_written_names w LEFT JOIN fx_known_names k ON levenshtein(lower(w.written_name), lower(k.known_name)) <= 2"""))
+def q_fuzzy_names(spark, sf_dir):
+    """J6 on two string columns: misspelt names and the known names within two edits of each."""
+    written, known = fixtures(spark, sf_dir, "fx_written_names", "fx_known_names")
+    return fuzzy_join(written, known, "written_name", "known_name", 2, metric="levenshtein", how="left")
+
+
+@query("fuzzy_names_full", duckdb_sql(["fx_written_names", "fx_known_names"], """
+SELECT w.record, w.written_name, k.known_name, k.family, CAST(levenshtein(w.written_name, k.known_name) AS INT) AS distance
+FROM (SELECT * FROM fx_written_names WHERE record % 3 <> 0) w FULL JOIN fx_known_names k ON levenshtein(w.written_name, k.known_name) <= 1"""))
+def q_fuzzy_names_full(spark, sf_dir):
+    """J6 as a full join where case counts: known names that nobody wrote stay, too."""
+    written, known = fixtures(spark, sf_dir, "fx_written_names", "fx_known_names")
+    return fuzzy_join(written.filter("record % 3 <> 0"), known, "written_name", "known_name", 1, metric="levenshtein",
+                      ignore_case=False, how="full")
