@@ -180,46 +180,124 @@ def scan_batch(seqs: list, primers: list[tuple], table: np.ndarray) -> list[tupl
     return out
 
 
-def _edit_row_min(prev: np.ndarray, cost: np.ndarray, j: int, free_start: bool) -> np.ndarray:
-    """One pattern row of the edit-distance recurrence, vectorised over the text.
-
-    prev: row j-1 (length n+1); cost[i-1]: substitution cost at text position i. The
-    in-row insertion chain C[i] = min(T[i], C[i-1] + 1) is a running minimum of T[k] - k.
-    """
-    n = cost.shape[0]
-    t = np.empty(n + 1, dtype=np.int32)
-    t[0] = j
-    t[1:] = np.minimum(prev[:-1] + cost, prev[1:] + 1)
-    idx = np.arange(n + 1, dtype=np.int32)
-    return np.minimum.accumulate(t - idx) + idx
-
-
-def _sellers(s: np.ndarray, p: np.ndarray, free_start: bool = True) -> np.ndarray:
-    """Edit distance of pattern ``p`` to the text ending at each position (semi-global when
-    ``free_start``, else to each text prefix). Masks: a match is a non-empty intersection."""
-    n = s.shape[0]
-    row = np.zeros(n + 1, dtype=np.int32) if free_start else np.arange(n + 1, dtype=np.int32)
-    for j in range(1, p.shape[0] + 1):
-        cost = ((s & p[j - 1]) == 0).astype(np.int32)
-        row = _edit_row_min(row, cost, j, free_start)
+AUTOMATON_LETTERS = 64         # pattern letters that one machine word tracks
+CHUNK_LETTERS = 1024           # text letters of one row of a batch of automata; longer texts are cut
+CELLS = 1 << 20                # letters that run side by side
+
+
+def _edit_rows(texts: np.ndarray, pattern: np.ndarray, free_start: bool) -> np.ndarray:
+    """Edit distance of the pattern to what ends at every place of each text (rows of masks, the
+    first column stands before the text): from any place if ``free_start``, else from its
+    beginning. The insertions within a row of the recurrence are a running minimum of t[k] - k."""
+    n, size = texts.shape
+    ramp = np.arange(size + 1, dtype=np.int32)
+    row = np.zeros((n, size + 1), dtype=np.int32) if free_start else np.repeat(ramp[None, :], n, axis=0)
+    for j, letter in enumerate(pattern, 1):
+        t = np.empty_like(row)
+        t[:, 0] = j
+        t[:, 1:] = np.minimum(row[:, :-1] + ((texts & letter) == 0), row[:, 1:] + 1)
+        row = np.minimum.accumulate(t - ramp, axis=1) + ramp
     return row
 
 
-def _best_site_indels(s: np.ndarray, p: np.ndarray, k: int, start: int) -> tuple[int, int]:
-    """Leftmost best site of ``p`` in ``s[start:]`` by edit distance <= k: (begin, end) as
-    0-based half-open text offsets, or (-1, -1). Among starts of equal cost the leftmost."""
-    if s.shape[0] - start < max(1, p.shape[0] - k):
-        return -1, -1
-    ends = _sellers(s[start:], p)
-    e = int(np.argmin(ends[1:])) + 1
-    if ends[e] > k:
-        return -1, -1
-    seg = s[start:start + e][::-1]
-    back = _sellers(seg, p[::-1], free_start=False)
-    best = ends[e]
-    lengths = np.nonzero(back == best)[0]
-    b = e - int(lengths.max())
-    return start + b, start + e
+def _automata(texts: np.ndarray, pattern: np.ndarray) -> np.ndarray:
+    """The last letter's row of :func:`_edit_rows` with a free start, for all texts at once: bit
+    vectors hold where a column of the recurrence rises and falls, one machine word a text, and
+    one step moves all of them on by a letter."""
+    n, size = texts.shape
+    word = np.uint64
+    one, top = word(1), word(len(pattern) - 1)
+    masks = np.array([sum(1 << j for j, letter in enumerate(pattern) if letter & m) for m in range(256)], dtype=word)
+    rises, falls = np.full(n, ~word(0)), np.zeros(n, word)
+    score = np.full(n, len(pattern), dtype=np.int16)
+    out = np.empty((size, n), dtype=np.int16)
+    with np.errstate(over="ignore"):
+        for t in range(size):
+            equal = masks[texts[:, t]]
+            vertical = equal | falls
+            across = (((equal & rises) + rises) ^ rises) | equal
+            up = falls | ~(across | rises)
+            down = rises & across
+            score += ((up >> top) & one).astype(np.int16) - ((down >> top) & one).astype(np.int16)
+            out[t] = score
+            up, down = up << one, down << one
+            rises = down | ~(vertical | up)
+            falls = up & vertical
+    return out.T
+
+
+def _windows(codes: np.ndarray, begin: np.ndarray, size: np.ndarray, width: int) -> np.ndarray:
+    """Texts as rows of equal width, filled up with letters that match nothing."""
+    step = np.arange(width)
+    inside = step < size[:, None]
+    at = np.where(inside, begin[:, None] + step, 0)
+    return np.where(inside, codes[at] if len(codes) else 0, 0).astype(np.uint8)
+
+
+def _best_ends(codes: np.ndarray, start: np.ndarray, size: np.ndarray, pattern: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each text the fewest edits with which the pattern ends somewhere in it, and the first
+    such end (letters before it); -1 where that takes more than ``k``.
+
+    Long texts are cut into chunks that begin early enough to hold any match of at most ``k``
+    edits that ends in them.
+    """
+    least, end = np.full(len(start), k + 1, dtype=np.int64), np.full(len(start), -1, dtype=np.int64)
+    found = [np.zeros((3, 0), dtype=np.int64)]
+    pieces = -(-size // CHUNK_LETTERS)
+    row = np.repeat(np.arange(len(start)), pieces)
+    low = (np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * CHUNK_LETTERS
+    high = np.minimum(low + CHUNK_LETTERS, size[row])
+    first = np.maximum(0, low - len(pattern) - k)
+    a = 0
+    while a < len(row):
+        b = min(len(row), a + max(1, CELLS // (CHUNK_LETTERS + len(pattern) + k)))
+        own, x = row[a:b], first[a:b]
+        texts = _windows(codes, start[own] + x, high[a:b] - x, int((high[a:b] - x).max()))
+        cost = _automata(texts, pattern) if len(pattern) <= AUTOMATON_LETTERS else _edit_rows(texts, pattern, True)[:, 1:]
+        at = x[:, None] + np.arange(1, texts.shape[1] + 1)
+        cost = np.where((at > low[a:b, None]) & (at <= high[a:b, None]), cost, k + 1)
+        chunk, place = np.arange(b - a), cost.argmin(axis=1)
+        found.append(np.stack([own, cost[chunk, place], at[chunk, place]])[:, cost[chunk, place] <= k])
+        a = b
+    # the fewest edits over all chunks of a text, then the first end
+    row, cost, at = np.concatenate(found, axis=1)
+    order = np.lexsort((at, cost, row))
+    order = order[np.concatenate([[True], row[order][1:] != row[order][:-1]])] if len(order) else order
+    least[row[order]], end[row[order]] = cost[order], at[order]
+    return least, end
+
+
+def _begins(codes: np.ndarray, start: np.ndarray, end: np.ndarray, edits: np.ndarray, pattern: np.ndarray, k: int) -> np.ndarray:
+    """The leftmost begin of a match with those edits that ends there (letters before it)."""
+    size = np.minimum(end, len(pattern) + k)
+    texts = _windows(codes, start + end - size, size, int(size.max(initial=0)))
+    # read backwards from the end
+    step = np.arange(texts.shape[1])
+    back = np.take_along_axis(texts, np.maximum(size[:, None] - 1 - step, 0), axis=1)
+    cost = _edit_rows(np.where(step < size[:, None], back, 0).astype(np.uint8), pattern[::-1], False)
+    fits = (cost == edits[:, None]) & (np.arange(cost.shape[1]) <= size[:, None])
+    return end - (cost.shape[1] - 1 - fits[:, ::-1].argmax(axis=1))
+
+
+def scan_batch_indels(seqs: list, primers: list[tuple], table: np.ndarray) -> list[tuple[str, int, int, int]]:
+    """As :func:`scan_batch`, with insertions and deletions as errors too: the forward site is the
+    one that ends first among those with the fewest errors and reaches furthest to the left, the
+    reverse site the first such in what follows it."""
+    lens = np.array([len(x) for x in seqs], dtype=np.int64)
+    start = np.cumsum(lens) - lens
+    codes = table[np.frombuffer("".join(seqs).encode("ascii", "replace"), dtype=np.uint8)]
+    out = []
+    for name, fm, rm, kf, kr in primers:
+        edits, end = _best_ends(codes, start, lens, fm, kf)
+        rows = np.flatnonzero(end >= 0)
+        if not rows.shape[0]:
+            continue
+        begin = _begins(codes, start[rows], end[rows], edits[rows], fm, kf)
+        _, after = _best_ends(codes, start[rows] + end[rows], lens[rows] - end[rows], rm, kr)
+        for row, x, e, r in zip(rows.tolist(), begin.tolist(), end[rows].tolist(), after.tolist()):
+            if r >= 0:
+                out.append((name, row, x, e + r))
+    return out
 
 
 def _scan_fn(chunk: list[dict], max_error: float, keep: list[str], indels: bool = False):
@@ -240,27 +318,13 @@ def _scan_fn(chunk: list[dict], max_error: float, keep: list[str], indels: bool
             rows = []
             seq_col = pdf["sequence"].tolist()
             kept = [pdf[c].tolist() for c in keep]
-            if not indels:
-                # sites repeat: each distinct sequence of the batch is scanned once
-                texts = list(dict.fromkeys(x for x in seq_col if x is not None))
-                found: dict[str, list] = {}
-                for name, n, a, b in scan_batch(texts, prim, table):
-                    found.setdefault(texts[n], []).append((name, texts[n][a:b]))
-                for idx, seq in enumerate(seq_col):
-                    rows += [(name, *[k[idx] for k in kept], crop) for name, crop in found.get(seq, ())]
-                yield pd.DataFrame(rows, columns=out_cols)
-                continue
+            # sites repeat: each distinct sequence of the batch is scanned once
+            texts = list(dict.fromkeys(x for x in seq_col if x is not None))
+            found: dict[str, list] = {}
+            for name, n, a, b in (scan_batch_indels if indels else scan_batch)(texts, prim, table):
+                found.setdefault(texts[n], []).append((name, texts[n][a:b]))
             for idx, seq in enumerate(seq_col):
-                if seq is None:
-                    continue
-                s = table[np.frombuffer(seq.encode("ascii", "replace"), dtype=np.uint8)]
-                for name, fm, rm, kf, kr in prim:
-                    i, fe = _best_site_indels(s, fm, kf, 0)
-                    if i < 0:
-                        continue
-                    _, re = _best_site_indels(s, rm, kr, fe)
-                    if re >= 0:
-                        rows.append((name, *[k[idx] for k in kept], seq[i:re]))
+                rows += [(name, *[k[idx] for k in kept], crop) for name, crop in found.get(seq, ())]
             yield pd.DataFrame(rows, columns=out_cols)
 
     return scan
@@ -271,8 +335,8 @@ def crop_by_primers(seqs: DataFrame, primers: DataFrame, max_error: float = MAX_
     """Amplicon (primer sites included) of every sequence for every primer pair.
 
     Output: primer_name, *keep, sequence. Sequences without both sites are dropped.
-    ``indels=True`` counts insertions and deletions as errors too (semi-global edit distance,
-    Sellers' recurrence vectorised over the sequence); the default counts mismatches only.
+    ``indels=True`` counts insertions and deletions as errors too (semi-global edit distance, by
+    bit-parallel automata over all sequences of a batch); the default counts mismatches only.
     """
     plist = collect_primers(primers)
     keep = list(keep)

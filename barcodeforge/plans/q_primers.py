@@ -330,3 +330,54 @@ def q_seed_sequences(spark, sf_dir):
 def q_primer_summary_fuzzy(spark, sf_dir):
     seqs, pr = mutated_sequences(spark, sf_dir)
     return P.primer_summary(materialize(P.seed_context(P.seed_sequences(seqs, pr), pr, seqs, with_original=False)))
+
+
+# --- insertions and deletions ---------------------------------------------------------------
+
+_GAPPED_SITES = (("GGTCAACAAATCATAAAGATATTGG", "GGTCAACAATCATAAAGCATATTGG"),
+                 ("TGATTTTTTGGTCACCCTGAAGTTTA", "TGATTTTTGGTCCACCCTGAAGTA"))
+
+
+def _edits(name: str, sets: str, source: str) -> list[tuple[str, str]]:
+    """CTE ``name``: for each (sequence, primer_name) the fewest edits of the primer within ``a``, the
+    first end with so many, and the leftmost begin that reaches it. A cell of the recurrence is
+    edits * 1000000 + begin, so one minimum settles both; one letter of the text per step."""
+    step = 1_000_000
+    return [(f"{name}_t", f"""
+SELECT sequence, primer_name, a, {sets}, 0 AS i, list_transform(range(0, len({sets}) + 1), lambda j: j * {step}) AS row FROM {source}
+UNION ALL
+SELECT sequence, primer_name, a, {sets}, i + 1,
+       list_transform(range(0, len({sets}) + 1), lambda j: list_min(list_transform(t[1:j + 1], lambda x, k: x + (j - k + 1) * {step})))
+FROM (
+  SELECT *, list_transform(range(0, len({sets}) + 1), lambda j: CASE WHEN j = 0 THEN i + 1 ELSE least(
+      row[j + 1] + {step}, row[j] + CASE WHEN contains({sets}[j], substr(a, CAST(i + 1 AS BIGINT), 1)) THEN 0 ELSE {step} END) END) AS t
+  FROM {name}_t WHERE i < length(a))"""),
+            (name, f"""
+SELECT sequence, primer_name, i AS e, row[len(row)] % {step} AS b FROM {name}_t
+WHERE i > 0 AND row[len(row)] // {step} <= floor(0.2 * len({sets}) + 1e-9)
+QUALIFY row_number() OVER (PARTITION BY sequence, primer_name ORDER BY row[len(row)] // {step}, i) = 1""")]
+
+
+def _gapped_ctes() -> list[tuple[str, str]]:
+    given, ctes = dict(PRIMER_CTES), dict(_fuzzy_ctes())
+    twin = "sequence"
+    for site, changed in _GAPPED_SITES:
+        twin = f"replace({twin}, '{site}', '{changed}')"
+    out = [(n, given[n]) for n in ("classes", "pr", "fpos", "rpos", "hdr")]
+    out += [("seqs0", given["seqs"]), ("seqs", f"""
+SELECT * FROM seqs0 UNION ALL SELECT * REPLACE (accession || '-g' AS accession, {twin} AS sequence) FROM seqs0"""), ("scan", ctes["scan"])]
+    out += _edits("fs", "fa", "(SELECT sequence, primer_name, sequence AS a, fa FROM scan)")
+    out += _edits("rs", "ra", "(SELECT sequence, primer_name, substr(sequence, CAST(fs.e + 1 AS BIGINT)) AS a, ra FROM scan JOIN fs USING (sequence, primer_name))")
+    return out
+
+
+@query("primer_indel_crop", duckdb_sql(_FIX, """
+SELECT primer_name, s.accession, s.beeid, substr(s.sequence, CAST(fs.b + 1 AS BIGINT), CAST(fs.e + rs.e - fs.b AS BIGINT)) AS sequence
+FROM seqs s JOIN fs USING (sequence) JOIN rs USING (sequence, primer_name)""", ctes=_gapped_ctes(), recursive=True))
+def q_primer_indel_crop(spark, sf_dir):
+    """D2 with insertions and deletions: every record plus a twin whose primer sites lost and gained bases."""
+    _, pr, seqs = sequences(spark, sf_dir)
+    twin = seqs.withColumn("accession", F.concat("accession", F.lit("-g")))
+    for site, changed in _GAPPED_SITES:
+        twin = twin.withColumn("sequence", F.replace("sequence", F.lit(site), F.lit(changed)))
+    return P.crop_by_primers(seqs.unionByName(twin), pr, 0.2, keep=("accession", "beeid"), indels=True)

@@ -203,21 +203,33 @@ def semi_global(text, pat):
     return best
 
 
-def test_sellers_site_matches_brute_force():
+@pytest.mark.parametrize("chunk", [1024, 3, 7])
+@pytest.mark.parametrize("letters", [64, 2])
+def test_sites_with_indels_match_brute_force(monkeypatch, chunk, letters):
+    """Automata and, for patterns beyond a machine word, rows of the recurrence; texts cut into chunks."""
     import numpy as np
     from barcodeforge.functions.iupac import mask_table
+    monkeypatch.setattr(P, "CHUNK_LETTERS", chunk)
+    monkeypatch.setattr(P, "AUTOMATON_LETTERS", letters)
+    monkeypatch.setattr(P, "CELLS", 200)
     rng = random.Random(17)
-    table = mask_table()
-    for _ in range(60):
-        pat = "".join(rng.choice("ACGTRN") for _ in range(rng.randint(3, 6)))
-        text = "".join(rng.choice("ACGT") for _ in range(rng.randint(4, 12)))
-        s = table[np.frombuffer(text.encode(), dtype=np.uint8)]
+    for size in range(3, 9):
+        pat = "".join(rng.choice("ACGTRN") for _ in range(size))
+        texts = ["".join(rng.choice("ACGTN") for _ in range(rng.randint(0, 25))) for _ in range(30)]
+        lens = np.array([len(t) for t in texts], dtype=np.int64)
+        start = np.cumsum(lens) - lens
+        codes = mask_table()[np.frombuffer("".join(texts).encode(), dtype=np.uint8)]
         p = np.array([code_mask(c) for c in pat], dtype=np.uint8)
-        cost, end, _ = semi_global(text, pat)
-        b, e = P._best_site_indels(s, p, len(pat), 0)
-        assert e == end                       # leftmost end with the lowest cost
-        sub = text[b:e]
-        assert semi_global(sub, pat)[0] == cost and len(sub) >= 0
+        for k in (0, 1, 3):
+            least, end = P._best_ends(codes, start, lens, p, k)
+            rows = np.flatnonzero(end >= 0)
+            begin = dict(zip(rows.tolist(), P._begins(codes, start[rows], end[rows], least[rows], p, k).tolist()))
+            for row, text in enumerate(texts):
+                best = semi_global(text, pat) if text else None
+                if best is None or best[0] > k:
+                    assert end[row] == -1
+                else:
+                    assert (least[row], end[row], begin[row]) == best, (text, pat, k)
 
 
 def test_indel_scan_finds_site_with_deletion(spark):
