@@ -6,15 +6,15 @@ Taxonomy tables (the dump of a local taxonomy store):
 * ``nodes``: taxid long, parent_taxid long, rank string
 * ``accession_taxa``: accession string, taxid long
 
-Tree walks are iterated frontier joins. The node table is hash-partitioned once by the
-join key and checkpointed, so every iteration shuffles only the (small) frontier; each
-iteration is checkpointed to cut lineage, so a lost executor recomputes one step, never
-the whole walk.
+Trees are walked by pointer doubling: every node learns its path to the root in about log2(depth)
+joins, each written to the shared folder. Descendants are read off interval labels made from
+the paths once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from barcodeforge.functions import columns as C
 from barcodeforge.functions.nulls import join_null_safe, n_distinct_na
 from barcodeforge.operators.partitioning import materialize
-from barcodeforge.session import ensure_checkpoint_dir
 
 # --- fixed values -----------------------------------------------------------------------
 # ranks reported by the lineage lookup, outermost first
@@ -145,76 +144,104 @@ def names_to_taxids(names: DataFrame, taxa_names: DataFrame, name_col: str = "na
     return names.join(tn, on=name_col, how="left")
 
 
-def _partitioned(nodes: DataFrame, key: str) -> DataFrame:
-    """Node table hash-partitioned by ``key`` and checkpointed (partitioning is kept)."""
-    ensure_checkpoint_dir(nodes.sparkSession)
-    n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return nodes.repartition(n, key).checkpoint(eager=True)
+LOOP_ROUNDS = 6  # paths of up to 64 nodes; taxonomies are less deep, and only longer paths are looked at for loops
 
 
-def descendants(nodes: DataFrame, start: DataFrame, rank: str | None = None) -> DataFrame:
+def node_paths(nodes: DataFrame) -> DataFrame:
+    """``taxid, rank, path, looped``: every node with the taxids from its root down to itself.
+
+    Pointer doubling: after round k a node knows the 2^k nodes above it and where to go on, so a
+    tree of depth d takes about log2(d) rounds of one join. A root has no parent, is its own, or
+    has one that is no node (which then begins the path). Of nodes that lead into a loop, ``looped``
+    is set and the path has each node once; a node with several parents has a row for each path.
+    """
+    parent = F.when(F.col("taxid") != F.col("parent_taxid"), F.col("parent_taxid"))
+    paths = materialize(nodes.select("taxid", "rank", parent.alias("up"), F.array("taxid").alias("path"), F.lit(False).alias("looped"))
+                        .filter(F.col("taxid").isNotNull()).distinct())
+    rounds = 0
+    while not paths.filter(F.col("up").isNotNull()).isEmpty():
+        above = paths.select(F.col("taxid").alias("_node"), F.col("up").alias("_up"), F.col("path").alias("_path"))
+        longer = F.when(F.col("up").isNull(), F.col("path")).otherwise(
+            F.concat(F.coalesce("_path", F.array("up")), F.col("path")))
+        paths = paths.join(above, F.col("up") == F.col("_node"), "left").select("taxid", "rank", F.col("_up").alias("up"), longer.alias("path"), "looped")
+        rounds += 1
+        if rounds > LOOP_ROUNDS:
+            once = F.array_distinct("path")
+            loop = F.col("looped") | (F.size(once) < F.size("path"))
+            paths = paths.select("taxid", "rank", F.when(~loop, F.col("up")).alias("up"), once.alias("path"), loop.alias("looped")).distinct()
+        paths = materialize(paths)
+    return paths.drop("up")
+
+
+@dataclass(frozen=True)
+class TreeLabels:
+    """Written interval labels of a taxonomy: a node's descendants are the rows whose ``first`` lies
+    above its own, up to its ``last``. Nodes that lead into loops have none; ``looped`` holds
+    their paths."""
+
+    rows: DataFrame
+    looped: DataFrame
+
+
+INTERVAL_BITS = 12  # places that a range join meets in one bin: 2^12
+
+
+def tree_labels(nodes: DataFrame) -> TreeLabels:
+    """Numbers the nodes in depth-first order, once for any number of :func:`descendants`.
+
+    Sorting by path is that order. The sort is by ranges, so no task holds all nodes; places are
+    made dense by the row counts of the sorted partitions. A subtree's last place is the largest
+    under its path.
+    """
+    paths = node_paths(nodes)
+    tree = paths.filter(~F.col("looped")).select("taxid", "rank", "path")
+    # parents that are no nodes begin paths, and may be asked for
+    roots = tree.select(F.element_at("path", 1).alias("taxid")).distinct().join(tree.select("taxid"), "taxid", "left_anti")
+    every = tree.unionByName(roots.select("taxid", F.lit(None).cast(tree.schema["rank"].dataType).alias("rank"), F.array("taxid").alias("path")))
+    placed = materialize(every.orderBy("path").withColumn("_at", F.monotonically_increasing_id()))
+    place = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = placed.groupBy(F.shiftright("_at", 33).alias("_part")).agg(F.max(place).alias("_n")).orderBy("_part").collect()
+    starts, running = [], 0
+    for r in sizes:  # bounded by the number of partitions
+        starts.append((int(r["_part"]), running))
+        running += int(r["_n"]) + 1
+    offsets = placed.sparkSession.createDataFrame(starts or [(0, 0)], "_part long, _first long")
+    placed = placed.join(F.broadcast(offsets), F.shiftright("_at", 33) == F.col("_part")).select(
+        "taxid", "rank", "path", (F.col("_first") + place).alias("first"))
+    prefixes = F.explode(F.transform(F.sequence(F.lit(1), F.size("path")), lambda n: F.slice("path", F.lit(1), n)))
+    last = placed.select("first", prefixes.alias("path")).groupBy("path").agg(F.max("first").alias("last"))
+    rows = materialize(placed.join(last, "path").select("taxid", "rank", "first", "last"))
+    return TreeLabels(rows, paths.filter("looped"))
+
+
+def descendants(nodes: DataFrame | TreeLabels, start: DataFrame, rank: str | None = None) -> DataFrame:
     """Every descendant of the ``start`` taxids (column ``taxid``), with its rank and
     the start taxid it descends from (``ancestor_taxid``); optionally only one rank.
 
-    A root that is its own parent is no child. A longer loop among the nodes ends the walk, not
-    the query: from level ``LOOP_LEVEL`` on, what was found before does not step again.
+    ``nodes`` is the node table or its labels. The nodes below one are an interval of places;
+    intervals meet places bin by bin, so only what is found is read in full, whatever the depth.
+    Nodes that lead into a loop are found by their paths.
     """
-    edges = nodes.select("taxid", "parent_taxid", "rank").where("taxid <> parent_taxid")
-    by_parent = _partitioned(edges, "parent_taxid")
-    frontier = start.select(F.col("taxid").alias("ancestor_taxid"), F.col("taxid").alias("node")) \
-        .filter(F.col("node").isNotNull()).distinct()
-
-    def step(frontier: DataFrame) -> DataFrame:
-        return (frontier.join(by_parent, frontier["node"] == by_parent["parent_taxid"])
-                .select("ancestor_taxid", F.col("taxid").alias("node"), "rank"))
-
-    found = _walk(frontier, step, lambda s: s.select("ancestor_taxid", "node"), ["ancestor_taxid", "node"])
-    if found is None:
-        return start.sparkSession.createDataFrame([], "ancestor_taxid long, taxid long, rank string")
-    out = found.filter("node <> ancestor_taxid").withColumnRenamed("node", "taxid")
-    return out if rank is None else out.filter(F.col("rank") == rank)
-
-
-LOOP_LEVEL = 40  # taxonomies are less deep; only a loop gets here
-
-
-def _walk(frontier: DataFrame, step, following, key: list[str]) -> DataFrame | None:
-    """All rows of repeated steps from ``frontier``, each level written once; None if none."""
-    known, found, level = frontier, None, 0
-    while True:
-        rows = step(frontier)
-        if level >= LOOP_LEVEL:
-            rows = rows.join(known, key, "left_anti").dropDuplicates(key)
-        rows = materialize(rows)
-        if rows.isEmpty():
-            break
-        found = rows if found is None else found.unionByName(rows)
-        known = known.unionByName(rows.select(*key))
-        frontier = following(rows)
-        level += 1
-    return found.dropDuplicates(key) if found is not None and level >= LOOP_LEVEL else found
+    labels = nodes if isinstance(nodes, TreeLabels) else tree_labels(nodes)
+    asked = start.select(F.col("taxid").alias("ancestor_taxid")).filter(F.col("ancestor_taxid").isNotNull()).distinct()
+    own = labels.rows.select(F.col("taxid").alias("ancestor_taxid"), F.col("first").alias("_low"), "last").filter("last > _low")
+    ranges = asked.join(own, "ancestor_taxid")
+    bin_of = lambda c: F.shiftright(c, INTERVAL_BITS)
+    ranges = ranges.withColumn("_bin", F.explode(F.sequence(bin_of("_low"), bin_of("last"))))
+    below = labels.rows if rank is None else labels.rows.filter(F.col("rank") == rank)
+    below = below.select("taxid", "rank", "first", bin_of("first").alias("_bin"))
+    found = ranges.join(below, "_bin").filter((F.col("first") > F.col("_low")) & (F.col("first") <= F.col("last")))
+    looped = labels.looped if rank is None else labels.looped.filter(F.col("rank") == rank)
+    looped = looped.select("taxid", "rank", F.explode("path").alias("ancestor_taxid")).filter("taxid <> ancestor_taxid")
+    return (found.select("ancestor_taxid", "taxid", "rank")
+            .unionByName(looped.join(asked, "ancestor_taxid").select("ancestor_taxid", "taxid", "rank")).distinct())
 
 
 def ancestors(nodes: DataFrame, start: DataFrame) -> DataFrame:
-    """Every ancestor (and the node itself) of the ``start`` taxids: (taxid, ancestor, rank).
-    As in :func:`descendants`, a loop among the nodes ends the walk."""
-    by_id = _partitioned(nodes.select("taxid", "parent_taxid", "rank"), "taxid")
-    frontier = start.select(F.col("taxid").alias("start"), F.col("taxid").alias("node")) \
-        .filter(F.col("node").isNotNull()).distinct()
-
-    def step(frontier: DataFrame) -> DataFrame:
-        return (frontier.join(by_id, frontier["node"] == by_id["taxid"])
-                .select("start", "node", "rank", "parent_taxid"))
-
-    def following(rows: DataFrame) -> DataFrame:
-        return rows.filter(F.col("parent_taxid").isNotNull() & (F.col("parent_taxid") != F.col("node"))) \
-            .select("start", F.col("parent_taxid").alias("node"))
-
-    # the start itself is the first step's row, so it is not known before that
-    found = _walk(frontier, step, following, ["start", "node"])
-    if found is None:
-        return start.sparkSession.createDataFrame([], "taxid long, ancestor long, rank string")
-    return found.select(F.col("start").alias("taxid"), F.col("node").alias("ancestor"), "rank")
+    """Every ancestor (and the node itself) of the ``start`` taxids: (taxid, ancestor, rank)."""
+    asked = start.select("taxid").filter(F.col("taxid").isNotNull()).distinct()
+    up = node_paths(nodes).join(asked, "taxid", "left_semi").select("taxid", F.explode("path").alias("ancestor")).distinct()
+    return up.join(nodes.select(F.col("taxid").alias("ancestor"), "rank").distinct(), "ancestor").select("taxid", "ancestor", "rank")
 
 
 def lineage(accession_taxa: DataFrame, nodes: DataFrame, taxa_names: DataFrame,

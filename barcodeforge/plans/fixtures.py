@@ -28,6 +28,7 @@ SELECT * FROM (VALUES
 ) AS t(primer, gene, forward_sequence, reverse_sequence, length)
 """
 
+# a third of the templates has a forward site that only the degenerate primer fits
 FIXTURES["fx_sequences"] = """
 WITH k AS (
   SELECT *, CASE WHEN n < 40 THEN split_part(p_name, ' ', 1) || CASE WHEN p_partkey % 2 = 0 THEN ' one' ELSE ' two' END
@@ -36,7 +37,7 @@ WITH k AS (
 ), s AS (
   SELECT *,
     translate(md5(g || ':1') || md5(g || ':2'), '0123456789abcdef', 'ACGTACGTACGTACGT')
-    || 'GGTCAACAAATCATAAAGATATTGG'
+    || CASE WHEN n % 3 = 1 THEN 'GGACAACAGATCATAAGGATATAGG' ELSE 'GGTCAACAAATCATAAAGATATTGG' END
     || substring(translate(md5(g || ':3') || md5(g || ':4') || md5(g || ':5') || md5(g || ':6') || md5(g || ':8'),
                            '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 112 + n % 37)
     || reverse(translate('TAAACTTCAGGGTGACCAAAAAATCA', 'ACGT', 'TGCA'))
@@ -146,7 +147,7 @@ SELECT CASE o_orderkey % 10
          WHEN 0 THEN 'AB' WHEN 1 THEN 'NC_' WHEN 2 THEN 'BK' WHEN 3 THEN 'LJ' WHEN 4 THEN 'X'
          WHEN 5 THEN 'AN' WHEN 6 THEN 'KQ' WHEN 7 THEN 'ABCD' WHEN 8 THEN 'MN' ELSE 'TSA_' END
          || lpad(CAST(o_orderkey AS STRING), 6, '0') || '.1' AS accession,
-       CAST(3000000 + o_custkey AS BIGINT) AS taxid
+       CASE WHEN o_orderkey % 5 = 0 THEN CAST(4000000 + o_orderkey AS BIGINT) ELSE CAST(3000000 + o_custkey AS BIGINT) END AS taxid
 FROM {orders}
 """
 

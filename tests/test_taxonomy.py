@@ -1,7 +1,10 @@
 """Taxonomy walks on a small hand-made tree."""
 
 
+import random
+
 from barcodeforge.operators import taxonomy as T
+from barcodeforge.operators.partitioning import materialize
 
 NODES = [(1, None, "order"), (2, 1, "family"), (3, 2, "genus"), (4, 3, "species"), (5, 3, "species"),
          (6, 4, "subspecies"), (7, 4, "subspecies"), (8, 5, "subspecies")]
@@ -47,3 +50,41 @@ def test_deep_chain(spark):
     nodes = spark.createDataFrame([(k, k - 1, "x") for k in range(1, 12)], "taxid long, parent_taxid long, rank string")
     start = spark.createDataFrame([(0,)], "taxid long")
     assert T.descendants(nodes, start).count() == 11
+
+
+def test_a_chain_of_1000_takes_ten_rounds(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(T, "materialize", lambda df: rounds.append(1) or materialize(df))
+    nodes = spark.createDataFrame([(k, k - 1, "x") for k in range(1, 1001)], "taxid long, parent_taxid long, rank string")
+    paths = T.node_paths(nodes)
+    assert len(rounds) <= 11
+    assert {r["taxid"]: r["path"] for r in paths.collect()} == {k: list(range(k + 1)) for k in range(1, 1001)}
+
+
+def test_random_forests_with_loops_and_several_parents(spark):
+    rng = random.Random(4)
+    rows = [(k, rng.choice([None, k, rng.randrange(-3, k)]), rng.choice("ab")) for k in range(1, 300)]
+    rows += [(400, 402, "a"), (401, 400, "b"), (402, 401, "a"), (403, 402, "b"), (404, 403, "a")]
+    rows += [(290, 5, rows[289][2]), (500, 290, "a")]
+    parents = {}
+    for k, p, _ in rows:
+        parents.setdefault(k, set()).update({p} - {None, k})
+    above = {}
+    for k in parents:
+        seen, todo = set(), [k]
+        while todo:
+            for p in parents.get(todo.pop(), ()):
+                if p not in seen:
+                    seen.add(p)
+                    todo.append(p)
+        above[k] = seen
+    rank = {k: r for k, _, r in rows}
+    nodes = spark.createDataFrame(rows, "taxid long, parent_taxid long, rank string")
+    start = spark.createDataFrame([(k,) for k in [*parents, 0, -1, -2, -3, 999, None]], "taxid long")
+    labels = T.tree_labels(nodes)
+    for wanted in (None, "a"):
+        down = [(r["ancestor_taxid"], r["taxid"], r["rank"]) for r in T.descendants(labels, start, wanted).collect()]
+        assert len(down) == len(set(down))
+        assert set(down) == {(p, k, rank[k]) for k in above for p in above[k] - {k} if wanted in (None, rank[k])}
+    up = sorted((r["taxid"], r["ancestor"], r["rank"]) for r in T.ancestors(nodes, start).collect())
+    assert up == sorted((k, p, rank[p]) for k in above for p in above[k] | {k} if p in rank)
