@@ -6,7 +6,10 @@ from __future__ import annotations
 import html as html_lib
 import re
 import zlib
-from dataclasses import dataclass, field
+from bisect import bisect_left
+from collections import Counter
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -34,27 +37,161 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
                    "span strike strong sub sup time tt u var wbr".split())
 #: elements without content
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: elements whose text is no text of the page
-HIDDEN_PARTS = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)"
-                          r"|<(noscript|template|svg|head|iframe|object|select|textarea)\b[^>]*>.*?</\2\s*>", re.S | re.I)
-UNCLOSED_HEAD = re.compile(r"<head\b(?:(?!</head).)*?(?=<body\b)", re.S | re.I)
-TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>|<[!?/][^>]*+>")
+#: elements whose content is no text of the page: up to their end or that of the page; and up to
+#: their end only, if they have one
+RAW = re.compile(r"(?:script|style)\b", re.I)
+HIDDEN_PARTS = re.compile(r"(?:noscript|template|svg|head|iframe|object|select|textarea)\b", re.I)
+BODY = re.compile(r"<body\b", re.I)
+START = re.compile(r"<(?:(!--)|(/?)([a-zA-Z][a-zA-Z0-9:-]*)|[!?/])")
+REST = re.compile(r"((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>")
+QUOTES = re.compile(r"[\"'>]")
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
+class _Scanner:
+    """Text and tags of one page, in one pass forward. What is looked for in vain is not looked for
+    again, so broken pages take no longer than others of their length."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.missing: set[str] = set()
+        self.ends: tuple[list[int], list[int]] | None = None
+
+    def _find(self, what: str, at: int) -> int:
+        if what in self.missing:
+            return -1
+        found = self.page.find(what, at)
+        if found < 0:
+            self.missing.add(what)
+        return found
+
+    def _after(self, pattern: str, at: int) -> re.Match | None:
+        """The next match; the pattern begins with a name that ends elements or begins the body."""
+        if pattern in self.missing:
+            return None
+        found = re.compile(pattern, re.I).search(self.page, at)
+        if found is None:
+            self.missing.add(pattern)
+        return found
+
+    def _tag_end(self, at: int) -> int:
+        """Where a tag whose attributes begin at ``at`` is closed, or -1. The first time that takes
+        the pattern to the page's end, all quotes are paired from the back, once."""
+        if self.ends is None:
+            found = REST.match(self.page, at)
+            if found:
+                return found.end() - 1
+            marks = [m.start() for m in QUOTES.finditer(self.page)]
+            ends, following = [-1] * (len(marks) + 1), {}
+            for k in range(len(marks) - 1, -1, -1):
+                mark = self.page[marks[k]]
+                if mark == ">":
+                    ends[k] = marks[k]
+                else:
+                    ends[k] = ends[following[mark] + 1] if mark in following else -1
+                    following[mark] = k
+            self.ends = marks, ends
+        marks, ends = self.ends
+        return ends[bisect_left(marks, at)]
+
+    def _hidden_end(self, name: str, at: int) -> int:
+        """Where what an element hides ends, or -1 if it hides nothing."""
+        if RAW.fullmatch(name):
+            close = self._after(rf"</{name.lower()}\s*>", at)
+            return close.end() if close else len(self.page)
+        opened = self._find(">", at)
+        close = self._after(rf"</{name.lower()}\s*>", opened) if opened >= 0 else None
+        if close:
+            return close.end()
+        if name.lower() == "head":  # never closed: it ends where the body begins
+            body = self._after(BODY.pattern, at)
+            return body.start() if body else -1
+        return -1
+
+    def tokens(self) -> Iterator[tuple[str, str | None, str, str]]:
+        """``(text, closing, name, attributes)``: the text before each tag; closing is None for what is
+        no element, and for the last text."""
+        page, at, begin, text = self.page, 0, 0, []
+        while True:
+            m = START.search(page, at)
+            if m is None:
+                break
+            if m[1]:
+                close = self._find("-->", m.end())
+                end = close + 3 if close >= 0 else len(page)
+                text += [page[begin:m.start()], " "]
+                at = begin = end
+                continue
+            name, end = m[3], -1
+            if name and not m[2]:
+                part = RAW.match(name) or HIDDEN_PARTS.match(name)
+                if part:
+                    end = self._hidden_end(part[0], m.end())
+                    if end >= 0:
+                        text += [page[begin:m.start()], " "]
+                        at = begin = end
+                        continue
+            if name:
+                end = self._tag_end(m.end())
+            if end >= 0:
+                text.append(page[begin:m.start()])
+                yield "".join(text), m[2], name.lower(), page[m.end():end]
+            elif not name or m[2]:
+                end = self._find(">", m.end())
+                if end < 0:
+                    at = m.end()
+                    continue
+                text.append(page[begin:m.start()])
+                yield "".join(text), None, "", ""
+            else:
+                at = m.end()  # no tag after all
+                continue
+            text = []
+            at = begin = end + 1
+        text.append(page[begin:])
+        yield "".join(text), None, "", ""
+
+
+class Node:
+    """An open element below others. Equal places of a task's pages share one."""
+
+    __slots__ = ("name", "element", "parent", "below", "tokens")
+
+    def __init__(self, name: str, element: str, parent: Node | None):
+        self.name, self.element, self.parent = name, element, parent
+        self.below: dict[str, Node] = {}
+        self.tokens: frozenset[int] | None = None
+
+
 @dataclass
 class Block:
     text: str
-    path: tuple[str, ...]
+    node: Node | None
     linked: float
-    leaf: str = ""
+
+    @property
+    def leaf(self) -> str:
+        return self.node.name if self.node else ""
+
+    @property
+    def path(self) -> tuple[str, ...]:
+        out, node = [], self.node
+        while node and node.parent is not None:
+            out.append(node.element)
+            node = node.parent
+        return tuple(reversed(out))
+
+
+#: shared places that a task remembers; then it starts again
+REMEMBERED_NODES = 100_000
 
 
-@dataclass
 class _Parser:
-    """Blocks of pages. Paths are shared between pages of a task."""
+    """Blocks of pages. Places and elements are shared between pages of a task."""
 
-    elements: dict[tuple[str, str], str] = field(default_factory=dict)
+    def __init__(self):
+        self.elements: dict[tuple[str, str], str] = {}
+        self.root, self.known = Node("", "", None), 0
 
     def element(self, name: str, attributes: str) -> str:
         key = (name, attributes)
@@ -68,11 +205,12 @@ class _Parser:
 
     def blocks(self, page: str) -> list[Block]:
         """The page's blocks in order: text between block-level tags, character references
-        decoded, white space turned into one space; blocks without text are left out."""
-        page = HIDDEN_PARTS.sub(" ", UNCLOSED_HEAD.sub("", page) if "<body" in page and "</head" not in page else page)
-        pieces = TAG.split(page)
+        decoded, white space turned into one space; blocks without text are left out. Elements
+        may be nested to any depth; a closing tag without an open element closes nothing."""
+        if self.known > REMEMBERED_NODES:
+            self.root, self.known = Node("", "", None), 0
         out: list[Block] = []
-        stack: list[tuple[str, str]] = []
+        node, opened = self.root, Counter()
         buffer: list[str] = []
         in_link = linked = 0
 
@@ -81,22 +219,19 @@ class _Parser:
             if buffer:
                 text = " ".join(html_lib.unescape("".join(buffer)).split())
                 if text:
-                    out.append(Block(text, tuple(e for _, e in stack), min(1.0, linked / len(text)),
-                                     stack[-1][0] if stack else ""))
+                    out.append(Block(text, node, min(1.0, linked / len(text))))
                 buffer.clear()
             linked = 0
 
-        for k in range(0, len(pieces), 4):
-            text = pieces[k]
+        for text, closing, name, attributes in _Scanner(page).tokens():
             if text and not text.isspace():
                 buffer.append(text)
                 if in_link:
                     linked += len(text)
             elif text and buffer:
                 buffer.append(" ")
-            if k + 3 >= len(pieces) or pieces[k + 2] is None:
+            if closing is None:
                 continue
-            closing, name, attributes = pieces[k + 1], pieces[k + 2].lower(), pieces[k + 3]
             if name in INLINE:
                 if name == "a":
                     in_link = 0 if closing else 1
@@ -108,16 +243,23 @@ class _Parser:
             if name in VOID:
                 continue
             if closing:
-                for at in range(len(stack) - 1, -1, -1):
-                    if stack[at][0] == name:
-                        del stack[at:]
-                        break
+                if opened[name]:
+                    while node.name != name:
+                        opened[node.name] -= 1
+                        node = node.parent
+                    opened[name] -= 1
+                    node = node.parent
                 continue
-            if stack and stack[-1][0] in ("p", "li", "dt", "dd", "td", "th", "tr", "option", "h1", "h2", "h3") and (
-                    stack[-1][0] == "p" or stack[-1][0] == name):
-                stack.pop()
-            if len(stack) < 200:
-                stack.append((name, self.element(name, attributes)))
+            if node.name == "p" or (node.name == name and name in ("li", "dt", "dd", "td", "th", "tr", "option", "h1", "h2", "h3")):
+                opened[node.name] -= 1
+                node = node.parent
+            element = self.element(name, attributes)
+            child = node.below.get(element)
+            if child is None:
+                child = node.below[element] = Node(name, element, node)
+                self.known += 1
+            node = child
+            opened[name] += 1
         flush()
         return out
 
@@ -129,25 +271,34 @@ def _bucket(token: str) -> int:
 class _Features:
     """Network input of pages: bucket lists of paths and words, and a few numbers a block."""
 
-    def __init__(self):
-        self.paths: dict[tuple, np.ndarray] = {}
-
-    def path(self, path: tuple[str, ...], leaf: str) -> np.ndarray:
-        known = self.paths.get(path)
-        if known is None:
-            tokens = [f"leaf {leaf}"]
-            for element in path:
-                name, *words = element.split(" ")
-                tokens += [f"tag {name}", *(f"name {w}" for w in words)]
-            known = np.array(sorted({_bucket(t) for t in tokens}), dtype=np.int64)
-            if len(self.paths) < 100_000:
-                self.paths[path] = known
-        return known
+    def path(self, node: Node) -> np.ndarray:
+        """Buckets of the elements from the page down to a place, and of its own name. A place whose
+        names are all known above it shares the set of its parent."""
+        above = []
+        while node.tokens is None:
+            above.append(node)
+            if node.parent is None:
+                break
+            node = node.parent
+        for own in reversed(above):
+            if own.parent is None:
+                own.tokens = frozenset()
+                continue
+            name, *words = own.element.split(" ")
+            tokens = {_bucket(f"tag {name}"), *(_bucket(f"name {w}") for w in words)}
+            known = own.parent.tokens
+            own.tokens = known if tokens <= known else known | tokens
+        last = above[0] if above else node
+        return np.array(sorted(last.tokens | {_bucket(f"leaf {last.name}")}), dtype=np.int64)
 
     def page(self, blocks: list[Block]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
         """Path buckets of every block; word buckets of all blocks with their offsets; numbers."""
         n = len(blocks)
-        paths = [self.path(b.path, b.leaf) for b in blocks]
+        found: dict[Node, np.ndarray] = {}
+        for b in blocks:
+            if b.node not in found:
+                found[b.node] = self.path(b.node)
+        paths = [found[b.node] for b in blocks]
         data, offsets = C.text_bytes(pa.array([b.text for b in blocks], pa.string()))
         data = C.folded(data)
         starts, ends, rows = C.spans(~C.IS_SPACE[data], offsets)
