@@ -3,6 +3,8 @@ distinct chunk is encoded once a task."""
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable
 
 import numpy as np
@@ -25,6 +27,16 @@ _TWO = np.zeros(256, dtype=bool)
 _TWO[0xC3:0xE0] = True
 
 
+def per_worker(key: str, make: Callable[[], object]):
+    """What ``make`` returns, made once a Python worker process: tasks that follow one another in a
+    worker share loaded tokenizers and learnt chunks. It is kept by a module of its own, since
+    this one reaches the workers by value, anew with every task."""
+    kept = sys.modules.setdefault("_barcodeforge_worker", types.ModuleType("_barcodeforge_worker")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Starts of the chunks of all rows: the row starts, and every single space that stands between
     two characters that surely are no white space.
@@ -198,4 +210,4 @@ def byte_bpe(path: str, plain: bool = False) -> tuple[Callable[[str], list[int]]
     tokens = [b""] * tokenizer.get_vocab_size(with_added_tokens=True)
     for token, k in tokenizer.get_vocab(with_added_tokens=True).items():
         tokens[k] = bytes(alphabet[c] for c in token) if all(c in alphabet for c in token) else token.encode()
-    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids, Vocabulary(tokens)
+    return lambda text: tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, Vocabulary(tokens)

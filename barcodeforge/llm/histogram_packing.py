@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barcodeforge.llm import common as C
-from barcodeforge.llm.distinct_chunks import ChunkEncoder, byte_bpe
+from barcodeforge.llm.distinct_chunks import ChunkEncoder, byte_bpe, per_worker
 
 MAX_TOKENS = 2048
 END_ID = 1
@@ -37,7 +37,8 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches):
         import public_tokenizers
 
-        encode = ChunkEncoder(byte_bpe(public_tokenizers.path(f"{tokenizer}.json")))
+        path = public_tokenizers.path(f"{tokenizer}.json")
+        encode = per_worker(f"ids {path}", lambda: ChunkEncoder(byte_bpe(path)))
         for part in C.passes(batches, "text"):
             ((ids, cuts),), _ = encode(*C.text_bytes(part.column("text")))
             row, out, kept = [], [], []

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barcodeforge.llm import common as C
-from barcodeforge.llm.distinct_chunks import ChunkEncoder, Vocabulary, byte_bpe
+from barcodeforge.llm.distinct_chunks import ChunkEncoder, Vocabulary, byte_bpe, per_worker
 
 BYTE_BPE = "byte_bpe_50k.json"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -121,7 +121,8 @@ def align_tokenizers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     def run(batches):
         import public_tokenizers
 
-        pair = _Pair(byte_path or public_tokenizers.path(BYTE_BPE), piece_path or public_tokenizers.path(PIECE_BPE))
+        paths = byte_path or public_tokenizers.path(BYTE_BPE), piece_path or public_tokenizers.path(PIECE_BPE)
+        pair = per_worker(f"pair {paths}", lambda: _Pair(*paths))
         for part in C.passes(batches, "text", ALIGN_BYTES):
             data, offsets = C.text_bytes(part.column("text"))
             sides, sound = pair.encode(data, offsets)
