@@ -51,3 +51,22 @@ def duplicates(df: DataFrame, keys: Sequence[str], count_col: str = "dupe_count"
     counts = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col))
               .filter(F.col(count_col) > 1))
     return join_null_safe(df, counts, list(keys), how="inner")
+
+
+def collapse_in_order(df: DataFrame, by: Sequence[str], cols: Sequence[str], order_by: Column, sep: str = ", ",
+                      drop_empty: bool = False) -> DataFrame:
+    """One row per group with the distinct values of every column joined by ``sep`` in the order of
+    their first appearance, which is the least ``order_by`` of a value (ties: the smaller value).
+    NULLs are left out; a column without values gives ''.
+
+    Two partial aggregations: the least position of each value, then the list of a group's
+    values. So what a group gathers is its distinct values, and neither the number of
+    partitions nor the order of the rows matters.
+    """
+    cells = F.array(*[F.struct(F.lit(c).alias("_name"), F.col(c).cast("string").alias("_value")) for c in cols])
+    values = df.select(*by, order_by.alias("_at"), F.explode(cells).alias("_c")).select(*by, "_at", "_c.*")
+    first = values.groupBy(*by, "_name", "_value").agg(F.min("_at").alias("_at"))
+    wanted = F.col("_value").isNotNull() & ((F.col("_value") != "") if drop_empty else F.lit(True))
+    listed = F.collect_list(F.when(wanted, F.struct("_at", "_value")))
+    lists = first.groupBy(*by, "_name").agg(F.array_join(F.transform(F.array_sort(listed), lambda x: x["_value"]), sep).alias("_list"))
+    return lists.groupBy(*by).agg(*[F.max(F.when(F.col("_name") == c, F.col("_list"))).alias(c) for c in cols])

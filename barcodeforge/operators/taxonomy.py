@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from barcodeforge.functions import columns as C
 from barcodeforge.functions.nulls import join_null_safe, n_distinct_na
 from barcodeforge.operators.partitioning import materialize
+from barcodeforge.operators.rowpick import collapse_in_order
 
 # --- fixed values -----------------------------------------------------------------------
 # ranks reported by the lineage lookup, outermost first
@@ -102,15 +103,18 @@ def assign_ids(checklist: DataFrame) -> DataFrame:
     return dense_ids(checklist, "species_final", "beeid")
 
 
-def summarise_checklist(checklist: DataFrame) -> DataFrame:
-    """One row per beeid; every column collapsed to its sorted distinct values joined by
-    ', ' ('' when all missing), plus ``n_synonyms`` (distinct synonyms, NULL counted, - 1)."""
+def summarise_checklist(checklist: DataFrame, order_by: Column | None = None) -> DataFrame:
+    """One row per beeid; every column collapsed to its distinct values joined by ', ' ('' when
+    all missing), plus ``n_synonyms`` (distinct synonyms, NULL counted, - 1). Values are sorted,
+    or with ``order_by`` (a row's position) in the order of their first appearance."""
     cl = checklist.withColumn("taxonomic_status", status_of("species_final", "species_synonym"))
     cols = ["family", "species_final", "species_synonym", "source", "country"]
-    return (cl.groupBy("beeid")
-            .agg(*[C.collapse_distinct(c).alias(c) for c in cols],
-                 (n_distinct_na("species_synonym") - 1).cast("string").alias("n_synonyms"))
-            .select("beeid", "family", "species_final", "species_synonym", "n_synonyms", "source", "country"))
+    synonyms = (n_distinct_na("species_synonym") - 1).cast("string").alias("n_synonyms")
+    if order_by is None:
+        out = cl.groupBy("beeid").agg(*[C.collapse_distinct(c).alias(c) for c in cols], synonyms)
+    else:
+        out = join_null_safe(collapse_in_order(cl, ["beeid"], cols, order_by), cl.groupBy("beeid").agg(synonyms), ["beeid"], how="left")
+    return out.select("beeid", "family", "species_final", "species_synonym", "n_synonyms", "source", "country")
 
 
 def count_species_by(summary: DataFrame, key: str = "family") -> DataFrame:

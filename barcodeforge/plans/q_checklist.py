@@ -80,6 +80,25 @@ def q_checklist_summary(spark, sf_dir):
     return T.summarise_checklist(checklist_with_ids(spark, sf_dir))
 
 
+_SUMMARY_COLS = ("family", "species_final", "species_synonym", "source", "country")
+
+
+def _first_seen(c: str) -> str:
+    return f"""
+LEFT JOIN (SELECT beeid, string_agg(v, ', ' ORDER BY first_row, v) AS {c} FROM (
+  SELECT beeid, {c} AS v, min(concat_ws('|', source, species_synonym, country)) AS first_row
+  FROM checklist WHERE {c} IS NOT NULL GROUP BY beeid, {c}) GROUP BY beeid) t_{c} ON t_{c}.beeid = n.beeid"""
+
+
+@query("checklist_summary_in_order", _checklist_oracle(
+    "SELECT n.beeid, n.n_synonyms, " + ", ".join(f"coalesce(t_{c}.{c}, '') AS {c}" for c in _SUMMARY_COLS)
+    + " FROM summary n" + "".join(_first_seen(c) for c in _SUMMARY_COLS), [_SUMMARY_CTE]))
+def q_checklist_summary_in_order(spark, sf_dir):
+    """A2 and T3 with the values in the order of their first appearance: by source, synonym and country."""
+    rows = checklist_with_ids(spark, sf_dir)
+    return T.summarise_checklist(rows, order_by=F.concat_ws("|", "source", "species_synonym", "country"))
+
+
 def _per(key: str) -> str:
     return _checklist_oracle(f"""
 SELECT {key}, count(DISTINCT species_final) + max(CASE WHEN species_final IS NULL THEN 1 ELSE 0 END) AS n_species

@@ -100,3 +100,18 @@ def test_dense_ids_match_global_rank(spark):
     assert out[None] == f"B{len(distinct) + 1:05d}"
     big = T.dense_ids(spark.range(120000).select(F.col("id").alias("k")), "k", "id", "B", 5)
     assert big.filter(F.col("k") == 119999).first()["id"] == "B120000"   # never truncates
+
+
+def test_values_collapse_in_order_of_appearance(spark):
+    from pyspark.sql import functions as F
+
+    from barcodeforge.operators.rowpick import collapse_in_order
+
+    rows = [(1, "g", "b", None), (2, "g", "a", None), (3, "g", "b", None), (4, "g", None, None), (5, "h", "", None), (6, None, "z", "y"),
+            (0, "h", "q", None), (7, "h", "a", None)]
+    df = spark.createDataFrame(rows, "n int, k string, v string, w string")
+    for parts in (1, 5):
+        out = {r["k"]: (r["v"], r["w"]) for r in collapse_in_order(df.repartition(parts), ["k"], ["v", "w"], F.col("n")).collect()}
+        assert out == {"g": ("b, a", ""), "h": ("q, , a", ""), None: ("z", "y")}
+    out = {r["k"]: r["v"] for r in collapse_in_order(df, ["k"], ["v"], -F.col("n"), "; ", drop_empty=True).collect()}
+    assert out == {"g": "b; a", "h": "a; q", None: "z"}
