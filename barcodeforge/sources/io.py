@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barcodeforge.functions.nulls import join_null_safe
+from barcodeforge.operators.partitioning import materialize
+
 NA = "NA"
 
 CHECKLIST_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in
@@ -222,9 +225,25 @@ def write_fasta(df: DataFrame, path: str, header: str = "header", sequence: str
     _writer(recs, mode, cols).text(path)
 
 
+FILE_ROWS = 1_000_000  # rows of one file of a primer
+
+
+def _planned(df: DataFrame, key: str, file_rows: int) -> DataFrame:
+    """``df`` dealt so that each value of ``key`` fills as many tasks as it has files: one for every
+    ``file_rows`` rows, counted before. So there are at most ``rows / file_rows`` files and one
+    for each value, however many tasks had rows of it, and a value with most rows is many tasks."""
+    df = materialize(df)
+    files = df.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / file_rows).cast("int").alias("_files"))
+    total = files.agg(F.sum("_files")).first()[0] or 1
+    dealt = join_null_safe(df, files, [key], how="left").withColumn("_file", F.floor(F.rand(17) * F.col("_files")))
+    return dealt.repartition(int(total), key, "_file").drop("_file", "_files")
+
+
 def write_per_primer(df: DataFrame, path: str, fmt: str = "csv", mode: str = "errorifexists",
-                     key: str = "primer_name") -> None:
-    """K5: one directory per primer (``primer_name=<name>``); primers without rows get none."""
+                     key: str = "primer_name", file_rows: int = FILE_ROWS) -> None:
+    """K5: one directory per primer (``primer_name=<name>``); primers without rows get none. Files
+    have about ``file_rows`` rows."""
+    df = _planned(df, key, file_rows)
     if fmt == "csv":
         write_csv(df, path, mode, partition_by=[key])
     elif fmt == "fasta":

@@ -177,3 +177,14 @@ def test_file_names_are_decoded(spark, scratch):
     rows = io.read_partitioned(spark, scratch, glob="seeds_*.csv", name_col="primer", name_pattern=r"seeds_([^/]+)\.csv$").collect()
     assert {r["primer"] for r in rows} == {"a b+c%41", "ä"}
     assert all(os.path.exists(r["path"].split("file:")[-1].replace("//", "")) for r in rows)
+
+
+def test_files_of_a_primer_follow_its_rows(spark, scratch):
+    df = spark.range(2000).selectExpr("CASE WHEN id % 10 = 0 THEN 'rare' WHEN id % 10 < 9 THEN 'hot' END AS primer_name", "id AS accession").repartition(40)
+    out = os.path.join(scratch, "pp")
+    io.write_per_primer(df, out, file_rows=300)
+    files = {d: len([f for f in os.listdir(os.path.join(out, d)) if f.endswith(".csv")]) for d in os.listdir(out) if "=" in d}
+    assert files["primer_name=rare"] == files["primer_name=__HIVE_DEFAULT_PARTITION__"] == 1
+    assert 2 <= files["primer_name=hot"] <= 6
+    back = io.read_per_primer(spark, out)
+    assert back.count() == back.distinct().count() == 2000
