@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 from barcodeforge.functions import columns as C
 from barcodeforge.functions.iupac import (IUPAC_CODES, checked_iupac, code_mask, expansion_size, iupac_member,
                                           mask_table, revcomp, revcomp_str)
-from barcodeforge.functions.nulls import join_null_safe, n_distinct_na, na_propagate
+from barcodeforge.functions.nulls import join_null_safe
 from barcodeforge.operators.fuzzy import rolling_distances
 from barcodeforge.operators.partitioning import checked_broadcast, spread
 from barcodeforge.operators.rowpick import asc, keep_first
@@ -536,56 +536,73 @@ def seed_context(seeds: DataFrame, primers: DataFrame, sequences: DataFrame, wit
     return keep_first(s, ["primer_name", "accession", "sequence"], ["beeid"])
 
 
+_COUNTED = ("accession", "sequence", "family", "genus", "species")
+_MEASURED = ("length", "forward_primer_errors", "reverse_primer_errors", "primer_errors")
+
+
+def _median(histogram: Column) -> Column:
+    """Exact median of ``(number, n)`` structs: the number that half of the rows do not exceed, or
+    the middle between it and the next."""
+    total = F.aggregate(histogram, F.lit(0).cast("bigint"), lambda s, x: s + x["n"])
+    start = F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(None).cast("double").alias("low"), F.lit(None).cast("double").alias("high"))
+
+    def step(s, x):
+        seen = s["seen"] + x["n"]
+        return F.struct(seen.alias("seen"), F.coalesce(s["low"], F.when(2 * seen >= total, x["number"])).alias("low"),
+                        F.coalesce(s["high"], F.when(2 * seen > total, x["number"])).alias("high"))
+
+    return F.aggregate(F.array_sort(histogram), start, step, lambda s: (s["low"] + s["high"]) / 2)
+
+
 def primer_summary(seeds_in_context: DataFrame) -> DataFrame:
     """One row per primer with the coverage, length and primer-error statistics.
 
     Missing values make min / max / mean / median NULL (as the original). Distinct counts
-    count a missing value as one. The median needs a second pass (rows equal to it).
+    count a missing value as one.
+
+    The input is read once. Every row is counted under each of its values, so that a first partial
+    aggregation leaves a primer's distinct values with their counts: a histogram, of which the
+    second takes all statistics. Names are held by digests; what a primer gathers at the end are
+    its distinct lengths and error numbers.
     """
-    df = seeds_in_context
     g = ["primer_name", "gene", "expected_length"]
-
-    def nap(fn, c):
-        return na_propagate(fn(F.col(c)), c)
-
     both = F.col("forward_primer_errors") + F.col("reverse_primer_errors")
-    stats = df.groupBy(*g).agg(
-        n_distinct_na("accession").alias("n_accession"),
-        n_distinct_na(F.unhex(F.md5("sequence"))).alias("n_seqs"),  # a digest is all that is shuffled
-        n_distinct_na("family").alias("n_families"),
-        n_distinct_na("genus").alias("n_genera"),
-        n_distinct_na("species").alias("n_species"),
-        nap(F.min, "length").alias("min_length"),
-        nap(F.max, "length").alias("max_length"),
-        F.bround(nap(F.avg, "length"), 1).alias("mean_length"),
-        nap(F.median, "length").alias("median_length"),
-        nap(F.min, "forward_primer_errors").alias("min_forward_errors"),
-        nap(F.max, "forward_primer_errors").alias("max_forward_errors"),
-        F.bround(nap(F.avg, "forward_primer_errors"), 1).alias("mean_forward_errors"),
-        F.bround(nap(F.median, "forward_primer_errors"), 0).alias("median_forward_errors"),
-        nap(F.min, "reverse_primer_errors").alias("min_reverse_errors"),
-        nap(F.max, "reverse_primer_errors").alias("max_reverse_errors"),
-        F.bround(nap(F.avg, "reverse_primer_errors"), 1).alias("mean_reverse_errors"),
-        F.bround(nap(F.median, "reverse_primer_errors"), 0).alias("median_reverse_errors"),
-        F.bround(na_propagate(F.avg(both), both), 1).alias("mean_primer_errors"),
-    )
-    # second pass: rows whose length equals the group median. The per-primer tables are tiny;
-    # AQE sees their real size at runtime and broadcasts them (no hint, no extra count job).
-    med = stats.select("primer_name", F.col("median_length").alias("_med"))
-    n_med = (df.join(med, on="primer_name", how="left")
-             .groupBy("primer_name")
-             .agg(F.sum(F.when(F.col("length") == F.col("_med"), 1).otherwise(0)).cast("long").alias("n_median")))
-    out = stats.join(n_med, on="primer_name", how="left")
+    cells = [F.struct(F.lit(c).alias("kind"), F.unhex(F.md5(F.col(c).cast("string"))).alias("name"), F.lit(None).cast("double").alias("number"))
+             for c in _COUNTED]
+    cells += [F.struct(F.lit(c).alias("kind"), F.lit(None).cast("binary").alias("name"), (both if c == "primer_errors" else F.col(c)).cast("double").alias("number"))
+              for c in _MEASURED]
+    values = seeds_in_context.select(*g, F.explode(F.array(*cells)).alias("v")).select(*g, "v.*")
+    counted = values.groupBy(*g, "kind", "name", "number").agg(F.count(F.lit(1)).alias("n"))
+    aggregates = [F.count(F.when(F.col("kind") == c, 1)).alias(f"n_{c}") for c in _COUNTED]
+    for c in _MEASURED:
+        own = F.col("kind") == c
+        missing = F.coalesce(F.max(own & F.col("number").isNull()), F.lit(False))
+        known = lambda agg, missing=missing: F.when(~missing, agg)
+        number, n = F.when(own, F.col("number")), F.when(own, F.col("n"))
+        aggregates += [
+            known(F.min(number)).alias(f"min_{c}"), known(F.max(number)).alias(f"max_{c}"), known(F.sum(number * n) / F.sum(n)).alias(f"mean_{c}"),
+            known(F.collect_list(F.when(own, F.struct("number", "n")))).alias(f"histogram_{c}")]
+    stats = counted.groupBy(*g).agg(*aggregates)
+    stats = stats.withColumns({f"median_{c}": _median(F.col(f"histogram_{c}")) for c in _MEASURED if c != "primer_errors"})
+    at_median = F.aggregate("histogram_length", F.lit(0).cast("bigint"),
+                            lambda s, x: s + F.when(x["number"] == F.col("median_length"), x["n"]).otherwise(0))
+    kind = seeds_in_context.schema["length"].dataType
+    out = stats.withColumn("n_median", F.coalesce(at_median, F.lit(0).cast("bigint")))
+
+    def errors(side: str) -> list[Column]:
+        c = f"{side}_primer_errors"
+        return [F.col(f"min_{c}").alias(f"min_{side}_errors"), F.col(f"max_{c}").alias(f"max_{side}_errors"),
+                F.bround(f"mean_{c}", 1).alias(f"mean_{side}_errors"), F.bround(f"median_{c}", 0).alias(f"median_{side}_errors")]
+
     return out.select(
-        "primer_name", "gene", "expected_length", "n_accession", "n_seqs", "n_families", "n_genera", "n_species",
-        "min_length", "max_length", (F.col("max_length") - F.col("min_length")).alias("length_diff"),
-        "mean_length", "median_length", "n_median",
-        F.bround(F.col("n_median") / F.col("n_seqs") * 100, 1).alias("percent_median"),
+        *g, "n_accession", F.col("n_sequence").alias("n_seqs"), F.col("n_family").alias("n_families"), F.col("n_genus").alias("n_genera"),
+        "n_species", F.col("min_length").cast(kind).alias("min_length"), F.col("max_length").cast(kind).alias("max_length"),
+        (F.col("max_length") - F.col("min_length")).cast(kind).alias("length_diff"),
+        F.bround("mean_length", 1).alias("mean_length"), "median_length", "n_median",
+        F.bround(F.col("n_median") / F.col("n_sequence") * 100, 1).alias("percent_median"),
         (F.col("expected_length") - F.col("median_length")).alias("median_diff"),
-        F.col("n_seqs").alias("n_sequences"),
-        "min_forward_errors", "max_forward_errors", "mean_forward_errors", "median_forward_errors",
-        "min_reverse_errors", "max_reverse_errors", "mean_reverse_errors", "median_reverse_errors",
-        "mean_primer_errors")
+        F.col("n_sequence").alias("n_sequences"), *errors("forward"), *errors("reverse"),
+        F.bround("mean_primer_errors", 1).alias("mean_primer_errors"))
 
 
 def dedup_seeds(seeds: DataFrame) -> DataFrame:
