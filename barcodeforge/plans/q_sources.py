@@ -12,6 +12,7 @@ from barcodeforge.plans.fixtures import duckdb_sql, fixtures
 from barcodeforge.plans.q_checklist import CHECKLIST_CTES, CHECKLIST_FIXTURES, checklist_with_ids
 from barcodeforge.plans.registry import query
 from barcodeforge.sources import io
+from barcodeforge.sources.long_fasta import read_fasta_chunks
 
 
 def ncbi_clean(spark: SparkSession, sf_dir: str, checklist: DataFrame | None = None) -> DataFrame:
@@ -146,3 +147,15 @@ def q_fasta_missing(spark, sf_dir):
     path = scratch_path(spark, "fasta")
     io.write_fasta(rows, path, header="species", sequence="nuc", width=60)
     return io.read_fasta(spark, path)
+
+
+@query("fasta_chunks", duckdb_sql(["fx_database"], """
+SELECT header, CAST(60 * k AS BIGINT) AS start, substr(sequence, CAST(60 * k + 1 AS BIGINT), 85) AS sequence
+FROM (SELECT header, sequence, unnest(range(0, (length(sequence) + 59) // 60)) AS k FROM fx_database)
+WHERE k = 0 OR length(sequence) > 60 * k + 25"""))
+def q_fasta_chunks(spark, sf_dir):
+    """S5 for records of any length: lines of a FASTA file as chunks of 60 letters and 25 more."""
+    db, = fixtures(spark, sf_dir, "fx_database")
+    path = scratch_path(spark, "fasta")
+    io.write_fasta(db, path, width=50)
+    return read_fasta_chunks(spark, path, 60, 25).select("header", "start", "sequence")
