@@ -268,8 +268,9 @@ class SearchIndex:
 def search_index(database: DataFrame, k: int = 20, w: int = 9, split: int = SPLIT_POSTINGS) -> SearchIndex:
     """The index that :func:`homology_search` looks seeds up in; database: (sseqid, sequence).
     The database is read once. A word in more than ``split`` texts is dealt to parts by text."""
-    rows = materialize(database.select("sseqid", F.upper(F.col("sequence")).alias("text"))
-                       .filter(F.col("text").isNotNull()).withColumn("digest", F.sha2("text", 256)))
+    # written before it is looked at, so that a sequence that is costly to make is made once
+    rows = materialize(database.select("sseqid", F.upper(F.col("sequence")).alias("text")))
+    rows = rows.filter(F.col("text").isNotNull()).withColumn("digest", F.sha2("text", 256))
     texts = rows.groupBy("digest").agg(F.first("text").alias("text")).withColumn("id", F.monotonically_increasing_id())
     texts = materialize(texts)
     postings = _written_postings(texts, k, w, minus=False)
@@ -363,8 +364,8 @@ def homology_search(seeds: DataFrame, database: DataFrame | SearchIndex, k: int
     run = max(run or 0, k + w - 1)
     scoring = (reward, penalty, gap_open, gap_extend)
     # of equal seeds of a primer the smallest name is the one that a hit is reported by
-    seeds = seeds.select("primer_name", "qseqid", F.upper(F.col("sequence")).alias("text")).filter(F.length("text") >= run)
-    seeds = seeds.groupBy("primer_name", "text").agg(F.min("qseqid").alias("qseqid"))
+    seeds = materialize(seeds.select("primer_name", "qseqid", F.upper(F.col("sequence")).alias("text")))
+    seeds = seeds.filter(F.length("text") >= run).groupBy("primer_name", "text").agg(F.min("qseqid").alias("qseqid"))
     seeds = materialize(seeds.withColumn("id", F.monotonically_increasing_id()))
     asked = _written_postings(seeds, k, w, minus=True)
     asked = asked.select("kmer", F.col("id").alias("seed_id"), "minus", F.col("size").alias("qlen"), F.col("at").alias("asked_at"), "windows")
@@ -387,6 +388,8 @@ def homology_search(seeds: DataFrame, database: DataFrame | SearchIndex, k: int
         forward = names.select("seed_id", "qseqid", "seed")
         whole = some.select("text_id", "seed_id", "primer_name", "minus", "diagonals", "qlen").join(forward, "seed_id").join(
             index.texts.select(F.col("id").alias("text_id"), "text"), "text_id")
+        # small joins end in few partitions, and scoring is the costly step
+        whole = whole.repartition(int(seeds.sparkSession.conf.get("spark.sql.shuffle.partitions")), "text_id", "seed_id")
         return _extended(whole.withColumn("seed", F.when(F.col("minus"), revcomp("seed")).otherwise(F.col("seed"))), run, scoring, min_score)
 
     promising = F.max(F.struct("bound", "shared", "seed_id", "minus", "diagonals", "qlen")).alias("p")
