@@ -6,6 +6,7 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Callable
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -95,29 +96,25 @@ class _Side:
         if self.vocabulary.spell(ids).tobytes() != raw:
             return None
         ends = np.cumsum(self.vocabulary.size[ids])
-        wanted = np.cumsum([len(c) for c in chunks])
+        wanted = np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)))
         at = np.searchsorted(ends, wanted)
         if (ends[at] != wanted).any():
             return None
         return ids, np.diff(np.concatenate([[-1], at]))
 
-    def learn(self, chunks: list[bytes], calm: list[bool]) -> None:
+    def learn(self, chunks: list[bytes], sizes: np.ndarray, calm: np.ndarray) -> None:
         found, count, sound = [self.ids], np.zeros(len(chunks), np.int64), np.ones(len(chunks), dtype=bool)
-        order, alone = [k for k, c in enumerate(calm) if c], [k for k, c in enumerate(calm) if not c]
-        places, at, size = [], 0, 0
-        while at < len(order):
-            end, size = at, 0
-            while end < len(order) and (size < CALL_BYTES or end == at):
-                size += len(chunks[order[end]])
-                end += 1
-            got = self._together([chunks[k] for k in order[at:end]])
+        order, alone = np.flatnonzero(calm), np.flatnonzero(~calm).tolist()
+        call = np.cumsum(sizes[order]) // CALL_BYTES
+        places: list[int] = []
+        for own in np.split(order, np.flatnonzero(np.diff(call)) + 1):
+            got = self._together([chunks[k] for k in own.tolist()]) if len(own) else None
             if got is None:
-                alone += order[at:end]
+                alone += own.tolist()
             else:
-                places += order[at:end]
+                places += own.tolist()
                 found.append(got[0])
-                count[order[at:end]] = got[1]
-            at = end
+                count[own] = got[1]
         for k in alone:
             ids, sound[k] = self._one(chunks[k])
             places.append(k)
@@ -131,11 +128,17 @@ class _Side:
         self.sound = np.concatenate([self.sound, sound])
 
 
-def _calm(chunk: bytes) -> bool:
-    """Whether a chunk may be encoded right before and after others: there would be a cut."""
-    if len(chunk) < 3 or chunk[0] != 0x20 or not (_INK[chunk[1]] or _TWO[chunk[1]]):
-        return False
-    return bool(_INK[chunk[-1]] or (chunk[-1] >= 0x80 and _TWO[chunk[-2]]))
+def _calm(chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes of chunks, and which may be encoded right before and after others: those that begin and end
+    like a cut."""
+    cuts = np.frombuffer(chunks.buffers()[1], np.int64)[chunks.offset:chunks.offset + len(chunks) + 1]
+    data = np.frombuffer(chunks.buffers()[2], np.uint8)
+    sizes = np.diff(cuts)
+    first, last = cuts[:-1], cuts[1:] - 1
+    long = sizes >= 3
+    second = data[np.where(long, first + 1, 0)]
+    ends = _INK[data[np.maximum(last, 0)]] | ((data[np.maximum(last, 0)] >= 0x80) & _TWO[data[np.where(long, last - 1, 0)]])
+    return sizes, long & (data[first] == 0x20) & (_INK[second] | _TWO[second]) & ends
 
 
 class ChunkEncoder:
@@ -166,18 +169,19 @@ class ChunkEncoder:
             self.place = {}
             for side in self.sides:
                 side.forget()
-        get = self.place.get
-        place = np.fromiter((get(c, -1) for c in chunks), np.int64, len(chunks))
+        place = np.fromiter(map(self.place.get, chunks, repeat(-1)), np.int64, len(chunks))
         missing = np.flatnonzero(place < 0)
         if len(missing):
             new = [chunks[k] for k in missing.tolist()]
             known = len(self.sides[0].first)
             place[missing] = known + np.arange(len(new))
             # a long chunk's ids stay until all are forgotten; only its name is not remembered
-            self.place.update((c, known + k) for k, c in enumerate(new) if len(c) <= LONG_CHUNK)
-            calm = [_calm(c) for c in new]
+            sizes, calm = (x[missing] for x in _calm(coded.dictionary))
+            self.place.update(zip(new, range(known, known + len(new)), strict=True))
+            for k in np.flatnonzero(sizes > LONG_CHUNK).tolist():
+                del self.place[new[k]]
             for side in self.sides:
-                side.learn(new, calm)
+                side.learn(new, sizes, calm)
         place = place[coded.indices.to_numpy()]
         at = np.searchsorted(starts, offsets)  # the first chunk of every row
         sound, out = np.ones(len(place), dtype=bool), []

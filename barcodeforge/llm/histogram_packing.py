@@ -19,6 +19,8 @@ END_ID = 1
 TOKENIZER = "byte_bpe_50k"
 #: rows of one length that are ranked together; a more frequent length is ranked in several parts
 RANK_ROWS = 100_000
+#: text bytes of which equal chunks are found together
+ENCODED_BYTES = 1 << 22
 
 
 def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER,
@@ -39,7 +41,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
         path = public_tokenizers.path(f"{tokenizer}.json")
         encode = per_worker(f"ids {path}", lambda: ChunkEncoder(byte_bpe(path)))
-        for part in C.passes(batches, "text"):
+        for part in C.passes(batches, "text", ENCODED_BYTES):
             ((ids, cuts),), _ = encode(*C.text_bytes(part.column("text")))
             row, out, kept = [], [], []
             for k in range(part.num_rows):
