@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from barcodeforge.functions import columns as C
 from barcodeforge.functions.nulls import join_null_safe
+from barcodeforge.operators.partitioning import shuffled
 from barcodeforge.operators.rowpick import keep_first
 
 HEADER_FIELDS = ("accession", "family", "species", "subspecies", "beeid")
@@ -32,7 +33,7 @@ def _attach_to_checklist(checklist: DataFrame, seqs: DataFrame, min_length: int)
     cl = keep_first(checklist, ["beeid", "species_synonym"], rest)
     sq = keep_first(seqs.filter(usable_sequence("sequence", min_length)),
                     ["species", "sequence"], ["accession", "subspecies"])
-    joined = join_null_safe(cl, sq, {"species_synonym": "species"}, how="left")
+    joined = join_null_safe(cl, shuffled(sq), {"species_synonym": "species"}, how="left")
     joined = joined.filter(usable_sequence("sequence", min_length))
     return keep_first(joined, ["beeid", "sequence"], ["accession"])
 
@@ -55,7 +56,7 @@ def clean_ncbi(fasta: DataFrame, lineage: DataFrame, checklist: DataFrame,
     if normalise:
         recs = recs.withColumn("sequence", normalise_sequence("sequence"))
     lin = lineage.filter(F.col("order") == target_order).select("accession", "species", "subspecies")
-    clean = lin.join(recs, on="accession", how="left").select("species", "subspecies", "accession", "sequence").distinct()
+    clean = lin.join(shuffled(recs), on="accession", how="left").select("species", "subspecies", "accession", "sequence").distinct()
     return _attach_to_checklist(checklist, clean, min_length)
 
 
