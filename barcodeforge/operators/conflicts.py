@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barcodeforge.functions.nulls import anti_null_safe, join_null_safe
-from barcodeforge.operators.partitioning import materialize
+from barcodeforge.operators.partitioning import materialize, shuffled
 from barcodeforge.operators.rowpick import asc, desc, keep_first
 
 
@@ -47,8 +47,8 @@ def _removed(slim: DataFrame, scope: str, by: list[str]) -> DataFrame:
     pairs = pairs.select(*pair, "dupe_count", F.col("first.accession").alias("accession"))
     group = (*by, _DIGEST) if scope == "sequence" else tuple(pair)
     keep = pick_representatives(pairs, group, by)
-    repeated = join_null_safe(slim.select(*pair, "accession"), pairs.select(*pair), pair, how="left_semi")
-    return anti_null_safe(repeated.select(*by, "accession").distinct(), keep, [*by, "accession"])
+    repeated = join_null_safe(slim.select(*pair, "accession"), shuffled(pairs.select(*pair)), pair, how="left_semi")
+    return anti_null_safe(repeated.select(*by, "accession").distinct(), shuffled(keep), [*by, "accession"])
 
 
 def dedup_taxa(df: DataFrame, scope: str = "sequence", by: tuple[str, ...] = ()) -> DataFrame:
@@ -61,7 +61,7 @@ def dedup_taxa(df: DataFrame, scope: str = "sequence", by: tuple[str, ...] = ())
     every key, so independent databases are processed in one pass.
     """
     by = list(by)
-    return anti_null_safe(df, _removed(_slim(df, by, "accession", "species"), scope, by), [*by, "accession"])
+    return anti_null_safe(df, shuffled(_removed(_slim(df, by, "accession", "species"), scope, by)), [*by, "accession"])
 
 
 def _conflicts(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -96,6 +96,7 @@ def conflict_table(df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 
 def _flagged(df: DataFrame, conflicts: DataFrame, by: list[str]) -> DataFrame:
     flagged = df.withColumn(_DIGEST, _digest())
+    conflicts = shuffled(conflicts)
     if by:
         return join_null_safe(flagged, conflicts, [*by, _DIGEST], how="left").drop(_DIGEST)
     return flagged.join(conflicts, _DIGEST, "left").drop(_DIGEST)
@@ -115,6 +116,6 @@ def sequence_database(df: DataFrame, scope: str = "sequence", by: tuple[str, ...
     """``dedup_taxa`` then ``flag_conflicts``, over one slim table."""
     by = list(by)
     slim = _slim(df, by, "accession", "species", "genus", "family")
-    removed = materialize(_removed(slim, scope, by))
+    removed = shuffled(materialize(_removed(slim, scope, by)))
     conflicts = _conflicts(anti_null_safe(slim, removed, [*by, "accession"]), [*by, _DIGEST])
     return _flagged(anti_null_safe(df, removed, [*by, "accession"]), conflicts, by)

@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from barcodeforge.functions import columns as C
 from barcodeforge.functions.iupac import revcomp, revcomp_str
-from barcodeforge.operators.partitioning import checked_broadcast, materialize, spread
+from barcodeforge.operators.partitioning import checked_broadcast, materialize, shuffled, spread
 from barcodeforge.operators.rowpick import desc, keep_first
 
 # --- fixed values: ungapped Karlin-Altschul parameters for reward 1 / penalty -2 ---------
@@ -432,7 +432,7 @@ def attach_taxonomy(hits: DataFrame, database: DataFrame) -> DataFrame:
     start <= end and the strand flag."""
     # the original takes the first row of each header; here that is the smallest sequence
     db = keep_first(database.select(F.col("header").alias("sseqid"), "sequence"), ["sseqid"], ["sequence"])
-    df = hits.join(db, on="sseqid", how="left")
+    df = hits.join(shuffled(db), on="sseqid", how="left")
     df = C.split_into(df, "sseqid", ";", ("accession", "family", "species", "subspecies", "beeid"), drop=True)
     df = (df.withColumn("species", F.translate("species", "_", " "))
           .withColumn("subspecies", F.translate("subspecies", "_", " "))
