@@ -1,21 +1,24 @@
 """Joins on nearly equal strings.
 
-Two strings within ``d`` edits share a piece: cut the shorter side's string into more pieces than
-the edits can touch, and one of them stands unchanged in the other string, moved by at most ``d``
-places. So pieces of one side join substrings of the other by hash, and only strings that share
-one are compared. Insertions, deletions and substitutions touch one piece each; the swap of two
-neighbours that the OSA metric allows may touch two.
+Two strings within ``d`` edits share pieces: cut one side's string into two more pieces than the
+edits can touch, and two of them stand unchanged in the other string, moved by at most ``d``
+places. So pairs of pieces of one side join substrings of the other by hash, and only strings that
+share a pair are compared. Insertions, deletions and substitutions touch one piece each; the swap
+of two neighbours that the OSA metric allows may touch two. Where to cut is learnt from all
+strings, so that a word that many of them share fills no more than one piece.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barcodeforge.operators.partitioning import materialize
+from barcodeforge.operators.partitioning import materialize, shuffled
 
 
 def rolling_distances(same, la: int, lb: int, n: int, transpositions: bool) -> np.ndarray:
@@ -52,47 +55,62 @@ def _osa(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(osa_distances(a.tolist(), b.tolist()))
 
 
-def _pieces(text: Column, count: int) -> Column:
-    """``(piece number, length of the whole, text)`` of a string cut into ``count`` pieces, the
-    first ones a letter shorter where it does not come out even (some empty, if it is short)."""
-    n = F.length(text)
-    base, longer = F.floor(n / count), n % count
-    out = []
-    for k in range(count):
-        # the last (n mod count) pieces have one letter more
-        start = k * base + F.greatest(F.lit(0), k - (count - longer))
-        size = base + F.when(F.lit(k) >= count - longer, 1).otherwise(0)
-        out.append(F.struct(F.lit(k).alias("piece"), n.alias("whole"), F.substring(text, start.cast("int") + 1, size.cast("int")).alias("key")))
-    return F.array(*out)
-
-
-def _probes(text: Column, count: int, limit: int) -> Column:
-    """Every ``(piece number, length of the whole, text)`` that a string within ``limit`` edits of
-    ``text`` may be indexed by: a piece moves by no more than the insertions or deletions before
-    it, and those after it must make up for the difference in length."""
-    n = F.length(text)
+def _cuts(texts: DataFrame, col: str, count: int) -> DataFrame:
+    """``whole, cuts``: for every length of a text where texts of that length are cut into
+    ``count`` pieces, as ``count + 1`` places from 0. Each piece tells about the same number of
+    texts apart: a letter weighs its entropy given the letter before it, over all texts of that
+    length, so words that many texts have in common make one piece and not several. Any cut
+    would do; this one keeps pieces from being shared by very many texts. One row per length."""
+    n = F.length(col)
+    letters = texts.select(n.alias("whole"), F.col(col).alias("_t"), F.explode(F.sequence(F.lit(1), n + 1)).alias("_i"))
+    pair = F.when(F.col("_i") > 1, F.expr("substring(_t, _i - 1, 2)")).otherwise(F.expr("substring(_t, 1, 1)"))
+    before = F.when(F.col("_i") > 1, F.expr("substring(_t, _i - 1, 1)")).otherwise("")
+    counts = letters.groupBy("whole", "_i", before.alias("_before"), pair.alias("_pair")).agg(F.count("*").alias("_n"))
+    spent = F.sum("_n") * F.log2(F.sum("_n")) - F.sum(F.col("_n") * F.log2("_n"))
+    bits = counts.groupBy("whole", "_i", "_before").agg(spent.alias("_bits"), F.sum("_n").alias("_n"))
+    # a little for every letter, so that texts without differences are cut evenly
+    bits = bits.groupBy("whole", "_i").agg((F.greatest(F.sum("_bits"), F.lit(0.0)) / F.sum("_n") + 0.01).alias("_bits"))
+    bits = bits.where("_i <= whole").unionByName(bits.where("whole = 0"))
+    by = Window.partitionBy("whole")
+    upto, total = F.sum("_bits").over(by.orderBy("_i")), F.sum("_bits").over(by)
+    placed = bits.select("whole", "_i", F.floor(count * (upto - F.col("_bits") / 2) / total).alias("_piece"))
+    places = [F.count(F.when((F.col("_i") <= F.col("whole")) & (F.col("_piece") < k), 1)).cast("int") for k in range(count)]
+    return placed.groupBy("whole").agg(F.array(*places, F.first("whole")).alias("cuts"))
+
+
+def _moves(count: int, limit: int) -> list[list[tuple[int, int, int, int]]]:
+    """For each difference ``-limit .. limit`` of the lengths (the cut text's less the other's) the
+    ways ``(k, l, move of k, move of l)`` in which pieces k < l may stand unchanged in the other
+    text. Before, between and after them there are at least as many edits as they are moved; an
+    insertion counts to the piece that it comes before, so there is none between neighbours."""
     out = []
     for shift in range(-limit, limit + 1):
-        whole = n + shift
-        base, longer = F.floor(whole / count), whole % count
-        for k in range(count):
-            start = k * base + F.greatest(F.lit(0), k - (count - longer))
-            size = (base + F.when(F.lit(k) >= count - longer, 1).otherwise(0)).cast("int")
-            for move in range(-limit, limit + 1):
-                # |move| edits before the piece and |move + shift| after it
-                if abs(move) + abs(move + shift) > limit:
-                    continue
-                at = start.cast("int") + move
-                fits = (whole >= 0) & (at >= 0) & (at + size <= n)
-                out.append(F.when(fits, F.struct(F.lit(k).alias("piece"), whole.alias("whole"), F.substring(text, at + 1, size).alias("key"))))
-    return F.array_distinct(F.array_compact(F.array(*out)))
+        out.append([(k, m, a, b) for k, m in combinations(range(count), 2)
+                    for a in range(-limit, limit + 1) for b in range(-limit, limit + 1)
+                    if abs(a) + abs(b - a) + abs(shift + b) <= limit
+                    and (k > 0 or a == 0) and (m > k + 1 or a == b) and (m < count - 1 or b == -shift)])
+    return out
+
+
+def _keys(texts: DataFrame, col: str, cuts: DataFrame, moves: list[list[tuple[int, int, int, int]]]) -> DataFrame:
+    """A row per text and pair of pieces that it may have unchanged: the text and a hash of both."""
+    limit = len(moves) // 2
+    lists = ", ".join("array(" + ", ".join(f"named_struct('k', {k}, 'l', {m}, 'a', {a}, 'b', {b})" for k, m, a, b in some) + ")" for some in moves)
+    rows = texts.withColumn("_n", F.length(col)).withColumn("_shift", F.explode(F.sequence(F.lit(-limit), F.lit(limit))))
+    # one row per length of a text, which every task needs
+    rows = rows.withColumn("whole", F.col("_n") + F.col("_shift")).join(F.broadcast(cuts), "whole")
+    rows = rows.withColumn("_m", F.expr(f"explode(array({lists})[_shift + {limit}])"))
+    rows = rows.selectExpr(f"`{col}`", "whole", "_n", "_m.k", "_m.l", "cuts[_m.k] + _m.a AS _p", "cuts[_m.k + 1] - cuts[_m.k] AS _ps",
+                           "cuts[_m.l] + _m.b AS _q", "cuts[_m.l + 1] - cuts[_m.l] AS _qs")
+    rows = rows.where("_p >= 0 AND _p + _ps <= _n AND _q >= 0 AND _q + _qs <= _n")
+    return rows.selectExpr(f"`{col}`", f"xxhash64(whole, k, l, substring(`{col}`, _p + 1, _ps), substring(`{col}`, _q + 1, _qs)) AS key")
 
 
 def fuzzy_pairs(left: DataFrame, right: DataFrame, left_col: str, right_col: str, max_distance: int, metric: str = "osa",
                 ignore_case: bool = True) -> DataFrame:
     """``left_text, right_text, distance``: every pair of distinct texts (lower-cased unless case
     counts) within ``max_distance`` edits. ``metric`` is ``osa`` or ``levenshtein``. NULLs have
-    no distance. Copies of a text are one text; a piece that very many texts share is one hot
+    no distance. Copies of a text are one text; two pieces that very many texts share are one hot
     join key, which Spark splits."""
     if metric not in ("osa", "levenshtein"):
         raise ValueError(metric)
@@ -103,17 +121,18 @@ def fuzzy_pairs(left: DataFrame, right: DataFrame, left_col: str, right_col: str
         text = F.col(col).cast("string")
         return df.select((F.lower(text) if ignore_case else text).alias(name)).where(F.col(name).isNotNull()).distinct()
 
-    count = (2 if metric == "osa" else 1) * max_distance + 1
-    asked = texts(left, left_col, "left_text")
-    asked = asked.select("left_text", F.explode(_probes(F.col("left_text"), count, max_distance)).alias("p")).select("left_text", "p.*")
-    held = texts(right, right_col, "right_text")
-    held = held.select("right_text", F.explode(_pieces(F.col("right_text"), count)).alias("p")).select("right_text", "p.*")
-    pairs = asked.join(held, ["piece", "whole", "key"]).select("left_text", "right_text").distinct()
+    count = (2 if metric == "osa" else 1) * max_distance + 2
+    asked, held = texts(left, left_col, "left_text"), materialize(texts(right, right_col, "right_text"))
+    cuts = materialize(_cuts(held, "right_text", count))
+    asked = _keys(asked, "left_text", cuts, _moves(count, max_distance))
+    held = _keys(held, "right_text", cuts, [[(k, m, 0, 0) for k, m in combinations(range(count), 2)]])
+    met = asked.join(shuffled(held), "key").select("left_text", "right_text")
     if metric == "levenshtein":
-        distance = F.levenshtein("left_text", "right_text", max_distance)
-    else:
-        distance = _osa("left_text", "right_text")
-    return pairs.withColumn("distance", distance).where(F.col("distance").between(0, max_distance))
+        near = met.withColumn("distance", F.levenshtein("left_text", "right_text", max_distance))
+        return near.where(F.col("distance").between(0, max_distance)).distinct()
+    # a swap is two edits of the plain distance
+    near = met.where(F.levenshtein("left_text", "right_text", 2 * max_distance) >= 0).distinct()
+    return near.withColumn("distance", _osa("left_text", "right_text")).where(F.col("distance").between(0, max_distance))
 
 
 def fuzzy_join(left: DataFrame, right: DataFrame, left_col: str, right_col: str, max_distance: int, metric: str = "osa",
@@ -130,7 +149,7 @@ def fuzzy_join(left: DataFrame, right: DataFrame, left_col: str, right_col: str,
     key = lambda c: F.lower(F.col(c).cast("string")) if ignore_case else F.col(c).cast("string")
     # who meets whom is decided on distinct texts; the rows follow by equality
     a, b = left.withColumn("_left_text", key(left_col)), right.withColumn("_right_text", key(right_col))
-    met = a.join(pairs.withColumnRenamed("distance", "_distance"), F.col("_left_text") == F.col("left_text"),
+    met = a.join(shuffled(pairs).withColumnRenamed("distance", "_distance"), F.col("_left_text") == F.col("left_text"),
                  "left" if how in ("left", "full") else "inner")
-    joined = met.join(b, F.col("right_text") == F.col("_right_text"), {"inner": "inner", "left": "left", "right": "right", "full": "full"}[how])
+    joined = met.join(shuffled(b), F.col("right_text") == F.col("_right_text"), {"inner": "inner", "left": "left", "right": "right", "full": "full"}[how])
     return joined.select(*left.columns, *right.columns, F.col("_distance").alias(distance_col))

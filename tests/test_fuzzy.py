@@ -63,3 +63,24 @@ def test_no_nested_loop(spark):
     with pytest.raises(ValueError, match="both sides have a"):
         Z.fuzzy_join(ldf, ldf, "a", "a", 1)
     assert Z.fuzzy_join(ldf.limit(0), rdf, "a", "b", 1, how="right").count() == 1
+
+
+@pytest.mark.parametrize("metric", ["levenshtein", "osa"])
+def test_common_words_do_not_make_all_pairs(spark, metric, monkeypatch):
+    """Texts that differ in their last letters only: what they have in common fills one piece."""
+    rng = random.Random(7)
+    texts = sorted({"a rather long common name " + "".join(rng.choice("abcdefghijklmnop") for _ in range(12)) for _ in range(600)})
+    ldf = spark.createDataFrame([(t,) for t in texts], "a string")
+    rdf = spark.createDataFrame([(t[:-1] + "x",) for t in texts], "b string")
+    made = {}
+    keys = Z._keys
+
+    def kept(rows, col, *rest):
+        made[col] = keys(rows, col, *rest)
+        return made[col]
+
+    monkeypatch.setattr(Z, "_keys", kept)
+    found = Z.fuzzy_pairs(ldf, rdf, "a", "b", 1, metric)
+    assert {(r[0], r[1]) for r in found.collect()} == {(t, t[:-1] + "x") for t in texts}
+    met = made["left_text"].join(made["right_text"], "key").select("left_text", "right_text").distinct().count()
+    assert met < 10 * len(texts)
