@@ -34,11 +34,12 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barcodeforge.functions import columns as C
@@ -135,7 +136,9 @@ def minimizer_batch(seqs: list, k: int, w: int):
     return row, (pos - starts[row] + 1).astype(np.int32), val[pos].astype(np.int64)
 
 
-CELL_BLOCK = 2_000_000        # aligned columns scored together
+CELL_BLOCK = 250_000          # aligned columns scored together
+BASE_BLOCK = 250_000          # bases whose words are found together
+SEEDS_A_ROW = 256             # seeds with one word that meet a text in one row
 RUN = 28
 GAP_OPEN, GAP_EXTEND = 3, 1
 SPLIT_POSTINGS = 20_000        # texts of one word that are joined together; more are split into parts
@@ -145,6 +148,14 @@ def _codes(text: str) -> np.ndarray:
     return _CODE2[np.frombuffer(text.encode("ascii", "replace"), dtype=np.uint8)]
 
 
+def _unpacked(packed: bytes, size: int, minus: bool) -> np.ndarray:
+    """Base codes of a text packed two to a byte (an odd one starts in the middle of a byte), or of
+    its reverse complement."""
+    pairs = np.frombuffer(packed, dtype=np.uint8)
+    codes = np.stack([pairs >> 4, pairs & 15], axis=1).ravel()[2 * len(pairs) - size:]
+    return np.where(codes < 4, 3 - codes, codes)[::-1] if minus else codes
+
+
 def score_diagonals(query: np.ndarray, q_start: np.ndarray, q_len: np.ndarray, subject: np.ndarray, s_start: np.ndarray,
                     s_len: np.ndarray, diag: np.ndarray, reward: int, penalty: int):
     """Best ungapped segment of every candidate (rows of the arrays; ``query`` and ``subject``
@@ -204,12 +215,21 @@ def chain_segments(segments: list[tuple[int, int, int, int]], reward: int, penal
     return out
 
 
+def _base_slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    upto = np.cumsum(pc.binary_length(batch.column("text")).to_numpy().astype(np.int64))
+    a = 0
+    while a < batch.num_rows:
+        b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + BASE_BLOCK)))
+        yield batch.slice(a, b - a)
+        a = b
+
+
 def _postings(batches: Iterator[pa.RecordBatch], k: int, w: int, minus: bool) -> Iterator[pa.RecordBatch]:
     """Minimizers of ``(id, text)`` rows as ``kmer, id, minus, size, at, windows``: one row for each
     word of a text, with its places from 0 and how many of the disjoint windows of the text it
     is the minimizer of. ``minus`` adds the reverse complement of every text."""
     span = k + w - 1
-    for batch in batches:
+    for batch in chain.from_iterable(map(_base_slices, batches)):
         ids = batch.column("id").to_numpy()
         texts = batch.column("text").to_pylist()
         for strand in (False, True)[:1 + minus]:
@@ -248,9 +268,9 @@ def _postings(batches: Iterator[pa.RecordBatch], k: int, w: int, minus: bool) ->
 _POSTINGS = "kmer bigint, id bigint, minus boolean, size int, at array<int>, windows int"
 
 
-def _written_postings(texts: DataFrame, k: int, w: int, minus: bool) -> DataFrame:
+def _found_postings(texts: DataFrame, k: int, w: int, minus: bool) -> DataFrame:
     rows = texts.select("id", "text").filter(F.length("text") >= k)
-    return materialize(spread(rows).mapInArrow(lambda batches: _postings(batches, k, w, minus), _POSTINGS))
+    return spread(rows).mapInArrow(lambda batches: _postings(batches, k, w, minus), _POSTINGS)
 
 
 @dataclass(frozen=True)
@@ -273,12 +293,12 @@ def search_index(database: DataFrame, k: int = 20, w: int = 9, split: int = SPLI
     rows = rows.filter(F.col("text").isNotNull()).withColumn("digest", F.sha2("text", 256))
     texts = rows.groupBy("digest").agg(F.first("text").alias("text")).withColumn("id", F.monotonically_increasing_id())
     texts = materialize(texts)
-    postings = _written_postings(texts, k, w, minus=False)
+    postings = materialize(_found_postings(texts, k, w, minus=False))
     parts = postings.groupBy("kmer").agg(F.count("*").alias("n")).filter(F.col("n") > split)
     parts = materialize(parts.select("kmer", F.ceil(F.col("n") / split).cast("int").alias("parts")))
     if parts.isEmpty():
         return SearchIndex(k, w, rows, texts, postings.withColumn("part", F.lit(0)), None)
-    dealt = postings.join(parts, "kmer", "left").withColumn("part", F.when(
+    dealt = postings.join(shuffled(parts), "kmer", "left").withColumn("part", F.when(
         F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))).drop("parts")
     return SearchIndex(k, w, rows, texts, dealt, parts)
 
@@ -298,15 +318,15 @@ def score_bound(query: Column, subject: Column, lacking: Column, k: int, w: int,
 
 
 def _extended(pairs: DataFrame, run: int, scoring: tuple[int, int, int, int], min_score: int) -> DataFrame:
-    """The best chain of every pair ``text, seed, minus, diagonals`` that has one, next to all
-    columns but these four, as ``score, q_first, s_first, q_last, s_last`` (from 0)."""
+    """The best chain of every pair ``text, seed, qlen, minus, diagonals`` that has one, next to all
+    columns but texts and diagonals, as ``score, q_first, s_first, q_last, s_last`` (from 0)."""
     reward, penalty, gap_open, gap_extend = scoring
     carried = [f for f in pairs.schema if f.name not in ("text", "seed", "diagonals")]
     names = [f.name for f in carried] + ["score", "q_first", "s_first", "q_last", "s_last"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried)
 
     def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        cells = np.minimum(pc.binary_length(batch.column("text")).to_numpy(), pc.binary_length(batch.column("seed")).to_numpy())
+        cells = np.minimum(pc.binary_length(batch.column("text")).to_numpy(), batch.column("qlen").to_numpy())
         upto = np.cumsum(cells.astype(np.int64) * pc.list_value_length(batch.column("diagonals")).to_numpy())
         a = 0
         while a < batch.num_rows:
@@ -320,26 +340,27 @@ def _extended(pairs: DataFrame, run: int, scoring: tuple[int, int, int, int], mi
                 lists = part.column("diagonals")
                 pair = pc.list_parent_indices(lists).to_numpy().astype(np.int64)
                 diag = pc.list_flatten(lists).to_numpy().astype(np.int64)
+                minus = part.column("minus").to_pylist()
+                seeds = list(map(_unpacked, part.column("seed").to_pylist(), part.column("qlen").to_pylist(), minus))
+                texts = [_codes(t) for t in part.column("text").to_pylist()]
                 sides = []
-                for name in ("seed", "text"):
-                    texts = part.column(name).to_pylist()
-                    size = np.array([len(t) for t in texts], dtype=np.int64)
-                    sides.append((_codes("".join(texts)), (np.cumsum(size) - size)[pair], size[pair]))
+                for codes in (seeds, texts):
+                    size = np.array([len(t) for t in codes], dtype=np.int64)
+                    sides.append((np.concatenate(codes), (np.cumsum(size) - size)[pair], size[pair]))
                 score, first, last, exact = score_diagonals(*sides[0], *sides[1], diag, reward, penalty)
                 good = np.flatnonzero(exact >= run)
                 cut = np.flatnonzero(pair[good][1:] != pair[good][:-1]) + 1
-                minus = part.column("minus").to_pylist()
                 kept, out = [], []
                 for group in np.split(good, cut) if len(good) else []:
                     segments = [(int(score[g]), int(diag[g]), int(first[g]), int(last[g])) for g in group]
                     row = int(pair[group[0]])
                     best = None
-                    for chain in chain_segments(segments, reward, penalty, gap_open, gap_extend):
-                        spans = max(chain[3] - chain[1], chain[4] - chain[2])
-                        ends = (chain[4], chain[2]) if minus[row] else (chain[2], chain[4])
-                        rank = (-chain[0], -spans, *ends, -(chain[3] - chain[1]))
-                        if chain[0] >= min_score and (best is None or rank < best[0]):
-                            best = (rank, chain)
+                    for found in chain_segments(segments, reward, penalty, gap_open, gap_extend):
+                        spans = max(found[3] - found[1], found[4] - found[2])
+                        ends = (found[4], found[2]) if minus[row] else (found[2], found[4])
+                        rank = (-found[0], -spans, *ends, -(found[3] - found[1]))
+                        if found[0] >= min_score and (best is None or rank < best[0]):
+                            best = (rank, found)
                     if best:
                         kept.append(row)
                         out.append(best[1])
@@ -367,36 +388,55 @@ def homology_search(seeds: DataFrame, database: DataFrame | SearchIndex, k: int
     seeds = materialize(seeds.select("primer_name", "qseqid", F.upper(F.col("sequence")).alias("text")))
     seeds = seeds.filter(F.length("text") >= run).groupBy("primer_name", "text").agg(F.min("qseqid").alias("qseqid"))
     seeds = materialize(seeds.withColumn("id", F.monotonically_increasing_id()))
-    asked = _written_postings(seeds, k, w, minus=True)
-    asked = asked.select("kmer", F.col("id").alias("seed_id"), "minus", F.col("size").alias("qlen"), F.col("at").alias("asked_at"), "windows")
+    tasks = int(seeds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # a word with the seeds that hold it, some to a row: what a text meets is sent with the text's
+    # number once for all of them
+    asked = _found_postings(seeds, k, w, minus=True).select("*", F.explode("at").alias("q_at"))
+    # the windows of a word count once, at its first place
+    mark = F.col("minus").cast("bigint") + F.when(F.col("q_at") == F.col("at")[0], F.col("windows") * 2).otherwise(0)
+    asked = asked.select("kmer", "id", (F.shiftleft(F.col("q_at").cast("bigint"), 32) + mark).alias("spot"))
+    turn = F.row_number().over(Window.partitionBy("kmer").orderBy(F.lit(0)))
+    asked = asked.withColumn("_row", F.floor(turn / SEEDS_A_ROW)).groupBy("kmer", "_row").agg(F.collect_list(F.struct("id", "spot")).alias("s"))
+    asked = asked.select("kmer", F.col("s.id").alias("id"), F.col("s.spot").alias("spot"))
+    held = index.postings.select("kmer", "part", F.col("id").alias("text_id"), "size", F.col("at")[0].alias("first"), F.explode("at").alias("t_at"))
+    # a text's length, the place of the word in it, and whether that is its first
+    place = F.shiftleft(F.col("size").cast("bigint"), 32) + F.col("t_at").cast("bigint") * 2 + (F.col("t_at") == F.col("first")).cast("bigint")
+    held = held.select("kmer", "part", "text_id", place.alias("place"))
     if index.parts is None:
-        asked = asked.withColumn("part", F.lit(0))
+        met = held.drop("part").join(shuffled(asked), "kmer")
     else:
-        asked = asked.join(index.parts, "kmer", "left").withColumn(
+        asked = asked.join(shuffled(index.parts), "kmer", "left").withColumn(
             "part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
-    met = index.postings.select("kmer", "part", F.col("id").alias("text_id"), F.col("size").alias("slen"), "at").join(asked, ["kmer", "part"])
-    diagonals = F.flatten(F.transform("at", lambda s: F.transform("asked_at", lambda q: s - q)))
-    pairs = met.groupBy("text_id", "seed_id", "minus").agg(
-        F.array_distinct(F.flatten(F.collect_list(diagonals))).alias("diagonals"), F.sum("windows").alias("shared"),
-        F.first("qlen").alias("qlen"), F.first("slen").alias("slen"))
+        met = held.join(shuffled(asked), ["kmer", "part"])
+    met = met.select("text_id", "place", "id", "spot").repartition(tasks, "text_id").select("*", F.posexplode("id").alias("_i", "seed_id"))
+    met = met.selectExpr(
+        "text_id", "CAST(shiftright(place, 32) AS INT) AS slen", "seed_id", "spot[_i] & 1 AS minus",
+        "CAST((place & 4294967295) DIV 2 - shiftright(spot[_i], 32) AS INT) AS diagonal",
+        "IF(place & 1 = 1, (spot[_i] & 4294967295) DIV 2, 0) AS windows")
+    # grouped where the text's rows are
+    pair = ["text_id", "seed_id", "minus"]
+    found = met.groupBy(*pair, "diagonal").agg(F.sum("windows").alias("windows"), F.first("slen").alias("slen"))
+    pairs = found.groupBy(*pair).agg(F.collect_list("diagonal").alias("diagonals"), F.sum("windows").alias("shared"), F.first("slen").alias("slen"))
     lacking = F.floor(F.col("qlen") / (k + w - 1)) - F.col("shared")
     bound = score_bound(F.col("qlen"), F.col("slen"), lacking, k, w, *scoring).cast("int")
-    names = seeds.select(F.col("id").alias("seed_id"), "primer_name", "qseqid", F.col("text").alias("seed"))
-    pairs = materialize(pairs.withColumn("bound", bound).join(names.select("seed_id", "primer_name"), "seed_id"))
+    names = seeds.select(F.col("id").alias("seed_id"), "primer_name", F.length("text").alias("qlen"))
+    pairs = pairs.join(shuffled(names), "seed_id").withColumns({"minus": F.col("minus") == 1, "bound": bound})
+    pairs = materialize(pairs.drop("slen"))
+    # seeds travel to every text that they meet: two bases in a byte
+    packed = F.unhex(F.translate(F.regexp_replace("text", "[^ACGT]", "N"), "ACGTN", "01234"))
+    forward = seeds.select(F.col("id").alias("seed_id"), "qseqid", packed.alias("seed"))
 
     def scored(some: DataFrame) -> DataFrame:
-        forward = names.select("seed_id", "qseqid", "seed")
-        whole = some.select("text_id", "seed_id", "primer_name", "minus", "diagonals", "qlen").join(forward, "seed_id").join(
-            index.texts.select(F.col("id").alias("text_id"), "text"), "text_id")
-        # small joins end in few partitions, and scoring is the costly step
-        whole = whole.repartition(int(seeds.sparkSession.conf.get("spark.sql.shuffle.partitions")), "text_id", "seed_id")
-        return _extended(whole.withColumn("seed", F.when(F.col("minus"), revcomp("seed")).otherwise(F.col("seed"))), run, scoring, min_score)
+        some = some.select("text_id", "seed_id", "primer_name", "minus", "diagonals", "qlen").join(shuffled(forward), "seed_id")
+        # dealt by text to all tasks, since scoring is the costly step; the texts follow
+        texts = index.texts.select(F.col("id").alias("text_id"), "text").repartition(tasks, "text_id")
+        return _extended(some.repartition(tasks, "text_id").join(shuffled(texts), "text_id"), run, scoring, min_score)
 
     promising = F.max(F.struct("bound", "shared", "seed_id", "minus", "diagonals", "qlen")).alias("p")
     first = materialize(scored(pairs.groupBy("text_id", "primer_name").agg(promising).select(
         "text_id", "primer_name", "p.seed_id", "p.minus", "p.diagonals", "p.qlen")))
     reached = first.select(F.col("text_id").alias("t"), F.col("primer_name").alias("p"), F.col("score").alias("reached"))
-    rest = pairs.join(reached, (F.col("text_id") == F.col("t")) & F.col("primer_name").eqNullSafe(F.col("p")), "left")
+    rest = pairs.join(shuffled(reached), (F.col("text_id") == F.col("t")) & F.col("primer_name").eqNullSafe(F.col("p")), "left")
     hits = scored(rest.filter(F.col("reached").isNull() | (F.col("bound") >= F.col("reached"))))
     hits = hits.withColumn("strand", F.when(F.col("minus"), "-").otherwise("+"))
     plus = F.col("strand") == "+"
@@ -411,7 +451,8 @@ def homology_search(seeds: DataFrame, database: DataFrame | SearchIndex, k: int
     hits = hits.withColumns({c: (F.col(c) + 1).cast("int") for c in ("sstart", "send", "length")})
     order = [desc("bitscore"), desc("length"), "sstart", "send", desc("qcovs"), "qseqid"]
     best = keep_first(hits, ["primer_name", "text_id"], order)
-    named = best.join(index.texts.select(F.col("id").alias("text_id"), "digest"), "text_id").join(index.rows.select("sseqid", "digest"), "digest")
+    named = best.join(shuffled(index.texts.select(F.col("id").alias("text_id"), "digest")), "text_id")
+    named = named.join(shuffled(index.rows.select("sseqid", "digest")), "digest")
     # a subject may be in several rows
     return keep_first(named.select("primer_name", *HIT_COLUMNS), ["primer_name", "sseqid"], order)
 

@@ -230,3 +230,32 @@ def test_nothing_passes_the_driver_and_the_database_is_read_once(spark, monkeypa
     assert [r["sseqid"] for r in found.collect()] == ["s1"]
     assert H.homology_search(seeds.limit(0), db).count() == 0
     assert H.homology_search(seeds, db.limit(0)).count() == 0
+
+
+def test_packed_seeds_and_small_blocks(spark, monkeypatch):
+    rng = random.Random(3)
+    for size in (0, 1, 2, 7, 8):
+        text = "".join(rng.choice("ACGTNRY") for _ in range(size))
+        packed = spark.sql(f"SELECT unhex(translate(regexp_replace('{text}', '[^ACGT]', 'N'), 'ACGTN', '01234'))").first()[0]
+        assert H._unpacked(bytes(packed), size, False).tolist() == H._codes(text).tolist()
+        assert H._unpacked(bytes(packed), size, True).tolist() == H._codes(revcomp_str(text)).tolist()
+    # a task looks at no more letters at a time than a block holds, whatever a batch brings
+    import pyarrow as pa
+
+    seen = []
+    batch_of = H.minimizer_batch
+    monkeypatch.setattr(H, "minimizer_batch", lambda seqs, k, w: seen.append(sum(map(len, seqs))) or batch_of(seqs, k, w))
+    rows = pa.RecordBatch.from_arrays([pa.array(range(900)), pa.array(["".join(rng.choice("ACGT") for _ in range(1000)) for _ in range(900)])], ["id", "text"])
+    assert sum(b.num_rows for b in H._postings(iter([rows]), 20, 9, False)) > 900 * 100
+    assert max(seen) <= H.BASE_BLOCK < sum(seen)
+
+
+def test_seeds_of_a_word_are_dealt_to_rows(spark, monkeypatch):
+    rng = random.Random(8)
+    word = "".join(rng.choice("ACGT") for _ in range(40))
+    seeds = [("P", f"q{n:03d}", word + "".join(rng.choice("ACGT") for _ in range(30))) for n in range(40)]
+    subjects = [(f"s{n}", seeds[n][2]) for n in range(0, 40, 5)]
+    whole = search(spark, seeds, subjects)
+    monkeypatch.setattr(H, "SEEDS_A_ROW", 3)
+    assert search(spark, seeds, subjects) == whole
+    assert {k: r["qseqid"] for k, r in whole.items()} == {("P", f"s{n}"): f"q{n:03d}" for n in range(0, 40, 5)}
