@@ -20,7 +20,7 @@ TOKENIZER = "byte_bpe_50k"
 #: rows of one length that are ranked together; a more frequent length is ranked in several parts
 RANK_ROWS = 100_000
 #: text bytes of which equal chunks are found together
-ENCODED_BYTES = 1 << 22
+ENCODED_BYTES = 1 << 21
 
 
 def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER,
@@ -28,8 +28,8 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``doc_id, start, length, ids_crc32, doc_tokens[, ids]``: every document's ids, ended by
     ``end_id`` and cut every ``max_tokens`` ids. A null or empty text has the end id alone.
 
-    All ids are those of the ``tokenizers`` file; equal chunks of a task's texts are encoded once
-    (see :mod:`distinct_chunks`), and a very long text is many chunks.
+    All ids are those of the ``tokenizers`` file; equal chunks of a worker's texts are encoded
+    once (see :mod:`distinct_chunks`), and a very long text is many chunks.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -40,7 +40,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         import public_tokenizers
 
         path = public_tokenizers.path(f"{tokenizer}.json")
-        encode = per_worker(f"ids {path}", lambda: ChunkEncoder(byte_bpe(path)))
+        encode = per_worker(f"ids {path}", lambda: ChunkEncoder(byte_bpe(path), fine=True))
         for part in C.passes(batches, "text", ENCODED_BYTES):
             ((ids, cuts),), _ = encode(*C.text_bytes(part.column("text")))
             row, out, kept = [], [], []
@@ -57,6 +57,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             if with_ids:
                 columns.append(pa.array(kept, pa.list_(pa.int64())))
             yield pa.RecordBatch.from_arrays(columns, names)
+            pa.default_memory_pool().release_unused()  # the worker lives on while others work
 
     return rows.mapInArrow(run, schema + ", ids array<bigint>" * with_ids)
 

@@ -40,6 +40,41 @@ def test_patterns_use_every_piece_once(histogram):
         assert sorted(parts)[0][0] == 0 and max(b for _, b in parts) == histogram[n]
 
 
+def encoded(encode, texts):
+    raw = [t.encode() for t in texts]
+    ((ids, cuts),), sound = encode(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]))
+    assert sound.all()
+    return [ids[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+WHOLE = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+FINE = ChunkEncoder(byte_bpe(public_tokenizers.path("byte_bpe_50k.json")), remembered=50, fine=True)
+PARTS = ["a", "word", "é", "ñ", "×", "÷", "\u0301", "\u00a0", "日", "😀", "9", " ", "  ", "\n", "\n\n", "\r", "\t", "'s", "'", "<|endoftext|>", "|>",
+         *".,;:!?)\"#*$%&", "...", " b", "\nB", "x" * 300]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PARTS), max_size=12).map("".join), min_size=1, max_size=8))
+def test_chunks_cut_at_marks_and_line_feeds_have_the_ids_of_the_whole(texts):
+    assert encoded(FINE, texts) == [WHOLE.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_a_word_is_encoded_once_whatever_mark_follows_and_met_words_are_kept():
+    given_out = []
+    encode, vocabulary = byte_bpe(public_tokenizers.path("byte_bpe_50k.json"))
+    chunks = ChunkEncoder((lambda t: given_out.append(t) or encode(t), vocabulary), remembered=20, fine=True)
+    first = encoded(chunks, ["x lorem. x lorem, x lorem!! x lorem*** x lorem\nx lorem"])
+    assert "".join(given_out).count("lorem") == 1
+    assert first == [encode("x lorem. x lorem, x lorem!! x lorem*** x lorem\nx lorem")]
+    encoded(chunks, ["x lorem"])
+    for k in range(30):  # the limit of remembered chunks is passed every second time
+        encoded(chunks, [" ".join(f"w{k}v{j}" for j in range(10)) + " lorem"])
+    assert "".join(given_out).count("lorem") == 1
+    assert len(chunks.known) <= 50
+    encoded(chunks, ["y" * 1000])
+    assert len(chunks.known) <= 50 and sum(len(side.ids) for side in chunks.sides) < 500
+
+
 def check(docs, rows, max_tokens):
     exact = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     ids = [(i, np.array([*exact.encode(t or "", add_special_tokens=False).ids, 1], "<u4")) for i, t in docs]
